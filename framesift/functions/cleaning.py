@@ -17,6 +17,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from framesift.functions.captions import strip
 
@@ -138,12 +139,12 @@ def repair_text(text: str) -> str:
     return html.unescape(html.unescape(unicodedata.normalize("NFC", text)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _markup_text(texts: pd.Series) -> pd.Series:
     return texts.map(markup_text, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _repair_text(texts: pd.Series) -> pd.Series:
     return texts.map(repair_text, na_action="ignore")
 

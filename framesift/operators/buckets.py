@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from framesift.functions.aspect import PIXELS, sizes
 from framesift.functions.rng import draw_hash, uniform
 from framesift.operators.ordering import with_position
+from framesift.session import materialise
 
 BUCKET = ["res", "t", "ar"]
 AREA_TOLERANCE = 0.8  # fixed value: a resolution accepts frames from this share of its pixels
@@ -88,6 +89,18 @@ def closest_ratio(height: Column, width: Column, resolution: str) -> Column:
     return F.when(shape.isNotNull(), F.array_min(scored)["name"])
 
 
+def even_sizes(height: Column, width: Column, pixels: int, eps: float = 1e-4) -> tuple[Column, Column]:
+    """Even height and width of about ``pixels`` pixels in each row's own shape."""
+    shape = height.cast("double") / F.when(width > 0, width)
+
+    def to_even(x: Column) -> Column:
+        up = F.ceil(x + eps).cast("bigint")
+        return F.when(up % 2 == 0, up).otherwise(F.floor(x + eps)).cast("int")
+
+    out_h = to_even(F.sqrt(F.lit(float(pixels)) * shape))
+    return out_h, to_even(out_h / shape)
+
+
 def resolution_from_pixels(pixels: Column, resolutions: Mapping[str, int] = PIXELS, approx: float = AREA_TOLERANCE) -> Column:
     """First listed resolution of which the frame has at least ``approx`` of the pixels."""
     return reduce(
@@ -295,7 +308,7 @@ def _place_batches(batches: DataFrame, plan: _Plan, shuffle: bool, seed: int) ->
             *BUCKET, "_k", (F.col("_before") + F.col("_k")).alias("_p")
         )
     hashed = batches.withColumn("_h", draw_hash(seed, F.concat_ws("/", *BUCKET, "_k")))
-    placed = with_position(hashed, ["_h", *BUCKET, "_k"], name="_p")
+    placed = materialise(with_position(hashed, ["_h", *BUCKET, "_k"], name="_p"), "batch-order")
     # The i-th visit to a bucket takes its i-th micro-batch, whichever pair was drawn there.
     return with_position(placed.drop("_k"), ["_h", "_p"], BUCKET, name="_k").drop("_h")
 
@@ -318,9 +331,12 @@ def plan_batches(
     global order and dealt to the ranks step by step. Micro-batches added to fill the last step find
     their bucket used up and stay empty (one row with a NULL key), unless ``repeat_on_pad`` starts
     the bucket over. ``start`` skips the steps that cover micro-batches already consumed.
+
+    Two narrow tables are written to the shared folder on the way, bucket assignment and placed rows,
+    since several later stages start from each.
     """
     draw_seed = seed + epoch
-    bucketed = in_bucket(bucketed).select(*BUCKET, order_by)
+    bucketed = materialise(in_bucket(bucketed).select(*BUCKET, order_by), "bucketed")
     plan = _Plan(bucketed, config, drop_last, order_by)
     rows = _even_out(bucketed, plan, order_by, drop_last)
     rows = _place_in_bucket(rows, plan, order_by, shuffle, draw_seed).join(plan.table("_batch", "_full"), BUCKET)
@@ -331,7 +347,7 @@ def plan_batches(
         (F.col("_j") % F.col("_batch")).cast("int").alias("batch_index"),
         "_full",
     )
-    cut = cut.filter("_k < _full").drop("_full")
+    cut = materialise(cut.filter("_k < _full").drop("_full"), "placed-rows")
 
     batches = cut.filter("batch_index = 0").select(*BUCKET, "_k")
     placed = _place_batches(batches, plan, shuffle, draw_seed).withColumn("_empty", F.lit(False))

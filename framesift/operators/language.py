@@ -9,16 +9,12 @@ PROFILE_SIZE = 300
 
 
 def trigrams(text: Column) -> Column:
-    """Trigrams of the words of a text, each word padded with ``_`` on both sides."""
-    words = F.filter(F.split(F.lower(F.regexp_replace(text, r"[^\p{L}]+", " ")), " "), lambda w: w != "")
-    return F.flatten(
-        F.transform(
-            words,
-            lambda w: F.transform(
-                F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(F.concat(F.lit("_"), w, F.lit("_")), i, F.lit(3))
-            ),
-        )
-    )
+    """Trigrams of the words of a text, each word padded with ``_`` on both sides.
+
+    A look-ahead finds the overlapping trigrams in one pass over the text.
+    """
+    words = F.concat(F.lit("_"), F.regexp_replace(F.lower(text), r"[^\p{L}]+", "_ _"), F.lit("_"))
+    return F.regexp_extract_all(words, F.lit("(?=([^ ]{3}))"), F.lit(1))
 
 
 def trigram_profiles(df: DataFrame, text: str, lang: str, size: int = PROFILE_SIZE) -> DataFrame:
