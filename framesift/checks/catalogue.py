@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from framesift.checks import buckets, filters, joins, paths, profiles  # noqa: F401
+from framesift.checks import buckets, clips, filters, joins, ordering, paths, profiles, scores  # noqa: F401
 from framesift.checks.registry import ORACLES, QUERIES  # noqa: F401
