@@ -1,4 +1,19 @@
 """Importing this module registers every query."""
 
-from framesift.checks import buckets, clips, filters, joins, ordering, paths, profiles, scores  # noqa: F401
+from framesift.checks import (  # noqa: F401
+    buckets,
+    captions,
+    clips,
+    evaluation,
+    filters,
+    jobs,
+    joins,
+    nested,
+    ordering,
+    paths,
+    profiles,
+    prompts,
+    scores,
+    sources,
+)
 from framesift.checks.registry import ORACLES, QUERIES  # noqa: F401

@@ -39,11 +39,15 @@ CAMERA_MOTION_WORDS = {
 
 # Whitespace as a Unicode-aware strip sees it.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of whitespace at both ends (plain trim only knows the space)."""
-    return F.regexp_replace(F.regexp_replace(text, f"^{_SPACE}+", ""), f"{_SPACE}+\\z", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def capitalise_first(text: Column) -> Column:

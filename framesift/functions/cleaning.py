@@ -178,7 +178,7 @@ def drop_residue(text: Column) -> Column:
     text = _sub_all(text, ENTITY_RESIDUE)
     text = _sub(text, IP_ADDRESS, " ")
     text = _sub(text, ARTICLE_TIME, "")
-    return _sub(text, r"\\n", " ")
+    return F.replace(text, F.lit("\\n"), F.lit(" "))  # a written-out line feed: backslash, n
 
 
 def drop_numbers_and_files(text: Column) -> Column:

@@ -20,9 +20,12 @@ def downsample_trajectory(
     """
     frames = resample_frames(F.size(columns[0]) - 1, target_fps, source_fps)
     thinned = df.withColumn("_at", frames)
-    return thinned.withColumns(
-        {c: F.transform("_at", lambda i, c=c: F.get(F.col(c), i)) for c in columns}
-    ).drop("_at")
+    picked = {c: _gather(F.col("_at"), F.col(c)) for c in columns}
+    return thinned.withColumns(picked).drop("_at")
+
+
+def _gather(positions: Column, values: Column) -> Column:
+    return F.transform(positions, lambda i: F.get(values, i))
 
 
 # Fixed value: the task name in annotation documents.
@@ -120,7 +123,8 @@ def explode_frames(df: DataFrame, key: Sequence[str], arrays: Sequence[str]) ->
 def implode_frames(df: DataFrame, key: Sequence[str], values: Sequence[str], index: str = "frame_idx") -> DataFrame:
     """The inverse: ordered arrays per key, as long as one video's frames fit a row."""
     packed = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))
-    return packed.select(*key, *[F.transform("_rows", lambda r, v=v: r[v]).alias(v) for v in values])
+    # Extracting a field from an array of structs gives the array of that field.
+    return packed.select(*key, *[F.col("_rows").getField(v).alias(v) for v in values])
 
 
 def all_exist(df: DataFrame, listing: DataFrame, key: str, paths: str) -> DataFrame:
