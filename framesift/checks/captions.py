@@ -114,7 +114,7 @@ def t6b(t):
 
 
 _HTML = """regexp_replace(regexp_replace(html, '(?s)<(script|style|template)[^>]*>.*?</(script|style|template)>', '', 'g'), '(?s)<!--.*?-->|<[!/a-zA-Z][^>]*>', '', 'g')"""
-_ENTITIES = [("&nbsp;", "chr(160)"), ("&copy;", "'©'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&eacute;", "'é'"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")]
+_ENTITIES = [("&nbsp;", "chr(160)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&eacute;", "'é'"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")]
 
 
 def _entities_sql(text: str) -> str:

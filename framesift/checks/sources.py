@@ -74,13 +74,13 @@ def s7(t):
     return listing.videos_to_meta(t.media.select("path"), "videos")
 
 
-_FOLDER = "replace(initcap(replace(cmotion, '_', ' ')), ' ', '')"
-_FOLDER_SQL = "list_aggregate([upper(w[1]) || w[2:] FOR w IN string_split(cmotion, '_')], 'string_agg', '')"
+_FOLDER = "replace(initcap(replace(replace(cmotion, '/', '_'), '_', ' ')), ' ', '')"
+_FOLDER_SQL = "list_aggregate([upper(w[1]) || w[2:] FOR w IN string_split(replace(cmotion, '/', '_'), '_')], 'string_agg', '')"
 
 
 @query(
     "S8_classes_from_dirs",
-    f"""SELECT 'train/' || {_FOLDER_SQL} || '/' || CAST(pos AS VARCHAR) || '.avi' AS path, array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(cmotion, '_')], ' ') AS text FROM media""",
+    f"""SELECT 'train/' || {_FOLDER_SQL} || '/' || CAST(pos AS VARCHAR) || '.avi' AS path, array_to_string([upper(w[1]) || w[2:] FOR w IN string_split(replace(cmotion, '/', '_'), '_')], ' ') AS text FROM media""",
 )
 def s8(t):
     files = t.media.select(F.expr(f"concat('train/', {_FOLDER}, '/', CAST(pos AS STRING), '.avi')").alias("path"))

@@ -7,8 +7,9 @@ table of at most resolutions x lengths x shapes rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+import math
+from collections.abc import Mapping, Sequence
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from framesift.functions.aspect import PIXELS, sizes
 from framesift.functions.rng import draw_hash, uniform
 from framesift.operators.ordering import with_position
-from framesift.session import materialise
+from framesift.session import compute_once, materialise
 
 BUCKET = ["res", "t", "ar"]
 AREA_TOLERANCE = 0.8  # fixed value: a resolution accepts frames from this share of its pixels
@@ -74,19 +75,47 @@ def all_certain(config: Config) -> dict:
     return {r: {t: (certain(p), b) for t, (p, b) in d.items()} for r, d in config.items()}
 
 
+@cache
+def ratio_steps(resolution: str) -> tuple[tuple[float, ...], tuple[str, ...]]:
+    """Where the nearest ratio changes: sorted names and the shape from which the next one is nearer.
+
+    The steps are the exact doubles at which comparing distances turns, so a chain of comparisons
+    picks the same ratio as the smallest distance, the earlier entry of the table winning a tie.
+    """
+    place = {name: i for i, name in enumerate(sizes(resolution))}
+    names = sorted(place, key=float)
+
+    def next_wins(shape: float, low: str, high: str) -> bool:
+        to_low, to_high = abs(float(low) - shape), abs(float(high) - shape)
+        return to_high < to_low or (to_high == to_low and place[high] < place[low])
+
+    steps = []
+    for low, high in zip(names, names[1:]):
+        left, right = float(low), float(high)  # low wins at left, high at right
+        while math.nextafter(left, math.inf) < right:
+            middle = left + (right - left) / 2
+            if next_wins(middle, low, high):
+                right = middle
+            else:
+                left = middle
+        steps.append(right)
+    return tuple(steps), tuple(names)
+
+
+def _ratio_from_steps(shape: Column, steps: Sequence[float], names: Sequence[str]) -> Column:
+    chain = F.when(shape < steps[0], F.lit(names[0]))
+    for step, name in zip(steps[1:], names[1:]):
+        chain = chain.when(shape < step, F.lit(name))
+    return F.when(shape.isNotNull(), chain.otherwise(F.lit(names[-1])))
+
+
+def _shape(height: Column, width: Column) -> Column:
+    return height.cast("double") / F.when(width > 0, width)
+
+
 def closest_ratio(height: Column, width: Column, resolution: str) -> Column:
     """Name of the nearest aspect ratio; the earlier one in the table wins a tie."""
-    ratios = F.array(
-        *[
-            F.struct(F.lit(float(name)).alias("value"), F.lit(i).alias("rank"), F.lit(name).alias("name"))
-            for i, name in enumerate(sizes(resolution))
-        ]
-    )
-    shape = height.cast("double") / F.when(width > 0, width)
-    scored = F.transform(
-        ratios, lambda r: F.struct(F.abs(r["value"] - shape).alias("gap"), r["rank"].alias("rank"), r["name"].alias("name"))
-    )
-    return F.when(shape.isNotNull(), F.array_min(scored)["name"])
+    return _ratio_from_steps(_shape(height, width), *ratio_steps(resolution))
 
 
 def even_sizes(height: Column, width: Column, pixels: int, eps: float = 1e-4) -> tuple[Column, Column]:
@@ -126,30 +155,29 @@ def floor_bucket(value: Column, edges: list[float]) -> Column:
                   range(len(edges) - 1, 0, -1), F.lit(edges[-1]))
 
 
-def _level_choice(t_col: Column, res: str, lengths, first_level: int, interval: int, draw) -> Column:
-    """The length a resolution accepts for a row, or NULL to try the next resolution."""
-    image = F.lit(None).cast("int")
-    video = F.lit(None).cast("int")
+def _level_choice(t_col: Column, lengths, first_level: int, interval: int, draw) -> Column:
+    """Number of the level at which a resolution accepts a row, or NULL to try the next resolution."""
+    nothing = F.lit(None).cast("int")
+    image = video = nothing
     # Built from the shortest length up, so that the longest is tested first.
     for offset in range(len(lengths) - 1, -1, -1):
         t, prob, _ = lengths[offset]
         level = first_level + offset
-        consider = prob[1] if isinstance(prob, tuple) else None
-        accept = prob[0] if isinstance(prob, tuple) else prob
+        accept, consider = prob if isinstance(prob, tuple) else (prob, 1.0)
+        if accept >= 1:
+            taken = F.lit(level)
+        elif accept > 0:
+            # A pair has spent its first draw on whether to consider the level.
+            taken = F.when(draw(level, 2 if isinstance(prob, tuple) else 1) < accept, F.lit(level))
+        else:
+            taken = nothing
         if t == 1:
-            if accept >= 1:
-                image = F.lit(1)
-            elif accept > 0:
-                image = F.when(draw(level, 1) < accept, F.lit(1))
+            image = taken
             continue
-        taken = F.lit(t)
-        if accept < 1:
-            # A level that rejects still ends the walk: the row moves on to the next resolution.
-            nth = 1 if consider is None else 2
-            taken = F.when(draw(level, nth) < accept, F.lit(t)) if accept > 0 else F.lit(None).cast("int")
         match = t_col > t * interval
-        if consider is not None and consider < 1:
+        if consider < 1:
             match = match & ~(draw(level, 1) > consider)
+        # A level that rejects still ends the walk: the row moves on to the next resolution.
         video = F.when(match, taken).otherwise(video)
     return F.when(t_col == 1, image).otherwise(video)
 
@@ -167,19 +195,28 @@ def assign_bucket(
     def draw(level: int, nth: int) -> Column:
         return uniform(seed, F.col(key), f"{level}#{nth}", method=rng)
 
-    choices, level = [], 0
+    choices, level, level_res, level_t = [], 0, [], []
     for res, lengths in ordered_levels(config):
-        t = _level_choice(t_col, res, lengths, level, frame_interval, draw)
-        t = F.when(pixels >= F.lit(PIXELS[res] * AREA_TOLERANCE), t)
-        choices.append(F.when(t.isNotNull(), F.struct(F.lit(res).alias("res"), t.alias("t"))))
+        choice = _level_choice(t_col, lengths, level, frame_interval, draw)
+        choices.append(F.when(pixels >= F.lit(PIXELS[res] * AREA_TOLERANCE), choice))
+        level_res += [res] * len(lengths)
+        level_t += [t for t, _, _ in lengths]
         level += len(lengths)
-    chosen = df.withColumn("_bucket", F.coalesce(*choices))
-    ratio = reduce(
-        lambda rest, r: F.when(F.col("_bucket.res") == r, closest_ratio(F.col("height"), F.col("width"), r)).otherwise(rest),
-        config,
-        F.lit(None).cast("string"),
+    # The level is found once; resolution, length and shape are looked up from it.
+    chosen = compute_once(df.withColumn("_level", F.coalesce(*choices)), "_level")
+    by_steps: dict[tuple, list[int]] = {}
+    for i, res in enumerate(level_res):
+        by_steps.setdefault(ratio_steps(res), []).append(i)
+    shape = _shape(F.col("height"), F.col("width"))
+    ratio = F.coalesce(
+        *[F.when(F.col("_level").isin(levels), _ratio_from_steps(shape, *steps)) for steps, levels in by_steps.items()]
+    )
+    return chosen.select(
+        *df.columns,
+        F.get(F.array(*[F.lit(r) for r in level_res]), F.col("_level")).alias("res"),
+        F.get(F.array(*[F.lit(t) for t in level_t]), F.col("_level")).alias("t"),
+        ratio.alias("ar"),
     )
-    return chosen.select(*df.columns, F.col("_bucket.res").alias("res"), F.col("_bucket.t").alias("t"), ratio.alias("ar"))
 
 
 def in_bucket(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -55,3 +56,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def compute_once(df: DataFrame, column: str) -> DataFrame:
+    """Keep the optimizer from copying a costly column into every place that reads it.
+
+    Filters on the column move below its projection and evaluate it again, and projections with
+    Python functions are merged even where the later one reads the column several times. A one-row
+    explode is a boundary that neither crosses.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.array(column)).alias(column)).select(*df.columns)
