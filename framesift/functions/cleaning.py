@@ -128,14 +128,16 @@ def markup_text(source: str) -> str:
 
 
 def repair_text(text: str) -> str:
-    """Undo UTF-8 read as Latin-1, straighten quotes, compose accents, resolve references twice."""
-    if any("\x80" <= c <= "\xff" for c in text):
-        try:
-            text = text.encode("latin-1").decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            pass
+    """Straighten quotes, undo UTF-8 read as Latin-1, compose accents, resolve references twice."""
     for curly, straight in (("“", '"'), ("”", '"'), ("‘", "'"), ("’", "'")):
         text = text.replace(curly, straight)
+    if not text.isascii():
+        for wrong in ("latin-1", "cp1252"):
+            try:
+                text = text.encode(wrong).decode("utf-8")
+                break
+            except (UnicodeEncodeError, UnicodeDecodeError):
+                continue
     return html.unescape(html.unescape(unicodedata.normalize("NFC", text)))
 
 
@@ -156,7 +158,7 @@ def html_to_text(text: Column) -> Column:
 
 def fix_text(text: Column) -> Column:
     """Repair, resolve references and trim; plain ASCII without ``&`` skips Python."""
-    needed = F.when(text.rlike(r"[&\u0080-\uffff]"), text)
+    needed = F.when(text.rlike(r"[&\x{80}-\x{10FFFF}]"), text)
     return strip(F.coalesce(_repair_text(needed), text))
 
 

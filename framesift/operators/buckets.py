@@ -420,10 +420,9 @@ def micro_batch_entry(key: str = "pos") -> Column:
 def weighted_label(weights: Mapping[str, float], draw: Column, rest: str = "identity") -> Column:
     """Draw a label by weight; what the weights leave of 1 goes to ``rest``."""
     weights = dict(weights)
-    if any(not 0 <= w <= 1 for w in weights.values()):
+    weights.setdefault(rest, 1.0 - sum(weights.values()))
+    if any(not -1e-6 <= w <= 1 for w in weights.values()):
         raise ValueError("weights must lie in [0, 1]")
-    if rest not in weights:
-        weights[rest] = 1.0 - sum(weights.values())
     if abs(sum(weights.values()) - 1.0) > 1e-6:
         raise ValueError("weights must sum to 1")
     total, edges = 0.0, []

@@ -79,11 +79,10 @@ def filter_by_paths(df: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def match_report(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """One row: distinct wanted keys, rows searched, rows matched, wanted keys without any row."""
-    keys = _keyed(wanted, "path").distinct()
+    keys = _keyed(wanted, "path").distinct().withColumn("_wanted", F.lit(True))
     per_key = df.groupBy("path").agg(F.count(F.lit(1)).alias("_rows"))
     joined = keys.join(per_key, F.col("_path").eqNullSafe(F.col("path")), "full")
-    wanted_key = F.col("_path").isNotNull()
-    found = F.col("_rows").isNotNull()
+    wanted_key, found = F.col("_wanted").isNotNull(), F.col("_rows").isNotNull()
     return joined.agg(
         F.count_if(wanted_key).alias("wanted_keys"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
