@@ -7,9 +7,11 @@ row's position is the count of the slices before it plus its rank inside its sli
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,35 +26,89 @@ def _columns(keys: str | Sequence[str]) -> list[str]:
 
 
 def search_slice(value: Column, bounds: list[float]) -> Column:
-    """Number of sorted bounds that are <= value, by binary search over a literal array."""
+    """Number of sorted bounds that are <= value, by binary search over a constant array."""
     if not bounds:
         return F.lit(0)
-    table = F.array(*[F.lit(float(b)) for b in bounds])
+    # Parsed once when the plan is optimised, whatever the number of bounds.
+    table = F.from_json(F.lit(json.dumps([float(b) for b in bounds])), "array<double>")
     step, steps = 1, []
     while step <= len(bounds):
         steps.append(step)
         step *= 2
-    found = F.aggregate(
+    return F.aggregate(
         F.array(*[F.lit(s) for s in reversed(steps)]),
         F.lit(0),
         lambda at, jump: at
         + F.when(F.coalesce(F.get(table, at + jump - 1) <= value, F.lit(False)), jump).otherwise(F.lit(0)),
     )
-    return F.when(value.isNull(), F.lit(0)).otherwise(found)
+
+
+def slice_count(spark: SparkSession) -> int:
+    """Several slices per shuffle partition, so that hashing them spreads evenly."""
+    return 4 * shuffle_width(spark)
+
+
+def _marks(slices: int) -> list[float]:
+    return [i / slices for i in range(1, slices)]
 
 
 def range_bounds(df: DataFrame, key: str, slices: int) -> list[float]:
     """Quantile bounds of a numeric key: one small job over that column alone.
 
-    The bounds only balance the slices; any bounds give the same positions.
+    The bounds only balance the slices; any bounds give the same result.
     """
     if slices < 2:
         return []
-    points = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), points, 10000).alias("b")).first()
+    row = df.agg(F.percentile_approx(F.col(key).cast("double"), _marks(slices), 10000).alias("b")).first()
     return sorted(set(row["b"] or []))
 
 
+def _numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.NumericType)
+
+
+def _number_slices(df: DataFrame, order_by: list[str], slices: int) -> list[Column]:
+    """Slice of the leading number, and a finer slice by the next one where a value is very common.
+
+    A value that fills more than one slice, or a missing one, gets a slice of its own, which is cut
+    again along the second order column.
+    """
+    lead, second = order_by[0], order_by[1] if len(order_by) > 1 else None
+    number = F.col(lead).cast("double")
+    facts = df.agg(
+        F.percentile_approx(number, _marks(slices), 10000).alias("marks"),
+        F.count_if(F.col(lead).isNull()).alias("missing"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    marks = facts["marks"] or []
+    common = sorted({b for b in marks if marks.count(b) > 1})
+    bounds = sorted(set(marks) | {math.nextafter(b, math.inf) for b in common})
+    first = F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(search_slice(number, bounds))
+    cut_missing = facts["missing"] * slices > facts["n"]
+    if second is None or not _numeric(df, second) or not (common or cut_missing):
+        return [first]
+    hot = F.coalesce(number.isin(common), F.lit(False)) if common else F.lit(False)
+    if cut_missing:
+        hot = hot | F.col(lead).isNull()
+    # At most one row per slice. Whole numbers beyond 2**53 may share a double: leave those alone.
+    groups = (
+        df.filter(hot)
+        .groupBy(number.alias("v"))
+        .agg(
+            F.percentile_approx(F.col(second).cast("double"), _marks(slices), 10000).alias("marks"),
+            F.min(lead).eqNullSafe(F.max(lead)).alias("same"),
+        )
+        .collect()
+    )
+    finer = F.lit(0)
+    for g in groups:
+        if g["same"] and g["marks"]:
+            here = F.col(lead).isNull() if g["v"] is None else number == g["v"]
+            by_second = search_slice(F.col(second).cast("double"), sorted(set(g["marks"])))
+            finer = F.when(here, F.when(F.col(second).isNull(), F.lit(-1)).otherwise(by_second)).otherwise(finer)
+    return [first, finer]
+
+
 def with_position(
     df: DataFrame,
     order_by: str | Sequence[str],
@@ -62,27 +118,28 @@ def with_position(
 ) -> DataFrame:
     """Add the 0-based position of each row in the given order, within its group if any.
 
-    The first order column is either numeric (nearly unique, such as a row number) or a hexadecimal
-    digest (``draw_hash``); the rest break ties. Group columns must not be NULL. A group of any size
-    is spread over the slices, so one hot group costs no more than its share.
+    The first order column is numeric or a hexadecimal digest (``draw_hash``); the rest break ties,
+    and together they are unique. Group columns must not be NULL. A group of any size is spread over
+    the slices, so one hot group costs no more than its share.
     """
     order_by, group_by = _columns(order_by), _columns(group_by)
     lead = order_by[0]
-    slices = slices or max(shuffle_width(df.sparkSession), 2)
-    if isinstance(df.schema[lead].dataType, T.StringType):
-        digits = F.conv(F.substring(lead, 1, _HASH_DIGITS), 16, 10).cast("bigint")
-        slice_no = F.floor(digits * slices / (16**_HASH_DIGITS)).cast("int")
+    slices = slices or max(slice_count(df.sparkSession), 2)
+    if _numeric(df, lead):
+        parts = _number_slices(df, order_by, slices)
     else:
-        slice_no = search_slice(F.col(lead).cast("double"), range_bounds(df, lead, slices)).cast("int")
-    sliced = df.withColumn("_slice", slice_no)
+        digits = F.conv(F.substring(lead, 1, _HASH_DIGITS), 16, 10).cast("bigint")
+        parts = [F.floor(digits * slices / (16**_HASH_DIGITS))]
+    slice_columns = [f"_slice{i}" for i in range(len(parts))]
+    sliced = df.withColumns({c: p.cast("int") for c, p in zip(slice_columns, parts)})
 
-    keys = [*group_by, "_slice"]
+    keys = [*group_by, *slice_columns]
     sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     # Ungrouped, this window covers one row per slice; grouped, at most that many per group.
-    before = Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group_by).orderBy(*slice_columns).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     if not group_by:
-        offsets = F.broadcast(offsets)  # never more than `slices` rows
+        offsets = F.broadcast(offsets)  # one row per slice
 
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by]))
     return (

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framesift.operators.ordering import search_slice, with_position
+from framesift.operators.ordering import search_slice, slice_count, with_position
 from framesift.schema import present
-from framesift.session import shuffle_width
 
 DEFAULT_FPS = 30
 
@@ -38,51 +36,51 @@ def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> Da
 def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles as (column, point, value).
 
-    Values are counted first, then the counts are summed up along value slices, so neither the
-    distinct values of a column nor a repeated one ever meet in a single task.
+    Each column's range is cut into slices, whose sizes tell in which of them a quantile lies. Only
+    the values of those few slices are shuffled, counted and summed up; a value that repeats a lot
+    is counted where its rows are.
     """
-    counts = _long(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    slices = max(shuffle_width(df.sparkSession), 2)
+    slices = max(slice_count(df.sparkSession), 2)
     marks = [i / slices for i in range(1, slices)]
-    aggs = [F.percentile_approx(F.col(c).cast("double"), marks, 10000).alias(c) for c in columns]
-    bounds = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns]).agg(*aggs).first()
-    slice_no = reduce(
-        lambda rest, c: F.when(F.col("column") == c, search_slice(F.col("value"), sorted(set(bounds[c] or [])))).otherwise(rest),
-        columns,
-        F.lit(0),
+    clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    bounds = clean.agg(*[F.percentile_approx(c, marks, 10000).alias(c) for c in columns]).first()
+    slice_no = F.coalesce(
+        *[F.when(F.col("column") == c, search_slice(F.col("value"), sorted(set(bounds[c] or [])))) for c in columns]
     )
-    sliced = counts.withColumn("_slice", slice_no)
-    sizes = sliced.groupBy("column", "_slice").agg(F.sum("n").alias("_n"))
+    sliced = _long(clean, columns).withColumn("_slice", slice_no)
+
+    # columns x slices rows from here on, until the values come back in.
     by_column = Window.partitionBy("column")
-    offsets = sizes.select(
+    running = by_column.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = sliced.groupBy("column", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(
         "column",
         "_slice",
-        F.coalesce(
-            F.sum("_n").over(by_column.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
+        (F.sum("_n").over(running) - F.col("_n")).alias("_first"),
+        F.sum("_n").over(running).alias("_end"),
         F.sum("_n").over(by_column).alias("_total"),
     )
-    inside = Window.partitionBy("column", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        sliced.withColumn("_cum", F.sum("n").over(inside))
-        .join(F.broadcast(offsets), ["column", "_slice"])  # columns x slices rows
-        .withColumn("_to", F.col("_before") + F.col("_cum"))
-        .withColumn("_from", F.col("_to") - F.col("n"))
-    )
-    # A value stands for ranks [_from, _to); a point falls between ranks floor(h) and ceil(h).
+    # A point falls between the values of rank floor(h) and ceil(h).
     point = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
-    hits = ranked.select("*", point).withColumn("_h", F.col("point") * (F.col("_total") - 1))
-    low, high = F.floor("_h"), F.ceil("_h")
-    hits = hits.withColumn("_is_low", (low >= F.col("_from")) & (low < F.col("_to"))).withColumn(
-        "_is_high", (high >= F.col("_from")) & (high < F.col("_to"))
+    wanted = sizes.select("*", point).withColumn("_h", F.col("point") * (F.col("_total") - 1))
+    wanted = wanted.select("*", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_rank"))
+    wanted = wanted.filter("_rank >= _first AND _rank < _end").select("column", "_slice", "_first", "point", "_h", "_rank")
+    wanted = wanted.distinct()
+
+    counts = (
+        sliced.join(F.broadcast(wanted.select("column", "_slice").distinct()), ["column", "_slice"], "left_semi")
+        .groupBy("column", "_slice", "value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    inside = Window.partitionBy("column", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_to", F.sum("_n").over(inside))
+    place = F.col("_rank") - F.col("_first")
+    hits = ranked.join(F.broadcast(wanted), ["column", "_slice"]).filter(
+        (place < F.col("_to")) & (place >= F.col("_to") - F.col("_n"))
     )
-    ends = (
-        hits.filter("_is_low OR _is_high")
-        .groupBy("column", "point", "_h")
-        .agg(
-            F.max(F.when(F.col("_is_low"), F.col("value"))).alias("_lo"),
-            F.max(F.when(F.col("_is_high"), F.col("value"))).alias("_hi"),
-        )
+    ends = hits.groupBy("column", "point", "_h").agg(
+        F.max(F.when(F.col("_rank") == F.floor("_h"), F.col("value"))).alias("_lo"),
+        F.max(F.when(F.col("_rank") == F.ceil("_h"), F.col("value"))).alias("_hi"),
     )
     value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h"))
     return ends.select("column", "point", value.alias("value"))
@@ -124,13 +122,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100, by: Column
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
     )
-    counted = values.groupBy("kind", "column", "value").agg(F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     spot = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))
     return (
-        counted.join(F.broadcast(ends), ["kind", "column"])  # one row per kind and column
+        values.join(F.broadcast(ends), ["kind", "column"])  # one row per kind and column
         .groupBy("kind", "column", spot.cast("int").alias("bin"), "_lo", width.alias("_w"))
-        .agg(F.sum("_n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select("kind", "column", "bin", (F.col("_lo") + F.col("_w") * F.col("bin")).alias("start"), "n")
     )
 

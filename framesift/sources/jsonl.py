@@ -26,7 +26,7 @@ def assign_chunks(
     split is the sequential one, so one slice (small inputs) gives exactly that. Parts are numbered
     ``slice * 2**32 + n``.
     """
-    slices = slices or max(shuffle_width(df.sparkSession), 1)
+    slices = slices or shuffle_width(df.sparkSession)
     slice_no = search_slice(F.col(order_by).cast("double"), range_bounds(df, order_by, slices)).cast("bigint")
     size = (F.octet_length("value") + 1).cast("bigint")
     ranged = df.select(order_by, "value", slice_no.alias("_slice"), size.alias("_size"))

@@ -33,6 +33,23 @@ def test_positions_inside_groups_with_one_hot_group(spark):
     assert [r["position"] for r in got] == list(range(300))
 
 
+@pytest.mark.parametrize("common", [5.0, None])
+def test_a_common_leading_value_is_cut_by_the_next_column(spark, common):
+    value = F.when(F.col("id") % 3 == 0, F.lit(common)).otherwise((F.col("id") % 11).cast("double"))
+    df = spark.range(900).select(F.col("id").alias("pos"), value.alias("v"))
+    got = ordering.with_position(df, ["v", "pos"], slices=16).collect()
+    want = sorted(got, key=lambda r: (r["v"] is not None, r["v"] or 0, r["pos"]))
+    assert [r["position"] for r in want] == list(range(900))
+    parts = df.withColumns({f"s{i}": c for i, c in enumerate(ordering._number_slices(df, ["v", "pos"], 16))})
+    assert parts.groupBy("s0", "s1").count().agg(F.max("count")).first()[0] < 150
+
+
+def test_large_whole_numbers_that_share_a_double(spark):
+    df = spark.range(64).select((F.lit(2**60) + F.col("id")).alias("pos"), (-F.col("id")).alias("other"))
+    got = ordering.with_position(df, ["pos", "other"], slices=4).orderBy("pos").collect()
+    assert [r["position"] for r in got] == list(range(64))
+
+
 def test_hashed_order_positions(spark):
     df = spark.range(500).withColumn("h", draw_hash(1, F.col("id")))
     got = ordering.with_position(df, ["h", "id"]).orderBy("h", "id").collect()
