@@ -1,6 +1,7 @@
 """Deep caption cleaning.
 
-The steps are regular expressions that run in the JVM. Only three things need Python: turning
+The steps are regular expressions that run in the JVM, most of them only on texts that show a sign
+of what they look for. Only three things need Python: turning
 markup into text, resolving named character references and repairing mis-decoded text. They share
 two small Arrow functions, which receive NULL for every caption that cannot need them.
 
@@ -12,6 +13,8 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -52,6 +55,7 @@ PUNCTUATION = [
     (r"[#®•©™&@·º½¾¿¡§~)(\]\[}{|\\/*]+", " "),
     (r"\s+\.\s+", " "),
 ]
+FILE_WORDS = ["png", "jpg", "jpeg", "bmp", "webp", "eps", "pdf", "apk", "mp4"]
 SHOP_AND_ID_WORDS = [
     (r"\b[a-zA-Z]{1,3}\d{3,15}\b", ""),
     (r"\b[a-zA-Z]+\d+[a-zA-Z]+\b", ""),
@@ -85,9 +89,26 @@ def _sub_all(text: Column, steps: list[tuple[str, str]], unicode: bool = True) -
     return text
 
 
+def _where(text: Column, needs: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """Apply a costly change only to texts that show what it looks for.
+
+    The lambda binds the text once, however often the test and the change read it.
+    """
+    bound = F.transform(F.array(text), lambda t: F.when(needs(t), change(t)).otherwise(t))
+    return F.get(bound, F.lit(0))
+
+
+def _has(*words: str) -> Callable[[Column], Column]:
+    return lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in words])
+
+
+def _finds(pattern: str) -> Callable[[Column], Column]:
+    return lambda t: t.rlike(_U + pattern)
+
+
 def unquote_plus(text: Column) -> Column:
     """Decode percent escapes and plus signs; a stray ``%`` stays as it is."""
-    return F.url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
+    return _where(text, _has("%", "+"), lambda t: F.url_decode(F.regexp_replace(t, "%(?![0-9A-Fa-f]{2})", "%25")))
 
 
 def unquote_and_lower(text: Column) -> Column:
@@ -95,7 +116,8 @@ def unquote_and_lower(text: Column) -> Column:
 
 
 def drop_urls(text: Column) -> Column:
-    return _sub_all(text, [(p, "") for p in URL_PATTERNS])
+    hint = r"https?:|www:|\.(?:co|ru|net|org|edu|gov|it)"
+    return _where(text, _finds(hint), lambda t: _sub_all(t, [(p, "") for p in URL_PATTERNS]))
 
 
 class _TextOnly(HTMLParser):
@@ -163,7 +185,7 @@ def fix_text(text: Column) -> Column:
 
 
 def drop_nicknames(text: Column) -> Column:
-    return _sub(text, NICKNAME, "")
+    return _where(text, _has("@"), lambda t: _sub(t, NICKNAME, ""))
 
 
 def drop_cjk(text: Column) -> Column:
@@ -177,14 +199,16 @@ def unify_dashes_and_quotes(text: Column) -> Column:
 
 
 def drop_residue(text: Column) -> Column:
-    text = _sub_all(text, ENTITY_RESIDUE)
-    text = _sub(text, IP_ADDRESS, " ")
-    text = _sub(text, ARTICLE_TIME, "")
+    text = _where(text, _has("&"), lambda t: _sub_all(t, ENTITY_RESIDUE))
+    text = _where(text, _finds(r"\d[.:]\d"), lambda t: _sub_all(t, [(IP_ADDRESS, " "), (ARTICLE_TIME, "")]))
     return F.replace(text, F.lit("\\n"), F.lit(" "))  # a written-out line feed: backslash, n
 
 
 def drop_numbers_and_files(text: Column) -> Column:
-    return _sub_all(text, NUMBERS_AND_FILES)
+    hashed, numbers, files = NUMBERS_AND_FILES[:2], NUMBERS_AND_FILES[2:3], NUMBERS_AND_FILES[3:]
+    text = _where(text, _has("#"), lambda t: _sub_all(t, hashed))
+    text = _where(text, _finds(r"\d{6}"), lambda t: _sub_all(t, numbers))
+    return _where(text, _has(*[f".{e}" for e in FILE_WORDS]), lambda t: _sub_all(t, files))
 
 
 def calm_punctuation(text: Column) -> Column:
@@ -193,16 +217,24 @@ def calm_punctuation(text: Column) -> Column:
 
 def split_slug(text: Column) -> Column:
     """More than three hyphens or underscores: they are word separators."""
-    count = F.length(text) - F.length(F.translate(text, "-_", ""))
-    return F.when(count > 3, F.translate(text, "-_", "  ")).otherwise(text)
+    many = lambda t: F.length(t) - F.length(F.translate(t, "-_", "")) > 3
+    return _where(text, many, lambda t: F.translate(t, "-_", "  "))
 
 
 def drop_shop_words(text: Column) -> Column:
-    return _sub_all(text, SHOP_AND_ID_WORDS)
+    steps = SHOP_AND_ID_WORDS
+    digit = _finds(r"\d")
+    text = _where(text, digit, lambda t: _sub_all(t, steps[:3]))
+    text = _where(text, _has("shipping"), lambda t: _sub_all(t, steps[3:4]))
+    text = _where(text, _has("download"), lambda t: _sub_all(t, steps[4:5]))
+    text = _where(text, _has("click"), lambda t: _sub_all(t, steps[5:6]))
+    text = _where(text, _has(*FILE_WORDS), lambda t: _sub_all(t, steps[6:7]))
+    return _where(text, digit, lambda t: _sub_all(t, steps[7:]))
 
 
 def tidy_edges(text: Column) -> Column:
-    return strip(_sub_all(text, SPACING_AND_EDGES))
+    text = _where(text, _has(":"), lambda t: _sub_all(t, SPACING_AND_EDGES[:1]))
+    return strip(_sub_all(text, SPACING_AND_EDGES[1:]))
 
 
 # The recipe in its order.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,23 +50,23 @@ def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) ->
     )
     sliced = _long(clean, columns).withColumn("_slice", slice_no)
 
-    # columns x slices rows from here on, until the values come back in.
-    by_column = Window.partitionBy("column")
-    running = by_column.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = sliced.groupBy("column", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.select(
-        "column",
-        "_slice",
-        (F.sum("_n").over(running) - F.col("_n")).alias("_first"),
-        F.sum("_n").over(running).alias("_end"),
-        F.sum("_n").over(by_column).alias("_total"),
+    # At most columns x slices rows: the driver finds the slices that hold a wanted rank. A point
+    # falls between the values of rank floor(h) and ceil(h).
+    sizes = sliced.groupBy("column", "_slice").agg(F.count(F.lit(1)).alias("n")).collect()
+    totals, firsts, rows = {}, {}, []
+    for r in sizes:
+        totals[r["column"]] = totals.get(r["column"], 0) + r["n"]
+    for r in sorted(sizes, key=lambda r: (r["column"], r["_slice"])):
+        first = firsts.get(r["column"], 0)
+        firsts[r["column"]] = first + r["n"]
+        for p in points:
+            h = p * (totals[r["column"]] - 1)
+            for rank in {math.floor(h), math.ceil(h)}:
+                if first <= rank < first + r["n"]:
+                    rows.append((r["column"], r["_slice"], first, float(p), h, rank))
+    wanted = df.sparkSession.createDataFrame(
+        rows, "column string, _slice int, _first bigint, point double, _h double, _rank bigint"
     )
-    # A point falls between the values of rank floor(h) and ceil(h).
-    point = F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("point")
-    wanted = sizes.select("*", point).withColumn("_h", F.col("point") * (F.col("_total") - 1))
-    wanted = wanted.select("*", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_rank"))
-    wanted = wanted.filter("_rank >= _first AND _rank < _end").select("column", "_slice", "_first", "point", "_h", "_rank")
-    wanted = wanted.distinct()
 
     counts = (
         sliced.join(F.broadcast(wanted.select("column", "_slice").distinct()), ["column", "_slice"], "left_semi")
