@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from framesift.checks.registry import query
 from framesift.checks.sqltext import draw
-from framesift.operators.ordering import dedup_path
 from framesift.plans import curation, hooks
 
 

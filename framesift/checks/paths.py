@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from framesift.checks.registry import query
 from framesift.functions import paths
-from framesift.operators import joins, media
+from framesift.operators import media
 from framesift.sources import listing
 
 _STEM = "regexp_replace(split_part(path, '/', -1), '^(.+)\\.[^.]*$', '\\1')"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framesift.functions.aspect import PIXELS, sizes
 from framesift.functions.rng import draw_hash, uniform
-from framesift.operators.ordering import with_position
+from framesift.operators.ordering import first_in_group, with_position
 from framesift.session import compute_once, materialise
 
 BUCKET = ["res", "t", "ar"]
@@ -224,16 +224,9 @@ def in_bucket(df: DataFrame) -> DataFrame:
 
 
 def cap_per_bucket(df: DataFrame, config: Config, limit: int = 200, frame_interval: int = 1, order_by: str = "pos") -> DataFrame:
-    """The first ``limit`` rows of every bucket, each level being accepted for sure.
-
-    Map tasks trim each bucket to ``limit`` rows before the shuffle while the limit stays under
-    Spark's window group limit (1000); above that, positions spread a bucket over many tasks.
-    """
+    """The first ``limit`` rows of every bucket, each level being accepted for sure."""
     placed = in_bucket(assign_bucket(df, all_certain(config), frame_interval, key=order_by))
-    if limit < 1000:
-        window = Window.partitionBy(*BUCKET).orderBy(order_by)
-        return placed.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") <= limit).drop("_rn")
-    return with_position(placed, order_by, BUCKET, name="_at").filter(F.col("_at") < limit).drop("_at")
+    return first_in_group(placed, BUCKET, order_by, limit).drop("rank_in_group")
 
 
 def bucket_counts(bucketed: DataFrame, config: Config) -> DataFrame:
@@ -311,15 +304,11 @@ def _even_out(rows: DataFrame, plan: _Plan, order_by: str, drop_last: bool) -> D
     """Make every bucket's size a multiple of its batch size.
 
     Either the last rows go, or the first rows appear once more (``_copy`` 1). Both concern fewer
-    rows than one batch per bucket, found with a per-task limit and bounded for the broadcast.
+    rows than one batch per bucket, which bounds the broadcast.
     """
-    order = F.col(order_by).desc() if drop_last else F.col(order_by).asc()
-    edge = (
-        rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*BUCKET).orderBy(order)))
-        .filter(F.col("_rn") < plan.max_batch)
-        .join(plan.table("_rest", "_spare"), BUCKET)
-        .filter("_rn <= _rest" if drop_last else "_rn <= _spare")
-    )
+    edge = first_in_group(rows, BUCKET, order_by, plan.max_batch - 1, descending=drop_last)
+    edge = edge.join(plan.table("_rest", "_spare"), BUCKET)
+    edge = edge.filter("rank_in_group <= _rest" if drop_last else "rank_in_group <= _spare")
     rows = rows.withColumn("_copy", F.lit(0))
     if drop_last:
         return rows.join(F.broadcast(edge.select(*BUCKET, order_by)), [*BUCKET, order_by], "left_anti")

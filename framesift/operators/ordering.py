@@ -131,7 +131,8 @@ def with_position(
         digits = F.conv(F.substring(lead, 1, _HASH_DIGITS), 16, 10).cast("bigint")
         parts = [F.floor(digits * slices / (16**_HASH_DIGITS))]
     slice_columns = [f"_slice{i}" for i in range(len(parts))]
-    sliced = df.withColumns({c: p.cast("int") for c, p in zip(slice_columns, parts)})
+    # Never NULL, or the join below would evaluate each slice once more to filter on it.
+    sliced = df.withColumns({c: F.coalesce(p.cast("int"), F.lit(0)) for c, p in zip(slice_columns, parts)})
 
     keys = [*group_by, *slice_columns]
     sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
@@ -149,6 +150,28 @@ def with_position(
     )
 
 
+# Up to this limit Spark trims every map task's rows per group before the shuffle.
+GROUP_LIMIT = 1000
+
+
+def first_in_group(
+    df: DataFrame, group_by: Sequence[str], order_by: str, limit: int, descending: bool = False
+) -> DataFrame:
+    """The first (or last) ``limit`` rows of each group by a unique number, ranked from 1 in ``rank_in_group``.
+
+    Small limits are trimmed in the map tasks; larger ones use positions, which spread a group over
+    many tasks.
+    """
+    if limit < GROUP_LIMIT:
+        order = F.col(order_by).desc() if descending else F.col(order_by).asc()
+        ranked = df.withColumn("rank_in_group", F.row_number().over(Window.partitionBy(*group_by).orderBy(order)))
+    else:
+        keyed = df.withColumn("_lead", -F.col(order_by) if descending else F.col(order_by))
+        placed = with_position(keyed, "_lead", group_by, name="_at").drop("_lead")
+        ranked = placed.withColumn("rank_in_group", F.col("_at") + 1).drop("_at")
+    return ranked.filter(F.col("rank_in_group") <= limit)
+
+
 def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key in the given order; NULL keys count as equal.
 

@@ -46,7 +46,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float]) ->
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     bounds = clean.agg(*[F.percentile_approx(c, marks, 10000).alias(c) for c in columns]).first()
     slice_no = F.coalesce(
-        *[F.when(F.col("column") == c, search_slice(F.col("value"), sorted(set(bounds[c] or [])))) for c in columns]
+        *[F.when(F.col("column") == c, search_slice(F.col("value"), sorted(set(bounds[c] or [])))) for c in columns],
+        F.lit(0),
     )
     sliced = _long(clean, columns).withColumn("_slice", slice_no)
 

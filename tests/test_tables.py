@@ -214,7 +214,9 @@ def test_frames_round_trip(spark, rows):
     df = spark.createDataFrame([("a", [3, 1, 2], [1.0, 2.0, 3.0])], "path string, x array<int>, y array<double>")
     long = nested.explode_frames(df, ["path"], ["x", "y"])
     assert long.count() == 3
-    assert rows(nested.implode_frames(long.repartition(3), ["path"], ["x", "y"])) == [("a", [3, 1, 2], [1.0, 2.0, 3.0])]
+    assert rows(nested.implode_frames(long.repartition(3), ["path"], ["x", "y"])) == [("a", 0, [3, 1, 2], [1.0, 2.0, 3.0])]
+    parts = nested.implode_frames(long, ["path"], ["x"], chunk=2)
+    assert rows(parts) == [("a", 0, [3, 1]), ("a", 1, [2])]
 
 
 @pytest.mark.parametrize("bad", ['a{"x": 1}', 'a{"reference_path": "b"}{', "a{broken"])
