@@ -107,7 +107,11 @@ def t6a(t):
     return _documents(t, cleaning.unquote_and_lower(F.url_encode("text")))
 
 
-@query("T6b_drop_urls")
+# None of these texts holds an '@', so the look-ahead that spares mail hosts never bites.
+_URLS = [(p.replace("(?!@)", ""), "") for p in cleaning.URL_PATTERNS]
+
+
+@query("T6b_drop_urls", f"SELECT page_id, {_chain("'see ' || url || ' now'", _URLS)} AS text FROM pages")
 def t6b(t):
     pages = t.pages.select("page_id", F.concat(F.lit("see "), "url", F.lit(" now")).alias("text"))
     return pages.select("page_id", cleaning.drop_urls(F.col("text")).alias("text"))
@@ -191,6 +195,27 @@ def t6m(t):
     return _documents(t, cleaning.tidy_edges(_ascii()))
 
 
+def _clean_once_sql(text: str) -> str:
+    """The recipe for plain ASCII captions without markup or percent escapes."""
+    text = f"lower(trim(replace({text}, '+', ' '), chr(9) || chr(10) || ' '))"
+    text = _chain(text, [*_URLS, (cleaning.NICKNAME, ""), ("-+", "-"), *_RESIDUE, *cleaning.NUMBERS_AND_FILES, *cleaning.PUNCTUATION])
+    slug = f"list_transform([{text}], lambda x: CASE WHEN length(x) - length(translate(x, '-_', '')) > 3 THEN translate(x, '-_', '  ') ELSE x END)[1]"
+    steps = [(p.replace("[xх×]", "x"), r) for p, r in cleaning.SHOP_AND_ID_WORDS] + cleaning.SPACING_AND_EDGES
+    return f"trim({_chain(_TRIM.format(x=slug), steps)})"
+
+
+_PLAIN = "regexp_replace(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'), '[<>%`]', '', 'g')"
+
+
+@query(
+    "T6_clean_caption_ascii",
+    f"SELECT doc_id, {_clean_once_sql('text')} AS text FROM (SELECT doc_id, {_clean_once_sql('text')} AS text FROM (SELECT doc_id, {_PLAIN} AS text FROM documents))",
+)
+def t6_ascii(t):
+    plain = F.regexp_replace(_ascii(), "[<>%`]", "")
+    return ops.clean_caption(t.documents.select("doc_id", plain.alias("text")))
+
+
 @query("T6_clean_caption")
 def t6(t):
     return ops.clean_caption(t.documents.select("doc_id", "text"))

@@ -40,7 +40,18 @@ def e3(t):
     return ev.metric_total(_frames(t), 4).select(F.round("total", 6).alias("total"))
 
 
-@query("E4_ssim")
+_SSIM = """WITH f AS (SELECT vec_id // 3 AS frame, flatten(list(CAST(embedding AS DOUBLE[]) ORDER BY vec_id)) AS a FROM embeddings GROUP BY 1 HAVING count(*) = 3),
+  pair AS (SELECT x.frame, x.a, y.a AS b FROM f x JOIN f y ON y.frame = x.frame + 1),
+  g AS (SELECT k, exp(-((k - 5) * (k - 5)) / 4.5::DOUBLE) AS w FROM unnest(range(11)) AS r(k)),
+  n AS (SELECT k, w / (SELECT sum(w) FROM g) AS w FROM g),
+  px AS (SELECT frame, i, j, u.w * v.w AS w, a[(i + u.k) * 16 + j + v.k + 1] AS p, b[(i + u.k) * 16 + j + v.k + 1] AS q
+         FROM pair, unnest(range(2)) AS ri(i), unnest(range(6)) AS rj(j), n u, n v),
+  m AS (SELECT frame, sum(w * p) AS mp, sum(w * q) AS mq, sum(w * p * p) AS pp, sum(w * q * q) AS qq, sum(w * p * q) AS pq FROM px GROUP BY frame, i, j)
+  SELECT frame, round(avg((2 * mp * mq + 0.0001::DOUBLE) * (2 * (pq - mp * mq) + 0.0009::DOUBLE)
+    / ((mp * mp + mq * mq + 0.0001::DOUBLE) * (pp - mp * mp + qq - mq * mq + 0.0009::DOUBLE))), 6) AS ssim FROM m GROUP BY frame"""
+
+
+@query("E4_ssim", _SSIM)
 def e4(t):
     """Frames of 12 x 16 pixels from three vectors each."""
     frames = t.embeddings.groupBy(F.floor(F.col("vec_id") / 3).alias("frame")).agg(
@@ -48,7 +59,7 @@ def e4(t):
     ).filter("size(a) = 192")
     other = frames.select((F.col("frame") - 1).alias("frame"), F.col("a").alias("b"))
     shaped = frames.join(other, "frame").withColumns({"channels": F.lit(1), "height": F.lit(12), "width": F.lit(16)})
-    return ev.ssim(shaped, ["frame"])
+    return ev.ssim(shaped, ["frame"]).withColumn("ssim", F.round("ssim", 6))
 
 
 def _card_rows(card, key: str) -> str:

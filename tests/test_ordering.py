@@ -127,3 +127,14 @@ def test_draws_are_uniform_and_repeatable(spark, method):
 def test_slice_counts_from_the_end(spark):
     df = spark.range(10).withColumnRenamed("id", "pos")
     assert [r["pos"] for r in ordering.slice_rows(df, -3, None).orderBy("pos").collect()] == [7, 8, 9]
+
+
+@pytest.mark.parametrize("limit", [3, 1200])
+@pytest.mark.parametrize("descending", [True, False])
+def test_first_in_group(spark, limit, descending):
+    df = spark.range(4000).select(F.col("id").alias("pos"), (F.col("id") % 3 == 0).cast("int").alias("g"))
+    got = ordering.first_in_group(df, ["g"], "pos", limit, descending).collect()
+    for g in (0, 1):
+        mine = sorted((r["rank_in_group"], r["pos"]) for r in got if r["g"] == g)
+        want = sorted((i for i in range(4000) if (i % 3 == 0) == bool(g)), reverse=descending)[:limit]
+        assert mine == [(i + 1, p) for i, p in enumerate(want)]
