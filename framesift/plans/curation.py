@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from framesift.functions import captions as text_fn
 from framesift.functions import paths as path_fn
@@ -160,6 +161,8 @@ def _sharded(df: DataFrame, active: dict, ctx: Context) -> DataFrame:
     elif ctx.sorted:
         # One sort column with the row key behind it: the rank of a row decides its shard.
         name = active.get("sort") or active.get("sort_ascending")
+        if not isinstance(df.schema[name].dataType, NumericType):
+            raise ValueError(f"sharding a sorted table needs a numeric sort column, not {name}")
         value = F.coalesce(F.col(name).cast("double"), F.lit(float("-inf") if active.get("sort") else float("inf")))
         df = df.withColumn("_v", -value if active.get("sort") else value)
         df = ordering.shard(df, active["shard"], ["_v", ctx.key]).drop("_v")

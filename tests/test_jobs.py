@@ -54,6 +54,8 @@ def test_bad_requests(table):
         curation.curate(table, sort="aes", sort_ascending="aes")
     with pytest.raises(ValueError):
         curation.curate(table.drop("aes"), aesmin=1.0)
+    with pytest.raises(ValueError):
+        curation.curate(table, sort="path", shard=2)
 
 
 def test_shuffle_is_repeatable(table):
