@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from framesift.functions.paths import is_image
 from framesift.schema import present, require
 
+# Fixed value: what a captioning job writes where it failed.
+FAILED_CAPTION = "error occured during captioning"
+
 
 def remove_url(df: DataFrame) -> DataFrame:
     """Drop captions holding a URL; NULL captions stay."""
@@ -72,7 +75,7 @@ def videos_only(df: DataFrame) -> DataFrame:
     return require(df, "path").filter(~is_image(F.col("path")))
 
 
-def drop_failed_captions(df: DataFrame, sentinel: str = "pllava_failed") -> DataFrame:
+def drop_failed_captions(df: DataFrame, sentinel: str = FAILED_CAPTION) -> DataFrame:
     return require(df, "text").filter(~F.coalesce(F.col("text") == sentinel, F.lit(False)))
 
 
