@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import mixing
+from framesift.llm import mixing, topk, url_filters
 from framesift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,62 @@ def query(name: str, sql: str | None = None):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query(
+    "op1_exact_top_k",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.c, v.c)::BIGINT AS score
+          FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+        SELECT * FROM ranked WHERE rank <= 5""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(rows, rows.filter(F.col("vec_id") % 50 == 0))
+
+
+# The list and the fetch dates of the query come from the pages: hosts, domains and first folders are
+# listed, allowed and taken off again on days given by their digests.
+_LIST_SQL = """WITH captures AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 366 AS INT) AS fetched_on FROM pages),
+    parsed AS (SELECT url, regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS host, regexp_extract(url, '^[A-Za-z]+://[^/?#]*/([^/?#]+)', 1) AS folder FROM pages WHERE url IS NOT NULL),
+    names AS (SELECT host AS key, 'host' AS kind FROM parsed
+      UNION SELECT regexp_extract(host, '([^.]+[.][^.]+)$', 1), 'domain' FROM parsed
+      UNION SELECT concat(host, '/', folder), 'folder' FROM parsed WHERE folder <> ''),
+    dated AS (SELECT key, kind, DIGIT(1) AS a, DIGIT(3) AS b, DIGIT(5) AS c, DIGIT(7) AS d FROM names WHERE key <> ''),
+    entries AS (SELECT key, 'block' AS action, DATE '2024-01-01' + a AS dated FROM dated WHERE kind = 'host' AND c < 160 OR kind = 'domain' AND c < 64 OR kind = 'folder' AND c < 40
+      UNION ALL SELECT key, 'allow', DATE '2024-01-01' + (a + b % 64) FROM dated WHERE kind <> 'domain' AND d < 128
+      UNION ALL SELECT key, 'end', DATE '2024-01-01' + (a + b) FROM dated WHERE d % 2 = 0)"""
+
+
+def _list_sql(digit: str) -> str:
+    return re.sub(r"DIGIT\((\d)\)", lambda m: digit.replace("{at}", m[1]), _LIST_SQL)
+
+
+_SPARK_DIGIT = "CAST(conv(substr(md5(key), {at}, 2), 16, 10) AS INT)"
+_DUCK_DIGIT = "CAST(CAST('0x' || substr(md5(key), {at}, 2) AS BIGINT) AS INT)"
+
+
+@query(
+    "op3_url_filters",
+    _list_sql(_DUCK_DIGIT)
+    + r""", strongest AS (SELECT key, dated, max(CASE action WHEN 'end' THEN 1 WHEN 'allow' THEN 2 ELSE 3 END) AS s FROM entries GROUP BY ALL),
+    spans AS (SELECT key, CASE s WHEN 1 THEN 'end' WHEN 2 THEN 'allow' ELSE 'block' END AS action, dated AS valid_from, lead(dated) OVER (PARTITION BY key ORDER BY dated) AS valid_to FROM strongest),
+    asked AS (SELECT DISTINCT url, fetched_on FROM captures),
+    split AS (SELECT url, fetched_on, regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS host,
+      list_filter(string_split(regexp_extract(url, '^[A-Za-z]+://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS parts FROM asked),
+    keyed AS (SELECT url, fetched_on, unnest(list_concat(
+        list_transform(range(1, len(string_split(host, '.'))), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+        list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[1:i], '/')))) AS key FROM split),
+    hits AS (SELECT url, fetched_on, k.key, action, valid_from, row_number() OVER (PARTITION BY url, fetched_on ORDER BY length(k.key) DESC) AS place
+      FROM keyed k JOIN spans s ON k.key = s.key AND action <> 'end' AND valid_from <= fetched_on AND (valid_to IS NULL OR fetched_on < valid_to))
+    SELECT page_id, c.url, c.fetched_on, coalesce(h.action, 'none') <> 'block' AS kept, h.key AS matched_key, h.action AS matched_action, h.valid_from AS matched_from
+    FROM captures c LEFT JOIN hits h ON c.url = h.url AND c.fetched_on = h.fetched_on AND place = 1""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    said = _list_sql(_SPARK_DIGIT).replace("FROM pages", "FROM {pages}")
+    captures = spark.sql(said + " SELECT * FROM captures", pages=pages)
+    entries = spark.sql(said + " SELECT key, action, dated FROM entries", pages=pages)
+    return url_filters.judge(captures, entries)
