@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import mixing, topk, url_filters
+from framesift.llm import jaccard_join, mixing, topk, url_filters
 from framesift.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = spark.sql(said + " SELECT * FROM captures", pages=pages)
     entries = spark.sql(said + " SELECT key, action, dated FROM entries", pages=pages)
     return url_filters.judge(captures, entries)
+
+
+@query(
+    "op9_ngram_jaccard_join",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+          ELSE list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')) END) AS g FROM w),
+        e AS (SELECT doc_id, len(g) AS n, unnest(g) AS token FROM s),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM e a JOIN e b ON a.token = b.token AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n GROUP BY 1, 2),
+        links AS (SELECT a, b FROM shared WHERE 100 * i >= 90 * (na + nb - i)),
+        reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.to_id = l.a)
+        SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY 1) USING (doc_id)""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
