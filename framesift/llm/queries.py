@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import jaccard_join, mixing, topk, url_filters
-from framesift.llm.common import table
+from framesift.llm import compression_quality, jaccard_join, mixing, topk, url_filters
+from framesift.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = compression_quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = compression_quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
