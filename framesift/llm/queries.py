@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, jaccard_join, mixing, topk, url_filters
+from framesift.llm import compression_quality, jaccard_join, mixing, pieces, topk, url_filters
 from framesift.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = compression_quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = compression_quality.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES).select("doc_id", "n_ids", "ids", "restored")
