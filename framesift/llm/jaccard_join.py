@@ -6,9 +6,10 @@ whole sets compared. All orders put common tokens last, so shared passages do no
 among tokens of one class of frequency each order is an own permutation.
 
 Texts with equal sets are one node from the start. Links are sought in two rounds: first every node is
-compared with two nodes of the groups that share its leading tokens, which joins most large groups of
-copies in linear work; then all remaining pairs between different components are sought through every
-prefix token. Nothing is lost: pairs inside a component cannot change the components.
+compared with two nodes of the groups that share its leading tokens under two orders, which joins most
+large groups of copies in linear work; then all remaining pairs between different components are sought
+through every prefix token of every order. Nothing is lost: pairs inside a component cannot change the
+components.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from framesift.session import materialise
 
 GRAM = 3
 PERCENT = 90
-ORDERS = 3
+ORDERS = 2
+LEADS = 4
+BROADCAST_ROWS = 100_000
 COUNTERS = 1 << 20
 FAN_IN = 64
 
@@ -82,20 +85,20 @@ def frequency_classes(docs: DataFrame, text: str = "text", gram: int = GRAM) ->
     return np.clip(np.floor(np.log2(np.maximum(loads, 1.0) / mean)), 0, 63).astype(np.uint8)
 
 
-def prefixes(tokens: np.ndarray, classes: np.ndarray, percent: int, orders: int) -> list[np.ndarray]:
-    """The tokens of which a similar set must hold one, first in each order, the leading one first."""
+def _places(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
+    """Places of tokens in one global order: by class, then by a permutation of its own."""
+    level = classes[tokens & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(56)
+    return level | (mix64(tokens ^ np.uint64(0xA24BAED4963EE407 * (order + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(8))
+
+
+def prefix(tokens: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens of an order, of which every similar set must hold one.
+
+    Up to and including the last place, so that equal places are all in or all out.
+    """
     n = len(tokens)
-    if n == 0:
-        return [tokens] * orders
     size = n - -(-percent * n // 100) + 1
-    level = classes[tokens & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(56)
-    out = []
-    for k in range(orders):
-        place = level | (mix64(tokens ^ np.uint64(0xA24BAED4963EE407 * (k + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(8))
-        # Up to and including the last place, so that equal places are all in or all out.
-        chosen = np.flatnonzero(place <= np.partition(place, size - 1)[size - 1])
-        out.append(tokens[chosen[np.argsort(place[chosen], kind="stable")]])
-    return out
+    return tokens[places <= np.partition(places, size - 1)[size - 1]] if n else tokens
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -113,16 +116,22 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
         memo = WordHashes()
         for batch in batches:
-            sizes, digests, parts = [], [], [[] for _ in range(orders)]
+            sizes, digests, leads, parts = [], [], [], [[] for _ in range(orders)]
             for value in texts(batch, text):
                 tokens = shingle_set(plain_words(value), memo, gram)
                 sizes.append(len(tokens))
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                for into, tokens_first in zip(parts, prefixes(tokens, classes, percent, orders)):
-                    into.append(tokens_first)
+                first = []
+                for k in range(max(orders, LEADS)):
+                    places = _places(tokens, classes, k)
+                    if k < orders:
+                        parts[k].append(prefix(tokens, places, percent))
+                    if k < LEADS:
+                        first.append(int(tokens[places.argmin()].view(np.int64)) if len(tokens) else 0)
+                leads.append(first)
             ids = batch.column(batch.schema.get_field_index(key))
-            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *[_lists(p) for p in parts]]
-            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", *[f"p{k}" for k in range(orders)]])
+            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "leads", *[f"p{k}" for k in range(orders)]])
 
     return sign
 
@@ -164,48 +173,55 @@ class JaccardJoin:
         self.docs = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         packed = zlib.compress(frequency_classes(self.docs, "_text", gram).tobytes(), 1)
         lists = ", ".join(f"p{k} array<bigint>" for k in range(orders))
-        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, {lists}")
+        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, leads array<bigint>, {lists}")
         self.signed = materialise(signed, "signed")
-        named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
-        first = named.groupBy("digest").agg(F.min(F.struct("_key", "n", *[f"p{k}" for k in range(orders)])).alias("s"))
-        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", *[f"s.p{k}" for k in range(orders)]), "nodes")
+        self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
+        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
+        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
 
     def _sizes_fit(self, x: str, y: str):
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
 
     def links(self, candidates: DataFrame) -> DataFrame:
-        """Those of the candidate pairs (a, b) that share a prefix token in every order and whose whole
-        sets are similar enough."""
-        pairs = candidates.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        firsts = [f"p{k}" for k in range(self.orders)]
-        side = lambda end: self.nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), *[F.col(p).alias(f"{p}_{end}") for p in firsts])
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(self._sizes_fit("n_a", "n_b"))
-        for p in firsts:
-            near = near.filter(F.arrays_overlap(f"{p}_a", f"{p}_b"))
-        near = materialise(near.select("a", "b").distinct(), "candidates")
-        wanted = near.select(F.col("a").alias("_key")).union(near.select(F.col("b").alias("_key"))).distinct()
-        sets = materialise(self.docs.join(wanted, "_key", "left_semi").mapInArrow(_sets("_key", "_text", self.gram), "node bigint, tokens array<bigint>"), "sets")
+        """Those of the candidate pairs (a, b) whose whole sets are similar enough.
+
+        The sets of the documents in question are made again from their texts. Their ids are broadcast
+        while they are few; beyond that the texts are shuffled to them.
+        """
+        near = materialise(candidates, "candidates")
+        wanted = materialise(near.select(F.col("a").alias("_key")).union(near.select(F.col("b").alias("_key"))).distinct(), "wanted")
+        if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        sets = self.docs.join(wanted, "_key", "left_semi").mapInArrow(_sets("_key", "_text", self.gram), "node bigint, tokens array<bigint>")
+        sets = materialise(sets, "sets")
         whole = near.join(sets.withColumnsRenamed({"node": "a", "tokens": "left"}), "a").join(sets.withColumnsRenamed({"node": "b", "tokens": "right"}), "b")
         found = whole.select("a", "b", "left", "right").mapInArrow(_verify(self.percent), "a bigint, b bigint")
         return materialise(found, "found")
 
     def leading_candidates(self) -> DataFrame:
-        """Each node with the smallest and the largest of those with the same leading token, per order."""
-        leads = self.nodes.select("node", "n", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.element_at(f"p{k}", 1).alias("token")) for k in range(self.orders)])).alias("l")).select("node", "n", "l.k", "l.token")
-        ends = leads.groupBy("k", "token").agg(F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high")).filter("low.node <> high.node")
-        starred = leads.join(ends, ["k", "token"])
-        pair = lambda end: starred.filter(self._sizes_fit("n", f"{end}.n")).select(F.col("node").alias("a"), F.col(f"{end}.node").alias("b"))
-        return pair("low").union(pair("high"))
+        """Each node with the smallest and the largest of those with its leading tokens under two orders."""
+        neighbours = [(k, k + 1) for k in range(LEADS - 1)]
+        keys = F.array(*[F.xxhash64(F.lit(j), f"l{j}", f"l{k}") for j, k in neighbours])
+        leads = self.nodes.select("node", "n", F.explode(keys).alias("lead"))
+        ends = leads.groupBy("lead").agg(F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high")).filter("low.node <> high.node")
+        starred = leads.join(ends, "lead")
+        pair = lambda end: starred.filter(self._sizes_fit("n", f"{end}.n") & (F.col("node") != F.col(f"{end}.node"))).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
+        return pair("low").union(pair("high")).distinct()
 
     def remaining_candidates(self, grouped: DataFrame) -> DataFrame:
-        """All pairs of different components that share a prefix token of the first order."""
+        """All pairs of different components that share a prefix token under every order."""
         part = F.coalesce(F.col("component"), F.col("node")).alias("part")
-        tokens = self.nodes.join(grouped, "node", "left").select("node", "n", part, F.explode("p0").alias("token"))
-        mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
-        shared = materialise(tokens.join(mixed, "token", "left_semi"), "shared")
-        other = shared.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-        mine = shared.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-        return mine.join(other, "token").filter((F.col("part_a") < F.col("part_b")) & self._sizes_fit("n_a", "n_b")).select("a", "b").distinct()
+        placed = materialise(self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.col("node").alias("_key"), part), "placed")
+        common = None
+        for k in range(self.orders):
+            tokens = self.named.select("digest", "_key", "n", f"p{k}").join(placed, ["digest", "_key"]).select("_key", "n", "part", F.explode(f"p{k}").alias("token"))
+            mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
+            shared = materialise(tokens.join(mixed, "token", "left_semi"), "shared")
+            mine = shared.select("token", F.col("_key").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+            other = shared.select("token", F.col("_key").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
+            pairs = mine.join(other, "token").filter((F.col("part_a") < F.col("part_b")) & self._sizes_fit("n_a", "n_b")).select("a", "b").distinct()
+            common = pairs if common is None else common.join(pairs, ["a", "b"], "left_semi")
+        return common
 
     def groups(self) -> DataFrame:
         """(_key, n, component) per document."""
