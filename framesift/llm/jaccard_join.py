@@ -101,6 +101,37 @@ def prefix(tokens: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
     return tokens[places <= np.partition(places, size - 1)[size - 1]] if n else tokens
 
 
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """A bit per hash slot, set where it got an odd number of tokens; a power of two, twice the tokens
+    or more. Two sets differ in at least as many tokens as their bits do."""
+    slots = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
+    counts = np.bincount((mix64(tokens) & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits(counts & 1).tobytes()
+
+
+def bits_allow(x: bytes, y: bytes, size_x: int, size_y: int, percent: int) -> bool:
+    """Whether sets of these bits and sizes can be similar enough."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    differing = int(np.bitwise_count(a ^ b).sum())
+    # Similarity s of sets of together t tokens means (1 - s) / (1 + s) * t differing ones at most.
+    return (100 + percent) * differing <= (100 - percent) * (size_x + size_y)
+
+
+def _bit_filter(percent: int):
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b, x, y = batch.columns
+            rows = zip(n_a.to_pylist(), n_b.to_pylist(), x.to_pylist(), y.to_pylist())
+            keep = pa.array([bits_allow(p, q, n, m, percent) for n, m, p, q in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+
+    return allowed
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays).astype(np.uint64).view(np.int64) if arrays else np.empty(0, np.int64)
@@ -116,11 +147,12 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
         memo = WordHashes()
         for batch in batches:
-            sizes, digests, leads, parts = [], [], [], [[] for _ in range(orders)]
+            sizes, digests, bits, leads, parts = [], [], [], [], [[] for _ in range(orders)]
             for value in texts(batch, text):
                 tokens = shingle_set(plain_words(value), memo, gram)
                 sizes.append(len(tokens))
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
+                bits.append(parity_bits(tokens))
                 first = []
                 for k in range(max(orders, LEADS)):
                     places = _places(tokens, classes, k)
@@ -130,8 +162,8 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
                         first.append(int(tokens[places.argmin()].view(np.int64)) if len(tokens) else 0)
                 leads.append(first)
             ids = batch.column(batch.schema.get_field_index(key))
-            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
-            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "leads", *[f"p{k}" for k in range(orders)]])
+            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "leads", *[f"p{k}" for k in range(orders)]])
 
     return sign
 
@@ -173,11 +205,11 @@ class JaccardJoin:
         self.docs = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         packed = zlib.compress(frequency_classes(self.docs, "_text", gram).tobytes(), 1)
         lists = ", ".join(f"p{k} array<bigint>" for k in range(orders))
-        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, leads array<bigint>, {lists}")
+        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, leads array<bigint>, {lists}")
         self.signed = materialise(signed, "signed")
         self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
-        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
-        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
+        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
+        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
 
     def _sizes_fit(self, x: str, y: str):
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
@@ -185,10 +217,13 @@ class JaccardJoin:
     def links(self, candidates: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b) whose whole sets are similar enough.
 
+        Parity bits rule out most pairs that are merely alike before whole sets move.
         The sets of the documents in question are made again from their texts. Their ids are broadcast
         while they are few; beyond that the texts are shuffled to them.
         """
-        near = materialise(candidates, "candidates")
+        side = lambda end: self.nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+        known = candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        near = materialise(known.mapInArrow(_bit_filter(self.percent), "a bigint, b bigint"), "candidates")
         wanted = materialise(near.select(F.col("a").alias("_key")).union(near.select(F.col("b").alias("_key"))).distinct(), "wanted")
         if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
