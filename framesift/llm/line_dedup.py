@@ -19,7 +19,6 @@ SHORTEST = 20
 BROADCAST_ROWS = 100_000
 
 _BLANK = " \t\r\x0b\f"
-_ORDER = ["_last", "_id", "_h", "_pos"]
 
 
 def segments(length: int | Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -67,8 +66,8 @@ def letter_parities(line: Column) -> Column:
     An insertion or deletion changes one bit at most and a substitution two, so lines within ``t``
     edits differ in at most ``2 * t`` bits.
     """
-    whole = F.char_length(line)
-    bits = [F.shiftleft(((whole - F.char_length(F.replace(line, F.lit(chr(97 + k))))) % 2).cast("bigint"), k) for k in range(26)]
+    whole = F.octet_length(line)
+    bits = [F.shiftleft(((whole - F.octet_length(F.replace(line, F.lit(chr(97 + k))))) % 2).cast("bigint"), k) for k in range(26)]
     out = bits[0]
     for b in bits[1:]:
         out = out.bitwiseOR(b)
@@ -144,36 +143,41 @@ def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
 def _lines(docs: DataFrame, shortest: int) -> DataFrame:
     """One row per line with a word, with the class of its text: two hashes of it, and for a short line
     of its document as well."""
-    split = docs.select("_id", "_h", F.posexplode(F.split("_text", "\n")).alias("_pos", "_raw"))
-    trimmed = split.select("_id", "_h", "_pos", F.btrim("_raw", F.lit(_BLANK)).alias("_line")).filter(F.col("_line") != "")
-    sized = trimmed.withColumn("_n", F.char_length("_line"))
+    # Trimmed and measured before they are exploded, else every use of a line would do it again.
+    trimmed = F.transform(F.transform(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(_BLANK))), lambda x: F.struct(x.alias("line"), F.char_length(x).alias("n")))
+    sized = docs.select("_id", "_h", F.posexplode(trimmed).alias("_pos", "_l")).select("_id", "_h", "_pos", F.col("_l.line").alias("_line"), F.col("_l.n").alias("_n")).filter(F.col("_n") > 0)
     home = F.when(F.col("_n") < shortest, F.xxhash64("_id", "_h"))
     return sized.select("*", F.xxhash64("_line", home).alias("_c1"), F.xxhash64(F.lit(7), "_line", home).alias("_c2"))
 
 
-def _reference(line: Column) -> Column:
-    """64 bits that stand for a line in the edit join: its letter parities, then a hash."""
-    return F.shiftleft(letter_parities(line), 38).bitwiseOR(F.xxhash64(F.lit(11), line).bitwiseAND(F.lit((1 << 38) - 1)))
-
-
 def _bounded(df: DataFrame) -> DataFrame:
     """A written table, marked for broadcast only while it has few rows."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def near_lines(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
-    """Pairs of line classes (a1, a2, b1, b2) within the threshold, of lines of ``shortest`` or more."""
-    long_lines = lines.filter(F.col("_n") >= shortest).select("_line", "_n", "_c1", "_c2", _reference(F.col("_line")).alias("_ref"))
-    line, length = F.col("_line"), F.col("_n")
-    indexed = long_lines.select("_ref", F.explode(F.array(*index_keys(line, length, threshold))).alias("_key")).withColumnRenamed("_ref", "_a").distinct()
-    probing = long_lines.select("_ref", F.explode(F.array_compact(F.array(*probe_keys(line, length, threshold)))).alias("_key")).withColumnRenamed("_ref", "_b").distinct()
-    alike = F.bit_count(F.shiftright(F.col("_a").bitwiseXOR(F.col("_b")), 38).bitwiseAND(F.lit((1 << 26) - 1))) <= 2 * threshold
-    pairs = indexed.join(probing, "_key").filter((F.col("_a") != F.col("_b")) & alike).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-    pairs = materialise(pairs, "line-pairs")
-    wanted = materialise(pairs.select(F.col("_a").alias("_ref")).union(pairs.select(F.col("_b").alias("_ref"))).distinct(), "line-refs")
-    texts = materialise(long_lines.join(_bounded(wanted), "_ref", "left_semi").select("_ref", "_line", "_c1", "_c2").distinct(), "line-texts")
-    side = lambda s: texts.select(F.col("_ref").alias(f"_{s}"), F.col("_line").alias(f"{s}_line"), F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"))
-    both = pairs.join(side("a"), "_a").join(side("b"), "_b")
+def near_lines(lines: DataFrame, keyed: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of line classes (a1, a2, b1, b2) within the threshold.
+
+    ``keyed`` holds ``_index`` and ``_probe`` of each line that takes part. A semi join first finds the
+    keys that two different lines share, which are few; only their lines are looked up again, and only
+    pairs whose letters allow the threshold come out of the join.
+    """
+    own = keyed.filter(F.col("_index").isNotNull())
+    indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
+    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b"))
+    met = materialise(indexed.join(probing, (indexed["_key"] == probing["_key"]) & (F.col("_a") != F.col("_b")), "left_semi").select("_key").distinct(), "line-keys")
+    met = _bounded(met)
+    sided = lambda keys: own.select("_c1", "_c2", F.explode(keys).alias("_key")).join(met, "_key", "left_semi").distinct()
+    shared = materialise(sided("_index").withColumn("_own", F.lit(True)).union(sided("_probe").withColumn("_own", F.lit(False))), "line-shared")
+    wanted = materialise(shared.select("_c1", "_c2").distinct(), "line-wanted")
+    texts = lines.select("_c1", "_c2", "_line").join(_bounded(wanted), ["_c1", "_c2"], "left_semi").dropDuplicates(["_c1", "_c2"])
+    texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))), "line-texts")
+    lettered = shared.join(texts.select("_c1", "_c2", "_letters"), ["_c1", "_c2"])
+    end = lambda s, is_own: lettered.filter(F.col("_own") == is_own).select("_key", F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_letters").alias(f"{s}_letters"))
+    alike = (F.col("a1") != F.col("b1")) & (F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2 * threshold)
+    pairs = materialise(end("a", True).join(end("b", False), "_key").filter(alike).select("a1", "a2", "b1", "b2").distinct(), "line-pairs")
+    named = lambda s: texts.select(F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_line").alias(f"{s}_line"))
+    both = pairs.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"])
     return both.filter(edit_distance(F.col("a_line"), F.col("b_line"), threshold) <= threshold).select("a1", "a2", "b1", "b2")
 
 
@@ -195,16 +199,20 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     keyed = base.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text"))
     lines = _lines(keyed, shortest)
     order = F.struct(F.col("_id").isNull().alias("_last"), "_id", "_h", "_pos")
-    places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2"), "lines")
+    line, size = F.col("_line"), F.col("_n")
+    whole = F.when(size >= shortest, F.array(*index_keys(line, size, threshold))).alias("_index")
+    parts = F.when(size >= shortest, F.array_compact(F.array(*probe_keys(line, size, threshold)))).alias("_probe")
+    # One pass over the texts: who stands where, and the keys of the edit join.
+    places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
     first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final")), "line-classes")
-    near = near_lines(lines, threshold, shortest)
+    near = near_lines(lines, places, threshold)
     firsts = lambda s: first.select(F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_first").alias(f"{s}_first"))
     judged = near.join(firsts("a"), ["a1", "a2"]).join(firsts("b"), ["b1", "b2"])
     later = F.col("a_first") > F.col("b_first")
     gone = judged.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("_c1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("_c2")).distinct().withColumn("_near", F.lit(True))
     marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")
     marked = materialise(marked, "line-marks")
-    removed = places.join(_bounded(marked), ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
+    removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(_bounded(marked), ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
     repeated = F.coalesce(order != F.col("_first"), F.lit(False))
     per_doc = removed.groupBy("_id", "_h").agg(
         F.collect_set("_pos").alias("_gone"), F.countDistinct(F.when(repeated, F.col("_pos"))).alias("_exact")

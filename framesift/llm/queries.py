@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, jaccard_join, mixing, pieces, topk, url_filters
+from framesift.llm import compression_quality, jaccard_join, line_dedup, mixing, pieces, topk, url_filters
 from framesift.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,25 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 @query("op2_sentencepiece")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES).select("doc_id", "n_ids", "ids", "restored")
+
+
+@query(
+    "op7_line_dedup",
+    r"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+        raw AS (SELECT doc_id, unnest(parts) AS raw, unnest(range(len(parts))) AS pos FROM split),
+        lines AS (SELECT doc_id, pos, raw, trim(raw, E' \t\r\x0b\x0c') AS line FROM raw),
+        classes AS (SELECT *, CASE WHEN length(line) < 20 THEN doc_id END AS home FROM lines WHERE line <> ''),
+        firsts AS (SELECT line, home, min((doc_id, pos)) AS first FROM classes GROUP BY ALL),
+        long AS (SELECT line, first FROM firsts WHERE length(line) >= 20),
+        near AS (SELECT DISTINCT b.line FROM long a JOIN long b ON a.first < b.first AND abs(length(a.line) - length(b.line)) <= 2
+          AND (left(a.line, 6) = left(b.line, 6) OR right(a.line, 6) = right(b.line, 6) OR position(substr(a.line, length(a.line) // 2 - 3, 6) IN b.line) > 0) AND levenshtein(a.line, b.line) <= 2),
+        judged AS (SELECT c.doc_id, c.pos, (c.doc_id, c.pos) > f.first AS repeated, n.line IS NOT NULL AS close
+          FROM classes c JOIN firsts f ON c.line = f.line AND c.home IS NOT DISTINCT FROM f.home LEFT JOIN near n ON n.line = c.line AND c.home IS NULL),
+        texts AS (SELECT l.doc_id, coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (NOT coalesce(repeated OR close, false)), '') AS text,
+            count(j.pos)::INT AS n_lines, (count(*) FILTER (repeated))::INT AS n_repeated, (count(*) FILTER (close AND NOT repeated))::INT AS n_near
+          FROM lines l LEFT JOIN judged j USING (doc_id, pos) GROUP BY 1)
+        SELECT d.doc_id, t.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_repeated, 0) AS n_repeated, coalesce(n_near, 0) AS n_near
+        FROM documents d LEFT JOIN texts t USING (doc_id)""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
