@@ -164,7 +164,7 @@ def near_lines(lines: DataFrame, keyed: DataFrame, threshold: int) -> DataFrame:
     """
     own = keyed.filter(F.col("_index").isNotNull())
     indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
-    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b"))
+    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b")).filter(F.col("_key").isNotNull())
     met = materialise(indexed.join(probing, (indexed["_key"] == probing["_key"]) & (F.col("_a") != F.col("_b")), "left_semi").select("_key").distinct(), "line-keys")
     met = _bounded(met)
     sided = lambda keys: own.select("_c1", "_c2", F.explode(keys).alias("_key")).join(met, "_key", "left_semi").distinct()
@@ -201,7 +201,7 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     order = F.struct(F.col("_id").isNull().alias("_last"), "_id", "_h", "_pos")
     line, size = F.col("_line"), F.col("_n")
     whole = F.when(size >= shortest, F.array(*index_keys(line, size, threshold))).alias("_index")
-    parts = F.when(size >= shortest, F.array_compact(F.array(*probe_keys(line, size, threshold)))).alias("_probe")
+    parts = F.when(size >= shortest, F.array(*probe_keys(line, size, threshold))).alias("_probe")
     # One pass over the texts: who stands where, and the keys of the edit join.
     places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
     first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final")), "line-classes")
