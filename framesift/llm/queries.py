@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, jaccard_join, line_dedup, mixing, pieces, topk, url_filters
+from framesift.llm import compression_quality, decision_rules, jaccard_join, line_dedup, mixing, pieces, topk, url_filters
 from framesift.llm.common import held_out, table
+from framesift.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +161,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = materialise(decision_rules.statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "statistics")
+    judged = decision_rules.judge(stats, decision_rules.learn(stats, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
