@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, decision_rules, jaccard_join, line_dedup, mixing, pieces, topk, url_filters
+from framesift.llm import compression_quality, decision_rules, jaccard_join, line_dedup, mixing, pieces, pii, topk, url_filters
 from framesift.llm.common import held_out, table
 from framesift.session import materialise
 
@@ -168,3 +168,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = materialise(decision_rules.statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "statistics")
     judged = decision_rules.judge(stats, decision_rules.learn(stats, table(spark, sf_dir, "labels")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four counts are of base matches, as is the digest; ``n_added`` counts what the field added."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs)).drop("text")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("pii", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+        (F.size("pii") - F.size(base)).cast("bigint").alias("n_added"),
+    )
