@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, decision_rules, jaccard_join, line_dedup, mixing, pieces, pii, topk, url_filters
+from framesift.llm import compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, pieces, pii, topk, url_filters
 from framesift.llm.common import held_out, table
 from framesift.session import materialise
 
@@ -185,3 +185,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(F.col("pii")).alias("spans"),
         (F.size("pii") - F.size(base)).cast("bigint").alias("n_added"),
     )
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    percent = lambda m: F.round(100 * m["coverage"]).cast("int")
+    listed = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["template"], m["start"], m["end"], percent(m)))
+    return found.select("doc_id", F.size("licenses").cast("bigint").alias("n_matches"), F.array_join(listed, ",").alias("matches"))
