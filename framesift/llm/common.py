@@ -93,3 +93,8 @@ def plain_words(text: str) -> list[bytes]:
 
 def quoted(name: str) -> str:
     return "`" + re.sub("`", "``", name) + "`"
+
+
+def has_words(text: Column) -> Column:
+    """Whether a text holds anything but ASCII white space."""
+    return F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

@@ -124,7 +124,7 @@ class TemplateIndex:
         out = []
         for template, found in diagonals.items():
             size, wanted = len(self.templates[template][2]), self.templates[template][3]
-            slack = max(4, size // 8)
+            slack = max(2, size // 8)
             # A gap between diagonals, or a place of the template seen again, begins another occurrence.
             group, seen = [], set()
             for hit_at in [*sorted(found), None]:
