@@ -159,6 +159,8 @@ def _counts(rows: DataFrame, grid: dict[str, list[float]]) -> dict[str, list[tup
         return F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: t <= value))
 
     cells = [F.struct(F.lit(name).alias("feature"), cell(value, grid[name]).alias("cell")) for name, value in features().items() if grid[name]]
+    if not cells:
+        return {}
     found = rows.select("_bad", F.explode(F.array(*cells)).alias("c")).groupBy("c.feature", "c.cell").agg(F.count_if(F.col("_bad")).alias("bad"), F.count_if(~F.col("_bad")).alias("good"))
     out = {name: [(0, 0)] * (len(grid[name]) + 1) for name in FEATURES}
     for r in found.collect():  # features times cells at most
