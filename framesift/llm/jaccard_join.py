@@ -30,6 +30,7 @@ PERCENT = 90
 ORDERS = 2
 LEADS = 4
 BROADCAST_ROWS = 100_000
+SKETCH_WORDS = 8
 COUNTERS = 1 << 20
 FAN_IN = 64
 
@@ -109,6 +110,12 @@ def parity_bits(tokens: np.ndarray) -> bytes:
     return np.packbits(counts & 1).tobytes()
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits of a fixed number of slots, as 64-bit words that a join can compare."""
+    counts = np.bincount((mix64(tokens) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS)
+    return np.packbits(counts & 1).view(np.int64)
+
+
 def bits_allow(x: bytes, y: bytes, size_x: int, size_y: int, percent: int) -> bool:
     """Whether sets of these bits and sizes can be similar enough."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -147,12 +154,13 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
         memo = WordHashes()
         for batch in batches:
-            sizes, digests, bits, leads, parts = [], [], [], [], [[] for _ in range(orders)]
+            sizes, digests, bits, sketches, leads, parts = [], [], [], [], [], [[] for _ in range(orders)]
             for value in texts(batch, text):
                 tokens = shingle_set(plain_words(value), memo, gram)
                 sizes.append(len(tokens))
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 bits.append(parity_bits(tokens))
+                sketches.append(sketch(tokens))
                 first = []
                 for k in range(max(orders, LEADS)):
                     places = _places(tokens, classes, k)
@@ -162,8 +170,8 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
                         first.append(int(tokens[places.argmin()].view(np.int64)) if len(tokens) else 0)
                 leads.append(first)
             ids = batch.column(batch.schema.get_field_index(key))
-            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
-            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "leads", *[f"p{k}" for k in range(orders)]])
+            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "sketch", "leads", *[f"p{k}" for k in range(orders)]])
 
     return sign
 
@@ -205,11 +213,11 @@ class JaccardJoin:
         self.docs = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         packed = zlib.compress(frequency_classes(self.docs, "_text", gram).tobytes(), 1)
         lists = ", ".join(f"p{k} array<bigint>" for k in range(orders))
-        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, leads array<bigint>, {lists}")
+        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, sketch array<bigint>, leads array<bigint>, {lists}")
         self.signed = materialise(signed, "signed")
         self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
-        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
-        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
+        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", "sketch", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
+        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
 
     def _sizes_fit(self, x: str, y: str):
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
@@ -244,7 +252,11 @@ class JaccardJoin:
         return pair("low").union(pair("high")).distinct()
 
     def remaining_candidates(self, grouped: DataFrame) -> DataFrame:
-        """All pairs of different components that share a prefix token under every order."""
+        """All pairs of different components that share a prefix token under every order.
+
+        Sketches of parity bits are compared inside the join, so that of large groups of texts that are
+        merely alike hardly a pair comes out of it.
+        """
         part = F.coalesce(F.col("component"), F.col("node")).alias("part")
         placed = materialise(self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.col("node").alias("_key"), part), "placed")
         common = None
@@ -252,9 +264,14 @@ class JaccardJoin:
             tokens = self.named.select("digest", "_key", "n", f"p{k}").join(placed, ["digest", "_key"]).select("_key", "n", "part", F.explode(f"p{k}").alias("token"))
             mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
             shared = materialise(tokens.join(mixed, "token", "left_semi"), "shared")
-            mine = shared.select("token", F.col("_key").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-            other = shared.select("token", F.col("_key").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-            pairs = mine.join(other, "token").filter((F.col("part_a") < F.col("part_b")) & self._sizes_fit("n_a", "n_b")).select("a", "b").distinct()
+            words = self.nodes.select(F.col("node").alias("_key"), *[F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)])
+            end = lambda e: shared.join(words, "_key").select("token", *[F.col(c).alias(f"{c}_{e}") for c in ("_key", "n", "part", *words.columns[1:])])
+            differing = F.lit(0)
+            for j in range(SKETCH_WORDS):
+                differing = differing + F.bit_count(F.col(f"s{j}_a").bitwiseXOR(F.col(f"s{j}_b")))
+            alike = (100 + self.percent) * differing <= (100 - self.percent) * (F.col("n_a") + F.col("n_b"))
+            met = end("a").join(end("b"), "token").filter((F.col("part_a") < F.col("part_b")) & self._sizes_fit("n_a", "n_b") & alike)
+            pairs = met.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b")).distinct()
             common = pairs if common is None else common.join(pairs, ["a", "b"], "left_semi")
         return common
 
