@@ -56,7 +56,7 @@ def jobs(t: Tables, big: DataFrame, cores: int) -> dict:
         "bucket_stats": lambda: buckets.bucket_stats(buckets.assign_bucket(big, CONFIG, rng="xxhash64"), CONFIG),
         "plan_batches": plan,
         "shard": lambda: ordering.shard(big, 64, UNIQUE),
-        "shuffle_positions": lambda: ordering.with_position(big.withColumn("h", draw_hash(1, F.concat_ws("|", *UNIQUE))), ["h", *UNIQUE]),
+        "shuffle_positions": lambda: ordering.with_position(big.withColumn("h", draw_hash(1, F.concat_ws("|", *UNIQUE))), ["h", *UNIQUE], digest=True),
         "histogram": lambda: profile.histogram(big, ["num_frames", "height", "aes"]),
         "describe": lambda: profile.describe(big, ["num_frames", "height", "aes"]),
         "video_motion": lambda: scores.video_motion(

@@ -50,7 +50,7 @@ def o4(t):
     from framesift.functions.rng import draw_hash
 
     hashed = t.media.select("pos", draw_hash(42, F.col("pos")).alias("h"))
-    return ordering.with_position(hashed, ["h", "pos"], name="place").select("place", "pos")
+    return ordering.with_position(hashed, ["h", "pos"], name="place", digest=True).select("place", "pos")
 
 
 @query("O4_shuffle_head", f"SELECT pos, path FROM media ORDER BY {draw(42, 'pos')}, pos LIMIT 100")

@@ -84,13 +84,35 @@ def a6(t):
     """WITH g AS (SELECT path, list(num_frames * 0.25::DOUBLE ORDER BY pos) AS a, list(num_frames * 0.5::DOUBLE ORDER BY pos) AS b,
            arg_min(text, pos) FILTER (WHERE text IS NOT NULL) AS text, arg_min(height, pos) FILTER (WHERE height IS NOT NULL) AS height,
            arg_min(fps, pos) FILTER (WHERE fps IS NOT NULL) AS fps, count(*) AS n FROM media GROUP BY path)
-       SELECT path, CAST(0 AS INT) AS part, CAST(i AS INT) AS place,
+       SELECT path, CAST(i AS INT) AS place,
          CASE i % 3 WHEN 0 THEN a[i // 3 + 1] WHEN 1 THEN b[i // 3 + 1] ELSE 10.0 END AS point, text, height, fps
        FROM g, unnest(range(n * 3)) AS r(i)""",
 )
 def a7(t):
     out = profile.frames_grouped(t.media, [0.25, 0.5, 10], ["text", "height", "fps"])
-    return out.select("path", "part", F.posexplode("points").alias("place", "point"), "text", "height", "fps")
+    return out.select("path", F.posexplode("points").alias("place", "point"), "text", "height", "fps")
+
+
+@query(
+    "A7_frames_grouped_large",
+    """WITH rows AS (SELECT concat(l_returnflag, l_linestatus) AS path, l_orderkey * 8 + l_linenumber AS pos, CAST(l_quantity AS INT) AS num_frames FROM lineitem)
+       SELECT path, count(*) * 2 AS n, list_sum(list(num_frames * 0.5::DOUBLE ORDER BY pos)[1:2000]) + 2000 * 3.0::DOUBLE AS head FROM rows GROUP BY path HAVING count(*) >= 2000""",
+)
+def a7_large(t):
+    """Few paths with very many rows: one row per path all the same."""
+    rows = t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("path"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"), F.col("l_quantity").cast("int").alias("num_frames"))
+    out = profile.frames_grouped(rows, [0.5, 3], [])
+    head = F.aggregate(F.slice("points", 1, 4000), F.lit(0.0), lambda a, x: a + x)
+    return out.filter(F.size("points") >= 4000).select("path", F.size("points").cast("bigint").alias("n"), head.alias("head"))
+
+
+@query(
+    "A7_frames_long",
+    """WITH placed AS (SELECT path, num_frames, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS at FROM media)
+       SELECT path, at * 2 + k AS place, CASE k WHEN 0 THEN num_frames * 0.5::DOUBLE ELSE 3.0::DOUBLE END AS point FROM placed, unnest(range(2)) AS r(k)""",
+)
+def a7_long(t):
+    return profile.frames_long(t.media, [0.5, 3])
 
 
 @query(

@@ -319,7 +319,7 @@ def _place_in_bucket(rows: DataFrame, plan: _Plan, order_by: str, shuffle: bool,
     """Position ``_j`` of each row in its bucket."""
     if shuffle:
         hashed = rows.withColumn("_h", draw_hash(seed, F.col(order_by), F.col("_copy").cast("string")))
-        return with_position(hashed, ["_h", order_by, "_copy"], BUCKET, name="_j").drop("_h")
+        return with_position(hashed, ["_h", order_by, "_copy"], BUCKET, name="_j", digest=True).drop("_h")
     own = with_position(rows.filter("_copy = 0"), order_by, BUCKET, name="_j")
     window = Window.partitionBy(*BUCKET).orderBy(order_by)  # fewer rows than a batch
     copies = rows.filter("_copy = 1").withColumn("_n", F.row_number().over(window))
@@ -334,9 +334,9 @@ def _place_batches(batches: DataFrame, plan: _Plan, shuffle: bool, seed: int) ->
             *BUCKET, "_k", (F.col("_before") + F.col("_k")).alias("_p")
         )
     hashed = batches.withColumn("_h", draw_hash(seed, F.concat_ws("/", *BUCKET, "_k")))
-    placed = materialise(with_position(hashed, ["_h", *BUCKET, "_k"], name="_p"), "batch-order")
+    placed = materialise(with_position(hashed, ["_h", *BUCKET, "_k"], name="_p", digest=True), "batch-order")
     # The i-th visit to a bucket takes its i-th micro-batch, whichever pair was drawn there.
-    return with_position(placed.drop("_k"), ["_h", "_p"], BUCKET, name="_k").drop("_h")
+    return with_position(placed.drop("_k"), ["_h", "_p"], BUCKET, name="_k", digest=True).drop("_h")
 
 
 def plan_batches(

@@ -120,17 +120,11 @@ def explode_frames(df: DataFrame, key: Sequence[str], arrays: Sequence[str]) ->
     return df.select(*key, zipped).select(*key, "frame_idx", *[F.col(f"_v.{a}").alias(a) for a in arrays])
 
 
-def implode_frames(
-    df: DataFrame, key: Sequence[str], values: Sequence[str], index: str = "frame_idx", chunk: int = 1024
-) -> DataFrame:
-    """The inverse: arrays per key, ordered by frame index.
-
-    Frames ``n * chunk`` and up go to ``part`` n, so no array holds more than ``chunk`` frames.
-    """
-    part = F.floor(F.col(index) / chunk).cast("int").alias("part")
-    packed = df.groupBy(*key, part).agg(F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))
+def implode_frames(df: DataFrame, key: Sequence[str], values: Sequence[str], index: str = "frame_idx") -> DataFrame:
+    """The inverse: one row per key with arrays ordered by frame index, however many frames there are."""
+    packed = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))
     # Extracting a field from an array of structs gives the array of that field.
-    return packed.select(*key, "part", *[F.col("_rows").getField(v).alias(v) for v in values])
+    return packed.select(*key, *[F.col("_rows").getField(v).alias(v) for v in values])
 
 
 def all_exist(df: DataFrame, listing: DataFrame, key: str, paths: str) -> DataFrame:

@@ -63,49 +63,89 @@ def range_bounds(df: DataFrame, key: str, slices: int) -> list[float]:
     return sorted(set(row["b"] or []))
 
 
-def _numeric(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.NumericType)
+# Bytes of a text that are read as a number: as many as a double holds exactly.
+_TEXT_BYTES = 6
+_FEW_MARKS = 8
+
+
+def _texts(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
+def _number(df: DataFrame, column: str, skip: int = 0) -> Column:
+    """A number that never decreases along the order of a column; equal numbers may hide an order.
+
+    Texts count by the bytes after the first ``skip`` ones, which all of them share.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return value.cast("int").cast("double")
+    if isinstance(kind, T.StringType):
+        digits = F.substring(F.hex(F.encode(value, "UTF-8")), 2 * skip + 1, 2 * _TEXT_BYTES)
+        return F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+    raise ValueError(f"cannot place rows by {column} of type {kind.simpleString()}")
+
+
+def _shared_bytes(low: str | None, high: str | None) -> int:
+    """Leading bytes that the least and the greatest text share, and so all between them."""
+    a, b = (low or "").encode(), (high or "").encode()
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def _spread(marks: list[float], wanted: int) -> list[float]:
+    """About so many of the marks, evenly taken."""
+    step = max(1, len(marks) // max(wanted, 1))
+    return sorted(set(marks[step - 1 :: step]))
 
 
 def _number_slices(df: DataFrame, order_by: list[str], slices: int) -> list[Column]:
-    """Slice of the leading number, and a finer slice by the next one where a value is very common.
+    """Slice of the leading column, and a finer slice by the next one where a value is very common.
 
-    A value that fills more than one slice, or a missing one, gets a slice of its own, which is cut
-    again along the second order column.
+    Columns with one value in all rows order nothing and are passed over. A value that fills more than
+    one slice, or a missing one, gets slices of its own in proportion to its share, cut along the next
+    column, so their number stays within twice ``slices``.
     """
-    lead, second = order_by[0], order_by[1] if len(order_by) > 1 else None
-    number = F.col(lead).cast("double")
-    facts = df.agg(
-        F.percentile_approx(number, _marks(slices), 10000).alias("marks"),
-        F.count_if(F.col(lead).isNull()).alias("missing"),
+    ends = df.agg(
         F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{name}{k}") for k, c in enumerate(order_by) for name, f in (("low", F.min), ("high", F.max))],
+        *[F.count_if(F.col(c).isNull()).alias(f"missing{k}") for k, c in enumerate(order_by)],
     ).first()
-    marks = facts["marks"] or []
-    common = sorted({b for b in marks if marks.count(b) > 1})
+    varied = [k for k in range(len(order_by)) if ends[f"low{k}"] != ends[f"high{k}"] or 0 < ends[f"missing{k}"] < ends["n"]]
+    if not varied:
+        return [F.lit(0)]
+    numbers = [_number(df, order_by[k], _shared_bytes(ends[f"low{k}"], ends[f"high{k}"]) if _texts(df, order_by[k]) else 0) for k in varied]
+    lead, number = order_by[varied[0]], numbers[0]
+    marks = df.agg(F.percentile_approx(number, _marks(slices), 10000).alias("marks")).first()["marks"] or []
+    missing = round(slices * ends[f"missing{varied[0]}"] / max(ends["n"], 1))
+    common = {b: marks.count(b) for b in marks if marks.count(b) > 1}
     bounds = sorted(set(marks) | {math.nextafter(b, math.inf) for b in common})
     first = F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(search_slice(number, bounds))
-    cut_missing = facts["missing"] * slices > facts["n"]
-    if second is None or not _numeric(df, second) or not (common or cut_missing):
+    shares = {**common, **({None: missing} if missing > 1 else {})}
+    if len(varied) < 2 or not shares:
         return [first]
-    hot = F.coalesce(number.isin(common), F.lit(False)) if common else F.lit(False)
-    if cut_missing:
-        hot = hot | F.col(lead).isNull()
-    # At most one row per slice. Whole numbers beyond 2**53 may share a double: leave those alone.
-    groups = (
-        df.filter(hot)
-        .groupBy(number.alias("v"))
-        .agg(
-            F.percentile_approx(F.col(second).cast("double"), _marks(slices), 10000).alias("marks"),
-            F.min(lead).eqNullSafe(F.max(lead)).alias("same"),
-        )
-        .collect()
-    )
-    finer = F.lit(0)
-    for g in groups:
-        if g["same"] and g["marks"]:
-            here = F.col(lead).isNull() if g["v"] is None else number == g["v"]
-            by_second = search_slice(F.col(second).cast("double"), sorted(set(g["marks"])))
-            finer = F.when(here, F.when(F.col(second).isNull(), F.lit(-1)).otherwise(by_second)).otherwise(finer)
+
+    second, finer = order_by[varied[1]], F.lit(0)
+    for values, count in (
+        ([v for v, m in shares.items() if m * _FEW_MARKS >= slices], slices),  # at most _FEW_MARKS values
+        ([v for v, m in shares.items() if m * _FEW_MARKS < slices], min(_FEW_MARKS, slices)),
+    ):
+        if not values:
+            continue
+        chosen = number.isin([v for v in values if v is not None])
+        chosen = F.coalesce(chosen, F.lit(False)) | (F.col(lead).isNull() if None in values else F.lit(False))
+        # Equal numbers may stand for different texts or very large whole numbers: leave those alone.
+        facts = F.percentile_approx(numbers[1], _marks(count), 10000).alias("marks"), F.min(lead).eqNullSafe(F.max(lead)).alias("same")
+        for g in df.filter(chosen).groupBy(number.alias("v")).agg(*facts).collect():
+            if g["same"] and g["marks"]:
+                here = F.col(lead).isNull() if g["v"] is None else number == g["v"]
+                by_second = search_slice(numbers[1], _spread(g["marks"], shares[g["v"]]))
+                finer = F.when(here, F.when(F.col(second).isNull(), F.lit(-1)).otherwise(by_second)).otherwise(finer)
     return [first, finer]
 
 
@@ -115,38 +155,51 @@ def with_position(
     group_by: str | Sequence[str] = (),
     name: str = "position",
     slices: int | None = None,
+    digest: bool = False,
+    total: str | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in the given order, within its group if any.
 
-    The first order column is numeric or a hexadecimal digest (``draw_hash``); the rest break ties,
-    and together they are unique. Group columns must not be NULL. A group of any size is spread over
-    the slices, so one hot group costs no more than its share.
+    Order columns are numbers, dates, times, flags or texts, missing values first, and together they
+    are unique. With ``digest`` the first one is a hexadecimal digest (``draw_hash``), which needs no
+    look at the data. ``total`` names a column for the number of rows in the group. A missing group
+    value is a group of its own. A group of any size is spread over the slices, so one hot group costs
+    no more than its share. Unless ``digest`` is set, bounds are fetched while the plan is built.
     """
     order_by, group_by = _columns(order_by), _columns(group_by)
-    lead = order_by[0]
     slices = slices or max(slice_count(df.sparkSession), 2)
-    if _numeric(df, lead):
-        parts = _number_slices(df, order_by, slices)
-    else:
-        digits = F.conv(F.substring(lead, 1, _HASH_DIGITS), 16, 10).cast("bigint")
+    if digest:
+        digits = F.conv(F.substring(order_by[0], 1, _HASH_DIGITS), 16, 10).cast("bigint")
         parts = [F.floor(digits * slices / (16**_HASH_DIGITS))]
+    else:
+        parts = _number_slices(df, order_by, slices)
     slice_columns = [f"_slice{i}" for i in range(len(parts))]
     # Never NULL, or the join below would evaluate each slice once more to filter on it.
     sliced = df.withColumns({c: F.coalesce(p.cast("int"), F.lit(0)) for c, p in zip(slice_columns, parts)})
 
     keys = [*group_by, *slice_columns]
     sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    # Ungrouped, this window covers one row per slice; grouped, at most that many per group.
+    # Ungrouped, these windows cover one row per slice; grouped, at most that many per group.
     before = Window.partitionBy(*group_by).orderBy(*slice_columns).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    all_slices = Window.partitionBy(*group_by)
+    offsets = sizes.select(
+        *[F.col(c).alias(f"_of_{c}") for c in keys],
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_size").over(all_slices).alias("_total"),
+    )
     if not group_by:
         offsets = F.broadcast(offsets)  # one row per slice
 
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by]))
+    same = F.lit(True)
+    for c in group_by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    for c in slice_columns:
+        same = same & (F.col(c) == F.col(f"_of_{c}"))
     return (
         sliced.withColumn("_rank", rank)
-        .join(offsets, keys)
-        .select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("bigint").alias(name))
+        .join(offsets, same)
+        .select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("bigint").alias(name), *([F.col("_total").cast("bigint").alias(total)] if total else []))
     )
 
 
@@ -160,7 +213,7 @@ def first_in_group(
     """The first (or last) ``limit`` rows of each group by a unique number, ranked from 1 in ``rank_in_group``.
 
     Small limits are trimmed in the map tasks; larger ones use positions, which spread a group over
-    many tasks.
+    many tasks. Either way gives the same rows.
     """
     if limit < GROUP_LIMIT:
         order = F.col(order_by).desc() if descending else F.col(order_by).asc()
@@ -215,14 +268,9 @@ def topk(df: DataFrame, column: str, k: int, tie: str = "pos") -> DataFrame:
     return df.orderBy(F.col(column).desc_nulls_last(), F.col(tie).asc()).limit(k)
 
 
-def row_count(df: DataFrame) -> Column:
-    """Total rows as a scalar subquery."""
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("n")).scalar()
-
-
 def shard(df: DataFrame, shards: int, order_by: str | Sequence[str] = "pos", name: str = "shard") -> DataFrame:
     """Contiguous shards; the first ``n % shards`` are one row longer."""
-    placed = with_position(df, order_by, name="_at").withColumn("_n", row_count(df))
+    placed = with_position(df, order_by, name="_at", total="_n")
     small = F.floor(F.col("_n") / shards)
     extra = F.col("_n") % shards
     long_rows = extra * (small + 1)
@@ -250,7 +298,7 @@ def split_random(
     labelled NULL.
     """
     hashed = df.withColumn("_h", draw_hash(seed, F.col(key)))
-    placed = with_position(hashed, ["_h", key], name="_at").withColumn("_n", row_count(df))
+    placed = with_position(hashed, ["_h", key], name="_at", digest=True, total="_n")
     n_train = F.floor(F.col("_n") * F.lit(train))
     n_val = F.floor(F.col("_n") * F.lit(val))
     n_test = F.floor(F.col("_n") * F.lit(test))
@@ -301,7 +349,7 @@ def assign_rank_strided(
 
 def assign_rank_blocked(df: DataFrame, ranks: int, order_by: str | Sequence[str] = "pos") -> DataFrame:
     """Contiguous blocks of floor(N / ranks) rows; the last rank takes the rest."""
-    placed = with_position(df, order_by, name="_at").withColumn("_n", row_count(df))
+    placed = with_position(df, order_by, name="_at", total="_n")
     block = F.floor(F.col("_n") / ranks)
     rank = F.when(block == 0, F.lit(ranks - 1)).otherwise(
         F.least(F.floor(F.col("_at") / F.greatest(block, F.lit(1))), F.lit(ranks - 1))
@@ -316,7 +364,7 @@ def assign_buffer_rank(
 
     Buffers beyond a multiple of ``ranks`` and a trailing partial buffer get no rank.
     """
-    placed = with_position(df, order_by, name="_at").withColumn("_n", row_count(df))
+    placed = with_position(df, order_by, name="_at", total="_n")
     per_rank = F.floor(F.floor(F.col("_n") / buffer_length) / ranks)
     buffer = F.floor(F.col("_at") / buffer_length)
     rank = F.when(buffer < per_rank * ranks, F.floor(buffer / F.greatest(per_rank, F.lit(1))))

@@ -163,22 +163,22 @@ def frame_points(points: Sequence[float | int]) -> Column:
     )
 
 
-def frames_grouped(
-    df: DataFrame, points: Sequence[float | int], firsts: Sequence[str], order_by: str = "pos", chunk: int = 1024
-) -> DataFrame:
-    """One row per path with its frame points and the first non-null value of other columns.
+def frames_grouped(df: DataFrame, points: Sequence[float | int], firsts: Sequence[str], order_by: str = "pos") -> DataFrame:
+    """One row per path with its frame points in row order and the first non-null value of other columns.
 
-    Points keep row order. A path with more than ``chunk`` rows continues on further rows
-    (``part`` 1, 2, ...) instead of growing one array without bound.
+    The array of a path holds all its rows; ``frames_long`` is the form without arrays.
     """
     rows = df.filter(F.col("path").isNotNull())
-    placed = with_position(rows.select("path", order_by, "num_frames"), order_by, ["path"], name="_at")
-    first_values = rows.groupBy("path").agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(c) for c in firsts]
-    )
-    entry = F.struct("_at", frame_points(points).alias("pts"))
-    packed = placed.groupBy("path", F.floor(F.col("_at") / chunk).cast("int").alias("part")).agg(
-        F.array_sort(F.collect_list(entry)).alias("_rows")
+    packed = rows.groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct(order_by, frame_points(points).alias("pts")))).alias("_rows"),
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(c) for c in firsts],
     )
-    flat = F.flatten(F.transform("_rows", lambda r: r["pts"])).alias("points")
-    return packed.select("path", "part", flat).join(first_values, "path").orderBy("path", "part")
+    return packed.select("path", F.flatten(F.transform("_rows", lambda r: r["pts"])).alias("points"), *firsts).orderBy("path")
+
+
+def frames_long(df: DataFrame, points: Sequence[float | int], order_by: str = "pos") -> DataFrame:
+    """(path, place, point): the same points one by one, for paths of any number of rows."""
+    rows = df.filter(F.col("path").isNotNull())
+    placed = with_position(rows.select("path", order_by, "num_frames"), order_by, ["path"], name="_at")
+    exploded = placed.select("path", "_at", F.posexplode(frame_points(points)).alias("_k", "point"))
+    return exploded.select("path", (F.col("_at") * len(points) + F.col("_k")).alias("place"), "point")

@@ -52,7 +52,7 @@ def test_large_whole_numbers_that_share_a_double(spark):
 
 def test_hashed_order_positions(spark):
     df = spark.range(500).withColumn("h", draw_hash(1, F.col("id")))
-    got = ordering.with_position(df, ["h", "id"]).orderBy("h", "id").collect()
+    got = ordering.with_position(df, ["h", "id"], digest=True).orderBy("h", "id").collect()
     assert [r["position"] for r in got] == list(range(500))
 
 
@@ -138,3 +138,45 @@ def test_first_in_group(spark, limit, descending):
         mine = sorted((r["rank_in_group"], r["pos"]) for r in got if r["g"] == g)
         want = sorted((i for i in range(4000) if (i % 3 == 0) == bool(g)), reverse=descending)[:limit]
         assert mine == [(i + 1, p) for i, p in enumerate(want)]
+
+
+@pytest.mark.parametrize("limit", [999, 1000])
+def test_first_in_group_keeps_missing_groups(spark, limit):
+    df = spark.range(5000).select(F.col("id").alias("pos"), F.when(F.col("id") % 2 == 0, "g").alias("g"))
+    got = ordering.first_in_group(df, ["g"], "pos", limit)
+    assert {r["g"]: r["count"] for r in got.groupBy("g").count().collect()} == {"g": limit, None: limit}
+
+
+def placed(df, order_by, **options):
+    return [tuple(r) for r in ordering.with_position(df, order_by, **options).orderBy("position").select("position", *order_by).collect()]
+
+
+def test_positions_of_texts_dates_and_flags(spark):
+    df = spark.range(3000).select(
+        F.concat(F.lit("clips/é/"), F.col("id").cast("string")).alias("text"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("day"),
+        (F.col("id") % 2 == 0).alias("flag"),
+        F.lit(7).alias("same"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("lead"),
+    )
+    for order_by in (["text"], ["day", "text"], ["flag", "text"], ["same", "text"], ["lead", "text"]):
+        rows = df.select(*order_by).orderBy(*[F.col(c).asc_nulls_first() for c in order_by]).collect()
+        want = [(i, *r) for i, r in enumerate(rows)]
+        assert placed(df, order_by, slices=16) == want, order_by
+    with pytest.raises(ValueError):
+        ordering.with_position(df.select(F.array("lead").alias("lead")), "lead")
+
+
+def test_slices_follow_the_varied_columns_and_stay_few(spark):
+    df = spark.range(20_000).select(F.lit(0).alias("_src"), F.lit("a.csv").alias("_file"), F.col("id").alias("_row"), (F.col("id") % 100).alias("v"))
+    parts = ordering._number_slices(df, ["_src", "_file", "_row"], 32)
+    assert df.select(*parts).distinct().count() >= 30
+    parts = ordering._number_slices(df, ["v", "_row"], 256)
+    used = df.select(*[p.alias(f"s{i}") for i, p in enumerate(parts)]).groupBy(*[f"s{i}" for i in range(len(parts))]).count()
+    assert used.count() <= 2 * 256 and used.agg(F.max("count")).first()[0] <= 300
+
+
+def test_sharding_reads_its_input_twice_at_most(spark, tmp_path):
+    spark.range(100).withColumnRenamed("id", "pos").write.parquet(str(tmp_path / "t"))
+    plan = ordering.shard(spark.read.parquet(str(tmp_path / "t")), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2

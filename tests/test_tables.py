@@ -104,10 +104,11 @@ def test_histogram_matches_numpy(spark, values):
     assert [got.get(i, 0) for i in range(10)] == counts.tolist()
 
 
-def test_grouped_frames_split_a_hot_path(spark, rows):
-    df = spark.range(25).select(F.col("id").alias("pos"), F.lit("hot").alias("path"), F.lit(10).alias("num_frames"), F.when(F.col("id") > 3, F.col("id").cast("string")).alias("text"))
-    got = profile.frames_grouped(df, [0.5], ["text"], chunk=10).collect()
-    assert [(r["part"], len(r["points"]), r["text"]) for r in got] == [(0, 10, "4"), (1, 10, "4"), (2, 5, "4")]
+def test_grouped_frames_keep_a_hot_path_whole(spark, rows):
+    df = spark.range(2500).select(F.col("id").alias("pos"), F.lit("hot").alias("path"), F.lit(10).alias("num_frames"), F.when(F.col("id") > 3, F.col("id").cast("string")).alias("text"))
+    got = profile.frames_grouped(df, [0.5], ["text"]).collect()
+    assert [(len(r["points"]), r["text"]) for r in got] == [(2500, "4")]
+    assert [r["place"] for r in profile.frames_long(df, [0.5, 2]).orderBy("place").collect()] == list(range(5000))
 
 
 def test_text_boxes(spark, rows):
@@ -214,9 +215,9 @@ def test_frames_round_trip(spark, rows):
     df = spark.createDataFrame([("a", [3, 1, 2], [1.0, 2.0, 3.0])], "path string, x array<int>, y array<double>")
     long = nested.explode_frames(df, ["path"], ["x", "y"])
     assert long.count() == 3
-    assert rows(nested.implode_frames(long.repartition(3), ["path"], ["x", "y"])) == [("a", 0, [3, 1, 2], [1.0, 2.0, 3.0])]
-    parts = nested.implode_frames(long, ["path"], ["x"], chunk=2)
-    assert rows(parts) == [("a", 0, [3, 1]), ("a", 1, [2])]
+    assert rows(nested.implode_frames(long.repartition(3), ["path"], ["x", "y"])) == [("a", [3, 1, 2], [1.0, 2.0, 3.0])]
+    many = spark.range(3000).select(F.lit("a").alias("path"), F.col("id").alias("frame_idx"), F.col("id").alias("x"))
+    assert nested.implode_frames(many.repartition(5), ["path"], ["x"]).first()["x"] == list(range(3000))
 
 
 @pytest.mark.parametrize("bad", ['a{"x": 1}', 'a{"reference_path": "b"}{', "a{broken"])
