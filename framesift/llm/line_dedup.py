@@ -21,43 +21,47 @@ BROADCAST_ROWS = 100_000
 _BLANK = " \t\r\x0b\f"
 
 
-def segments(length: int | Column, threshold: int) -> list[tuple[Column, Column]]:
-    """(start, size) of the ``threshold + 1`` segments of a line of that length; starts count from 1,
-    the later segments take what does not divide."""
+def _keys(line: Column, length: Column, threshold: int, asked: list[tuple[int, int, int]]) -> Column:
+    """Keys of the parts (gap, segment, shift) of a line.
+
+    A line of ``length - gap`` characters has ``threshold + 1`` segments, the later ones take what does
+    not divide; the part lies ``shift`` characters after its segment's place. A part that reaches past
+    an end gives a key of other text, and so at worst a candidate too many. Segment bounds are worked
+    out once a line, so little is left to do per key.
+    """
     parts = threshold + 1
-    length = F.lit(length) if isinstance(length, int) else length
-    size = F.floor(length / parts).cast("int")
-    longer = (length % parts).cast("int")
-    out = []
-    for k in range(parts):
-        extra = F.greatest(longer - (parts - k), F.lit(0))  # longer segments before this one
-        out.append((F.lit(1) + size * k + extra, size + F.when(F.lit(k) >= F.lit(parts) - longer, 1).otherwise(0)))
-    return out
+    bounds = []
+    for gap in range(max(g for g, _, _ in asked) + 1):
+        other = length - gap
+        even, longer = F.call_function("div", other, F.lit(parts)).cast("int"), other % parts
+        bounds += [1 + even * k + F.greatest(longer + (k - parts), F.lit(0)) for k in range(parts + 1)]
+    constants = F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(k).alias("k"), F.lit(s).alias("shift"), F.lit(g * (parts + 1) + k).alias("at")) for g, k, s in asked])
 
+    def key(c: Column, b: Column) -> Column:
+        start = F.get(b, c["at"])
+        return F.xxhash64(length - c["gap"], c["k"], F.substring(line, start + c["shift"], F.get(b, c["at"] + 1) - start))
 
-def _key(length: Column, number: int, part: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), part)
+    return F.element_at(F.transform(F.array(F.array(*bounds)), lambda b: F.transform(constants, lambda c: key(c, b))), 1)
 
 
-def index_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> list[Column]:
-    return [_key(length, k, F.substring(line, start, size)) for k, (start, size) in enumerate(segments(length, threshold))]
+def index_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Column:
+    """Keys of the line's own segments."""
+    return _keys(line, length, threshold, [(0, k, 0) for k in range(threshold + 1)])
 
 
-def probe_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> list[Column]:
+def probe_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Column:
     """Keys under which a line finds every line at most as long that is within the threshold.
 
     Segment ``k`` of a line shorter by ``gap`` can start only where at most ``k`` edits lie left of it
     and at most ``threshold - k`` right of it.
     """
-    out = []
-    for gap in range(threshold + 1):
-        other = length - gap
-        for k, (start, size) in enumerate(segments(other, threshold)):
-            for shift in range(max(-k, gap - (threshold - k)), min(k, gap + (threshold - k)) + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= length) & (size > 0)
-                out.append(F.when(fits, _key(other, k, F.substring(line, at, size))))
-    return out
+    asked = [
+        (gap, k, shift)
+        for gap in range(threshold + 1)
+        for k in range(threshold + 1)
+        for shift in range(max(-k, gap - (threshold - k)), min(k, gap + (threshold - k)) + 1)
+    ]
+    return _keys(line, length, threshold, asked)
 
 
 def letter_parities(line: Column) -> Column:
@@ -77,11 +81,11 @@ def letter_parities(line: Column) -> Column:
 def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     """Edit distance of two texts, or ``threshold + 1`` where it is larger.
 
-    Bit-parallel over a band of ``2 * threshold + 3`` diagonals: one step per character of ``b`` with
+    Bit-parallel over a band of ``2 * threshold + 1`` diagonals: one step per character of ``b`` with
     words of vertical differences. The characters of ``a`` in the band are compared one by one, which
     gives the match word.
     """
-    width = 2 * threshold + 3
+    width = 2 * threshold + 1
     full = (1 << width) - 1
     long = lambda v: F.lit(v).cast("bigint")
     x = F.filter(F.split(a, ""), lambda c: c != "")
@@ -164,7 +168,7 @@ def near_lines(lines: DataFrame, keyed: DataFrame, threshold: int) -> DataFrame:
     """
     own = keyed.filter(F.col("_index").isNotNull())
     indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
-    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b")).filter(F.col("_key").isNotNull())
+    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b"))
     met = materialise(indexed.join(probing, (indexed["_key"] == probing["_key"]) & (F.col("_a") != F.col("_b")), "left_semi").select("_key").distinct(), "line-keys")
     met = _bounded(met)
     sided = lambda keys: own.select("_c1", "_c2", F.explode(keys).alias("_key")).join(met, "_key", "left_semi").distinct()
@@ -200,8 +204,8 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     lines = _lines(keyed, shortest)
     order = F.struct(F.col("_id").isNull().alias("_last"), "_id", "_h", "_pos")
     line, size = F.col("_line"), F.col("_n")
-    whole = F.when(size >= shortest, F.array(*index_keys(line, size, threshold))).alias("_index")
-    parts = F.when(size >= shortest, F.array(*probe_keys(line, size, threshold))).alias("_probe")
+    whole = F.when(size >= shortest, index_keys(line, size, threshold)).alias("_index")
+    parts = F.when(size >= shortest, probe_keys(line, size, threshold)).alias("_probe")
     # One pass over the texts: who stands where, and the keys of the edit join.
     places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
     first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final")), "line-classes")
@@ -212,14 +216,14 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     gone = judged.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("_c1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("_c2")).distinct().withColumn("_near", F.lit(True))
     marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")
     marked = materialise(marked, "line-marks")
-    removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(_bounded(marked), ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
+    removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(marked, ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
     repeated = F.coalesce(order != F.col("_first"), F.lit(False))
     per_doc = removed.groupBy("_id", "_h").agg(
         F.collect_set("_pos").alias("_gone"), F.countDistinct(F.when(repeated, F.col("_pos"))).alias("_exact")
     )
     per_doc = materialise(per_doc, "removed-lines")
     own = F.xxhash64(base[text])
-    joined = base.join(_bounded(per_doc), base[key].eqNullSafe(per_doc["_id"]) & (own == per_doc["_h"]), "left")
+    joined = base.join(per_doc, base[key].eqNullSafe(per_doc["_id"]) & (own == per_doc["_h"]), "left")
     kept = F.array_join(F.filter(F.split(base[text], "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     counted = F.size(F.filter(F.split(base[text], "\n"), lambda x: F.btrim(x, F.lit(_BLANK)) != ""))
     return joined.select(

@@ -150,7 +150,7 @@ def test_edit_distance_and_keys(spark, threshold):
     wrong = pairs.filter(line_dedup.edit_distance(a, b, threshold) != F.least(F.levenshtein(a, b), F.lit(threshold + 1)))
     assert wrong.count() == 0
     near = pairs.filter((F.char_length(a) > threshold) & (F.char_length(b) >= F.char_length(a)) & (F.levenshtein(a, b) <= threshold))
-    shared = F.arrays_overlap(F.array(*line_dedup.index_keys(a, F.char_length(a), threshold)), F.array(*line_dedup.probe_keys(b, F.char_length(b), threshold)))
+    shared = F.arrays_overlap(line_dedup.index_keys(a, F.char_length(a), threshold), line_dedup.probe_keys(b, F.char_length(b), threshold))
     assert near.filter(~F.coalesce(shared, F.lit(False))).count() == 0
     parities = F.bit_count(line_dedup.letter_parities(a).bitwiseXOR(line_dedup.letter_parities(b)))
     assert pairs.filter((F.levenshtein(a, b) <= threshold) & (parities > 2 * threshold)).count() == 0
