@@ -5,9 +5,9 @@ order the tokens are put in. Candidates must share one under each of several ord
 whole sets compared. All orders put common tokens last, so shared passages do not make candidates;
 among tokens of one class of frequency each order is an own permutation.
 
-Texts with equal sets are one node from the start. Links are sought in two rounds: first every node is
-compared with two nodes of the groups that share its leading tokens under two orders, which joins most
-large groups of copies in linear work; then all remaining pairs between different components are sought
+Texts with equal sets are one node from the start. Links are sought in rounds: first every node is
+compared with three nodes of the groups that share its leading tokens, which joins most large groups of
+copies in linear work; then all remaining pairs between different components are sought
 through every prefix token of every order. Nothing is lost: pairs inside a component cannot change the
 components.
 """
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.common import WordHashes, grams, mix64, plain_words, texts
@@ -241,15 +241,34 @@ class JaccardJoin:
         found = whole.select("a", "b", "left", "right").mapInArrow(_verify(self.percent), "a bigint, b bigint")
         return materialise(found, "found")
 
-    def leading_candidates(self) -> DataFrame:
-        """Each node with the smallest and the largest of those with its leading tokens under two orders."""
-        neighbours = [(k, k + 1) for k in range(LEADS - 1)]
-        keys = F.array(*[F.xxhash64(F.lit(j), f"l{j}", f"l{k}") for j, k in neighbours])
-        leads = self.nodes.select("node", "n", F.explode(keys).alias("lead"))
-        ends = leads.groupBy("lead").agg(F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high")).filter("low.node <> high.node")
-        starred = leads.join(ends, "lead")
-        pair = lambda end: starred.filter(self._sizes_fit("n", f"{end}.n") & (F.col("node") != F.col(f"{end}.node"))).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
-        return pair("low").union(pair("high")).distinct()
+    def _parts(self, grouped: DataFrame | None) -> DataFrame:
+        """Nodes with the component each is known to be in."""
+        if grouped is None:
+            return self.nodes.withColumn("part", F.col("node"))
+        return self.nodes.join(grouped, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+
+    def leading_candidates(self, grouped: DataFrame | None = None) -> DataFrame:
+        """Pairs of nodes with common leading tokens: each node with the smallest and the largest of its
+        group, and with the one before it by size.
+
+        At first a group shares its leads under two orders; once components are known, under one, and
+        only pairs between components count. Linear in the nodes, whatever the size of a group.
+        """
+        if grouped is None:
+            keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}", f"l{k + 1}") for k in range(LEADS - 1)])
+        else:
+            keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)])
+        leads = self._parts(grouped).select("node", "n", "part", F.explode(keys).alias("lead"))
+        own = F.struct("n", "node", "part")
+        ends = leads.groupBy("lead").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").drop("p", "q")
+        shared = materialise(leads.join(ends, "lead"), "leads")
+        before = shared.withColumn("before", F.lag(own).over(Window.partitionBy("lead").orderBy("n", "node")))
+
+        def pair(table: DataFrame, end: str) -> DataFrame:
+            apart = (F.col("part") != F.col(f"{end}.part")) & self._sizes_fit("n", f"{end}.n")
+            return table.filter(apart).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
+
+        return pair(shared, "low").union(pair(shared, "high")).union(pair(before, "before")).distinct()
 
     def remaining_candidates(self, grouped: DataFrame) -> DataFrame:
         """All pairs of different components that share a prefix token under every order.
@@ -257,8 +276,7 @@ class JaccardJoin:
         Sketches of parity bits are compared inside the join, so that of large groups of texts that are
         merely alike hardly a pair comes out of it.
         """
-        part = F.coalesce(F.col("component"), F.col("node")).alias("part")
-        placed = materialise(self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.col("node").alias("_key"), part), "placed")
+        placed = materialise(self._parts(grouped).select("digest", F.col("node").alias("_key"), "part"), "placed")
         common = None
         for k in range(self.orders):
             tokens = self.named.select("digest", "_key", "n", f"p{k}").join(placed, ["digest", "_key"]).select("_key", "n", "part", F.explode(f"p{k}").alias("token"))
@@ -277,19 +295,22 @@ class JaccardJoin:
 
     def groups(self) -> DataFrame:
         """(_key, n, component) per document."""
-        one = components(self.links(self.leading_candidates()))
-        two = components(self._between(self.links(self.remaining_candidates(one)), one))
-        joined = two.select(F.col("node").alias("component"), F.col("component").alias("whole"))
-        named = self.nodes.select("digest", "node").join(one, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-        named = named.join(joined, "component", "left").select("digest", F.coalesce("whole", "component").alias("component"))
+        grouped = components(self.links(self.leading_candidates()))
+        for candidates in (self.leading_candidates, self.remaining_candidates):
+            grouped = materialise(self._joined(grouped, self.links(candidates(grouped))), "components")
+        named = self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         return self.signed.select("_key", "n", "digest").join(named, "digest", "left").select("_key", "n", F.when(F.col("_key").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("_key")).alias("component"))
 
     @staticmethod
-    def _between(links: DataFrame, grouped: DataFrame) -> DataFrame:
+    def _joined(grouped: DataFrame, links: DataFrame) -> DataFrame:
+        """Components of nodes after further links between them."""
+        between = links
         for end in ("a", "b"):
             known = grouped.select(F.col("node").alias(end), F.col("component").alias("_part"))
-            links = links.join(known, end, "left").withColumn(end, F.coalesce("_part", end)).drop("_part")
-        return links
+            between = between.join(known, end, "left").withColumn(end, F.coalesce("_part", end)).drop("_part")
+        whole = components(between).select(F.col("node").alias("component"), F.col("component").alias("_whole"))
+        nodes = grouped.union(links.select("a", "a")).union(links.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))
+        return nodes.join(whole, "component", "left").select("node", F.coalesce("_whole", "component").alias("component"))
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", gram: int = GRAM, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:

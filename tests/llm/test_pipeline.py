@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not (os.path.isdir(SF_DIR) and os.path.exists(co
 
 
 def test_stages_keep_their_contract(spark, tmp_path):
-    from test_corpus_operators import brute_groups, brute_lines, brute_targets
+    from llm.test_corpus_operators import brute_groups, brute_lines, brute_targets
 
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
