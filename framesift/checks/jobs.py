@@ -70,7 +70,7 @@ def u2_shard(t):
 
 @query("U1_apply_column", "SELECT pos, CASE WHEN text IS NULL THEN -1 ELSE length(text) END AS size FROM media")
 def u1(t):
-    return hooks.apply_column(t.media, lambda s: len(s), "text", "size", "long", default=-1).select("pos", "size")
+    return hooks.apply_column(t.media, lambda s: len(s), "text", "size", "long", default=-1, errors=TypeError).select("pos", "size")
 
 
 @query("U1_apply_rows", "SELECT pos, CASE WHEN width = 0 THEN 0 ELSE height // width END AS ratio, CASE WHEN width = 0 THEN 'bad' ELSE 'good' END AS state FROM media")

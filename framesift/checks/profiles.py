@@ -108,8 +108,8 @@ def a7_large(t):
 
 @query(
     "A7_frames_long",
-    """WITH placed AS (SELECT path, num_frames, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS at FROM media)
-       SELECT path, at * 2 + k AS place, CASE k WHEN 0 THEN num_frames * 0.5::DOUBLE ELSE 3.0::DOUBLE END AS point FROM placed, unnest(range(2)) AS r(k)""",
+    """WITH placed AS (SELECT path, num_frames, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS ord FROM media)
+       SELECT path, ord * 2 + k AS place, CASE k WHEN 0 THEN num_frames * 0.5::DOUBLE ELSE 3.0::DOUBLE END AS point FROM placed, unnest(range(2)) AS r(k)""",
 )
 def a7_long(t):
     return profile.frames_long(t.media, [0.5, 3])

@@ -93,11 +93,11 @@ def s9(t):
     return listing.label_by_class(t.media.select("path"), labels)
 
 
-@query("S10_existing_by_id", "SELECT 'gen/pika-' || CAST(m.pos AS VARCHAR) || '.mp4' AS path, m.text FROM media m JOIN labels ON doc_id = m.pos AND quality = 1")
+@query("S10_existing_by_id", "SELECT 'gen/made-' || CAST(m.pos AS VARCHAR) || '.mp4' AS path, m.text FROM media m JOIN labels ON doc_id = m.pos AND quality = 1")
 def s10(t):
-    files = t.labels.filter("quality = 1").select(F.concat(F.lit("gen/pika-"), "doc_id", F.lit(".mp4")).alias("path"))
+    files = t.labels.filter("quality = 1").select(F.concat(F.lit("gen/made-"), "doc_id", F.lit(".mp4")).alias("path"))
     info = t.media.select(F.col("pos").cast("string").alias("uuid"), F.col("text").alias("prompt"))
-    return listing.existing_by_id(info, files, "gen")
+    return listing.existing_by_id(info, files, "gen", "made-")
 
 
 @query(
@@ -150,13 +150,20 @@ def s14(t):
     return documents.select_json_paths(docs, "data")
 
 
-@query("S15_write_jsonl_chunks", "SELECT conv_id, turn, role FROM conversations")
+@query(
+    "S15_write_jsonl_chunks",
+    """WITH lines AS (SELECT conv_id, turn, role, text, conv_id * 1000 + turn AS ord,
+          octet_length(encode(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}))) + 1 AS size FROM conversations),
+        placed AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS p, coalesce(sum(size) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM lines)
+        SELECT conv_id, turn, role, text, CAST(p // 40 + b // 20000 + (b + size - 1) // 20000 AS BIGINT) AS part FROM placed""",
+)
 def s15(t):
-    """Chunks written and read back: every line once, none over the limits."""
+    """Chunks written and read back: every line once, each in its part."""
     lines = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("at"), F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value"))
     path = _fresh(t, "chunks")
     jsonl.write_jsonl_chunks(lines, path, "at", max_lines=40, max_bytes=20_000)
-    return t.spark.read.schema("conv_id bigint, turn bigint, role string").json(path).select("conv_id", "turn", "role")
+    back = t.spark.read.schema("conv_id bigint, turn bigint, role string, text string").option("basePath", path).json(f"{path}/part=*")
+    return back.select("conv_id", "turn", "role", "text", F.col("part").cast("bigint").alias("part"))
 
 
 @query(

@@ -71,8 +71,8 @@ def images_only(df: DataFrame) -> DataFrame:
 
 
 def videos_only(df: DataFrame) -> DataFrame:
-    """Anything that is not an image counts as video."""
-    return require(df, "path").filter(~is_image(F.col("path")))
+    """Anything that is not an image counts as video, a missing path too."""
+    return require(df, "path").filter(~F.coalesce(is_image(F.col("path")), F.lit(False)))
 
 
 def drop_failed_captions(df: DataFrame, sentinel: str = FAILED_CAPTION) -> DataFrame:

@@ -30,8 +30,23 @@ def difference(df: DataFrame, other: DataFrame) -> DataFrame:
     return require(df, "path").join(right, _same(df, right), "left_anti")
 
 
-def intersection(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Inner join on path; takes only the columns ``df`` lacks, in alphabetical order."""
+def _with_keys(df: DataFrame, key: str, on_null: str) -> DataFrame:
+    """Rows whose missing keys are matched like any value, dropped, or an error."""
+    if on_null == "match":
+        return df
+    if on_null == "drop":
+        return df.filter(F.col(key).isNotNull())
+    if on_null == "error":
+        return df.filter(F.when(F.col(key).isNull(), F.raise_error(F.lit(f"missing {key}"))).otherwise(F.lit(True)))
+    raise ValueError(f"on_null is match, drop or error, not {on_null!r}")
+
+
+def intersection(df: DataFrame, other: DataFrame, on_null: str = "match") -> DataFrame:
+    """Inner join on path; takes only the columns ``df`` lacks, in alphabetical order.
+
+    With ``on_null='match'`` each missing path on the left meets each on the right.
+    """
+    df, other = _with_keys(df, "path", on_null), _with_keys(other, "path", on_null)
     new = sorted(set(require(other, "path").columns) - set(df.columns))
     right = _keyed(other, "path", *new)
     return require(df, "path").join(right, _same(df, right), "inner").drop("_path")

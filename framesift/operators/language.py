@@ -46,9 +46,15 @@ def language_scores(df: DataFrame, profiles: DataFrame, key: str, text: str = "t
 def lang_filter(
     df: DataFrame, profiles: DataFrame, target: str = "en", k: int = 5, key: str = "pos", text: str = "text"
 ) -> DataFrame:
-    """Keep rows for which the target is among the k best languages."""
+    """Keep rows for which the target is among the k best languages.
+
+    With ``k`` languages or fewer in the profiles that would be every row that has a known trigram, so
+    it fails the job.
+    """
+    languages = profiles.agg(F.count_distinct("lang").alias("n")).scalar()
+    enough = F.when(languages > k, F.lit(True)).otherwise(F.raise_error(F.lit(f"the {k} best of no more than {k} languages keep everything")).cast("boolean"))
     scores = language_scores(df, profiles, key, text)
-    return keep_top_languages(df, scores, target, k, key)
+    return keep_top_languages(df.filter(enough), scores, target, k, key)
 
 
 def keep_top_languages(df: DataFrame, scores: DataFrame, target: str, k: int, key: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framesift.operators.joins import assert_unique
+
 from framesift.schema import TRAIN_COLUMNS, require
 
 IMAGE_FPS = 120  # fixed value: the frame rate that stands for a still image
@@ -28,7 +30,7 @@ def filesize_mb(df: DataFrame, length: str = "length") -> DataFrame:
 
 def attach_filesize(df: DataFrame, listing: DataFrame) -> DataFrame:
     """File size in MB from a listing with ``path, length``."""
-    sizes = listing.select("path", "length")
+    sizes = assert_unique(listing.select("path", "length"), "path")
     return filesize_mb(require(df, "path").join(sizes, "path", "left")).drop("length")
 
 
@@ -40,13 +42,14 @@ def train_columns(df: DataFrame) -> DataFrame:
 def attach_media_info(df: DataFrame, probe: DataFrame) -> DataFrame:
     """Frames, size and rate from a probe table (path, num_frames, height, width, fps).
 
-    Rows without a probe result read 0 frames of 0 x 0, so a minimum of one frame removes them.
+    Rows without a probe result read 0 frames of 0 x 0, so a minimum of one frame removes them. A path
+    that was probed twice fails the job.
     """
     facts = derive_dims(
         probe.select("path", *[F.col(c).cast("int").alias(c) for c in ("num_frames", "height", "width")], "fps")
     )
     names = ["num_frames", "height", "width", "aspect_ratio", "fps", "resolution"]
-    joined = df.drop(*names).join(facts, "path", "left")
+    joined = df.drop(*names).join(assert_unique(facts, "path"), "path", "left")
     counts = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("num_frames", "height", "width")}
     return joined.withColumns(counts).select(*[c for c in df.columns if c not in names], *names)
 

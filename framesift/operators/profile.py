@@ -127,7 +127,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100, by: Column
     width = (F.col("_hi") - F.col("_lo")) / bins
     spot = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))
     return (
-        values.join(F.broadcast(ends), ["kind", "column"])  # one row per kind and column
+        values.join(ends, ["kind", "column"])
         .groupBy("kind", "column", spot.cast("int").alias("bin"), "_lo", width.alias("_w"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select("kind", "column", "bin", (F.col("_lo") + F.col("_w") * F.col("bin")).alias("start"), "n")

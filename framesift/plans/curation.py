@@ -49,8 +49,8 @@ def _plain(fn: Callable[..., DataFrame]) -> Callable:
 
 
 def _lang(df: DataFrame, arg, ctx: Context) -> DataFrame:
-    target, profiles = arg
-    return language.lang_filter(df, profiles, target, key=ctx.key)
+    target, profiles, *k = arg
+    return language.lang_filter(df, profiles, target, *k, key=ctx.key)
 
 
 def _merge_cmotion(df: DataFrame, arg, _: Context) -> DataFrame:

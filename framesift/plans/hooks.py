@@ -10,18 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+Errors = type[Exception] | tuple[type[Exception], ...]
+# What a function raises over a value it cannot use; a broken function raises other things.
+BAD_VALUES: Errors = (ValueError, ArithmeticError)
+
+
 def apply_column(
-    df: DataFrame, func: Callable, column: str, output: str, return_type: str, default: object = None
+    df: DataFrame, func: Callable, column: str, output: str, return_type: str, default: object = None, errors: Errors = BAD_VALUES
 ) -> DataFrame:
-    """``output`` = func(value) for each value of a column; ``default`` where it raises.
+    """``output`` = func(value) for each value of a column; ``default`` where it raises one of ``errors``.
 
-    NULL goes to the function as None.
+    Anything else it raises fails the job. NULL goes to the function as None.
     """
 
     def guarded(value):
         try:
             return func(None if value is pd.NA else value)
-        except Exception:
+        except errors:
             return default
 
     @F.pandas_udf(return_type)
@@ -37,8 +42,9 @@ def apply_rows(
     inputs: Sequence[str],
     outputs: Mapping[str, str],
     defaults: Mapping[str, object] | None = None,
+    errors: Errors = BAD_VALUES,
 ) -> DataFrame:
-    """New columns from several columns of a row; ``defaults`` fill in where the function raises.
+    """New columns from several columns of a row; ``defaults`` fill in where the function raises one of ``errors``.
 
     ``outputs`` maps names to types. Only the inputs travel to Python.
     """
@@ -47,7 +53,7 @@ def apply_rows(
     def guarded(row: dict) -> Mapping:
         try:
             return func(row)
-        except Exception:
+        except errors:
             return defaults
 
     @F.pandas_udf(f"struct<{', '.join(f'`{n}`: {t}' for n, t in outputs.items())}>")

@@ -24,7 +24,7 @@ def assign_bins(
     )
 
 
-def write_bins(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_bins(df: DataFrame, path: str, mode: str = "error") -> None:
     """Parquet partitioned by bin; rows of a bin are brought together to write one file each."""
     df.repartition("bin_id").sortWithinPartitions("bin_id", "bin_pos").write.mode(mode).partitionBy("bin_id").parquet(path)
 

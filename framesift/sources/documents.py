@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framesift.operators.joins import assert_unique
+
 from framesift.functions.paths import abspath
 
 ANNOTATION_SCHEMA = (
@@ -24,9 +26,9 @@ def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFram
 def load_sidecar_caption(df: DataFrame, sidecars: DataFrame) -> DataFrame:
     """Caption from the JSON named like the path up to its first dot; '' where there is none.
 
-    ``sidecars`` is (path, caption).
+    ``sidecars`` is (path, caption), a path at most once.
     """
-    found = sidecars.select(F.col("path").alias("_json"), F.col("caption").alias("_caption"))
+    found = assert_unique(sidecars.select(F.col("path").alias("_json"), F.col("caption").alias("_caption")), "_json")
     keyed = df.withColumn("_want", F.concat(F.substring_index("path", ".", 1), F.lit(".json")))
     joined = keyed.join(found, F.col("_want") == F.col("_json"), "left")
     return joined.withColumn("text", F.coalesce("_caption", F.lit(""))).drop("_want", "_json", "_caption")

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.operators.ordering import range_bounds, search_slice
@@ -21,33 +18,28 @@ def assign_chunks(
 ) -> DataFrame:
     """Add ``part`` so that, in order, no part exceeds the line or byte limit.
 
-    A part starts when the next line would break a limit, counting UTF-8 bytes with the line end.
-    The order key's range is cut into slices that fill their parts independently; within a slice the
-    split is the sequential one, so one slice (small inputs) gives exactly that. Parts are numbered
-    ``slice * 2**32 + n``.
+    In the order of the unique numeric key, parts end after every ``max_lines`` lines and wherever the
+    bytes so far, counting UTF-8 and line ends, pass a multiple of ``max_bytes``; a line across such a
+    multiple is a part of its own. Only where a single line is longer than the limit does a part exceed
+    it. Parts depend on the lines alone and grow along the order, not always by one.
+
+    Lines and bytes before a row are those of the key ranges before its own, of which there are
+    ``slices``, plus those before it in its range.
     """
     slices = slices or shuffle_width(df.sparkSession)
-    slice_no = search_slice(F.col(order_by).cast("double"), range_bounds(df, order_by, slices)).cast("bigint")
+    slice_no = search_slice(F.col(order_by).cast("double"), range_bounds(df, order_by, slices))
     size = (F.octet_length("value") + 1).cast("bigint")
-    ranged = df.select(order_by, "value", slice_no.alias("_slice"), size.alias("_size"))
-    # Hash partitions may hold several slices; sorting keeps each contiguous.
-    ranged = ranged.repartition(slices, "_slice").sortWithinPartitions("_slice", order_by)
-    key_type = df.schema[order_by].dataType.simpleString()
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, part, lines, used = None, 0, 0, 0
-        for batch in batches:
-            parts = []
-            for slice_id, length in zip(batch["_slice"].tolist(), batch["_size"].tolist()):
-                if slice_id != current:
-                    current, part, lines, used = slice_id, 0, 0, 0
-                elif lines >= max_lines or used + length > max_bytes:
-                    part, lines, used = part + 1, 0, 0
-                lines, used = lines + 1, used + length
-                parts.append(slice_id * 2**32 + part)
-            yield batch[[order_by, "value"]].assign(part=parts)
-
-    return ranged.mapInPandas(fill, f"`{order_by}` {key_type}, value string, part bigint")
+    ranged = df.select(order_by, "value", F.coalesce(slice_no, F.lit(0)).alias("_slice"), size.alias("_size"))
+    sums = ranged.groupBy(F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_l"), F.sum("_size").alias("_b"))
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    before = sums.select("_of", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("_l", "_b")])
+    inside = Window.partitionBy("_slice").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.select("*", F.count(F.lit(1)).over(inside).alias("_lines"), F.coalesce(F.sum("_size").over(inside), F.lit(0)).alias("_bytes"))
+    joined = counted.join(F.broadcast(before), F.col("_slice") == F.col("_of"))
+    lines, start = F.col("_l0") + F.col("_lines"), F.col("_b0") + F.col("_bytes")
+    part = F.floor(lines / max_lines) + F.floor(start / max_bytes) + F.floor((start + F.col("_size") - 1) / max_bytes)
+    return joined.select(order_by, "value", part.cast("bigint").alias("part"))
 
 
 def write_jsonl_chunks(df: DataFrame, path: str, order_by: str, **limits) -> None:

@@ -52,7 +52,7 @@ def label_by_class(listing: DataFrame, labels: DataFrame) -> DataFrame:
     return listing.withColumn("folder", parent_folder(F.col("path"))).join(labels, "folder").select("path", "text")
 
 
-def existing_by_id(info: DataFrame, listing: DataFrame, root: str, prefix: str = "pika-") -> DataFrame:
+def existing_by_id(info: DataFrame, listing: DataFrame, root: str, prefix: str = "") -> DataFrame:
     """Prompts whose generated video is on disk."""
     path = F.concat(F.lit(root.rstrip("/") + "/" + prefix), F.col("uuid"), F.lit(".mp4"))
     return info.select(path.alias("path"), F.col("prompt").alias("text")).join(listing.select("path"), "path", "left_semi")

@@ -82,8 +82,8 @@ def test_plain_filters_run_below_python(spark, tmp_path):
 
 def test_hooks(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "pos int, text string")
-    assert [r["n"] for r in hooks.apply_column(df, len, "text", "n", "int", default=-1).orderBy("pos").collect()] == [2, -1]
-    out = hooks.apply_rows(df, lambda r: {"a": r["text"] * 2, "b": r["pos"]}, ["text", "pos"], {"a": "string", "b": "int"}, {"a": "bad", "b": 0})
+    assert [r["n"] for r in hooks.apply_column(df, len, "text", "n", "int", default=-1, errors=TypeError).orderBy("pos").collect()] == [2, -1]
+    out = hooks.apply_rows(df, lambda r: {"a": r["text"] * 2, "b": r["pos"]}, ["text", "pos"], {"a": "string", "b": "int"}, {"a": "bad", "b": 0}, errors=TypeError)
     assert [(r["a"], r["b"]) for r in out.orderBy("pos").collect()] == [("abab", 1), ("bad", 0)]
 
 
@@ -94,3 +94,9 @@ def test_model_hook(spark):
     df = spark.range(10).select(F.col("id").cast("double").alias("x"))
     got = hooks.score_with_model(df, make, ["x"], "y", DoubleType(), batch_size=4)
     assert all(r["y"] == 2 * r["x"] for r in got.collect())
+
+
+def test_hooks_fail_over_errors_that_are_not_named(spark):
+    df = spark.createDataFrame([("a",)], "text string")
+    with pytest.raises(Exception, match="KeyError"):
+        hooks.apply_column(df, lambda v: {}[v], "text", "n", "int").collect()
