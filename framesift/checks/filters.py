@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from framesift.checks.registry import query
 from framesift.operators import clips, filters, language, media
+from framesift.plans.curation import curate
 
 SHOW = ["pos", "path", "num_frames"]
 SHOW_SQL = "pos, path, num_frames"
@@ -62,6 +63,16 @@ def f2_filter(t):
     return kept.select("doc_id", "lang")
 
 
+@query(
+    "F2_lang_filter_two_best",
+    _TRIGRAMS + "SELECT doc_id, lang FROM documents SEMI JOIN (SELECT doc_id FROM ranked WHERE lang = 'en' AND r <= 2) USING (doc_id)",
+)
+def f2_two(t):
+    """The language stage of the curation job, with its own k."""
+    profiles = language.trigram_profiles(t.documents, "text", "lang")
+    return curate(t.documents, key="doc_id", lang=("en", profiles, 2)).select("doc_id", "lang")
+
+
 @query("F3_remove_empty_path", f"SELECT {SHOW_SQL} FROM media WHERE length(path) > 0")
 def f3(t):
     return filters.remove_empty_path(t.media).select(SHOW)

@@ -183,7 +183,8 @@ def test_language_profiles(spark):
     profiles = language.trigram_profiles(labelled, "text", "lang")
     df = spark.createDataFrame([(1, "the house and the dog"), (2, "die katze und der hund"), (3, "123")], "pos int, text string")
     assert [r["pos"] for r in language.lang_filter(df, profiles, "en", k=1).collect()] == [1]
-    assert {r["pos"] for r in language.lang_filter(df, profiles, "en", k=5).collect()} <= {1, 2}
+    with pytest.raises(Exception, match="keep everything"):
+        language.lang_filter(df, profiles, "en", k=2).collect()
 
 
 def test_native_captions_need_no_python(spark):
