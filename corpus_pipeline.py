@@ -20,6 +20,8 @@ from framesift.llm.common import has_words, table  # noqa: E402
 from framesift.session import materialise  # noqa: E402
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+NEAR_GRAM = 5
+NEAR_PERCENT = 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +41,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of each group of near duplicates, once. Rows without an id are
-    linked with nothing and all stay."""
-    groups = jaccard_join.near_groups(docs)
+    """Keeps the document of smallest id of each group of near duplicates, once: texts whose five-word
+    shingles have a Jaccard similarity of 0.8 or more. Rows without an id are linked with nothing and
+    all stay."""
+    groups = jaccard_join.near_groups(docs, gram=NEAR_GRAM, percent=NEAR_PERCENT)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     kept = docs.join(first, "doc_id", "left_semi").withColumn("_again", again).filter("_again = 1").select(*docs.columns)
