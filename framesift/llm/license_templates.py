@@ -1,5 +1,12 @@
 """Wordings of licences and notices. They have to read as the licences do."""
 
+_GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {0} as published by the Free Software "
+    "Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it "
+    "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+    "the {0} for more details."
+)
+
 TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("MIT", "mit-note", "Released under the MIT License."),
     (
@@ -51,8 +58,52 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
         "the above copyright notice and this permission notice appear in all copies.",
     ),
+    ("BSD", "bsd-note", "Released under the BSD License."),
+    ("GPL", "gpl-any-note", "This work is licensed under the GNU General Public License."),
+    ("GPL-2.0", "gpl-2-note", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "gpl-2-header", _GNU_HEADER.format("GNU General Public License", "2")),
+    ("LGPL-3.0", "lgpl-3-note", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "lgpl-3-header", _GNU_HEADER.format("GNU Lesser General Public License", "3")),
+    ("LGPL-2.1", "lgpl-2-note", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "lgpl-2-header", _GNU_HEADER.format("GNU Lesser General Public License", "2.1")),
+    ("AGPL-3.0", "agpl-3-note", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "agpl-3-header", _GNU_HEADER.format("GNU Affero General Public License", "3")),
+    ("CC-BY-4.0", "cc-by-note", "Licensed under CC BY 4.0."),
+    ("CC-BY-ND-4.0", "cc-by-nd-note", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "cc-by-nc-sa-note", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "cc-by-nc-nd-note", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-NC-4.0", "cc-by-nc-note", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "cc-by-sa-note", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-4.0", "cc-by-long", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("reserved", "reserved-note", "All rights reserved."),
 )
+
+_OTHER_GNU = "lesser library affero"
+_OTHER_CC = "noncommercial sharealike noderivatives noderivs"
+
+# What tells a template from other licences: words that have to stand in the matched stretch, words that
+# must not, and the version that has to stand there or just behind.
+NAMED: dict[str, tuple[str, str, str]] = {
+    "mit-note": ("mit", "", ""),
+    "bsd-note": ("bsd", "", ""),
+    "apache-note": ("apache", "", "2"),
+    "apache-header": ("apache", "", "2"),
+    "gpl-any-note": ("gnu", _OTHER_GNU, ""),
+    "gpl-note": ("gnu", _OTHER_GNU, "3"),
+    "gpl-header": ("gnu", _OTHER_GNU, "3"),
+    "gpl-2-note": ("gnu", _OTHER_GNU, "2"),
+    "gpl-2-header": ("gnu", _OTHER_GNU, "2"),
+    "lgpl-3-note": ("lesser", "affero", "3"),
+    "lgpl-3-header": ("lesser", "affero", "3"),
+    "lgpl-2-note": ("lesser", "affero", "2 1"),
+    "lgpl-2-header": ("lesser", "affero", "2 1"),
+    "agpl-3-note": ("affero", "lesser", "3"),
+    "agpl-3-header": ("affero", "lesser", "3"),
+    "cc-by-note": ("by", "nc sa nd", "4"),
+    "cc-by-nc-note": ("by nc", "sa nd", "4"),
+    "cc-by-sa-note": ("by sa", "nc nd", "4"),
+    "cc-by-nd-note": ("by nd", "nc sa", "4"),
+    "cc-by-nc-sa-note": ("by nc sa", "nd", "4"),
+    "cc-by-nc-nd-note": ("by nc nd", "sa", "4"),
+    "cc-by-long": ("attribution", _OTHER_CC, "4"),
+}

@@ -3,16 +3,18 @@
 Texts and templates are cut into lower-case tokens of letters and digits. Of every ``WINDOW``
 neighbouring token pairs the one of smallest hash is a fingerprint, so any run of ``WINDOW + GRAM - 1``
 tokens that a text shares with a template shares a fingerprint too (Schleimer, Wilkerson and Aiken,
-"Winnowing", 2003). An inverted index of the templates, which are few and fixed, turns fingerprints of
-a text into hits; hits on neighbouring diagonals are one candidate, and a local alignment within a band
-around them gives coverage and span.
+"Winnowing", 2003). The window is one pair: three tokens in ten may be other ones or missing, and with
+every pair a fingerprint ``HIT_SHARE`` of a template's are still there then. An inverted index of the
+templates, which are few and fixed, turns fingerprints of a text into hits; hits on neighbouring
+diagonals are one candidate, and a local alignment within a band around them gives coverage and span.
+Templates that differ from other licences in a name or a version only also need those in the text.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from framesift.llm.common import WordHashes, grams
-from framesift.llm.license_templates import TEMPLATES
+from framesift.llm.license_templates import NAMED, TEMPLATES
 
 GRAM = 2
-WINDOW = 2
+WINDOW = 1
+SHORTEST = 3
+BEHIND = 3
 COVERAGE = 0.7
 HIT_SHARE = 0.3
 
@@ -95,16 +99,26 @@ def align(text: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[
     return found
 
 
+def is_named(words: list[bytes], first: int, last: int, needed: str, barred: str, version: str) -> bool:
+    """Whether a match from ``first`` to ``last`` has all needed words and no barred ones, and the version
+    there or just behind."""
+    stretch, v = words[first : last + 1], version.encode()
+    if not set(needed.encode().split()).issubset(stretch) or set(barred.encode().split()).intersection(stretch):
+        return False
+    inside, behind = (b" %s " % b" ".join(words[first : last + 1 + more]) for more in (0, BEHIND))
+    return not version or b" %s " % v in inside or any(x % v in behind for x in (b" version %s ", b" v%s ", b" v %s "))
+
+
 class TemplateIndex:
     """Templates with the inverted index of their fingerprints."""
 
-    def __init__(self, templates: Iterable[tuple[str, str, str]] = TEMPLATES):
-        self.hashes, self.templates = WordHashes(), []
+    def __init__(self, templates: Iterable[tuple[str, str, str]] = TEMPLATES, named: Mapping[str, tuple[str, str, str]] = NAMED):
+        self.hashes, self.templates, self.named = WordHashes(), [], named
         postings = defaultdict(list)
         for license, name, wording in templates:
             ids = self.hashes.array(tokens_of(wording))
-            if len(ids) < GRAM + WINDOW - 1:
-                raise ValueError(f"template {name} is shorter than {GRAM + WINDOW - 1} tokens")
+            if len(ids) < SHORTEST:
+                raise ValueError(f"template {name} is shorter than {SHORTEST} tokens")
             places, prints = winnow(ids)
             for place, value in zip(places.tolist(), prints.tolist()):
                 postings[value].append((len(self.templates), place))
@@ -112,8 +126,9 @@ class TemplateIndex:
         self.postings = dict(postings)
         self.keys = np.array(sorted(postings), np.uint64)
 
-    def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, lowest and highest diagonal) of groups of hits that are dense enough."""
+    def candidates(self, ids: np.ndarray, coverage: float = COVERAGE) -> list[tuple[int, int, int]]:
+        """(template, lowest and highest diagonal) of stretches of diagonals with enough hits. A stretch is
+        as long as tokens may be missing, and one begins at every diagonal with a hit."""
         places, prints = winnow(ids)
         slot = np.minimum(np.searchsorted(self.keys, prints), len(self.keys) - 1)
         hit = np.flatnonzero(self.keys[slot] == prints)
@@ -124,18 +139,23 @@ class TemplateIndex:
         out = []
         for template, found in diagonals.items():
             size, wanted = len(self.templates[template][2]), self.templates[template][3]
-            slack = max(2, size // 8)
-            # A gap between diagonals, or a place of the template seen again, begins another occurrence.
-            group, seen = [], set()
-            for hit_at in [*sorted(found), None]:
-                if group and (hit_at is None or hit_at[0] - group[-1] > slack or hit_at[1] in seen):
-                    if len(seen) >= HIT_SHARE * wanted:
-                        out.append((template, group[0], group[-1], slack))
-                    group, seen = [], set()
-                if hit_at is not None:
-                    group.append(hit_at[0])
-                    seen.add(hit_at[1])
-        return [(t, low - slack, high + slack) for t, low, high, slack in out]
+            slack, reach = max(2, size // 8), max(2, int((1 - coverage) * size + 1e-9))
+            if len({at for _, at in found}) < HIT_SHARE * wanted:
+                continue
+            found.sort()
+            inside, last, past = defaultdict(int), 0, 0
+            for k, (diagonal, at) in enumerate(found):
+                while last < len(found) and found[last][0] <= diagonal + reach:
+                    inside[found[last][1]] += 1
+                    last += 1
+                # Stretches that hold no more hits than the one before are parts of it.
+                if (not k or found[k - 1][0] != diagonal) and last > past and len(inside) >= HIT_SHARE * wanted:
+                    out.append((template, diagonal - slack, found[last - 1][0] + slack))
+                    past = last
+                inside[at] -= 1
+                if not inside[at]:
+                    del inside[at]
+        return out
 
     def scan(self, text: str, coverage: float = COVERAGE) -> list[Match]:
         """Matches in token places, by place; of overlapping ones that with more matched tokens stays."""
@@ -144,12 +164,13 @@ class TemplateIndex:
             return []
         ids = self.hashes.array(words)
         found = []
-        for template, low, high in self.candidates(ids):
+        for template, low, high in self.candidates(ids, coverage):
             license, name, wording, _ = self.templates[template]
             matched, first, last = align(ids, wording, low, high)
-            if matched >= coverage * len(wording):
+            if matched >= coverage * len(wording) and is_named(words, first, last, *self.named.get(name, ("", "", ""))):
                 found.append(Match(license, name, matched / len(wording), first, last, matched))
-        found.sort(key=lambda m: (-m.matched, m.first, m.template))
+        # Of equal ones that whose version is known.
+        found.sort(key=lambda m: (-m.matched, m.first, not self.named.get(m.template, ("", "", ""))[2], m.template))
         taken, out = np.zeros(len(words), bool), []
         for m in found:
             if not taken[m.first : m.last + 1].any():
