@@ -30,7 +30,6 @@ SAMPLE_ZONES = 500
 EPOCHS = 6
 
 MARGIN = 24
-MOST_TOKENS = 26
 MOST_CHARS = 80
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -39,9 +38,13 @@ _DIGITS = re.compile(r"[0-9]+")
 _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]|\[at\]|\(at\)")
-_TOKEN = re.compile(r"\[at\]|\(at\)|\[\.\]|[0-9]+|[A-Za-z]+|(?s:.)")
+_TRIGGER = re.compile(r"[0-9@]|(?i:\[at\]|\(at\))")
+_TOKEN = re.compile(r" {0,2}(?i:@|\[at\]|\(at\)|\[dot\]|\(dot\)) {0,2}|\[\.\]|[0-9]+|[A-Za-z]+|(?s:.)")
 _AT = ("@", "[at]", "(at)")
+_DOT = ("[.]", "[dot]", "(dot)")
+# An address goes on in front of or behind a stretch that has these there.
+_FRONT = re.compile(r"[A-Za-z0-9](?:[._%+-]|\[\.\]| {0,2}(?i:\[dot\]|\(dot\)) {0,2})\Z")
+_BACK = re.compile(r"(?:[.-]|\[\.\]| {0,2}(?i:\[dot\]|\(dot\)) {0,2})[A-Za-z0-9]")
 
 
 def luhn(digits: str) -> bool:
@@ -86,10 +89,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def zones(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at signs, joined where they touch."""
+    """Stretches around digits and at signs, joined where they touch. Each reaches as far as a segment that
+    holds its digit or sign can."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
-        low, high = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+        low, high = max(0, m.start() - MOST_CHARS), min(len(text), m.end() + MOST_CHARS)
         if out and low <= out[-1][1]:
             out[-1] = (out[-1][0], high)
         else:
@@ -110,11 +114,12 @@ def _shape(token: str) -> str:
         return "d"
     if token.isalpha():
         return "a"
-    return "@" if token in _AT else "." if token == "[.]" else token
+    spelled = token.strip(" ").lower()
+    return "@" if spelled in _AT else "." if spelled in _DOT else token
 
 
 def segment_features(tokens: list[str], before: str, after: str) -> list[str]:
-    text, shapes = "".join(tokens), [_shape(t) for t in tokens]
+    shapes = [_shape(t) for t in tokens]
     groups = [t for t in tokens if t.isdigit()]
     digits = "".join(groups)
     marks = "".join(sorted({s for s in shapes if s not in "da"}))
@@ -129,7 +134,7 @@ def segment_features(tokens: list[str], before: str, after: str) -> list[str]:
     if at:
         place = shapes.index("@")
         out += [f"left={place > 0}", f"dot_right={'.' in shapes[place:]}", f"odd={any(s not in 'da@.-_%+' for s in shapes)}", f"ends={shapes[-1]}&{'.' in shapes[place:]}"]
-        out.append(f"whole={_around(before) != 'word' and _around(after) != 'word' and ' ' not in text}")
+        out.append(f"whole={_around(before) != 'word' and _around(after) != 'word' and ' ' not in tokens}")
     return out
 
 
@@ -142,26 +147,28 @@ _INNER = {" ", ".", "-", "(", ")", "/", "+", "_", "%"}
 
 def lattice(text: str, low: int, high: int) -> Lattice:
     """Candidate segments of a zone: from a letter, digit or plus to a letter or digit, with inner signs
-    only, holding a digit or an at sign, and letters only next to an at sign."""
+    only, holding a digit or an at sign, and letters only with an at sign and without spaces but those of
+    spelled signs. A word that the zone cuts is in none, and an address is in one as a whole only."""
     found = [(m.start() + low, m[0]) for m in _TOKEN.finditer(text[low:high])]
     tokens, starts = [t for _, t in found], [s for s, _ in found] + [high]
     shapes = [_shape(t) for t in tokens]
     segments = []
     for i, first in enumerate(shapes):
-        if first not in ("d", "a", "+") or (i and starts[i] > 0 and text[starts[i] - 1].isalnum() and first in "da"):
+        if first not in ("d", "a", "+") or (starts[i] > 0 and text[starts[i] - 1].isalnum() and first in "da"):
             continue
         at = digit = letter = False
+        inside = bool(_FRONT.search(text[max(0, starts[i] - 10) : starts[i]]))
         spaces = 0
-        for j in range(i, min(len(tokens), i + MOST_TOKENS)):
+        for j in range(i, len(tokens)):
             s = shapes[j]
             if starts[j + 1] - starts[i] > MOST_CHARS or not (s in ("d", "a", "@") or s in _INNER):
                 break
             at, digit, letter = at or s == "@", digit or s == "d", letter or s == "a"
             spaces += s == " "
-            if (letter and not at and j - i > 12) or (spaces > 6) or (at and s == " "):
+            if spaces > 6 or (spaces and (at or letter)) or (at and inside):
                 break
-            ends = j + 1 == len(tokens) or not (shapes[j + 1] in ("d", "a") and s in ("d", "a"))
-            if s in ("d", "a") and ends and j > i and (at or (digit and not letter)):
+            ends = high == len(text) or not text[high].isalnum() if j + 1 == len(tokens) else shapes[j + 1] not in ("d", "a")
+            if s in ("d", "a") and ends and j > i and (at or (digit and not letter)) and not (at and _BACK.match(text, starts[j + 1])):
                 before = text[starts[i] - 1] if starts[i] else ""
                 after = text[starts[j + 1]] if starts[j + 1] < len(text) else ""
                 segments.append((i, j + 1, segment_features(tokens[i : j + 1], before, after)))
@@ -239,7 +246,9 @@ def _log_sum(values: list[float]) -> float:
 def _respelled(kind: str, match: str, rng: random.Random) -> str:
     """A match in a spelling that its pattern does not know."""
     if kind == "email":
-        return match.replace("@", rng.choice(["[at]", "(at)"]))
+        local, domain = match.split("@")
+        at, dot = rng.choice(["[at]", "(at)", " [at] ", " (at) ", " @ "]), rng.choice([".", ".", "[dot]", "(dot)", " [dot] "])
+        return local + at + domain.replace(".", dot)
     if kind == "ip":
         return match.replace(".", "[.]")
     if kind == "phone":
