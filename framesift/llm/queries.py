@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, pieces, pii, topk, url_filters
+from framesift.llm import compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, periodic_runs, pieces, pii, topk, url_filters
 from framesift.llm.common import held_out, table
 from framesift.session import materialise
 
@@ -193,3 +193,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     percent = lambda m: F.round(100 * m["coverage"]).cast("int")
     listed = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["template"], m["start"], m["end"], percent(m)))
     return found.select("doc_id", F.size("licenses").cast("bigint").alias("n_matches"), F.array_join(listed, ",").alias("matches"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), fold=True)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
