@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, periodic_runs, pieces, pii, topk, url_filters
+from framesift.llm import collocations, compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, periodic_runs, pieces, pii, topk, url_filters
 from framesift.llm.common import held_out, table
 from framesift.session import materialise
 
@@ -210,3 +210,26 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op11_collocations",
+    r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS t FROM pieces),
+        sizes AS (SELECT lang, sum(len(t))::BIGINT AS n FROM split GROUP BY lang),
+        said AS (SELECT lang, words, unnest(list_transform(range(1, len(t) - words + 2), lambda i: array_to_string(t[i:i + words - 1], ' '))) AS phrase
+          FROM split, (SELECT unnest([1, 2, 3, 4]) AS words) WHERE len(t) >= words),
+        f AS (SELECT lang, words, phrase, count(*) AS f FROM said GROUP BY ALL HAVING count(*) >= 30),
+        cand AS (SELECT *, string_split(phrase, ' ') AS t FROM f WHERE words > 1),
+        cuts AS (SELECT lang, phrase, t, f, unnest(range(1, words)) AS k FROM cand),
+        judged AS (SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+          FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(t[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(t[k + 1:], ' ')),
+        weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM judged),
+        kept AS (SELECT * FROM weakest c WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM cand b WHERE b.lang = c.lang AND b.words > len(string_split(c.phrase, ' '))
+          AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * b.f >= 80 * c.a)),
+        ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
