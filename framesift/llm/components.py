@@ -38,3 +38,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         state = tuple(now)
         edges = materialise(_small_star(_large_star(edges)), "links")
+
+
+def merged(grouped: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) of ``grouped`` after further links (a, b) between nodes, which it need not know yet."""
+    between = links.select("a", "b")
+    for end in ("a", "b"):
+        known = grouped.select(F.col("node").alias(end), F.col("component").alias("whole"))
+        between = between.join(known, end, "left").withColumn(end, F.coalesce("whole", end)).drop("whole")
+    moved = components(between).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    nodes = grouped.select("node", "component").union(links.select("a", "a")).union(links.select("b", "b"))
+    first = nodes.groupBy("node").agg(F.min("component").alias("component"))
+    return first.join(moved, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))

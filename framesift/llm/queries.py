@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm import collocations, compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, periodic_runs, pieces, pii, topk, url_filters
+from framesift.llm import chosen_path, collocations, compression_quality, decision_rules, jaccard_join, licenses, line_dedup, mixing, periodic_runs, pieces, pii, topk, url_filters
 from framesift.llm.common import held_out, table
 from framesift.session import materialise
 
@@ -233,3 +233,20 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def _groups_sql(percent: int, columns: str) -> str:
+    return r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+          ELSE list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')) END) AS g FROM w),
+        e AS (SELECT doc_id, len(g) AS n, unnest(g) AS token FROM s),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM e a JOIN e b ON a.token = b.token AND a.doc_id <> b.doc_id AND 100 * a.n >= PERCENT * b.n AND 100 * b.n >= PERCENT * a.n GROUP BY 1, 2),
+        links AS (SELECT a, b FROM shared WHERE 100 * i >= PERCENT * (na + nb - i)),
+        reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.to_id = l.a)
+        SELECT s.doc_id, len(g)::BIGINT AS n_shingles, COLUMNS FROM s JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY 1) c USING (doc_id)""".replace("PERCENT", str(percent)).replace("COLUMNS", columns)
+
+
+@query("op12_minhash_near_dedup", _groups_sql(85, "component_id, s.doc_id = component_id AS kept"))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
