@@ -132,3 +132,61 @@ def o11(t):
 @query("O12_slice", "SELECT pos, path FROM (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS i, count(*) OVER () AS n FROM media) WHERE i >= 100 AND i < n - 40")
 def o12(t):
     return ordering.slice_rows(t.media, 100, -40).select(_SHOW)
+
+
+# Paths of several hosts, so that no prefix is common to all.
+_HOSTED = "concat(CASE CAST(l_suppkey % 4 AS INT) WHEN 0 THEN 's3://a/' WHEN 1 THEN 's3://a/b/' WHEN 2 THEN 'https://x.org/' ELSE '/mnt/' END, 'clips/', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING), '.mp4')"
+
+
+def _hosted(t):
+    return t.lineitem.selectExpr(f"{_HOSTED} AS path", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+_HOSTED_ORDER = ["path", "l_partkey", "l_suppkey"]
+_HOSTED_SQL = f"SELECT {_HOSTED} AS path, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem"
+
+
+@query(
+    "O6_shard_by_path",
+    f"""WITH p AS (SELECT path, row_number() OVER (ORDER BY path, l_partkey, l_suppkey) - 1 AS i, count(*) OVER () AS n FROM ({_HOSTED_SQL})),
+       s AS (SELECT path, CASE WHEN i < (n % 64) * (n // 64 + 1) THEN i // (n // 64 + 1) ELSE n % 64 + (i - (n % 64) * (n // 64 + 1)) // (n // 64) END AS shard FROM p)
+       SELECT path, CAST(shard AS INT) AS shard FROM s""",
+)
+def o6_path(t):
+    return ordering.shard(_hosted(t), 64, _HOSTED_ORDER).select("path", "shard")
+
+
+@query(
+    "O9_rank_by_path",
+    f"""WITH p AS (SELECT path, row_number() OVER (ORDER BY path, l_partkey, l_suppkey) - 1 AS i FROM ({_HOSTED_SQL})), n AS (SELECT count(*) AS n FROM p),
+       w AS (SELECT path, i FROM p UNION ALL SELECT path, i + n FROM p, n WHERE i < (48 - n % 48) % 48)
+       SELECT path, CAST(i % 48 AS INT) AS rank, CAST(i // 48 AS BIGINT) AS rank_index FROM w""",
+)
+def o9_path(t):
+    return ordering.assign_rank_strided(_hosted(t), 48, _HOSTED_ORDER).select("path", "rank", "rank_index")
+
+
+@query(
+    "O12_slice_by_path",
+    f"""SELECT path, l_partkey FROM (SELECT *, row_number() OVER (ORDER BY path, l_partkey, l_suppkey) - 1 AS i, count(*) OVER () AS n FROM ({_HOSTED_SQL}))
+        WHERE i >= 100 AND i < n - 4000""",
+)
+def o12_path(t):
+    return ordering.slice_rows(_hosted(t), 100, -4000, _HOSTED_ORDER).select("path", "l_partkey")
+
+
+@query(
+    "O5_head_large",
+    f"SELECT path, l_partkey FROM ({_HOSTED_SQL}) ORDER BY path, l_partkey, l_suppkey LIMIT 30000",
+)
+def o5_large(t):
+    return ordering.head(_hosted(t), 30_000, by=[(c, False) for c in _HOSTED_ORDER]).select("path", "l_partkey")
+
+
+@query(
+    "O8_topk_large",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 30000",
+)
+def o8_large(t):
+    by = [("l_extendedprice", True), *[(c, False) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]]
+    return ordering.head(t.lineitem, 30_000, by=by).select("l_orderkey", "l_linenumber", "l_extendedprice")

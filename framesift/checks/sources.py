@@ -152,10 +152,13 @@ def s14(t):
 
 @query(
     "S15_write_jsonl_chunks",
-    """WITH lines AS (SELECT conv_id, turn, role, text, conv_id * 1000 + turn AS ord,
+    """WITH RECURSIVE lines AS (SELECT conv_id, turn, role, text, row_number() OVER (ORDER BY conv_id, turn) AS p,
           octet_length(encode(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text}))) + 1 AS size FROM conversations),
-        placed AS (SELECT *, row_number() OVER (ORDER BY ord) - 1 AS p, coalesce(sum(size) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM lines)
-        SELECT conv_id, turn, role, text, CAST(p // 40 + b // 20000 + (b + size - 1) // 20000 AS BIGINT) AS part FROM placed""",
+        filled(p, part, held, used) AS (SELECT p, CASE WHEN size > 20000 THEN 2 ELSE 1 END, 1, size FROM lines WHERE p = 1
+          UNION ALL SELECT l.p, CASE WHEN held >= 40 OR used + size > 20000 THEN part + 1 ELSE part END,
+            CASE WHEN held >= 40 OR used + size > 20000 THEN 1 ELSE held + 1 END, CASE WHEN held >= 40 OR used + size > 20000 THEN size ELSE used + size END
+          FROM filled f JOIN lines l ON l.p = f.p + 1)
+        SELECT conv_id, turn, role, text, CAST(part AS BIGINT) AS part FROM lines JOIN filled USING (p)""",
 )
 def s15(t):
     """Chunks written and read back: every line once, each in its part."""

@@ -1,21 +1,21 @@
 """Row positions, sorting, sampling, sharding and rank assignment.
 
 A table has no row order of its own, so each operator names its order key. Global positions never
-gather the rows in one task: rows fall into slices of the key range, slices are counted, and a
+gather the rows in one task: rows fall into slices between sampled keys, slices are counted, and a
 row's position is the count of the slices before it plus its rank inside its slice.
 """
 
 from __future__ import annotations
 
 import json
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framesift.functions.rng import draw_hash
+from framesift.schema import free_names
 from framesift.session import shuffle_width
 
 _HASH_DIGITS = 6
@@ -63,90 +63,50 @@ def range_bounds(df: DataFrame, key: str, slices: int) -> list[float]:
     return sorted(set(row["b"] or []))
 
 
-# Bytes of a text that are read as a number: as many as a double holds exactly.
-_TEXT_BYTES = 6
-_FEW_MARKS = 8
+# Sampled keys per slice: with so many, no slice is likely to hold twice its share.
+_SAMPLED = 32
+_PLACEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.StringType, T.BinaryType)
 
 
-def _texts(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.StringType)
+def _key(order_by: Sequence[str]) -> Column:
+    """The composite key as one value; its order is that of its columns, missing values first."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
 
 
-def _number(df: DataFrame, column: str, skip: int = 0) -> Column:
-    """A number that never decreases along the order of a column; equal numbers may hide an order.
+def slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
+    """Number of the slice of the order that a row falls into, an expression over ``df``.
 
-    Texts count by the bytes after the first ``skip`` ones, which all of them share.
+    Splitters are composite keys in their own types, taken at even distances from a sorted sample of
+    ``_SAMPLED`` keys per slice. The sample goes by a hash of the key, so it is the same in every run, and
+    one job fetches the splitters. They only balance the slices: any splitters give the same positions.
     """
-    kind, value = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value).cast("double")
-    if isinstance(kind, T.BooleanType):
-        return value.cast("int").cast("double")
-    if isinstance(kind, T.StringType):
-        digits = F.substring(F.hex(F.encode(value, "UTF-8")), 2 * skip + 1, 2 * _TEXT_BYTES)
-        return F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
-    raise ValueError(f"cannot place rows by {column} of type {kind.simpleString()}")
-
-
-def _shared_bytes(low: str | None, high: str | None) -> int:
-    """Leading bytes that the least and the greatest text share, and so all between them."""
-    a, b = (low or "").encode(), (high or "").encode()
-    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-
-
-def _spread(marks: list[float], wanted: int) -> list[float]:
-    """About so many of the marks, evenly taken."""
-    step = max(1, len(marks) // max(wanted, 1))
-    return sorted(set(marks[step - 1 :: step]))
-
-
-def _number_slices(df: DataFrame, order_by: list[str], slices: int) -> list[Column]:
-    """Slice of the leading column, and a finer slice by the next one where a value is very common.
-
-    Columns with one value in all rows order nothing and are passed over. A value that fills more than
-    one slice, or a missing one, gets slices of its own in proportion to its share, cut along the next
-    column, so their number stays within twice ``slices``.
-    """
-    ends = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(c).alias(f"{name}{k}") for k, c in enumerate(order_by) for name, f in (("low", F.min), ("high", F.max))],
-        *[F.count_if(F.col(c).isNull()).alias(f"missing{k}") for k, c in enumerate(order_by)],
-    ).first()
-    varied = [k for k in range(len(order_by)) if ends[f"low{k}"] != ends[f"high{k}"] or 0 < ends[f"missing{k}"] < ends["n"]]
-    if not varied:
-        return [F.lit(0)]
-    numbers = [_number(df, order_by[k], _shared_bytes(ends[f"low{k}"], ends[f"high{k}"]) if _texts(df, order_by[k]) else 0) for k in varied]
-    lead, number = order_by[varied[0]], numbers[0]
-    marks = df.agg(F.percentile_approx(number, _marks(slices), 10000).alias("marks")).first()["marks"] or []
-    missing = round(slices * ends[f"missing{varied[0]}"] / max(ends["n"], 1))
-    common = {b: marks.count(b) for b in marks if marks.count(b) > 1}
-    bounds = sorted(set(marks) | {math.nextafter(b, math.inf) for b in common})
-    first = F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(search_slice(number, bounds))
-    shares = {**common, **({None: missing} if missing > 1 else {})}
-    if len(varied) < 2 or not shares:
-        return [first]
-
-    second, finer = order_by[varied[1]], F.lit(0)
-    for values, count in (
-        ([v for v, m in shares.items() if m * _FEW_MARKS >= slices], slices),  # at most _FEW_MARKS values
-        ([v for v, m in shares.items() if m * _FEW_MARKS < slices], min(_FEW_MARKS, slices)),
-    ):
-        if not values:
-            continue
-        chosen = number.isin([v for v in values if v is not None])
-        chosen = F.coalesce(chosen, F.lit(False)) | (F.col(lead).isNull() if None in values else F.lit(False))
-        # Equal numbers may stand for different texts or very large whole numbers: leave those alone.
-        facts = F.percentile_approx(numbers[1], _marks(count), 10000).alias("marks"), F.min(lead).eqNullSafe(F.max(lead)).alias("same")
-        for g in df.filter(chosen).groupBy(number.alias("v")).agg(*facts).collect():
-            if g["same"] and g["marks"]:
-                here = F.col(lead).isNull() if g["v"] is None else number == g["v"]
-                by_second = search_slice(numbers[1], _spread(g["marks"], shares[g["v"]]))
-                finer = F.when(here, F.when(F.col(second).isNull(), F.lit(-1)).otherwise(by_second)).otherwise(finer)
-    return [first, finer]
+    for c in order_by:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, _PLACEABLE):
+            raise ValueError(f"cannot place rows by {c} of type {kind.simpleString()}")
+    wanted = _SAMPLED * slices
+    keys = df.select(_key(order_by).alias("key"))
+    share = df.agg(F.least(F.lit(1.0), F.lit(float(wanted)) / F.greatest(F.count(F.lit(1)), F.lit(1)))).scalar()
+    sample = keys.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * float(1 << 30))
+    ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)), lambda i: F.floor(i * F.size("keys") / slices).cast("int"))
+    even = F.array_distinct(F.transform(at, lambda i: F.get("keys", i)))
+    found = ordered.select(F.to_json(F.when(F.size("keys") > 0, even)).alias("even"), F.size(even).alias("n")).first() if slices > 1 else None
+    if found is None or found["even"] is None:
+        return F.lit(0)
+    kind = T.ArrayType(keys.schema["key"].dataType)
+    # Parsed once when the plan is optimised, whatever the number of splitters.
+    table = F.from_json(F.lit(found["even"]), kind)
+    step, steps = 1, []
+    while step <= found["n"]:
+        steps.append(step)
+        step *= 2
+    key = _key(order_by)
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in reversed(steps)]),
+        F.lit(0),
+        lambda at, jump: at + F.when(F.coalesce(F.get(table, at + jump - 1) <= key, F.lit(False)), jump).otherwise(F.lit(0)),
+    )
 
 
 def with_position(
@@ -157,49 +117,56 @@ def with_position(
     slices: int | None = None,
     digest: bool = False,
     total: str | None = None,
+    before: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row in the given order, within its group if any.
 
-    Order columns are numbers, dates, times, flags or texts, missing values first, and together they
+    Order columns are numbers, dates, times, flags, texts or bytes, missing values first, and together they
     are unique. With ``digest`` the first one is a hexadecimal digest (``draw_hash``), which needs no
-    look at the data. ``total`` names a column for the number of rows in the group. A missing group
-    value is a group of its own. A group of any size is spread over the slices, so one hot group costs
-    no more than its share. Unless ``digest`` is set, bounds are fetched while the plan is built.
+    look at the data. ``total`` names a column for the number of rows in the group; ``before`` names
+    columns for sums of whole numbers over the rows before each. A missing group value is a group of
+    its own. A group of any size is spread over the slices, so one hot group costs no more than its
+    share. Unless ``digest`` is set, splitters are fetched while the plan is built.
     """
-    order_by, group_by = _columns(order_by), _columns(group_by)
+    order_by, group_by, before = _columns(order_by), _columns(group_by), dict(before or {})
     slices = slices or max(slice_count(df.sparkSession), 2)
     if digest:
         digits = F.conv(F.substring(order_by[0], 1, _HASH_DIGITS), 16, 10).cast("bigint")
-        parts = [F.floor(digits * slices / (16**_HASH_DIGITS))]
+        part = F.floor(digits * slices / (16**_HASH_DIGITS))
     else:
-        parts = _number_slices(df, order_by, slices)
-    slice_columns = [f"_slice{i}" for i in range(len(parts))]
+        part = slice_of(df, order_by, slices)
+    slice_no, rank, offset, size, count = free_names(df.columns, "_slice", "_rank", "_offset", "_size", "_total")
+    added = free_names(df.columns, *[f"_add_{n}" for n in before])
     # Never NULL, or the join below would evaluate each slice once more to filter on it.
-    sliced = df.withColumns({c: F.coalesce(p.cast("int"), F.lit(0)) for c, p in zip(slice_columns, parts)})
+    sliced = df.withColumns({slice_no: F.coalesce(part.cast("int"), F.lit(0)), **{a: F.coalesce(v.cast("bigint"), F.lit(0)) for a, v in zip(added, before.values())}})
 
-    keys = [*group_by, *slice_columns]
-    sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    keys = [*group_by, slice_no]
+    sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias(size), *[F.sum(a).alias(a) for a in added])
     # Ungrouped, these windows cover one row per slice; grouped, at most that many per group.
-    before = Window.partitionBy(*group_by).orderBy(*slice_columns).rowsBetween(Window.unboundedPreceding, -1)
-    all_slices = Window.partitionBy(*group_by)
+    earlier = Window.partitionBy(*group_by).orderBy(slice_no).rowsBetween(Window.unboundedPreceding, -1)
+    of = {c: f"_of_{i}" for i, c in enumerate(keys)}
+    of = dict(zip(of, free_names([*df.columns, slice_no, rank, *added], *of.values())))
+    sums = dict(zip(added, free_names([*df.columns, *added], *[f"_before_{n}" for n in before])))
     offsets = sizes.select(
-        *[F.col(c).alias(f"_of_{c}") for c in keys],
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(all_slices).alias("_total"),
+        *[F.col(c).alias(o) for c, o in of.items()],
+        F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(offset),
+        F.sum(size).over(Window.partitionBy(*group_by)).alias(count),
+        *[F.coalesce(F.sum(a).over(earlier), F.lit(0)).alias(o) for a, o in sums.items()],
     )
     if not group_by:
         offsets = F.broadcast(offsets)  # one row per slice
 
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by]))
-    same = F.lit(True)
+    inside = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    so_far = {a: F.sum(a).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(a) for a in added}
+    same = F.col(slice_no) == F.col(of[slice_no])
     for c in group_by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    for c in slice_columns:
-        same = same & (F.col(c) == F.col(f"_of_{c}"))
-    return (
-        sliced.withColumn("_rank", rank)
-        .join(offsets, same)
-        .select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("bigint").alias(name), *([F.col("_total").cast("bigint").alias(total)] if total else []))
+        same = same & F.col(c).eqNullSafe(F.col(of[c]))
+    placed = sliced.select("*", F.row_number().over(inside).alias(rank), *[v.alias(f"{a}_in") for a, v in so_far.items()]).join(offsets, same)
+    return placed.select(
+        *df.columns,
+        (F.col(offset) + F.col(rank) - 1).cast("bigint").alias(name),
+        *([F.col(count).cast("bigint").alias(total)] if total else []),
+        *[(F.col(sums[a]) + F.col(f"{a}_in")).cast("bigint").alias(n) for a, n in zip(added, before)],
     )
 
 
@@ -219,9 +186,10 @@ def first_in_group(
         order = F.col(order_by).desc() if descending else F.col(order_by).asc()
         ranked = df.withColumn("rank_in_group", F.row_number().over(Window.partitionBy(*group_by).orderBy(order)))
     else:
-        keyed = df.withColumn("_lead", -F.col(order_by) if descending else F.col(order_by))
-        placed = with_position(keyed, "_lead", group_by, name="_at").drop("_lead")
-        ranked = placed.withColumn("rank_in_group", F.col("_at") + 1).drop("_at")
+        lead, at = free_names(df.columns, "_lead", "_at")
+        keyed = df.withColumn(lead, -F.col(order_by) if descending else F.col(order_by))
+        placed = with_position(keyed, lead, group_by, name=at).drop(lead)
+        ranked = placed.withColumn("rank_in_group", F.col(at) + 1).drop(at)
     return ranked.filter(F.col("rank_in_group") <= limit)
 
 
@@ -232,7 +200,8 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column]
     hot key sends one row per task.
     """
     window = Window.partitionBy(*_columns(keys)).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+    (place,) = free_names(df.columns, "_rn")
+    return df.withColumn(place, F.row_number().over(window)).filter(F.col(place) == 1).drop(place)
 
 
 def dedup_path(df: DataFrame, order_by: str = "pos") -> DataFrame:
@@ -242,8 +211,8 @@ def dedup_path(df: DataFrame, order_by: str = "pos") -> DataFrame:
 def dedup_text(df: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """Keep the first row per caption; the digest keeps long captions out of the sort keys."""
     order = list(order) if order else [F.col("pos").asc()]
-    hashed = df.withColumn("_h", F.xxhash64("text"))
-    return keep_first(hashed, ["_h", "text"], order).drop("_h")
+    (digest,) = free_names(df.columns, "_h")
+    return keep_first(df.withColumn(digest, F.xxhash64("text")), [digest, "text"], order).drop(digest)
 
 
 def sort_descending(df: DataFrame, column: str, tie: str = "pos") -> DataFrame:
@@ -259,27 +228,67 @@ def shuffle(df: DataFrame, seed: int, key: str = "pos") -> DataFrame:
     return df.orderBy(draw_hash(seed, F.col(key)), F.col(key))
 
 
-def head(df: DataFrame, n: int, order: Sequence[Column] | None = None) -> DataFrame:
-    order = list(order) if order else [F.col("pos").asc()]
+def _ascending(df: DataFrame, column: str, descending: bool) -> list[Column] | None:
+    """Columns whose ascending order is that of ``column``, missing values last; None where there are none."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    fractional = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
+    if not descending:
+        return [value.isNull(), value]
+    if isinstance(kind, T.IntegralType):
+        return [value.isNull(), F.bitwise_not(value.cast("bigint"))]
+    if isinstance(kind, T.DateType):
+        return [value.isNull(), -F.unix_date(value)]
+    if isinstance(kind, T.TimestampType):
+        return [value.isNull(), F.bitwise_not(F.unix_micros(value))]
+    if isinstance(kind, T.NumericType):
+        # NaN is the largest number.
+        special = F.isnan(value) if fractional else F.lit(False)
+        return [F.when(value.isNull(), 2).when(special, 0).otherwise(1), F.when(~special, -value)]
+    return None
+
+
+def ascending_columns(df: DataFrame, by: Sequence[tuple[str, bool]]) -> list[Column] | None:
+    """Columns whose ascending order is that of (column, descending) pairs, missing values last; None where there are none."""
+    keys = [_ascending(df, c, down) for c, down in by]
+    return None if None in keys else [c for pair in keys for c in pair]
+
+
+def head(df: DataFrame, n: int, order: Sequence[Column] | None = None, by: Sequence[tuple[str, bool]] = (("pos", False),)) -> DataFrame:
+    """The first ``n`` rows, sorted. ``by`` lists columns that are unique together, each with whether it descends;
+    missing values come last. ``order`` sorts by expressions instead.
+
+    Fewer than ``GROUP_LIMIT`` rows are trimmed in the map tasks and gathered. More are chosen by position
+    and sorted by ranges, so that they stay in as many tasks as they fill; only texts that descend and
+    ``order`` still gather them.
+    """
+    if order is None:
+        order = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in by]
+        keys = ascending_columns(df, by)
+        if n >= GROUP_LIMIT and keys is not None:
+            *names, at = free_names(df.columns, *[f"_o{i}" for i in range(len(keys))], "_at")
+            placed = with_position(df.withColumns(dict(zip(names, keys))), names, name=at)
+            return placed.filter(F.col(at) < n).orderBy(at).drop(*names, at)
     return df.orderBy(*order).limit(n)
 
 
 def topk(df: DataFrame, column: str, k: int, tie: str = "pos") -> DataFrame:
-    return df.orderBy(F.col(column).desc_nulls_last(), F.col(tie).asc()).limit(k)
+    """The ``k`` rows of largest ``column``, missing values last, the smaller ``tie`` first among equals."""
+    return head(df, k, by=[(column, True), (tie, False)])
 
 
 def shard(df: DataFrame, shards: int, order_by: str | Sequence[str] = "pos", name: str = "shard") -> DataFrame:
     """Contiguous shards; the first ``n % shards`` are one row longer."""
-    placed = with_position(df, order_by, name="_at", total="_n")
-    small = F.floor(F.col("_n") / shards)
-    extra = F.col("_n") % shards
+    at, n = free_names(df.columns, "_at", "_n")
+    placed = with_position(df, order_by, name=at, total=n)
+    small = F.floor(F.col(n) / shards)
+    extra = F.col(n) % shards
     long_rows = extra * (small + 1)
     return placed.withColumn(
         name,
-        F.when(F.col("_at") < long_rows, F.floor(F.col("_at") / (small + 1)))
-        .otherwise(extra + F.floor((F.col("_at") - long_rows) / F.greatest(small, F.lit(1))))
+        F.when(F.col(at) < long_rows, F.floor(F.col(at) / (small + 1)))
+        .otherwise(extra + F.floor((F.col(at) - long_rows) / F.greatest(small, F.lit(1))))
         .cast("int"),
-    ).drop("_at", "_n")
+    ).drop(at, n)
 
 
 def split_random(
@@ -297,16 +306,14 @@ def split_random(
     With ``test_rest`` the test part takes every remaining row; otherwise rows beyond its share are
     labelled NULL.
     """
-    hashed = df.withColumn("_h", draw_hash(seed, F.col(key)))
-    placed = with_position(hashed, ["_h", key], name="_at", digest=True, total="_n")
-    n_train = F.floor(F.col("_n") * F.lit(train))
-    n_val = F.floor(F.col("_n") * F.lit(val))
-    n_test = F.floor(F.col("_n") * F.lit(test))
-    at = F.col("_at")
+    digest, place, n = free_names(df.columns, "_h", "_at", "_n")
+    placed = with_position(df.withColumn(digest, draw_hash(seed, F.col(key))), [digest, key], name=place, digest=True, total=n)
+    n_train, n_val, n_test = (F.floor(F.col(n) * F.lit(part)) for part in (train, val, test))
+    at = F.col(place)
     last = F.lit("test") if test_rest else F.when(at < n_train + n_val + n_test, F.lit("test"))
     return placed.withColumn(
         name, F.when(at < n_train, F.lit("train")).when(at < n_train + n_val, F.lit("val")).otherwise(last)
-    ).drop("_h", "_at", "_n")
+    ).drop(digest, place, n)
 
 
 def assign_rank_strided(
@@ -322,39 +329,37 @@ def assign_rank_strided(
     ``pad='wrap'`` repeats leading rows until all ranks hold the same number, ``'drop'`` trims the
     tail, ``'none'`` leaves ranks uneven. ``start_index`` skips rows each rank already consumed.
     """
-    placed = with_position(df, order_by, name="_at")
-    total = df.count() if total is None else total
+    if pad not in ("wrap", "drop", "none"):
+        raise ValueError(f"unknown pad {pad!r}")
+    at, n = free_names(df.columns, "_at", "_n")
+    placed = with_position(df, order_by, name=at, total=n)
+    rows, place = F.col(n) if total is None else F.lit(total).cast("bigint"), F.col(at)
     if pad == "wrap":
-        missing = -total % ranks
-        parts = [placed]
-        while missing > 0 and total > 0:
-            # Fewer than `ranks` rows in all; several passes only when there are fewer rows than ranks.
-            take = min(missing, total)
-            at = total + (-total % ranks - missing)
-            parts.append(placed.filter(F.col("_at") < take).withColumn("_at", F.col("_at") + at))
-            missing -= take
-        for part in parts[1:]:
-            placed = placed.unionByName(part)
+        # With the rows missing to a multiple of the ranks, the first ones come again, and yet again where
+        # there are fewer rows than ranks.
+        missing = F.pmod(-rows, F.lit(ranks))
+        again = F.ceil((missing - place) / F.greatest(rows, F.lit(1))).cast("int")
+        times = F.sequence(F.lit(0), F.greatest(again, F.lit(0)))
+        placed = placed.select(*df.columns, F.explode(F.transform(times, lambda k: place + k * rows)).alias(at))
     elif pad == "drop":
-        placed = placed.filter(F.col("_at") < total - total % ranks)
-    elif pad != "none":
-        raise ValueError(f"unknown pad {pad!r}")
+        placed = placed.filter(place < rows - rows % ranks)
     out = placed.select(
         *df.columns,
-        (F.col("_at") % ranks).cast("int").alias("rank"),
-        F.floor(F.col("_at") / ranks).cast("bigint").alias("rank_index"),
+        (place % ranks).cast("int").alias("rank"),
+        F.floor(place / ranks).cast("bigint").alias("rank_index"),
     )
     return out.filter(F.col("rank_index") >= start_index) if start_index else out
 
 
 def assign_rank_blocked(df: DataFrame, ranks: int, order_by: str | Sequence[str] = "pos") -> DataFrame:
     """Contiguous blocks of floor(N / ranks) rows; the last rank takes the rest."""
-    placed = with_position(df, order_by, name="_at", total="_n")
-    block = F.floor(F.col("_n") / ranks)
+    at, n = free_names(df.columns, "_at", "_n")
+    placed = with_position(df, order_by, name=at, total=n)
+    block = F.floor(F.col(n) / ranks)
     rank = F.when(block == 0, F.lit(ranks - 1)).otherwise(
-        F.least(F.floor(F.col("_at") / F.greatest(block, F.lit(1))), F.lit(ranks - 1))
+        F.least(F.floor(F.col(at) / F.greatest(block, F.lit(1))), F.lit(ranks - 1))
     )
-    return placed.withColumn("rank", rank.cast("int")).drop("_at", "_n")
+    return placed.withColumn("rank", rank.cast("int")).drop(at, n)
 
 
 def assign_buffer_rank(
@@ -364,9 +369,10 @@ def assign_buffer_rank(
 
     Buffers beyond a multiple of ``ranks`` and a trailing partial buffer get no rank.
     """
-    placed = with_position(df, order_by, name="_at", total="_n")
-    per_rank = F.floor(F.floor(F.col("_n") / buffer_length) / ranks)
-    buffer = F.floor(F.col("_at") / buffer_length)
+    at, n = free_names(df.columns, "_at", "_n")
+    placed = with_position(df, order_by, name=at, total=n)
+    per_rank = F.floor(F.floor(F.col(n) / buffer_length) / ranks)
+    buffer = F.floor(F.col(at) / buffer_length)
     rank = F.when(buffer < per_rank * ranks, F.floor(buffer / F.greatest(per_rank, F.lit(1))))
     return placed.select(*df.columns, buffer.cast("bigint").alias("buffer"), rank.cast("int").alias("rank"))
 
@@ -375,12 +381,13 @@ def slice_rows(
     df: DataFrame, start: int | None, end: int | None, order_by: str | Sequence[str] = "pos", total: int | None = None
 ) -> DataFrame:
     """Rows [start, end) in order; negative bounds count from the end as in a Python slice."""
-    if (start is not None and start < 0) or (end is not None and end < 0):
-        start, end, _ = slice(start, end).indices(df.count() if total is None else total)
-    placed = with_position(df, order_by, name="_at")
+    at, n = free_names(df.columns, "_at", "_n")
+    placed = with_position(df, order_by, name=at, total=n)
+    rows = F.col(n) if total is None else F.lit(total).cast("bigint")
+    bound = lambda edge: F.lit(edge) if edge >= 0 else rows + edge
     keep = F.lit(True)
     if start is not None:
-        keep = keep & (F.col("_at") >= start)
+        keep = keep & (F.col(at) >= bound(start))
     if end is not None:
-        keep = keep & (F.col("_at") < end)
-    return placed.filter(keep).drop("_at")
+        keep = keep & (F.col(at) < bound(end))
+    return placed.filter(keep).drop(at, n)

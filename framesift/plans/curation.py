@@ -13,12 +13,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from framesift.functions import captions as text_fn
 from framesift.functions import paths as path_fn
 from framesift.functions.rng import draw_hash
 from framesift.operators import captions, filters, joins, language, media, ordering
+from framesift.schema import free_names
 from framesift.sources.documents import load_sidecar_caption
 
 
@@ -29,10 +29,14 @@ class Context:
     key: str
     seed: int
     order: list[Column] = field(default_factory=list)
+    # The same order as (column, descending) pairs, unless shuffled.
+    by: list[tuple[str, bool]] = field(default_factory=list)
     sorted: bool = False
+    shuffled: bool = False
 
     def __post_init__(self):
         self.order = self.order or [F.col(self.key).asc()]
+        self.by = self.by or [(self.key, False)]
 
 
 def _column(name: str, make: Callable[..., Column]) -> Callable:
@@ -61,6 +65,7 @@ def _sort(descending: bool) -> Callable:
     def run(df: DataFrame, column: str, ctx: Context) -> DataFrame:
         first = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
         ctx.order = [first, *ctx.order]
+        ctx.by = [(column, descending), *ctx.by]
         ctx.sorted = True
         return df
 
@@ -69,12 +74,16 @@ def _sort(descending: bool) -> Callable:
 
 def _shuffle(df: DataFrame, arg, ctx: Context) -> DataFrame:
     ctx.order = [draw_hash(ctx.seed, F.col(ctx.key)), F.col(ctx.key)]
-    ctx.sorted = True
+    ctx.shuffled = ctx.sorted = True
     return df
 
 
 def _head(df: DataFrame, n: int, ctx: Context) -> DataFrame:
-    return ordering.head(df, n, ctx.order)
+    if not ctx.shuffled:
+        return ordering.head(df, n, by=ctx.by)
+    (digest,) = free_names(df.columns, "_h")
+    drawn = df.withColumn(digest, draw_hash(ctx.seed, F.col(ctx.key)))
+    return ordering.head(drawn, n, by=[(digest, False), (ctx.key, False)]).drop(digest)
 
 
 # Stage name -> operator, in the order of execution.
@@ -155,17 +164,16 @@ def _sharded(df: DataFrame, active: dict, ctx: Context) -> DataFrame:
     """Cut rows, in their final order, into contiguous shards."""
     if "min_frame" in active:
         df = filters.frames_min(df, active["min_frame"])
-    if "shuffle" in active:
-        df = df.withColumn("_h", draw_hash(ctx.seed, F.col(ctx.key)))
-        df = ordering.shard(df, active["shard"], ["_h", ctx.key]).drop("_h")
+    if ctx.shuffled:
+        (digest,) = free_names(df.columns, "_h")
+        df = df.withColumn(digest, draw_hash(ctx.seed, F.col(ctx.key)))
+        df = ordering.shard(df, active["shard"], [digest, ctx.key]).drop(digest)
     elif ctx.sorted:
-        # One sort column with the row key behind it: the rank of a row decides its shard.
-        name = active.get("sort") or active.get("sort_ascending")
-        if not isinstance(df.schema[name].dataType, NumericType):
-            raise ValueError(f"sharding a sorted table needs a numeric sort column, not {name}")
-        value = F.coalesce(F.col(name).cast("double"), F.lit(float("-inf") if active.get("sort") else float("inf")))
-        df = df.withColumn("_v", -value if active.get("sort") else value)
-        df = ordering.shard(df, active["shard"], ["_v", ctx.key]).drop("_v")
+        keys = ordering.ascending_columns(df, ctx.by)
+        if keys is None:
+            raise ValueError(f"cannot shard by texts in descending order: {ctx.by}")
+        names = free_names(df.columns, *[f"_o{i}" for i in range(len(keys))])
+        df = ordering.shard(df.withColumns(dict(zip(names, keys))), active["shard"], names).drop(*names)
     else:
         df = ordering.shard(df, active["shard"], ctx.key)
     if "train_column" in active:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,3 +76,14 @@ def conform(df: DataFrame) -> DataFrame:
 def present(column: Column) -> Column:
     """Neither NULL nor NaN."""
     return column.isNotNull() & ~F.isnan(column)
+
+
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones for helper columns, different from each other and from those a table has."""
+    taken, names = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        names.append(name)
+    return names

@@ -40,8 +40,8 @@ def test_a_common_leading_value_is_cut_by_the_next_column(spark, common):
     got = ordering.with_position(df, ["v", "pos"], slices=16).collect()
     want = sorted(got, key=lambda r: (r["v"] is not None, r["v"] or 0, r["pos"]))
     assert [r["position"] for r in want] == list(range(900))
-    parts = df.withColumns({f"s{i}": c for i, c in enumerate(ordering._number_slices(df, ["v", "pos"], 16))})
-    assert parts.groupBy("s0", "s1").count().agg(F.max("count")).first()[0] < 150
+    parts = df.withColumn("s", ordering.slice_of(df, ["v", "pos"], 16))
+    assert parts.groupBy("s").count().agg(F.max("count")).first()[0] < 2 * 900 / 16
 
 
 def test_large_whole_numbers_that_share_a_double(spark):
@@ -169,11 +169,57 @@ def test_positions_of_texts_dates_and_flags(spark):
 
 def test_slices_follow_the_varied_columns_and_stay_few(spark):
     df = spark.range(20_000).select(F.lit(0).alias("_src"), F.lit("a.csv").alias("_file"), F.col("id").alias("_row"), (F.col("id") % 100).alias("v"))
-    parts = ordering._number_slices(df, ["_src", "_file", "_row"], 32)
-    assert df.select(*parts).distinct().count() >= 30
-    parts = ordering._number_slices(df, ["v", "_row"], 256)
-    used = df.select(*[p.alias(f"s{i}") for i, p in enumerate(parts)]).groupBy(*[f"s{i}" for i in range(len(parts))]).count()
-    assert used.count() <= 2 * 256 and used.agg(F.max("count")).first()[0] <= 300
+    for order_by, slices in ((["_src", "_file", "_row"], 32), (["v", "_row"], 256)):
+        used = df.select(ordering.slice_of(df, order_by, slices).alias("s")).groupBy("s").count()
+        assert used.count() == slices and used.agg(F.max("count")).first()[0] <= 2 * 20_000 / slices
+
+
+def test_slices_of_paths_without_a_common_prefix(spark):
+    host = F.element_at(F.array(*[F.lit(h) for h in ("s3://a/", "s3://a/", "s3://a/b/", "https://x.org/é/", "/")]), (F.col("id") % 5 + 1).cast("int"))
+    df = spark.range(20_000).select(F.concat(host, F.lit("clips/"), F.col("id").cast("string")).alias("path")).union(spark.createDataFrame([("~odd",), (None,)], "path string"))
+    used = df.select(ordering.slice_of(df, ["path"], 32).alias("s")).groupBy("s").count()
+    assert used.count() == 32 and used.agg(F.max("count")).first()[0] < 2 * 20_002 / 32
+    got = [r["path"] for r in ordering.with_position(df, "path").orderBy("position").collect()]
+    assert got == sorted(got, key=lambda p: (p or "").encode())
+
+
+def test_sums_before_each_row(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("pos"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 > 0, F.col("id") % 11).alias("size"))
+    for group_by in ([], ["g"]):
+        sums = {}
+        for r in ordering.with_position(df, "pos", group_by, before={"sum": F.col("size")}, slices=9).orderBy("pos").collect():
+            group = r["g"] if group_by else None
+            assert r["sum"] == sums.get(group, 0)
+            sums[group] = sums.get(group, 0) + (r["size"] or 0)
+
+
+@pytest.mark.parametrize("kind", ["double", "int", "date", "timestamp", "decimal(9,1)", "boolean"])
+@pytest.mark.parametrize("n", [7, 1500])
+def test_many_first_rows_are_those_of_a_sort(spark, kind, n):
+    value = F.when(F.col("id") % 6 > 0, F.col("id") * 7919 % 50)
+    value = {"date": F.date_add(F.lit("2024-01-01").cast("date"), value.cast("int")), "timestamp": F.timestamp_seconds(value), "boolean": value > 20}.get(kind, value.cast(kind))
+    if kind == "double":
+        value = F.when(F.col("id") % 17 == 1, F.lit(float("nan"))).otherwise(value)
+    df = spark.range(2500).select(F.col("id").alias("pos"), value.alias("v"), F.lit("own").alias("_o0"), F.lit("own").alias("_at"))
+    by = [("v", kind != "boolean"), ("pos", False)]
+    order = [F.col("v").desc_nulls_last() if by[0][1] else F.col("v").asc_nulls_last(), F.col("pos")]
+    want = list(map(str, df.orderBy(*order).limit(n).collect()))
+    got = ordering.head(df, n, by=by)
+    assert list(map(str, got.collect())) == want
+    if n > 1000:
+        assert "Limit" not in plan_of(got)
+
+
+def test_helper_columns_leave_the_callers_alone(spark):
+    own = ["_h", "_rn", "_at", "_n", "_slice", "_rank", "_offset", "_size", "_total", "_lead", "_of_0", "_v"]
+    df = spark.range(60).select(F.col("id").alias("pos"), (F.col("id") % 9).cast("string").alias("text"), F.lit("p").alias("path"), *[F.lit(c).alias(c) for c in own])
+    for got in (
+        ordering.dedup_text(df), ordering.dedup_path(df), ordering.with_position(df, "pos", total="all", before={"sum": F.col("pos")}), ordering.with_position(df, "pos", "text"),
+        ordering.shard(df, 3), ordering.split_random(df), ordering.assign_rank_strided(df, 7), ordering.assign_rank_blocked(df, 7),
+        ordering.assign_buffer_rank(df, 2, 5), ordering.slice_rows(df, -9, None), ordering.first_in_group(df, ["text"], "pos", 1500), ordering.topk(df, "pos", 1500),
+    ):
+        row = got.first()
+        assert all(row[c] == c for c in own)
 
 
 def test_sharding_reads_its_input_twice_at_most(spark, tmp_path):

@@ -155,24 +155,49 @@ def sequential(sizes, max_lines, max_bytes):
     return out
 
 
+def filled(sizes, max_lines, max_bytes):
+    """Parts filled line by line."""
+    part, lines, used, out = 1, 0, 0, []
+    for size in sizes:
+        if lines >= max_lines or used + size > max_bytes:
+            part, lines, used = part + 1, 0, 0
+        lines, used = lines + 1, used + size
+        out.append(part)
+    return out
+
+
 def test_chunks(spark, tmp_path):
     texts = ["é" * (i * 37 % 50) for i in range(300)]
     df = spark.createDataFrame(list(enumerate(texts)), "at int, value string").repartition(5)
     sizes = [len(t.encode()) + 1 for t in texts]
-    want, used = [], 0
-    for k, size in enumerate(sizes):
-        want.append(k // 20 + used // 700 + (used + size - 1) // 700)
-        used += size
-    for slices in (1, 4, 64):
+    want = filled(sizes, 20, 700)
+    for slices in (1, 64):
         got = jsonl.assign_chunks(df, "at", 20, 700, slices=slices).orderBy("at").collect()
         assert [r["part"] for r in got] == want
-    parts = {}
-    for part, size in zip(want, sizes):
-        parts.setdefault(part, []).append(size)
-    assert all(len(p) <= 20 and (sum(p) <= 700 or len(p) == 1) for p in parts.values())
     jsonl.write_jsonl_chunks(df, str(tmp_path / "out"), "at", max_lines=20, max_bytes=700)
-    first = sorted(f for f in (tmp_path / "out" / "part=0").iterdir() if f.suffix == ".txt")
-    assert [x for f in first for x in f.read_text().splitlines()] == texts[: want.count(0)]
+    for part in (1, 2, want[-1]):
+        files = [f for f in (tmp_path / "out" / f"part={part}").iterdir() if f.suffix == ".txt"]
+        assert [x for f in files for x in f.read_text().splitlines()] == [t for t, p in zip(texts, want) if p == part] and len(files) == 1
+
+
+@pytest.mark.parametrize(
+    ("lengths", "max_lines", "max_bytes"),
+    [
+        ([5] * 400, 7, 10_000),  # lines alone
+        ([i * 7919 % 90 for i in range(900)], 10_000, 100),  # bytes alone, many spans
+        ([900, 3, 900, 900, 3, 3, 5000, 1] * 20, 4, 500),  # lines beyond the limit and beyond spans
+        ([0] * 50, 1, 1),
+        ([3], 5, 100),
+    ],
+)
+def test_chunks_are_filled_in_order(spark, lengths, max_lines, max_bytes):
+    df = spark.createDataFrame([(f"k{i:05d}", "x" * n if n else None) for i, n in enumerate(lengths)], "at string, value string").repartition(3)
+    got = jsonl.assign_chunks(df, "at", max_lines, max_bytes, slices=5).orderBy("at").collect()
+    assert [r["part"] for r in got] == filled([n + 1 for n in lengths], max_lines, max_bytes)
+
+
+def test_chunks_of_nothing(spark):
+    assert jsonl.assign_chunks(spark.createDataFrame([], "at int, value string"), "at").collect() == []
 
 
 def test_bins(spark, tmp_path, rows):
