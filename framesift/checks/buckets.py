@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framesift.checks.registry import query
-from framesift.checks.sqltext import draw, uniform
+from framesift.checks.sqltext import permutation_key, permuted, uniform
 from framesift.functions.aspect import PIXELS, sizes
 from framesift.functions.rng import uniform as spark_uniform
 from framesift.operators import buckets
@@ -103,34 +103,22 @@ def b5(t):
 def plan_sql(replicas: int, shuffle: bool, drop_last: bool, repeat: bool = False, seed: int = 0, start: int = 0) -> str:
     """The batch plan as one statement with global windows."""
     bucket = "res, t, ar"
-    order_j = f"{draw(seed, 'pos', 'CAST(copy AS VARCHAR)')}, pos, copy" if shuffle else "copy, pos"
-    name = "concat_ws('/', res, CAST(t AS VARCHAR), ar, CAST(k AS VARCHAR))"
-    h = draw(seed, name)
-    order_p = "h, res, t, ar, k" if shuffle else "first_at, k"
-    extra = (
-        "SELECT * FROM acc WHERE false"
-        if drop_last
-        else f"SELECT * FROM acc WHERE total % {replicas} > 0 AND p < {replicas} - total % {replicas}"
-    )
+    place = permuted("spot", "kept", permutation_key(seed, "res", "t", "ar")) if shuffle else "spot"
+    visit = permuted("q", "total", permutation_key(seed)) if shuffle else "q"
+    missing = "0" if drop_last else f"CASE WHEN total % {replicas} > 0 THEN least({replicas} - total % {replicas}, total) ELSE 0 END"
     return f"""WITH b AS ({bucketed_sql(seed=seed)}),
-      s AS (SELECT *, count(*) OVER (PARTITION BY {bucket}) AS n, row_number() OVER (PARTITION BY {bucket} ORDER BY pos) AS rn,
-            row_number() OVER (PARTITION BY {bucket} ORDER BY pos DESC) AS rd, min(pos) OVER (PARTITION BY {bucket}) AS first_at FROM b),
-      p AS (SELECT *, 0 AS copy FROM s {f"WHERE rd > n % batch_size" if drop_last else ""}
-            {"" if drop_last else "UNION ALL SELECT *, 1 FROM s WHERE n % batch_size > 0 AND rn <= batch_size - n % batch_size"}),
-      j AS (SELECT *, row_number() OVER (PARTITION BY {bucket} ORDER BY {order_j}) - 1 AS j,
-            count(*) OVER (PARTITION BY {bucket}) // batch_size AS full_batches FROM p),
-      cut AS (SELECT *, j // batch_size AS k, j % batch_size AS batch_index FROM j WHERE j // batch_size < full_batches),
-      raw AS (SELECT {bucket}, bucket_h, bucket_w, k, first_at, {h} AS h FROM cut WHERE batch_index = 0),
-      placed AS (SELECT *, row_number() OVER (ORDER BY {order_p}) - 1 AS p, count(*) OVER () AS total FROM raw),
-      acc AS (SELECT {bucket}, bucket_h, bucket_w, row_number() OVER (PARTITION BY {bucket} ORDER BY p) - 1 AS k, p, total, false AS empty FROM placed),
-      more AS (SELECT {bucket}, bucket_h, bucket_w, row_number() OVER (PARTITION BY {bucket} ORDER BY p) - 1 AS k, p + total AS p, total, {str(not repeat).lower()} AS empty
-               FROM ({extra})),
-      every AS (SELECT * FROM acc UNION ALL SELECT * FROM more),
-      dealt AS (SELECT *, p // {replicas} AS step, p % {replicas} AS rank FROM every
-                WHERE p // {replicas} < (SELECT count(*) FROM every) // {replicas} AND p // {replicas} >= {start // replicas})
-      SELECT CAST(d.step AS BIGINT) AS step, CAST(d.rank AS INT) AS rank, d.res, CAST(d.t AS INT) AS t, d.ar, CAST(d.bucket_h AS INT) AS bucket_h,
-        CAST(d.bucket_w AS INT) AS bucket_w, CAST(c.batch_index AS INT) AS batch_index, c.pos
-      FROM dealt d LEFT JOIN cut c ON NOT d.empty AND c.res = d.res AND c.t = d.t AND c.ar = d.ar AND c.k = d.k"""
+      s AS (SELECT *, count(*) OVER (PARTITION BY {bucket}) AS n, row_number() OVER (PARTITION BY {bucket} ORDER BY pos) - 1 AS at0, min(pos) OVER (PARTITION BY {bucket}) AS first_at FROM b),
+      p AS (SELECT *, at0 AS spot FROM s {"WHERE at0 < n - n % batch_size" if drop_last else "UNION ALL SELECT *, n + at0 FROM s WHERE n % batch_size > 0 AND at0 < batch_size - n % batch_size"}),
+      c AS (SELECT *, count(*) OVER (PARTITION BY {bucket}) AS kept FROM p),
+      j AS (SELECT *, kept // batch_size AS full_batches, {place} AS place FROM c),
+      totals AS (SELECT {bucket}, any_value(full_batches) AS f, any_value(first_at) AS o FROM j GROUP BY ALL),
+      turns AS (SELECT {bucket}, coalesce(sum(f) OVER (ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before, (sum(f) OVER ())::BIGINT AS total FROM totals),
+      k AS (SELECT j.*, place // batch_size + before AS q, place % batch_size AS i, total FROM j JOIN turns USING ({bucket}) WHERE place // batch_size < full_batches),
+      v AS (SELECT *, {visit} AS p, {missing} AS missing FROM k),
+      every AS (SELECT *, p AS at_visit, false AS empty FROM v UNION ALL SELECT *, p + total, {str(not repeat).lower()} FROM v WHERE p < missing)
+      SELECT CAST(at_visit // {replicas} AS BIGINT) AS step, CAST(at_visit % {replicas} AS INT) AS rank, res, CAST(t AS INT) AS t, ar, CAST(bucket_h AS INT) AS bucket_h,
+        CAST(bucket_w AS INT) AS bucket_w, CASE WHEN NOT empty THEN CAST(i AS INT) END AS batch_index, CASE WHEN NOT empty THEN pos END AS pos
+      FROM every WHERE (NOT empty OR i = 0) AND at_visit // {replicas} < (total + missing) // {replicas} AND at_visit // {replicas} >= {start // replicas}"""
 
 
 def _plan(t, seed=0, **options):

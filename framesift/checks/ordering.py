@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framesift.checks.registry import query
-from framesift.checks.sqltext import draw
+from framesift.checks.sqltext import draw, permutation_key, permuted
 from framesift.operators import ordering
 
 _SHOW = ["pos", "path"]
@@ -45,12 +45,12 @@ def o3a(t):
     return ordering.sort_ascending(t.media, "aes").select("pos", "path", "aes")
 
 
-@query("O4_shuffle", f"SELECT row_number() OVER (ORDER BY {draw(42, 'pos')}, pos) - 1 AS place, pos FROM media")
-def o4(t):
-    from framesift.functions.rng import draw_hash
+_SHUFFLED = f"SELECT pos, path, n, {permuted('i', 'n', permutation_key(42))} AS place FROM (SELECT pos, path, row_number() OVER (ORDER BY pos) - 1 AS i, count(*) OVER () AS n FROM media)"
+
 
-    hashed = t.media.select("pos", draw_hash(42, F.col("pos")).alias("h"))
-    return ordering.with_position(hashed, ["h", "pos"], name="place", digest=True).select("place", "pos")
+@query("O4_shuffle", f"SELECT place, pos FROM ({_SHUFFLED})")
+def o4(t):
+    return ordering.shuffle_position(t.media.select("pos"), 42, name="place").select("place", "pos")
 
 
 @query("O4_shuffle_head", f"SELECT pos, path FROM media ORDER BY {draw(42, 'pos')}, pos LIMIT 100")
@@ -89,8 +89,7 @@ def o6_big(t):
 
 @query(
     "O7_split_random",
-    f"""WITH p AS (SELECT pos, path, row_number() OVER (ORDER BY {draw(42, 'pos')}, pos) - 1 AS i, count(*) OVER () AS n FROM media)
-        SELECT pos, path, CASE WHEN i < floor(n * 0.07::DOUBLE) THEN 'train' WHEN i < floor(n * 0.07::DOUBLE) + floor(n * 0.015::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM p""",
+    f"SELECT pos, path, CASE WHEN place < floor(n * 0.07::DOUBLE) THEN 'train' WHEN place < floor(n * 0.07::DOUBLE) + floor(n * 0.015::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM ({_SHUFFLED})",
 )
 def o7(t):
     return ordering.split_random(t.media).select("pos", "path", "split")

@@ -11,12 +11,14 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import cache, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framesift.functions.aspect import PIXELS, sizes
-from framesift.functions.rng import draw_hash, uniform
+from framesift.functions.permute import permutation_key, permute
+from framesift.functions.rng import uniform
 from framesift.operators.ordering import first_in_group, with_position
+from framesift.schema import free_names
 from framesift.session import compute_once, materialise
 
 BUCKET = ["res", "t", "ar"]
@@ -285,58 +287,16 @@ class _Plan:
         for r in sorted(grouped.collect(), key=lambda r: r["first"]):
             batch = batch_of[r["res"], r["t"]]
             rest = r["n"] % batch
-            spare = 0 if drop_last or rest == 0 else batch - rest
-            kept = r["n"] - rest if drop_last else r["n"] + min(spare, r["n"])
+            # Either the last rows go, or the first ones come once more.
+            kept = r["n"] - rest if drop_last or rest == 0 else r["n"] + min(batch - rest, r["n"])
             # A bucket smaller than its padding still falls short of a batch, which is left out.
             full = kept // batch
-            self.rows.append((r["res"], r["t"], r["ar"], batch, r["n"], rest, spare, full, self.total))
+            self.rows.append((r["res"], r["t"], r["ar"], batch, r["n"], kept, full, self.total))
             self.total += full
-        self.max_batch = max((r[3] for r in self.rows), default=1)
 
-    def table(self, *columns: str) -> DataFrame:
-        schema = (
-            "res string, t int, ar string, _batch int, _size bigint, _rest int, _spare int, _full bigint, _before bigint"
-        )
-        return F.broadcast(self.spark.createDataFrame(self.rows, schema).select(*BUCKET, *columns))
-
-
-def _even_out(rows: DataFrame, plan: _Plan, order_by: str, drop_last: bool) -> DataFrame:
-    """Make every bucket's size a multiple of its batch size.
-
-    Either the last rows go, or the first rows appear once more (``_copy`` 1). Both concern fewer
-    rows than one batch per bucket, which bounds the broadcast.
-    """
-    edge = first_in_group(rows, BUCKET, order_by, plan.max_batch - 1, descending=drop_last)
-    edge = edge.join(plan.table("_rest", "_spare"), BUCKET)
-    edge = edge.filter("rank_in_group <= _rest" if drop_last else "rank_in_group <= _spare")
-    rows = rows.withColumn("_copy", F.lit(0))
-    if drop_last:
-        return rows.join(F.broadcast(edge.select(*BUCKET, order_by)), [*BUCKET, order_by], "left_anti")
-    return rows.unionByName(edge.select(*BUCKET, order_by, F.lit(1).alias("_copy")))
-
-
-def _place_in_bucket(rows: DataFrame, plan: _Plan, order_by: str, shuffle: bool, seed: int) -> DataFrame:
-    """Position ``_j`` of each row in its bucket."""
-    if shuffle:
-        hashed = rows.withColumn("_h", draw_hash(seed, F.col(order_by), F.col("_copy").cast("string")))
-        return with_position(hashed, ["_h", order_by, "_copy"], BUCKET, name="_j", digest=True).drop("_h")
-    own = with_position(rows.filter("_copy = 0"), order_by, BUCKET, name="_j")
-    window = Window.partitionBy(*BUCKET).orderBy(order_by)  # fewer rows than a batch
-    copies = rows.filter("_copy = 1").withColumn("_n", F.row_number().over(window))
-    copies = copies.join(plan.table("_size"), BUCKET).withColumn("_j", F.col("_size") + F.col("_n") - 1)
-    return own.unionByName(copies.select(own.columns))
-
-
-def _place_batches(batches: DataFrame, plan: _Plan, shuffle: bool, seed: int) -> DataFrame:
-    """Global position ``_p`` of each micro-batch; a bucket's micro-batches come in the order of k."""
-    if not shuffle:
-        return batches.join(plan.table("_before"), BUCKET).select(
-            *BUCKET, "_k", (F.col("_before") + F.col("_k")).alias("_p")
-        )
-    hashed = batches.withColumn("_h", draw_hash(seed, F.concat_ws("/", *BUCKET, "_k")))
-    placed = materialise(with_position(hashed, ["_h", *BUCKET, "_k"], name="_p", digest=True), "batch-order")
-    # The i-th visit to a bucket takes its i-th micro-batch, whichever pair was drawn there.
-    return with_position(placed.drop("_k"), ["_h", "_p"], BUCKET, name="_k", digest=True).drop("_h")
+    def table(self) -> DataFrame:
+        schema = "res string, t int, ar string, _batch int, _size bigint, _kept bigint, _full bigint, _before bigint"
+        return F.broadcast(self.spark.createDataFrame(self.rows, schema))
 
 
 def plan_batches(
@@ -353,49 +313,50 @@ def plan_batches(
 ) -> DataFrame:
     """(step, rank, bucket, frame size, batch_index, row key) for one epoch; ``order_by`` is unique.
 
-    Rows are placed inside their bucket and cut into micro-batches; micro-batches are placed in one
-    global order and dealt to the ranks step by step. Micro-batches added to fill the last step find
-    their bucket used up and stay empty (one row with a NULL key), unless ``repeat_on_pad`` starts
-    the bucket over. ``start`` skips the steps that cover micro-batches already consumed.
+    Rows are numbered inside their bucket; a permutation of those numbers keyed by seed, epoch and bucket
+    shuffles them, and they are cut into micro-batches. Micro-batches, numbered bucket by bucket, are put
+    in one global order by another permutation and dealt to the ranks step by step. Micro-batches added to
+    fill the last step find their bucket used up and stay empty (one row with a NULL key), unless
+    ``repeat_on_pad`` gives those of the first visits again. ``start`` skips the steps that cover
+    micro-batches already consumed: each row tells its own step, so only rows of the steps left are given out.
 
-    Two narrow tables are written to the shared folder on the way, bucket assignment and placed rows,
-    since several later stages start from each.
+    The bucket assignment, one narrow table, is written to the shared folder on the way, since counting and
+    numbering both start from it; everything after the numbering is arithmetic on each row.
     """
     draw_seed = seed + epoch
     bucketed = materialise(in_bucket(bucketed).select(*BUCKET, order_by), "bucketed")
     plan = _Plan(bucketed, config, drop_last, order_by)
-    rows = _even_out(bucketed, plan, order_by, drop_last)
-    rows = _place_in_bucket(rows, plan, order_by, shuffle, draw_seed).join(plan.table("_batch", "_full"), BUCKET)
-    cut = rows.select(
-        *BUCKET,
-        order_by,
-        F.floor(F.col("_j") / F.col("_batch")).alias("_k"),
-        (F.col("_j") % F.col("_batch")).cast("int").alias("batch_index"),
-        "_full",
-    )
-    cut = materialise(cut.filter("_k < _full").drop("_full"), "placed-rows")
+    c = F.col
+    at, place, visit = free_names([order_by, *BUCKET], "_at", "_place", "_visit")
+    rows = with_position(bucketed, order_by, BUCKET, name=at).join(plan.table(), BUCKET)
+    copies = F.array_compact(F.array(c(at), F.when(c(at) + c("_size") < c("_kept"), c(at) + c("_size"))))
+    rows = rows.withColumn(at, F.explode(copies)).filter(c(at) < c("_kept"))
+    if shuffle:
+        rows = permute(rows, place, c(at), c("_kept"), permutation_key(draw_seed, *[c(b) for b in BUCKET]))
+    else:
+        rows = rows.withColumn(place, c(at))
+    rows = rows.withColumn("_k", F.expr(f"`{place}` div _batch")).filter("_k < _full")
+    if shuffle:
+        rows = permute(rows, visit, c("_before") + c("_k"), F.lit(plan.total), permutation_key(draw_seed))
+    else:
+        rows = rows.withColumn(visit, c("_before") + c("_k"))
 
-    batches = cut.filter("batch_index = 0").select(*BUCKET, "_k")
-    placed = _place_batches(batches, plan, shuffle, draw_seed).withColumn("_empty", F.lit(False))
     uneven = plan.total % replicas
-    steps = plan.total // replicas
-    if uneven and not drop_last:
-        # The first micro-batches are visited again: fewer than `replicas` of them.
-        again = placed.filter(F.col("_p") < min(replicas - uneven, plan.total))
-        visit = F.row_number().over(Window.partitionBy(*BUCKET).orderBy("_p")).cast("bigint") - 1
-        again = again.withColumn("_k", visit).withColumn("_p", F.col("_p") + plan.total)
-        placed = placed.unionByName(again.withColumn("_empty", F.lit(not repeat_on_pad)))
-        steps = (plan.total + min(replicas - uneven, plan.total)) // replicas
-    step = F.floor(F.col("_p") / replicas)
-    dealt = placed.filter((step < steps) & (step >= start // replicas)).select(
-        *BUCKET, "_k", "_empty", step.alias("step"), (F.col("_p") % replicas).cast("int").alias("rank")
+    # To fill the last step, the first micro-batches are visited again: fewer than `replicas` of them.
+    missing = min(replicas - uneven, plan.total) if uneven and not drop_last else 0
+    steps = (plan.total + missing) // replicas
+    visits = F.array_compact(F.array(c(visit), F.when(c(visit) < missing, c(visit) + plan.total)))
+    dealt = rows.withColumn(visit, F.explode(visits))
+    dealt = dealt.withColumn("step", F.expr(f"`{visit}` div {replicas}")).filter((c("step") < steps) & (c("step") >= start // replicas))
+    index = (c(place) % c("_batch")).cast("int")
+    empty = (c(visit) >= plan.total) & F.lit(not repeat_on_pad)
+    planned = dealt.filter(~empty | (index == 0)).select(
+        "step",
+        (c(visit) % replicas).cast("int").alias("rank"),
+        *BUCKET,
+        F.when(~empty, index).alias("batch_index"),
+        F.when(~empty, c(order_by)).alias(order_by),
     )
-    filled = dealt.filter(~F.col("_empty")).join(cut, [*BUCKET, "_k"])
-    if not (uneven and not drop_last and not repeat_on_pad):
-        planned = filled
-    else:
-        nothing = {"batch_index": F.lit(None).cast("int"), order_by: F.lit(None).cast(bucketed.schema[order_by].dataType)}
-        planned = filled.unionByName(dealt.filter("_empty").withColumns(nothing))
     return with_bucket_size(planned, config).select(
         "step", "rank", *BUCKET, "bucket_h", "bucket_w", "batch_index", order_by
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framesift.functions.permute import permutation_key, permute
 from framesift.functions.rng import draw_hash
 from framesift.schema import free_names
 from framesift.session import shuffle_width
@@ -69,7 +70,9 @@ _PLACEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.
 
 
 def _key(order_by: Sequence[str]) -> Column:
-    """The composite key as one value; its order is that of its columns, missing values first."""
+    """The key as one value; its order is that of its columns, missing values first."""
+    if len(order_by) == 1:
+        return F.col(order_by[0])
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
 
 
@@ -90,7 +93,7 @@ def slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
     sample = keys.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * float(1 << 30))
     ordered = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
     at = F.transform(F.sequence(F.lit(1), F.lit(slices - 1)), lambda i: F.floor(i * F.size("keys") / slices).cast("int"))
-    even = F.array_distinct(F.transform(at, lambda i: F.get("keys", i)))
+    even = F.array_distinct(F.array_compact(F.transform(at, lambda i: F.get("keys", i))))
     found = ordered.select(F.to_json(F.when(F.size("keys") > 0, even)).alias("even"), F.size(even).alias("n")).first() if slices > 1 else None
     if found is None or found["even"] is None:
         return F.lit(0)
@@ -101,12 +104,10 @@ def slice_of(df: DataFrame, order_by: Sequence[str], slices: int) -> Column:
     while step <= found["n"]:
         steps.append(step)
         step *= 2
-    key = _key(order_by)
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]),
-        F.lit(0),
-        lambda at, jump: at + F.when(F.coalesce(F.get(table, at + jump - 1) <= key, F.lit(False)), jump).otherwise(F.lit(0)),
-    )
+    jumps = F.array(*[F.lit(s) for s in reversed(steps)])
+    search = lambda key: F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(F.get(table, at + jump - 1) <= key, at + jump).otherwise(at))
+    # The key is put together once per row, as the only element of an array.
+    return F.get(F.transform(F.array(_key(order_by)), search), 0)
 
 
 def with_position(
@@ -228,6 +229,16 @@ def shuffle(df: DataFrame, seed: int, key: str = "pos") -> DataFrame:
     return df.orderBy(draw_hash(seed, F.col(key)), F.col(key))
 
 
+def shuffle_position(df: DataFrame, seed: int, key: str | Sequence[str] = "pos", name: str = "position", total: str | None = None) -> DataFrame:
+    """Add the 0-based place of each row in a random order that depends only on the seed and the order of the keys.
+
+    The position by key is sent through a keyed permutation, so nothing is sorted by random draws.
+    """
+    at, n = free_names([*df.columns, name, *([total] if total else [])], "_at", "_n")
+    placed = permute(with_position(df, key, name=at, total=n), name, F.col(at), F.col(n), permutation_key(seed))
+    return placed.select(*df.columns, name, *([F.col(n).alias(total)] if total else []))
+
+
 def _ascending(df: DataFrame, column: str, descending: bool) -> list[Column] | None:
     """Columns whose ascending order is that of ``column``, missing values last; None where there are none."""
     kind, value = df.schema[column].dataType, F.col(column)
@@ -306,14 +317,14 @@ def split_random(
     With ``test_rest`` the test part takes every remaining row; otherwise rows beyond its share are
     labelled NULL.
     """
-    digest, place, n = free_names(df.columns, "_h", "_at", "_n")
-    placed = with_position(df.withColumn(digest, draw_hash(seed, F.col(key))), [digest, key], name=place, digest=True, total=n)
+    place, n = free_names(df.columns, "_at", "_n")
+    placed = shuffle_position(df, seed, key, name=place, total=n)
     n_train, n_val, n_test = (F.floor(F.col(n) * F.lit(part)) for part in (train, val, test))
     at = F.col(place)
     last = F.lit("test") if test_rest else F.when(at < n_train + n_val + n_test, F.lit("test"))
     return placed.withColumn(
         name, F.when(at < n_train, F.lit("train")).when(at < n_train + n_val, F.lit("val")).otherwise(last)
-    ).drop(digest, place, n)
+    ).drop(place, n)
 
 
 def assign_rank_strided(

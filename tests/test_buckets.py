@@ -148,7 +148,7 @@ def test_plan_in_order(spark, drop_last, repeat, replicas):
 def test_shuffled_plan_covers_every_row_once(spark):
     config = {"144p": {1: (1.0, 4)}}
     df = spark.range(103).select(F.col("id").alias("pos"), F.lit("144p").alias("res"), F.lit(1).alias("t"), F.lit("1.00").alias("ar"))
-    got = buckets.plan_batches(df, config, replicas=2, seed=1).collect()
+    got = buckets.plan_batches(df, config, replicas=2, seed=1).orderBy("step", "rank", "batch_index").collect()
     keys = [r["pos"] for r in got if r["pos"] is not None]
     assert set(keys) == set(range(103)) and len(keys) == 104  # one row pads the last batch
     assert keys != sorted(keys)
@@ -163,6 +163,39 @@ def test_resume_gives_the_same_steps(spark, rows):
     assert rows(buckets.plan_batches(df, config, replicas=4, start=11)) == whole
 
 
+@pytest.mark.parametrize(("replicas", "drop_last", "repeat"), [(1, False, False), (3, True, False), (5, False, True), (7, False, False)])
+def test_shuffled_plan_deals_whole_batches(spark, replicas, drop_last, repeat):
+    config = {"144p": {1: (1.0, 4), 51: (1.0, 3)}, "480p": {1: (1.0, 9)}}
+    kinds = [("144p", 1, "1.00"), ("144p", 51, "0.56"), ("480p", 1, "1.00")]
+    rows = [(i, *kinds[i * 7 % 13 % 3]) for i in range(150)]
+    df = spark.createDataFrame(rows, "pos int, res string, t int, ar string")
+    got = buckets.plan_batches(df, config, replicas, seed=4, drop_last=drop_last, repeat_on_pad=repeat).collect()
+    visits = {}
+    for r in got:
+        visits.setdefault((r["step"], r["rank"]), []).append(r)
+    steps = max(s for s, _ in visits) + 1
+    assert set(visits) == {(s, r) for s in range(steps) for r in range(replicas)}
+    used = {}
+    for batch in visits.values():
+        assert len({(r["res"], r["t"], r["ar"]) for r in batch}) == 1
+        keys = [r["pos"] for r in batch if r["pos"] is not None]
+        size = config[batch[0]["res"]][batch[0]["t"]][1]
+        assert len(keys) in (0, size) and sorted(r["batch_index"] for r in batch if r["pos"] is not None) == list(range(len(keys)))
+        for k in keys:
+            used[k] = used.get(k, 0) + 1
+    if not drop_last:
+        assert set(used) == set(range(150))
+    if not repeat:
+        assert sum(used.values()) <= 150 + 2 + 3 + 8
+
+
+def test_resume_plans_only_the_steps_left(spark):
+    config = {"144p": {1: (1.0, 4)}}
+    df = spark.range(400).select(F.col("id").alias("pos"), F.lit("144p").alias("res"), F.lit(1).alias("t"), F.lit("1.00").alias("ar"))
+    left = buckets.plan_batches(df, config, replicas=5, start=95)
+    assert left.count() == 20 and {r["step"] for r in left.collect()} == {19}
+
+
 def test_cap_per_bucket_above_the_window_limit(spark):
     df = spark.range(3000).select(F.col("id").alias("pos"), F.lit(60).alias("num_frames"), F.lit(144).alias("height"), F.lit(256).alias("width"))
     got = buckets.cap_per_bucket(df, {"144p": {51: (0.5, 1)}}, limit=1500)

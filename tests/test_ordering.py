@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from framesift.functions.permute import permute
 from framesift.functions.rng import draw_hash, uniform
 from framesift.operators import ordering
 
@@ -226,3 +227,30 @@ def test_sharding_reads_its_input_twice_at_most(spark, tmp_path):
     spark.range(100).withColumnRenamed("id", "pos").write.parquet(str(tmp_path / "t"))
     plan = ordering.shard(spark.read.parquet(str(tmp_path / "t")), 4)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 2
+
+
+def test_permutations_are_permutations(spark):
+    for n in (1, 2, 3, 5, 17, 255, 256, 4097):
+        df = spark.range(n).select("id", F.lit("own").alias("_x"))
+        places = {}
+        for key in (0, 7, 2**32 - 1):
+            got = permute(df, "p", F.col("id"), F.lit(n), F.lit(key)).orderBy("id").collect()
+            places[key] = [r["p"] for r in got]
+            assert sorted(places[key]) == list(range(n)) and all(r["_x"] == "own" for r in got)
+        if n > 50:
+            # Neighbours part, and keys give different orders.
+            assert sum(abs(a - b) == 1 for a, b in zip(places[7], places[7][1:])) < n / 10
+            assert sum(a == b for a, b in zip(places[0], places[7])) < n / 10
+
+
+def test_a_filter_on_a_place_does_not_copy_the_rounds(spark):
+    placed = permute(spark.range(100), "p", F.col("id"), F.lit(100), F.lit(1)).filter("p >= 90")
+    assert len(plan_of(placed)) < 60_000 and placed.count() == 10
+
+
+def test_shuffled_positions_follow_seed_and_keys_alone(spark):
+    df = numbered(spark, 500)
+    first = ordering.shuffle_position(df, 1).orderBy("pos").collect()
+    assert sorted(r["position"] for r in first) == list(range(500))
+    assert first == ordering.shuffle_position(df.repartition(7), 1).orderBy("pos").collect()
+    assert first != ordering.shuffle_position(df, 2).orderBy("pos").collect()
