@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from framesift.checks.registry import query
-from framesift.operators import nested
+from framesift.operators import nested, ordering
 from framesift.session import shared_folder
 from framesift.sources import bins, documents, jsonl, listing, meta
 
@@ -21,17 +21,39 @@ def s1(t):
     return meta.read_meta(t.spark, f"{t.sf_dir}/documents.parquet", keep_order=True).drop("_src", "_file")
 
 
-@query(
-    "S1_read_meta_csv",
-    "SELECT path, text, CAST(num_frames AS INT) AS num_frames, CAST(height AS INT) AS height, fps, aes, cmotion, timestamp, CAST(pos AS VARCHAR) AS pos FROM media WHERE text IS NULL OR text <> ''",
-)
+_CSV_COLUMNS = ["path", "text", "num_frames", "height", "fps", "aes", "cmotion", "timestamp", "pos"]
+# An empty cell is a missing one.
+_CSV_SQL = "SELECT path, nullif(text, '') AS text, CAST(num_frames AS INT) AS num_frames, CAST(height AS INT) AS height, fps, aes, cmotion, timestamp, pos FROM media"
+
+
+@query("S1_read_meta_csv", _CSV_SQL)
 def s1c(t):
-    rows = t.media.filter("text IS NULL OR text <> ''").select("path", "text", "num_frames", "height", "fps", "aes", "cmotion", "timestamp", "pos")
     path = _fresh(t, "meta.csv")
-    meta.write_meta(rows, path)
+    meta.write_meta(t.media.select(_CSV_COLUMNS), path)
     return meta.read_meta(t.spark, path)
 
 
+@query("S1_read_meta_csv_split", _CSV_SQL)
+def s1_split(t):
+    """Cells with line breaks and quotes, read by byte ranges."""
+    path = _fresh(t, "meta.csv")
+    meta.write_meta(t.media.select(_CSV_COLUMNS).coalesce(1), path)
+    return meta.read_meta(t.spark, path, multi_line="split")
+
+
+@query(
+    "S1_read_meta_csv_inferred",
+    """SELECT path, CASE WHEN pos % 3 > 0 THEN match * 100 END AS rank_score, CAST(pos % 50 AS BIGINT) AS votes, pos % 2 = 0 AS checked, CAST(pos AS VARCHAR) || 'x' AS code
+       FROM media ORDER BY rank_score DESC NULLS LAST, pos LIMIT 300""",
+)
+def s1_inferred(t):
+    """Columns that the meta table does not know, sorted by the number in one of them."""
+    rows = t.media.selectExpr("path", "pos", "CASE WHEN pos % 3 > 0 THEN match * 100 END AS rank_score", "pos % 50 AS votes", "pos % 2 = 0 AS checked", "concat(CAST(pos AS STRING), 'x') AS code")
+    path = _fresh(t, "scores.csv")
+    meta.write_meta(rows, path)
+    return ordering.topk(meta.read_meta(t.spark, path), "rank_score", 300).drop("pos")
+
+
 @query(
     "S2_union_meta",
     """SELECT pos, path, aes, CAST(NULL AS INT) AS quality, CAST(0 AS INT) AS _src FROM media

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +23,43 @@ def file_format(path: str) -> str:
     raise ValueError(f"unsupported file format: {path}")
 
 
-def _typed_csv(df: DataFrame, extra_types: dict[str, T.DataType]) -> DataFrame:
+# What a cell of an unknown column may be, as one bit each. Patterns, since casts also take words like 1d.
+_WHOLE, _FRACTION, _FLAG, _TEXT = 1, 2, 4, 8
+_WHOLE_PATTERN = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_FRACTION_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_FRACTION_WORDS = ["nan", "inf", "-inf", "infinity", "-infinity"]
+
+
+def _kind(cell: Column) -> Column:
+    return (
+        F.when(cell.isNull(), 0)
+        .when(cell.rlike(_WHOLE_PATTERN), _WHOLE)
+        .when(cell.rlike(_FRACTION_PATTERN) | F.lower(cell).isin(_FRACTION_WORDS), _FRACTION)
+        .when(F.lower(cell).isin("true", "false"), _FLAG)
+        .otherwise(_TEXT)
+    )
+
+
+def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    """The narrowest type that all cells of each text column fit: whole number, number, flag or text.
+
+    Kinds of cells are bits that add up in any order, so one aggregate over the table finds the types
+    of all columns. A column without a cell stays text.
+    """
+    if not columns:
+        return {}
+    found = df.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(f"k{i}") for i, c in enumerate(columns)]).first()
+    types = {_WHOLE: T.LongType(), _FRACTION: T.DoubleType(), _WHOLE | _FRACTION: T.DoubleType(), _FLAG: T.BooleanType()}
+    return {c: types.get(found[f"k{i}"], T.StringType()) for i, c in enumerate(columns)}
+
+
+def _typed_csv(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     """CSV cells arrive as strings; give known columns their type."""
-    types = {**META_TYPES, **extra_types}
     out = []
     for name in df.columns:
         dtype = types.get(name)
         if dtype is None or isinstance(dtype, T.StringType):
-            out.append(F.col(name))
+            out.append(F.col(f"`{name}`"))
         elif isinstance(dtype, (T.IntegerType, T.LongType)):
             # Whole numbers are often printed as floats (409920.0).
             sql = dtype.simpleString()
@@ -44,18 +74,69 @@ def _typed_csv(df: DataFrame, extra_types: dict[str, T.DataType]) -> DataFrame:
     return df.select(*out)
 
 
+_CSV = {"quote": '"', "escape": '"'}
+
+
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _row, record) of CSV files whose quoted cells may hold line breaks, read by as many tasks as
+    their bytes fill; record 0 of each file is its header.
+
+    Each byte range counts its quotes. The sum over the ranges before tells whether a range begins inside
+    a cell, and the running count inside it tells the same of every line; lines from one that begins
+    outside a cell to the next are a record. Only one row per range goes through one task.
+    """
+    where = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_range")]
+    lines = spark.read.text(path, lineSep="\n").select("value", *where, F.monotonically_increasing_id().alias("_line"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    lines = lines.withColumn("_quotes", quotes)
+    inside = Window.partitionBy("_file", "_range").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("_before", F.coalesce(F.sum("_quotes").over(inside), F.lit(0)))
+    ranges = lines.groupBy("_file", "_range").agg(F.sum("_quotes").alias("_quotes"))
+    earlier = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    opened = ranges.select("_file", "_range", (F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2).alias("_open"))
+    placed = counted.join(opened, ["_file", "_range"]).withColumn("_first", ((F.col("_open") + F.col("_before")) % 2 == 0) & ~((F.col("_quotes") == 0) & (F.btrim("value", F.lit(" \t\r")) == "")))
+    blank = ((F.col("_open") + F.col("_before")) % 2 == 0) & ~F.col("_first")
+    placed = placed.filter(~blank)
+    # Records are numbered like lines: those before the range, and those before in it.
+    starts = placed.groupBy("_file", "_range").agg(F.count_if("_first").alias("_records"))
+    offset = starts.select("_file", "_range", F.coalesce(F.sum("_records").over(earlier), F.lit(0)).alias("_offset"))
+    to_here = Window.partitionBy("_file", "_range").orderBy("_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = placed.withColumn("_nth", F.sum(F.col("_first").cast("bigint")).over(to_here)).join(offset, ["_file", "_range"])
+    numbered = numbered.withColumn("_row", F.col("_offset") + F.col("_nth") - 1)
+    pieces = F.array_sort(F.collect_list(F.struct("_range", "_line", "value")))
+    whole = numbered.groupBy("_file", "_row").agg(pieces.alias("pieces"))
+    text = F.array_join(F.transform("pieces", lambda p: p["value"]), "\n")
+    return whole.select("_file", "_row", F.regexp_replace(text, "\r$", "").alias("record"))
+
+
+def _split_csv(spark: SparkSession, path: str) -> DataFrame:
+    records = quoted_records(spark, path)
+    names = F.from_csv("record", F.lit(", ".join(f"c{i} string" for i in range(2000))), _CSV | {"maxColumns": "3000"})
+    header = records.filter("_row = 0").select(F.to_json(names).alias("names")).first()
+    if header is None:
+        raise ValueError(f"no header in {path}")
+    found = {int(k[1:]): name for k, name in json.loads(header["names"]).items()}
+    columns = [found.get(i, f"_c{i}") for i in range(max(found) + 1)]
+    schema = ", ".join(f"c{i} string" for i in range(len(columns)))
+    cells = records.filter("_row > 0").select("_file", "_row", F.from_csv("record", F.lit(schema), _CSV).alias("c"))
+    return cells.select(*[F.col(f"c.c{i}").alias(name) for i, name in enumerate(columns)], "_file", (F.col("_row") - 1).alias("_row"))
+
+
 def read_one(
     spark: SparkSession,
     path: str,
     extra_types: dict[str, T.DataType] | None = None,
     na_words: Sequence[str] = (),
-    multi_line: bool = True,
+    multi_line: bool | str = True,
     keep_order: bool = False,
+    infer: bool = True,
 ) -> DataFrame:
     """One CSV or Parquet input (globs allowed), chosen by its suffix.
 
-    ``multi_line`` accepts line breaks inside quoted cells; switch it off for very large single
-    CSV files without them, which Spark can then split.
+    ``multi_line`` accepts line breaks inside quoted cells, one task per CSV file; ``"split"`` accepts them
+    and spreads each file over tasks; False is for files without them, which Spark can split by itself.
+    CSV columns that neither the meta table nor ``extra_types`` knows get the type that all their cells
+    fit, found in one pass, unless ``infer`` is off. Empty CSV cells are missing, quoted or not.
     """
     if file_format(path) == "parquet":
         df = spark.read.parquet(path)
@@ -64,17 +145,24 @@ def read_one(
                 "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
             )
         return nan_to_null(df)
-    df = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
-    columns = df.columns
-    if keep_order:
-        # CSV has no row index: number rows in the order the reader meets them.
-        df = df.select(
-            "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row")
-        )
-    if na_words:
-        df = df.withColumns({c: F.when(~F.col(c).isin(*na_words), F.col(c)) for c in columns})
-    typed = _typed_csv(df, {**(extra_types or {}), "_row": T.LongType()} if keep_order else (extra_types or {}))
-    return nan_to_null(typed)
+    if multi_line == "split":
+        df = _split_csv(spark, path)
+        columns = df.columns[:-2]
+        df = df if keep_order else df.select(*[F.col(f"`{c}`") for c in columns])
+    else:
+        df = spark.read.csv(path, header=True, multiLine=multi_line, **_CSV)
+        columns = df.columns
+        if keep_order:
+            # The reader gives no row index: number rows in the order it meets them.
+            df = df.select(
+                "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row")
+            )
+    cells = {c: F.when(~F.col(f"`{c}`").isin("", *na_words), F.col(f"`{c}`")) for c in columns}
+    df = df.withColumns(cells)
+    types = {**META_TYPES, **(extra_types or {})}
+    if infer:
+        types |= inferred_types(df, [c for c in columns if c not in types])
+    return nan_to_null(_typed_csv(df, {**types, "_row": T.LongType()} if keep_order else types))
 
 
 def union_meta(frames: Sequence[DataFrame], tag_source: bool = False) -> DataFrame:

@@ -257,3 +257,51 @@ def test_probe_results(spark, rows):
     got = media.attach_media_info(df, probe)
     assert rows(got) == [("a", 10, 720, 1280, 0.5625, 24.0, 921600), ("b", 0, 0, 0, None, None, None)]
     assert filters.frames_min(got, 1).count() == 1
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_csv_is_read_alike_by_any_number_of_tasks(spark, tmp_path, end):
+    import csv
+    import random
+
+    rng = random.Random(1)
+    cell = lambda: "".join(rng.choice(["a", "b", " ", '"', "\n", ",", "é", "x\r\ny", "\n\n"]) for _ in range(rng.randint(0, 12)))
+    rows = [(f"p{i}", cell(), i * 3, rng.choice([None, 1.5, 7.0]), cell()) for i in range(1200)]
+    path = f"{tmp_path}/a.csv"
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        out = csv.writer(file, lineterminator=end)
+        out.writerow(["path", "text", "pos", "rank_score", "", "odd name"])
+        out.writerows([*row, "z"] for row in rows)
+        file.write(end + " " + end)
+    want = [(a, b or None, c, d, e or None, "z") for a, b, c, d, e in rows]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("64m", "3k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = meta.read_one(spark, path, multi_line="split", keep_order=True)
+            assert got.dtypes[2:4] == [("pos", "bigint"), ("rank_score", "double")] and got.columns[4:6] == ["_c4", "odd name"]
+            assert [tuple(r)[:6] for r in got.orderBy("_row").collect()] == want
+            assert [r["_row"] for r in got.orderBy("_row").collect()] == list(range(1200))
+        assert spark.read.text(path, lineSep="\n").rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_inferred_types(spark, tmp_path):
+    cells = {
+        "whole": ["1", "-20", "", "007"],
+        "part": ["1", "2.5", "", "1e3"],
+        "words": ["nan", "1", "", "inf"],
+        "flag": ["True", "FALSE", "", "true"],
+        "text": ["1d", "2", "", "3"],
+        "mixed": ["true", "1", "", "x"],
+        "none": ["", "", "", ""],
+        "long": ["1" * 30, "1", "", "2"],
+    }
+    with open(f"{tmp_path}/a.csv", "w") as file:
+        file.write(",".join(cells) + "\n" + "\n".join(",".join(row) for row in zip(*cells.values())) + "\n")
+    got = meta.read_one(spark, f"{tmp_path}/a.csv")
+    kinds = dict(got.dtypes)
+    assert kinds == {"whole": "bigint", "part": "double", "words": "double", "flag": "boolean", "text": "string", "mixed": "string", "none": "string", "long": "string"}
+    assert [r["whole"] for r in got.collect()] == [1, -20, None, 7] and [r["flag"] for r in got.collect()] == [True, False, None, True]
+    assert set(dict(meta.read_one(spark, f"{tmp_path}/a.csv", infer=False).dtypes).values()) == {"string"}
