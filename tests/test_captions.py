@@ -4,6 +4,7 @@ import urllib.parse
 
 import pytest
 from conftest import plan_of
+from conftest import plan_of
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -191,3 +192,20 @@ def test_native_captions_need_no_python(spark):
     df = spark.createDataFrame([(1, "x", "static", 1.0)], "pos int, text string, cmotion string, aes double")
     out = df.select(captions.merge_camera_motion(captions.strip_caption_prefix(F.col("text")), F.col("cmotion")).alias("text"), "pos", "aes")
     assert "Python" not in plan_of(ops.add_scores_to_text(out))
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_languages_are_scored_in_the_row(spark, rows, k):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, None, "en"), (-2, "", "en"), (-3, "12 34", "en"), (-4, "qqqqqq xxxx", "de"), (-5, "é", "fr")], docs.schema)
+    profiles = language.trigram_profiles(docs, "text", "lang")
+    both = docs.union(odd)
+    for target in ("en", "fr", "nl"):
+        got = language.lang_filter(both, profiles, target, k, key="doc_id")
+        want = language.keep_top_languages(both, language.language_scores(both, profiles, "doc_id"), target, k, "doc_id")
+        assert rows(got, "doc_id") == rows(want, "doc_id")
+        assert "Exchange" not in plan_of(got)
+    table = language.ProfileTable(profiles)
+    own = both.select("doc_id", table.scores(F.col("text")).alias("s")).collect()
+    want = {(r["doc_id"], r["lang"]): r["score"] for r in language.language_scores(both, profiles, "doc_id").collect()}
+    assert {(r["doc_id"], lang): s for r in own for lang, s in zip(table.languages, r["s"]) if s} == want
