@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +92,21 @@ def plain_words(text: str) -> list[bytes]:
 
 
 def quoted(name: str) -> str:
-    return "`" + re.sub("`", "``", name) + "`"
+    return "`" + name.replace("`", "``") + "`"
 
 
 def has_words(text: Column) -> Column:
     """Whether a text holds anything but ASCII white space."""
     return F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Jobs that run inside hand rows to Python in batches of about this many bytes at most, for tables of large rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

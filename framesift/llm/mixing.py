@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framesift.llm.common import uniform, words_of
+from framesift.llm.common import first_free, quoted, uniform, words_of
 from framesift.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -54,28 +54,41 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return level.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def _planned(docs: DataFrame, names: list[str], seed: int, key: str, text: str, source: str, **shares) -> DataFrame:
+    """Documents with size, source size, target and copies under the given names, and a free one for the source."""
+    size, source_size, target, copies = names
+    own = first_free([*docs.columns, *names], "_source")
+    sized = docs.withColumn(size, F.size(words_of(F.col(text))).cast("bigint"))
+    sums = sized.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
+    targets = materialise(source_targets(sums, **shares), "mix").select(F.col("source").alias(own), F.col("source_size").alias("_size"), F.col("target").alias("_target"))
+    joined = sized.alias("d").join(targets.alias("t"), F.col(f"d.{quoted(source)}").eqNullSafe(F.col(f"t.{quoted(own)}")))
+    total, wanted = F.col("t._size"), F.col("t._target")
+    rate = F.when(total > 0, wanted / total).otherwise(F.lit(0.0))
+    whole = F.floor(rate)
+    drawn = uniform(seed, F.coalesce(F.col(f"d.{quoted(key)}").cast("string"), F.md5(F.col(f"d.{quoted(text)}"))))
+    times = whole + F.when(drawn < rate - whole, 1).otherwise(0)
+    kept = [F.col(f"d.{quoted(c)}") for c in sized.columns if c.lower() not in (source_size.lower(), target.lower(), copies.lower())]
+    return joined.select(*kept, total.alias(source_size), wanted.alias(target), times.cast("bigint").alias(copies))
+
+
 def plan_mix(docs: DataFrame, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source", **shares) -> DataFrame:
     """Every document once with ``size``, ``source_size``, ``target`` and ``copies``.
 
-    A missing text has size 0, a missing source is a source of its own, repeated rows are separate
-    documents that share their draw, and an empty table gives an empty table. Columns of these four
-    names are replaced; all others pass through.
+    A missing text has size 0, a missing source is a source of its own, a document without an id is drawn by
+    its text, repeated rows are separate documents that share their draw, and an empty table gives an
+    empty table. Columns of these four names are replaced; all others pass through.
 
     The targets (one row per source) are written to the shared folder first, so the join sees their
     true size: small ones are broadcast below Spark's own limit, and else adaptive execution splits
     the documents of a hot source.
     """
-    sized = docs.withColumn("size", F.size(words_of(F.col(text))).cast("bigint"))
-    sums = sized.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
-    targets = materialise(source_targets(sums, **shares), "mix").withColumnsRenamed({"source": "_source", "source_size": "_source_size", "target": "_target"})
-    joined = sized.join(targets, sized[source].eqNullSafe(targets["_source"]))
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate)
-    copies = whole + F.when(uniform(seed, F.col(key)) < rate - whole, 1).otherwise(0)
-    return joined.withColumns({"source_size": F.col("_source_size"), "target": F.col("_target"), "copies": copies.cast("bigint")}).drop("_source", "_source_size", "_target")
+    return _planned(docs, ["size", "source_size", "target", "copies"], seed, key, text, source, **shares)
 
 
-def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
+def mix(docs: DataFrame, seed: int = SEED, key: str = "doc_id", text: str = "text", source: str = "source", **shares) -> DataFrame:
     """The mixed corpus: each document as often as ``plan_mix`` says, with the columns it came with."""
-    planned = plan_mix(docs, seed, **options).filter(F.col("copies") > 0)
-    return planned.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    names: list[str] = []
+    for name in ("_size_of_text", "_size_of_source", "_target_of_source", "_copies"):
+        names.append(first_free([*docs.columns, *names], name))
+    planned = _planned(docs, names, seed, key, text, source, **shares).filter(F.col(names[3]) > 0)
+    return planned.withColumn(names[3], F.explode(F.sequence(F.lit(1), F.col(names[3]).cast("int")))).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 @query(
     "op10_mix_sources",
     r"""WITH sized AS (
-          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+          SELECT doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
         sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
         weighed AS (SELECT *, CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS w,
           source_size::DOUBLE AS s FROM sums),
@@ -39,10 +39,10 @@ def query(name: str, sql: str | None = None):
         marked AS (SELECT *, 2 * s * (weights - gone) < (total - given) * w AS is_full FROM placed),
         levels AS (SELECT *, coalesce(sum(CASE WHEN is_full THEN 2 * s END) OVER (), 0) AS used, sum(CASE WHEN NOT is_full THEN w END) OVER () AS free FROM marked),
         targets AS (SELECT source, source_size, CASE WHEN is_full THEN 2 * s ELSE (total - used) * w / free END AS target FROM levels),
-        rated AS (SELECT doc_id, size, t.source_size, target, CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END AS rate
+        rated AS (SELECT doc_id, text, size, t.source_size, target, CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END AS rate
           FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target,
-          size * (floor(rate) + CASE WHEN CAST(CAST('0x' || substr(md5(concat_ws('|', '10', CAST(doc_id AS VARCHAR))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496
+          size * (floor(rate) + CASE WHEN CAST(CAST('0x' || substr(md5(concat_ws('|', '10', coalesce(CAST(doc_id AS VARCHAR), md5(text)))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496
             < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken FROM rated""",
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

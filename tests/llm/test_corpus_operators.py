@@ -224,6 +224,25 @@ def test_mix_odd_rows(odd):
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mix_draws_documents_without_ids_by_their_text(documents):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(8)) for _ in range(1000)]
+    docs = documents(texts * 2, ids=[None] * 1000 + list(range(1000)), sources=["a"] * 1000 + ["b"] * 1000)
+    rows = mixing.plan_mix(docs, weights=(1, 1), share=0.75).collect()
+    for source in "ab":
+        own = [r for r in rows if r["source"] == source]
+        assert own[0]["target"] == 6000 and abs(sum(r["copies"] * r["size"] for r in own) - 6000) < 400
+
+
+def test_mix_keeps_the_callers_columns(documents):
+    own = ["size", "source_size", "target", "copies", "_source", "_size", "_target", "_copies", "d", "t"]
+    docs = documents(["a b c"] * 4, sources=["x", "x", "y", None]).select("doc_id", "text", "source", *[F.lit("own").alias(c) for c in own])
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert all(r[c] == "own" for r in mixed.collect() for c in own)
+    assert all(r[c] == "own" for r in mixing.plan_mix(docs).collect() for c in own[4:])
+
+
 # --- top k
 
 
