@@ -40,10 +40,14 @@ COORDINATES = 112
 SPARE_DEVIATIONS = 2
 # A pair is confirmed on whole sets unless its tokens agree this many standard deviations less than wanted.
 DEVIATIONS = 4
+# Whether each of so many hash slots holds an odd number of shingles: two sets differ in as many shingles
+# as slots at least, so this bounds their similarity for sure.
+_SLOTS = 1024
 # Eight bits of the first tokens for a first comparison, seven to a number; the eighth byte stays free.
 _PER_LANE, _LANES = 7, 8
 COMPARED = _PER_LANE * _LANES
 _LOW_BITS, _HIGH_BITS = 0x007F7F7F7F7F7F7F, 0x0080808080808080
+_SEEN = [*[f"s{k}" for k in range(_LANES)], *[f"b{k}" for k in range(_SLOTS // 64)]]
 _CHUNK = 4096
 _OUT_ROWS = 1024
 
@@ -61,6 +65,12 @@ def minwise(tokens: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
+def odd_slots(tokens: np.ndarray) -> np.ndarray:
+    """A bit per hash slot, as 64-bit numbers."""
+    counts = np.bincount((mix64(tokens) & np.uint64(_SLOTS - 1)).astype(np.int64), minlength=_SLOTS)
+    return np.packbits(counts & 1).view("<i8")
+
+
 def children(paths: np.ndarray, tokens: np.ndarray, choices: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, child) of documents, given by their ``tokens``, at nodes that choose one or two coordinates,
     ``choices`` on average. What a node chooses depends on its path alone."""
@@ -99,7 +109,8 @@ def _sign(gram: int):
                     sizes.append(len(found))
                     digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                     tokens.append(least.view(np.int32))
-                    lanes.append(np.pad((least[:COMPARED] & np.uint32(0xFF)).astype(np.uint8).reshape(_LANES, _PER_LANE), ((0, 0), (0, 1))).reshape(-1).view("<i8"))
+                    low = np.pad((least[:COMPARED] & np.uint32(0xFF)).astype(np.uint8).reshape(_LANES, _PER_LANE), ((0, 0), (0, 1)))
+                    lanes.append(np.concatenate([low.reshape(-1).view("<i8"), odd_slots(found)]))
                 arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(tokens, pa.int32()), _lists(lanes, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["_key", "n", "digest", "tokens", "lanes"])
 
@@ -152,13 +163,13 @@ class ChosenPathJoin:
         self.signed = materialise(signed, "signed")
         named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
         first = named.groupBy("digest").agg(F.min(F.struct("_key", "n", "tokens", "lanes")).alias("s"))
-        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.tokens", *[F.get("s.lanes", k).alias(f"s{k}") for k in range(_LANES)]), "nodes")
+        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.tokens", *[F.get("s.lanes", k).alias(c) for k, c in enumerate(_SEEN)]), "nodes")
         self.tried: DataFrame | None = None
         self.grouped: DataFrame | None = None
 
     def _shown(self, *more: str) -> DataFrame:
         """What a comparison needs of each node."""
-        return self.nodes.select("node", "n", *[f"s{k}" for k in range(_LANES)], *more)
+        return self.nodes.select("node", "n", *_SEEN, *more)
 
     def _parts(self) -> DataFrame:
         """Nodes with the component each is known to be in."""
@@ -183,6 +194,14 @@ class ChosenPathJoin:
             total = total + F.bit_count(carried.bitwiseOR(apart).bitwiseAND(F.lit(_HIGH_BITS)))
         return total
 
+    def _may_link(self, x: str, y: str) -> Column:
+        """Whether two sets may be similar enough by their odd slots."""
+        apart = F.lit(0)
+        for k in range(_SLOTS // 64):
+            apart = apart + F.bit_count(F.col(f"{x}b{k}").bitwiseXOR(F.col(f"{y}b{k}")))
+        # Similarity s of sets of together t shingles means (1 - s) / (1 + s) * t differing ones at most.
+        return (100 + self.percent) * apart <= (100 - self.percent) * (F.col(f"{x}n") + F.col(f"{y}n"))
+
     def _sizes_fit(self, x: str, y: str) -> Column:
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
 
@@ -213,21 +232,23 @@ class ChosenPathJoin:
         self.grouped = materialise(grouped, "components")
 
     def _against_heads(self, rows: DataFrame, weight: Column) -> DataFrame:
-        """Rows (path, node, part, ...) with the head of each path, the node of largest weight, as ``head``."""
-        head = F.struct(weight.alias("weight"), *[F.col(c) for c in ("node", "n", "part", *[f"s{k}" for k in range(_LANES)])])
+        """How each of the rows (path, node, part, ...) compares with the head of its path, the node of largest weight."""
+        head = F.struct(weight.alias("weight"), *[F.col(c) for c in ("node", "n", "part", *_SEEN)])
         heads = rows.groupBy("path").agg(F.max(head).alias("h"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-        named = heads.select("path", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"), F.col("h.part").alias("head_part"), *[F.col(f"h.s{k}").alias(f"head_s{k}") for k in range(_LANES)])
-        return rows.join(named, "path").filter("part <> head_part").withColumn("differing", self._differing("", "head_"))
+        named = heads.select("path", F.col("h.node").alias("head"), F.col("h.n").alias("head_n"), F.col("h.part").alias("head_part"), *[F.col(f"h.{c}").alias(f"head_{c}") for c in _SEEN])
+        met = rows.join(named, "path").filter("part <> head_part")
+        linkable = self._sizes_fit("n", "head_n") & self._may_link("", "head_")
+        return met.select("node", "head", self._differing("", "head_").alias("differing"), linkable.alias("linkable"))
 
     def _likest_heads(self, met: DataFrame) -> DataFrame:
-        near = met.filter((F.col("differing") <= self.most_differing) & self._sizes_fit("n", "head_n"))
+        near = met.filter(F.col("linkable") & (F.col("differing") <= self.most_differing))
         best = near.groupBy("node").agg(F.min(F.struct("differing", "head")).alias("best"))
         return best.select(F.least("node", "best.head").alias("a"), F.greatest("node", "best.head").alias("b"))
 
     def _join_heads(self, rows: DataFrame) -> None:
         """Two linear rounds: random heads, then the members that random heads resemble most."""
         known = lambda: rows.join(self._shown(), "node").join(self._parts(), "node")
-        met = materialise(self._against_heads(known(), F.xxhash64("path", "node")).select("node", "n", "differing", "head", "head_n"), "met")
+        met = materialise(self._against_heads(known(), F.xxhash64("path", "node")), "met")
         self._link(self._likest_heads(met))
         central = met.groupBy("node").agg((-F.sum("differing") / F.count(F.lit(1))).alias("weight"))
         weighed = known().join(central, "node", "left")
@@ -242,9 +263,9 @@ class ChosenPathJoin:
         members = rows.groupBy("path", "part").agg(F.count(F.lit(1)).alias("members"))
         largest = members.groupBy("path").agg(F.max_by("part", F.struct("members", "part")).alias("largest"))
         shown = rows.join(self._shown(), "node").join(largest, "path")
-        side = lambda end: [F.col(c).alias(f"{end}_{c}") for c in ("path", "node", "n", "part", *[f"s{k}" for k in range(_LANES)])]
+        side = lambda end: [F.col(c).alias(f"{end}_{c}") for c in ("path", "node", "n", "part", *_SEEN)]
         once = (F.col("b_part") == F.col("largest")) | (F.col("a_node") < F.col("b_node"))
-        close = once & (F.col("a_part") != F.col("b_part")) & self._sizes_fit("a_n", "b_n") & (self._differing("a_", "b_") <= self.most_differing)
+        close = once & (F.col("a_part") != F.col("b_part")) & self._sizes_fit("a_n", "b_n") & (self._differing("a_", "b_") <= self.most_differing) & self._may_link("a_", "b_")
         met = shown.filter("part <> largest").select(*side("a")).join(shown.select("largest", *side("b")), (F.col("a_path") == F.col("b_path")) & close)
         return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
