@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from framesift.checks.registry import query
 from framesift.checks.sqltext import draw
-from framesift.plans import curation, hooks
+from framesift.plans import curation, files, hooks
+from framesift.session import shared_folder
+from framesift.sources import meta
 
 
 @query(
@@ -106,3 +114,22 @@ def u3(t):
     from pyspark.sql.types import DoubleType
 
     return hooks.score_with_model(t.media, _brightness, ["height", "width"], "score", DoubleType(), batch_size=256).select("pos", "path", "score")
+
+
+@query(
+    "U2_files_to_shards",
+    """WITH r AS (SELECT path, aes, num_frames, row_number() OVER (ORDER BY pos % 2, pos) AS row FROM media WHERE length(text) > 0 AND num_frames >= 17 AND aes >= 2),
+       p AS (SELECT *, row_number() OVER (ORDER BY aes DESC NULLS LAST, row) - 1 AS i, count(*) OVER () AS n FROM r)
+       SELECT path, aes, CAST(num_frames AS INT) AS num_frames, CAST(CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE n % 5 + (i - (n % 5) * (n // 5 + 1)) // (n // 5) END AS INT) AS shard FROM p""",
+)
+def u2_files(t):
+    """Two inputs, read back from five named outputs; the second run finds everything done."""
+    folder = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
+    inputs = [f"{folder}/even.parquet", f"{folder}/odd.parquet"]
+    for rest, path in enumerate(inputs):
+        meta.write_meta(t.media.filter(F.col("pos") % 2 == rest).orderBy("pos").coalesce(1).drop("pos"), path)
+    output = f"{folder}/best.parquet"
+    for _ in range(2):
+        shards = files.curate_files(t.spark, inputs, output, shards=5, remove_empty_caption=True, fmin=17, aesmin=2.0, sort="aes")
+    parts = [meta.read_meta(t.spark, r["path"]).select("path", "aes", "num_frames", F.lit(r["shard"]).alias("shard")) for r in shards.collect()]
+    return reduce(DataFrame.unionByName, parts)

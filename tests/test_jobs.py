@@ -100,3 +100,37 @@ def test_hooks_fail_over_errors_that_are_not_named(spark):
     df = spark.createDataFrame([("a",)], "text string")
     with pytest.raises(Exception, match="KeyError"):
         hooks.apply_column(df, lambda v: {}[v], "text", "n", "int").collect()
+
+
+def test_files_to_files_skips_finished_shards(spark, tmp_path):
+    import shutil
+
+    from framesift.plans import files
+    from framesift.sources import meta
+
+    schema = "path string, text string, aes double, num_frames int"
+    for name, at in (("a", 0), ("b", 50)):
+        rows = [(f"v{i}.mp4", f"t{i % 7}" if i % 9 else "", float(i * 37 % 11), i) for i in range(at, at + 50)]
+        meta.write_meta(spark.createDataFrame(rows, schema).coalesce(1), f"{tmp_path}/{name}.csv")
+    inputs = [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"]
+    run = lambda **more: {r["shard"]: (r["path"], r["n_rows"]) for r in files.curate_files(spark, inputs, shards=3, remove_empty_caption=True, aesmin=3.0, **more).collect()}
+    first = run()
+    assert first[0][0] == f"{tmp_path}/a+b_noempty_aesmin3.0_0.csv"
+    paths = [first[k][0] for k in range(3)]
+    got = [[r["path"] for r in meta.read_meta(spark, p, keep_order=True).orderBy("_file", "_row").collect()] for p in paths]
+    want = [f"v{i}.mp4" for i in range(100) if i % 9 and i * 37 % 11 >= 3]
+    assert sum(got, []) == want and [len(g) for g in got] == [first[k][1] for k in range(3)]
+    # A finished shard is left alone, even where its files are gone; a missing one is written again.
+    shutil.rmtree(paths[0])
+    assert run() == first and not (tmp_path / paths[0].rsplit("/", 1)[1]).exists()
+    lines = spark.read.parquet(f"{tmp_path}/a+b_noempty_aesmin3.0.csv.manifest")
+    kept = lines.filter("shard <> 2").collect()
+    spark.createDataFrame(kept, lines.schema).coalesce(1).write.parquet(f"{tmp_path}/kept")
+    shutil.rmtree(f"{tmp_path}/a+b_noempty_aesmin3.0.csv.manifest")
+    shutil.copytree(f"{tmp_path}/kept", f"{tmp_path}/a+b_noempty_aesmin3.0.csv.manifest")
+    shutil.rmtree(paths[2])
+    assert run() == first and [r["path"] for r in meta.read_meta(spark, paths[2]).collect()] == got[2]
+    # Other stages start over.
+    assert run(head=10)[0][1] == 4
+    with pytest.raises(ValueError):
+        files.curate_files(spark, inputs, difference=spark.range(1))
