@@ -93,17 +93,29 @@ def a7(t):
     return out.select("path", F.posexplode("points").alias("place", "point"), "text", "height", "fps")
 
 
+_LINES = "SELECT concat('o', CAST(l_orderkey AS VARCHAR)) AS path, (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS pos, CAST(l_quantity AS INT) AS num_frames, concat(l_returnflag, l_linestatus) AS kind FROM lineitem"
+
+
+def _lines(t, path):
+    return t.lineitem.select(path.alias("path"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("pos"), F.col("l_quantity").cast("int").alias("num_frames"))
+
+
+@query("A7_frames_grouped_large", f"SELECT path, count(*) * 2 AS n, sum(num_frames * 0.5::DOUBLE) + count(*) * 3.0::DOUBLE AS total FROM ({_LINES}) GROUP BY path")
+def a7_large(t):
+    """Very many paths, each with the few rows of an order."""
+    out = profile.frames_grouped(_lines(t, F.concat(F.lit("o"), "l_orderkey")), [0.5, 3], [])
+    return out.select("path", F.size("points").cast("bigint").alias("n"), F.aggregate("points", F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
 @query(
-    "A7_frames_grouped_large",
-    """WITH rows AS (SELECT concat(l_returnflag, l_linestatus) AS path, l_orderkey * 8 + l_linenumber AS pos, CAST(l_quantity AS INT) AS num_frames FROM lineitem)
-       SELECT path, count(*) * 2 AS n, list_sum(list(num_frames * 0.5::DOUBLE ORDER BY pos)[1:2000]) + 2000 * 3.0::DOUBLE AS head FROM rows GROUP BY path HAVING count(*) >= 2000""",
+    "A7_frames_long_hot",
+    f"""WITH placed AS (SELECT kind, num_frames, row_number() OVER (PARTITION BY kind ORDER BY pos) - 1 AS ord FROM ({_LINES}))
+        SELECT kind AS path, (ord * 2 + k) // 1000 AS thousand, count(*) AS n, sum(CASE k WHEN 0 THEN num_frames * 0.5::DOUBLE ELSE 3.0::DOUBLE END) AS total FROM placed, unnest(range(2)) AS r(k) GROUP BY ALL""",
 )
-def a7_large(t):
-    """Few paths with very many rows: one row per path all the same."""
-    rows = t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("path"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pos"), F.col("l_quantity").cast("int").alias("num_frames"))
-    out = profile.frames_grouped(rows, [0.5, 3], [])
-    head = F.aggregate(F.slice("points", 1, 4000), F.lit(0.0), lambda a, x: a + x)
-    return out.filter(F.size("points") >= 4000).select("path", F.size("points").cast("bigint").alias("n"), head.alias("head"))
+def a7_hot(t):
+    """A few paths that hold all rows, in the form without arrays."""
+    rows = profile.frames_long(_lines(t, F.concat("l_returnflag", "l_linestatus")), [0.5, 3])
+    return rows.groupBy("path", F.expr("place div 1000").alias("thousand")).agg(F.count(F.lit(1)).alias("n"), F.sum("point").alias("total"))
 
 
 @query(

@@ -40,27 +40,38 @@ def _blur_valid(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(rows, len(kernel), axis=-1) @ kernel
 
 
-def frame_ssim(a: np.ndarray, b: np.ndarray) -> float:
-    """Structural similarity of two (channel, height, width) frames, averaged over channels."""
+def frame_ssim(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Structural similarity of two stacks of (channel, height, width) frames, averaged over each frame."""
     c1, c2, k = 0.01**2, 0.03**2, _gaussian()
     ma, mb = _blur_valid(a, k), _blur_valid(b, k)
     va, vb = _blur_valid(a * a, k) - ma * ma, _blur_valid(b * b, k) - mb * mb
     cov = _blur_valid(a * b, k) - ma * mb
     value = ((2 * ma * mb + c1) * (2 * cov + c2)) / ((ma * ma + mb * mb + c1) * (va + vb + c2))
-    return float(value.mean())
+    return value.mean(axis=(-3, -2, -1))
+
+
+# Numbers of one stack; a single larger frame is a stack of its own.
+_STACK = 1 << 20
 
 
 def ssim(df: DataFrame, keys: Sequence[str], a: str = "a", b: str = "b") -> DataFrame:
-    """Similarity per row; frames are flat arrays with their ``channels, height, width``."""
+    """Similarity per row; frames are flat arrays with their ``channels, height, width``.
+
+    Frames of one shape are worked on together, in stacks of bounded size.
+    """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = []
-            for row in batch.itertuples(index=False):
-                shape = (int(row.channels), int(row.height), int(row.width))
-                first = np.asarray(getattr(row, a), dtype=float).reshape(shape)
-                values.append(frame_ssim(first, np.asarray(getattr(row, b), dtype=float).reshape(shape)))
+            values = np.full(len(batch), np.nan)
+            shapes = batch.groupby(["channels", "height", "width"]).indices
+            for shape, rows in shapes.items():
+                shape = tuple(int(n) for n in shape)
+                step = max(1, _STACK // int(np.prod(shape)))
+                for at in range(0, len(rows), step):
+                    some = rows[at : at + step]
+                    first, second = (np.stack(batch[c].to_numpy()[some]).astype(float).reshape(-1, *shape) for c in (a, b))
+                    values[some] = frame_ssim(first, second)
             yield batch[list(keys)].assign(ssim=values)
 
     return df.select(*keys, "channels", "height", "width", a, b).mapInPandas(run, f"{fields}, ssim double")
