@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from framesift.llm import compression_quality, jaccard_join, line_dedup, mixing, pieces  # noqa: E402
-from framesift.llm.common import has_words, table  # noqa: E402
+from framesift.llm.common import first_free, has_words, table  # noqa: E402
 from framesift.session import materialise  # noqa: E402
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -42,12 +42,13 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near duplicates, once: texts whose five-word
-    shingles have a Jaccard similarity of 0.8 or more. Rows without an id are linked with nothing and
-    all stay."""
+    shingles have a Jaccard similarity of 0.8 or more. Repeated rows stay once; different texts under
+    one id all stay if that id does. Rows without an id are linked with nothing and all stay."""
     groups = jaccard_join.near_groups(docs, gram=NEAR_GRAM, percent=NEAR_PERCENT)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    kept = docs.join(first, "doc_id", "left_semi").withColumn("_again", again).filter("_again = 1").select(*docs.columns)
+    again = first_free(docs.columns, "_again")
+    place = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
+    kept = docs.join(first, "doc_id", "left_semi").withColumn(again, place).filter(F.col(again) == 1).select(*docs.columns)
     return kept.union(docs.filter(F.col("doc_id").isNull()))
 
 
