@@ -79,10 +79,11 @@ def b2_big(t):
     "B3_closest_ratio",
     f"""SELECT pos, r.name AS ar FROM media JOIN (VALUES {_RATIOS}) AS r(res, idx, name, h, w) ON r.res = '480p'
         WHERE width > 0
-        QUALIFY row_number() OVER (PARTITION BY pos ORDER BY abs(CAST(r.name AS DOUBLE) - CAST(height AS DOUBLE) / width), idx) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY pos ORDER BY abs(CAST(r.name AS DOUBLE) - CAST(height AS DOUBLE) / width), idx) = 1
+        UNION ALL SELECT pos, NULL FROM media WHERE width = 0""",
 )
 def b3(t):
-    return t.media.select("pos", buckets.closest_ratio(F.col("height"), F.col("width"), "480p").alias("ar")).filter("ar IS NOT NULL")
+    return t.media.select("pos", buckets.closest_ratio(F.col("height"), F.col("width"), "480p").alias("ar"))
 
 
 @query("B4_bucket_size", f"SELECT pos, res, t, ar, CAST(bucket_h AS INT) AS bucket_h, CAST(bucket_w AS INT) AS bucket_w, CAST(batch_size AS INT) AS batch_size FROM ({bucketed_sql()})")
@@ -197,7 +198,7 @@ def b10(t):
 
 @query(
     "B11_ratio_sizes",
-    """WITH x AS (SELECT pos, CAST(height AS DOUBLE) / width AS a FROM media WHERE width > 0),
+    """WITH x AS (SELECT pos, CAST(height AS DOUBLE) / nullif(width, 0) AS a FROM media),
        h AS (SELECT pos, a, sqrt(230400::DOUBLE * a) + 0.0001::DOUBLE AS h0 FROM x),
        e AS (SELECT pos, a, CASE WHEN CAST(ceil(h0) AS BIGINT) % 2 = 0 THEN ceil(h0) ELSE floor(h0) END AS h FROM h),
        w AS (SELECT pos, h, h / a + 0.0001::DOUBLE AS w0 FROM e)
@@ -205,4 +206,4 @@ def b10(t):
 )
 def b11(t):
     out_h, out_w = buckets.even_sizes(F.col("height"), F.col("width"), 230400)
-    return t.media.filter("width > 0").select("pos", out_h.alias("out_h"), out_w.alias("out_w"))
+    return t.media.select("pos", out_h.alias("out_h"), out_w.alias("out_w"))

@@ -21,10 +21,10 @@ _TRIM = "regexp_replace(regexp_replace({x}, '^[\\s\\p{{Z}}]+', ''), '[\\s\\p{{Z}
     "T1_strip_caption_prefix",
     f"""SELECT pos, CASE WHEN regexp_matches(c, '^(?:{_OPTIONS})') THEN upper(left(r, 1)) || substr(r, 2) ELSE c END AS text
         FROM (SELECT pos, c, {_TRIM.format(x=f"regexp_replace(c, '^(?:{_OPTIONS})', '')")} AS r
-              FROM (SELECT pos, {_MODEL_CAPTION} AS c FROM media WHERE text IS NOT NULL))""",
+              FROM (SELECT pos, CASE WHEN text IS NOT NULL THEN {_MODEL_CAPTION} END AS c FROM media))""",
 )
 def t1(t):
-    rows = t.media.filter("text IS NOT NULL").selectExpr("pos", f"{_MODEL_CAPTION} AS text")
+    rows = t.media.selectExpr("pos", f"{_MODEL_CAPTION} AS text")
     return rows.select("pos", captions.strip_caption_prefix(F.col("text")).alias("text"))
 
 

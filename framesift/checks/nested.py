@@ -76,7 +76,7 @@ def r3d(t):
 )
 def r4(t):
     lists = nested.parse_nested_list(F.col("timestamp"), "array<array<string>>")
-    rows = t.media.filter("timestamp LIKE '[%]'").select("pos", F.posexplode(lists).alias("scene", "s"))
+    rows = t.media.select("pos", F.posexplode(lists).alias("scene", "s"))
     return rows.select("pos", "scene", F.get("s", F.lit(0)).alias("first"), F.get("s", F.lit(1)).alias("second"))
 
 
