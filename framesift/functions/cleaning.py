@@ -79,16 +79,35 @@ SPACING_AND_EDGES = [
 ]
 
 
-def _sub(text: Column, pattern: str, replacement: str, unicode: bool = True) -> Column:
-    return F.regexp_replace(text, (_U if unicode else "") + pattern, replacement)
-
-
-def _sub_all(text: Column, steps: list[tuple[str, str]], unicode: bool = True) -> Column:
+def _chain(text: Column, steps: list[tuple[str, str]], flags: str = _U) -> Column:
     for pattern, replacement in steps:
-        text = _sub(text, pattern, replacement, unicode)
+        text = F.regexp_replace(text, flags + pattern, replacement)
     return text
 
 
+def _sub_all(text: Column, steps: list[tuple[str, str]]) -> Column:
+    """Replacements one after the other, by the rules for all of Unicode."""
+    return _chain(text, steps)
+
+
+def _sub(text: Column, pattern: str, replacement: str) -> Column:
+    return _chain(text, [(pattern, replacement)])
+
+
+def _sub_everywhere(text: Column, steps: list[tuple[str, str]]) -> Column:
+    """The same for steps that every text goes through.
+
+    A text of ASCII alone is matched by the plain rules, which mean the same there and are much faster;
+    what the replacements leave of it is ASCII again.
+    """
+    bound = F.transform(F.array(text), lambda t: F.when(_ascii(t), _chain(t, steps, "")).otherwise(_chain(t, steps)))
+    return F.get(bound, F.lit(0))
+
+
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
+
+
 def _where(text: Column, needs: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
     """Apply a costly change only to texts that show what it looks for.
 
@@ -103,7 +122,7 @@ def _has(*words: str) -> Callable[[Column], Column]:
 
 
 def _finds(pattern: str) -> Callable[[Column], Column]:
-    return lambda t: t.rlike(_U + pattern)
+    return lambda t: F.when(_ascii(t), t.rlike(pattern)).otherwise(t.rlike(_U + pattern))
 
 
 def unquote_plus(text: Column) -> Column:
@@ -189,11 +208,11 @@ def drop_nicknames(text: Column) -> Column:
 
 
 def drop_cjk(text: Column) -> Column:
-    return _sub(text, CJK, "")
+    return _sub_everywhere(text, [(CJK, "")])
 
 
 def unify_dashes_and_quotes(text: Column) -> Column:
-    text = _sub(text, DASHES, "-")
+    text = _sub_everywhere(text, [(DASHES, "-")])
     old = DOUBLE_QUOTES + SINGLE_QUOTES
     return F.translate(text, old, '"' * len(DOUBLE_QUOTES) + "'" * len(SINGLE_QUOTES))
 
@@ -212,7 +231,7 @@ def drop_numbers_and_files(text: Column) -> Column:
 
 
 def calm_punctuation(text: Column) -> Column:
-    return _sub_all(text, PUNCTUATION)
+    return _sub_everywhere(text, PUNCTUATION)
 
 
 def split_slug(text: Column) -> Column:
@@ -234,7 +253,7 @@ def drop_shop_words(text: Column) -> Column:
 
 def tidy_edges(text: Column) -> Column:
     text = _where(text, _has(":"), lambda t: _sub_all(t, SPACING_AND_EDGES[:1]))
-    return strip(_sub_all(text, SPACING_AND_EDGES[1:]))
+    return strip(_sub_everywhere(text, SPACING_AND_EDGES[1:]))
 
 
 # The recipe in its order.
