@@ -2,9 +2,8 @@
 
 Two zstandard dictionaries are built from labelled texts, one from good and one from bad ones. A text
 is compressed with either; the normalised difference of the two sizes says which it resembles more. A
-logistic calibration on other labelled texts turns the difference into a score. Next to it stand the
-size without a dictionary, which shows text that only repeats itself, and the length, without which
-equal differences mean different things for short and long texts.
+logistic calibration on other labelled texts turns the difference into a score. Its only other input is
+the length, without which equal differences mean different things for short and long texts.
 """
 
 from __future__ import annotations
@@ -51,7 +50,7 @@ class CompressionModel:
             import zstandard
 
             made = []
-            for data in (self.good, self.bad, b""):
+            for data in (self.good, self.bad):
                 options = {"level": LEVEL, "write_content_size": False, "write_dict_id": False}
                 if data:
                     trained = data[:4] == b"\x37\xa4\x30\xec"
@@ -62,11 +61,11 @@ class CompressionModel:
         return made
 
     def features(self, text: str | None) -> list[float]:
+        """The difference of the two sizes by the larger of them, the same by length, and by the text's size; the length."""
         data = (text or "").encode("utf-8", "surrogatepass")
-        good, bad, plain = (len(c.compress(data)) for c in self._compressors())
-        n, size = np.log(len(data) + 1.0), len(data) + 1.0
-        difference, ratio, own = (bad - good) / max(good, bad), good / size, plain / size
-        return [difference, difference * n, (bad - good) / size, good / plain, ratio, ratio * ratio, ratio * n, own, own * own, own * n, n, n * n]
+        good, bad = (len(c.compress(data)) for c in self._compressors())
+        length, difference = np.log(len(data) + 1.0), (bad - good) / max(good, bad)
+        return [difference, difference * length, (bad - good) / (len(data) + 1.0), length, length * length]
 
     def scores(self, texts: Iterator[str | None]) -> np.ndarray:
         """Probability of label 1 for each text, the share of label 1 if there was nothing to fit."""

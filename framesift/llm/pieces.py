@@ -100,8 +100,9 @@ class PieceTransducer:
         lone = "".join(c for c in "\n\t\r" if not any(c in n for n in self.lexicon))
         # Parts: marks with what follows them, and characters that no piece holds.
         self._parts = re.compile("(?s).+" if inside else f"{MARK}*[^{MARK}{lone}]+|{MARK}+" + (f"|[{lone}]" if lone else ""))
-        self._paths: dict[str, array] = {}
-        self._older: dict[str, array] = {}
+        self._paths: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._lost = False
         self._links: dict[tuple[int, int], bool] = {}
 
     def normalise(self, text: str) -> str:
@@ -214,22 +215,37 @@ class PieceTransducer:
             found = [f for k, f in enumerate(found) if f != (self.unknown,) or not k or found[k - 1] != f]
         return array("i", [i for ids in found for i in ids])
 
-    def _path(self, part: str) -> array:
-        """The path of a part, remembered; what was not asked for since half the bound is forgotten."""
+    def _path(self, part: str) -> bytes:
+        """The ids of a part as packed 32-bit numbers, remembered; what was not asked for since half the
+        bound is forgotten. A part that its ids do not give back is noted and not remembered."""
         path = self._older.get(part)
         if path is None:
-            path = self.shortest_path(part)
+            ids = self.shortest_path(part)
+            path = ids.tobytes()
+            if b"".join(map(self.text_of.__getitem__, ids)) != part.replace(MARK, " ").encode("utf-8", "surrogatepass"):
+                self._lost = True
+                return path
         if len(part) <= 64:
             if len(self._paths) >= REMEMBERED // 2:
                 self._older, self._paths = self._paths, {}
             self._paths[part] = path
         return path
 
+    def encode_checked(self, text: str) -> tuple[bytes, bool]:
+        """The ids of a text as packed 32-bit numbers, and whether they give back the normalised text.
+
+        Each distinct part is encoded and decoded once; a text is given back if its parts cover it and
+        each of them is.
+        """
+        plain = self.normalise(text)
+        parts = self._parts.findall(plain)
+        self._lost = sum(map(len, parts)) != len(plain)
+        known = self._paths.get
+        ids = b"".join([known(part) or self._path(part) for part in parts])
+        return ids, not self._lost
+
     def encode(self, text: str) -> array:
-        out = array("i")
-        for part in self._parts.findall(self.normalise(text)):
-            out.extend(self._paths.get(part) or self._path(part))
-        return out
+        return array("i", self.encode_checked(text)[0])
 
     def decode(self, ids) -> str:
         """The text that was normalised and encoded, without the leading mark."""
@@ -285,11 +301,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", rules: dict[str
         for batch in batches:
             values, sizes, restored = [], [], []
             for value in batch.column(batch.schema.get_field_index(text)):
-                plain = value.as_py() or ""
-                ids = transducer.encode(plain)
+                ids, whole = transducer.encode_checked(value.as_py() or "")
                 values.append(np.frombuffer(ids, np.int32))
-                sizes.append(len(ids))
-                restored.append(transducer.restored(plain, ids))
+                sizes.append(len(ids) // 4)
+                restored.append(whole)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             flat = pa.array(np.concatenate(values) if values else np.empty(0, np.int32))
             arrays = [*batch.columns, pa.ListArray.from_arrays(offsets, flat), pa.array(sizes, pa.int32()), pa.array(restored, pa.bool_())]

@@ -41,3 +41,12 @@ def test_near_stage_drops_copies_with_two_words_in_a_hundred_changed(spark, docu
     kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()}
     assert kept == brute_kept(list(enumerate(texts)))
     assert kept != brute_kept(list(enumerate(texts)), 3, 90)
+
+
+def test_near_stage_loses_no_text_that_shares_an_id(spark, documents):
+    texts = [" ".join(f"{c}{k}" for k in range(30)) for c in "abca"] + [None, None]
+    docs = documents(texts, [3, 3, 4, 3, None, None]).withColumnRenamed("kept", "_again")
+    rows = corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in rows) == sorted([(3, texts[0]), (3, texts[1]), (4, texts[2]), (0, ""), (0, "")])
+    assert all(r["_again"] == "own" for r in rows)
+    assert corpus_pipeline.ngram_jaccard_join(spark, docs.limit(0), "").count() == 0

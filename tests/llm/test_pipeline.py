@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not (os.path.isdir(SF_DIR) and os.path.exists(co
 
 
 def test_stages_keep_their_contract(spark, tmp_path):
-    from llm.test_corpus_operators import brute_groups, brute_lines, brute_targets
+    from llm.test_corpus_operators import brute_lines, brute_targets
+    from llm.test_near_stage import brute_kept
 
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
@@ -40,8 +41,7 @@ def test_stages_keep_their_contract(spark, tmp_path):
     assert texts("line_dedup") == want
     assert all(r["n_chars"] == len(r["text"]) for r in tables["line_dedup"].collect())
 
-    groups = brute_groups(list(want.items()))
-    assert set(texts("ngram_jaccard_join")) == {i for i, (_, g) in groups.items() if i == g}
+    assert set(texts("ngram_jaccard_join")) == brute_kept(list(want.items()))
 
     sizes = {}
     kept = tables["ngram_jaccard_join"].collect()

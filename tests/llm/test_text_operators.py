@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,41 @@ def test_compression_ignores_held_out_labels(spark, documents):
     assert a.good == b.good and a.bad == b.bad and list(a.weights) == list(b.weights)
 
 
+def test_compression_sizes_and_calibration_by_hand(documents, spark):
+    """Sizes by plain compressors, and weights at which the penalised likelihood has no slope."""
+    import zstandard
+
+    docs, labels, quality = labelled(documents, spark)
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    good, bad = ([t for t, q in zip(texts, quality) if q == k] for k in (1, 0))
+    model = compression_quality.fit_model(good, bad)
+    rest = good[len(good) // 2 :] + bad[len(bad) // 2 :]
+    rows = []
+    for text in rest:
+        data, sizes = text.encode(), []
+        for dictionary in (model.good, model.bad):
+            options = {"level": 3, "write_content_size": False, "write_dict_id": False}
+            sizes.append(len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), **options).compress(data)))
+        difference, n = (sizes[1] - sizes[0]) / max(sizes), np.log(len(data) + 1.0)
+        rows.append([difference, difference * n, (sizes[1] - sizes[0]) / (len(data) + 1.0), n, n * n])
+    x = np.array(rows)
+    x = np.column_stack([np.ones(len(x)), (x - x.mean(axis=0)) / x.std(axis=0)])
+    y = np.array([1.0] * (len(good) - len(good) // 2) + [0.0] * (len(bad) - len(bad) // 2))
+    p = 1 / (1 + np.exp(-(x @ model.weights)))
+    slope = x.T @ (y - p) - np.array([1e-6, *[0.1] * 5]) * model.weights
+    assert np.abs(slope).max() < 1e-3
+    assert np.allclose(model.scores(rest), p, atol=1e-6)
+
+
+def test_compression_on_held_out_rows_of_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = compression_quality.fit(docs, labels)
+    scored = compression_quality.score(docs, model).join(labels, "doc_id").filter("crc32(CAST(doc_id AS STRING)) % 4 = 2").collect()
+    good, bad = ([r["predicted"] for r in scored if r["quality"] == k] for k in (1, 0))
+    assert len(good) > 50 and len(bad) > 10
+    assert sum(good) / len(good) > 0.9 and sum(bad) / len(bad) < 0.3
+
+
 def test_compression_odd_rows(spark, documents, odd):
     labels = spark.createDataFrame([(5, 1, 0), (5, 0, 0), (3, None, None), (None, 1, 0), (4, 7, 0)], "doc_id bigint, quality int, toxic int")
     model = compression_quality.fit(odd, labels)
@@ -277,6 +313,21 @@ def test_unigram_path_is_the_best(spark):
 
 
 @needs_model
+def test_pieces_of_whole_documents_equal_the_library(spark):
+    """Whole texts of the test tables, long ones among them, and what decoding gives back."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r["text"] or "" for r in docs.select("text").collect()] + ["x" * 3000, "\u2581 \u2581\u2581a", " b  c ", "\x00\x1f"]
+    with open(PIECES, "rb") as file:
+        mine = pieces.PieceTransducer(file.read())
+    for text in texts:
+        ids, whole = mine.encode_checked(text)
+        assert list(np.frombuffer(ids, np.int32)) == library.encode(text)
+        assert whole == mine.restored(text, list(np.frombuffer(ids, np.int32)))
+
+
 def test_pieces_odd_rows(spark, odd):
     rows = pieces.encode(odd, PIECES)
     assert rows.columns == [c for c in odd.columns if c != "ids"] + ["ids", "n_ids", "restored"]
