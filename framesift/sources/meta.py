@@ -26,7 +26,7 @@ def file_format(path: str) -> str:
 # What a cell of an unknown column may be, as one bit each. Patterns, since casts also take words like 1d.
 _WHOLE, _FRACTION, _FLAG, _TEXT = 1, 2, 4, 8
 _WHOLE_PATTERN = r"^\s*[+-]?[0-9]{1,18}\s*$"
-_FRACTION_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_FRACTION_PATTERN = r"^\s*[+-]?(([0-9]+\.[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[0-9]+[eE][+-]?[0-9]+)\s*$"
 _FRACTION_WORDS = ["nan", "inf", "-inf", "infinity", "-infinity"]
 
 
