@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.bits import bit_vector, may_hold
-from framesift.llm.common import mix64
+from framesift.llm.common import mix64, small_batches
 from framesift.session import materialise
 
 LEAST = 30
@@ -38,36 +38,51 @@ _SALTS = 64
 # Bytes that end a piece, all read as a line feed; A-Z become a-z.
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
-RELATION = "lang string, phrases array<string>, gaps array<int>, ids array<int>"
+# Of one block and language: its phrases and how often each occurs; per occurrence, as packed 32-bit
+# numbers, how far it is from the one before and the number of its phrase.
+RELATION = "lang string, phrases array<string>, counts array<int>, gaps binary, ids binary"
+
+
+class _Numbers(dict):
+    """Numbers things in the order they are first asked for."""
+
+    def __missing__(self, thing):
+        self[thing] = number = len(self)
+        return number
 
 
 class _Block:
     """Occurrences of single words of one language, in order."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
+        self.words = _Numbers()
         self.ids: list[int] = []
         self.lengths: list[int] = []
 
     def add(self, text: str) -> None:
-        number = self.words.setdefault
+        number = self.words.__getitem__
         for piece in text.encode("utf-8", "surrogatepass").lower().translate(_ENDS).split(b"\n"):
             words = piece.split()
             if words:
-                self.ids += [number(w, len(self.words)) for w in words]
+                self.ids.extend(map(number, words))
                 self.lengths.append(len(words))
 
-    def row(self, lang: str) -> dict:
+    def batch(self, lang: str) -> pa.RecordBatch:
         gaps = np.ones(len(self.ids), np.int32)
         gaps[np.cumsum([0, *self.lengths[:-1]])] = 2
-        return {"lang": lang, "phrases": [w.decode("utf-8", "replace") for w in self.words], "gaps": gaps, "ids": np.array(self.ids, np.int32)}
-
+        return _batch(lang, [w.decode("utf-8", "replace") for w in self.words], gaps, np.array(self.ids, np.int32))
 
-_ROW = pa.schema([("lang", pa.string()), ("phrases", pa.list_(pa.string())), ("gaps", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32()))])
 
-
-def _batch(row: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in _ROW], schema=_ROW)
+def _batch(lang: str, phrases: list[str], gaps: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    counts = np.bincount(ids, minlength=len(phrases)).astype(np.int32)
+    arrays = [
+        pa.array([lang], pa.string()),
+        pa.array([phrases], pa.list_(pa.string())),
+        pa.array([counts], pa.list_(pa.int32())),
+        pa.array([gaps.tobytes()], pa.binary()),
+        pa.array([ids.tobytes()], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["lang", "phrases", "counts", "gaps", "ids"])
 
 
 def _occurrences(block_words: int):
@@ -86,10 +101,10 @@ def _occurrences(block_words: int):
                     block = blocks.pop(name)
                     held -= len(block.ids)
                     if block.ids:
-                        yield _batch(block.row(name))
+                        yield block.batch(name)
         for name, block in blocks.items():
             if block.ids:
-                yield _batch(block.row(name))
+                yield block.batch(name)
 
     return occurrences
 
@@ -98,8 +113,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
     """(lang, phrases, places, ids) of each row."""
     for batch in batches:
         for lang, phrases, gaps, ids in zip(*(batch.column(k) for k in range(4))):
-            places = np.cumsum(gaps.values.to_numpy(zero_copy_only=False))
-            yield lang.as_py(), phrases.as_py(), places, ids.values.to_numpy(zero_copy_only=False)
+            places = np.cumsum(np.frombuffer(gaps.as_buffer(), np.int32))
+            yield lang.as_py(), phrases.as_py(), places, np.frombuffer(ids.as_buffer(), np.int32)
 
 
 def _hash(word: bytes) -> int:
@@ -115,24 +130,38 @@ def _extended(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def _hashes(phrases: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of phrases of one length, and of their last words."""
-    if not phrases:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    words = [np.fromiter(map(_hash, column), np.uint64, len(phrases)) for column in zip(*(p.encode().split(b" ") for p in phrases))]
+    words = [np.fromiter(map(_hash, column), np.uint64, len(phrases)) for column in zip(*[p.encode().split(b" ") for p in phrases])]
     whole = words[0]
     for last in words[1:]:
         whole = _extended(whole, last)
     return whole, words[-1]
 
 
+class _Hashes(dict):
+    """Hashes of phrases of one length and of their last words, remembered up to a bound."""
+
+    LIMIT = 150_000
+
+    def arrays(self, phrases: list[str]) -> np.ndarray:
+        """Hashes of phrases in the first row, of their last words in the second."""
+        new = [p for p in phrases if p not in self]
+        made = dict(zip(new, zip(*(h.tolist() for h in _hashes(new))))) if new else {}
+        both = np.array([self.get(p) or made[p] for p in phrases], np.uint64).reshape(-1, 2).T
+        if len(self) < self.LIMIT:
+            self.update(made)
+        return both
+
+
 def _keys(lang: str, hashes: np.ndarray) -> np.ndarray:
     return mix64(hashes ^ np.uint64(_hash(lang.encode())))
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The keys of counted phrases, all of one length."""
+    memo = _Hashes()
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
-        hashes = _hashes(batch.column(1).to_pylist())[0]
+        hashes = memo.arrays(batch.column(1).to_pylist())[0]
         keys = np.empty(len(hashes), np.uint64)
         for lang in set(langs.tolist()):
             keys[langs == lang] = _keys(lang, hashes[langs == lang])
@@ -140,49 +169,57 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _adjacent(rows, frequent: np.ndarray):
-    """The merge join of each block with itself at adjacent places, frequent groups only:
-    (lang, phrases, key per group, first and second phrase per group, group and place per pair)."""
+    """The merge join of each block with itself at adjacent places, occurrences of frequent groups only:
+    (lang, phrases, and per pair its key, its two phrases and its place)."""
+    memo = _Hashes()
     for lang, phrases, places, ids in rows:
-        hashes, last = _hashes(phrases)
+        hashes, last = memo.arrays(phrases)
         kept = may_hold(frequent, _keys(lang, hashes))[ids]
-        places, ids = places[kept], ids[kept].astype(np.int64)
+        places, ids = places[kept], ids[kept]
         at = np.flatnonzero(np.diff(places) == 1)
-        groups, group = np.unique(ids[at] * len(phrases) + ids[at + 1], return_inverse=True)
-        first, second = np.divmod(groups, max(len(phrases), 1))
-        yield lang, phrases, _keys(lang, _extended(hashes[first], last[second])), first, second, group, places[at]
+        first, second = ids[at], ids[at + 1]
+        yield lang, phrases, _keys(lang, _extended(hashes[first], last[second])), first, second, places[at]
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(sums)], ["key", "f"])
 
 
 def _count_keys(frequent):
+    """Sums of the keys of a few blocks at a time."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, keys, _, _, group, _ in _adjacent(_blocks(batches), frequent.value):
-            counts = np.bincount(group, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], ["key", "f"])
+        held, sums, size = [], [], 0
+        for _, _, keys, _, _, _ in _adjacent(_blocks(batches), frequent.value):
+            found, counts = np.unique(keys, return_counts=True)
+            held.append(found)
+            sums.append(counts)
+            size += len(found)
+            if size >= 4 * BLOCK_WORDS:
+                yield _summed(held, sums)
+                held, sums, size = [], [], 0
+        if size:
+            yield _summed(held, sums)
 
     return count
 
 
 def _extend(frequent, frequent_keys):
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, phrases, keys, first, second, group, places in _adjacent(_blocks(batches), frequent.value):
+        for lang, phrases, keys, first, second, places in _adjacent(_blocks(batches), frequent.value):
             kept = may_hold(frequent_keys.value, keys)
-            number = np.cumsum(kept) - 1
-            texts = [f"{phrases[a]} {phrases[b].rpartition(' ')[2]}" for a, b in zip(first[kept].tolist(), second[kept].tolist())]
-            here = kept[group]
+            pairs, ids = np.unique(first[kept].astype(np.int64) * len(phrases) + second[kept], return_inverse=True)
+            texts = [f"{phrases[p // len(phrases)]} {phrases[p % len(phrases)].rpartition(' ')[2]}" for p in pairs.tolist()]
             if texts:
-                gaps = np.diff(places[here], prepend=0).astype(np.int32)
-                yield _batch({"lang": lang, "phrases": texts, "gaps": gaps, "ids": number[group[here]].astype(np.int32)})
+                yield _batch(lang, texts, np.diff(places[kept], prepend=0).astype(np.int32), ids.astype(np.int32))
 
     return extend
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for lang, phrases, _, ids in _blocks(batches):
-        counts = np.bincount(ids, minlength=len(phrases))
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases)), pa.array(phrases), pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
-
-
 def _counted(relation: DataFrame, least: int) -> DataFrame:
-    counts = relation.mapInArrow(_count, "lang string, phrase string, f bigint")
+    counts = relation.select("lang", F.inline(F.arrays_zip("phrases", "counts")).alias("phrase", "f"))
     return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
 
@@ -195,20 +232,24 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
     ``und``; missing, empty and blank texts hold no words; repeated rows count as often as they come.
     A block holds about ``block_words`` words of one language, which bounds the memory of a task.
     """
-    spark = docs.sparkSession
-    named = docs.select(F.coalesce(F.col(lang), F.lit(NO_LANG)).alias("lang"), F.col(text).alias("text"))
+    with small_batches(docs.sparkSession):
+        return _mined(docs.select(F.coalesce(F.col(lang), F.lit(NO_LANG)).alias("lang"), F.col(text).alias("text")), least, longest, block_words)
+
+
+def _mined(named: DataFrame, least: int, longest: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    spark = named.sparkSession
     relation = materialise(named.mapInArrow(_occurrences(block_words), RELATION), "occurrences")
-    sizes = relation.groupBy("lang").agg(F.sum(F.size("ids").cast("bigint")).alias("n"))
-    counts = materialise(_counted(relation, least).withColumn("words", F.lit(1)), "phrases")
-    levels = [counts]
+    sizes = relation.groupBy("lang").agg(F.sum(F.expr("octet_length(ids) div 4")).alias("n"))
+    levels = [materialise(_counted(relation, least).withColumn("words", F.lit(1)), "phrases")]
     for words in range(2, longest + 1):
-        frequent = spark.sparkContext.broadcast(bit_vector(counts.select("lang", "phrase").mapInArrow(_keyed, "key bigint"), "key"))
-        pairs = relation.mapInArrow(_count_keys(frequent), "key bigint, f bigint")
+        frequent = spark.sparkContext.broadcast(bit_vector(levels[-1].select("lang", "phrase").mapInArrow(_keyed, "key bigint"), "key"))
+        blocks = relation.select("lang", "phrases", "gaps", "ids")
+        # Keys are summed over some blocks already, so they go to their tasks as they are.
+        pairs = blocks.mapInArrow(_count_keys(frequent), "key bigint, f bigint").repartition("key")
         keys = materialise(pairs.groupBy("key").agg(F.sum("f").alias("f")).filter(F.col("f") >= least).select("key"), "keys")
         frequent_keys = spark.sparkContext.broadcast(bit_vector(keys, "key"))
-        relation = materialise(relation.mapInArrow(_extend(frequent, frequent_keys), RELATION), "occurrences")
-        counts = materialise(_counted(relation, least).withColumn("words", F.lit(words)), "phrases")
-        levels.append(counts)
+        relation = materialise(blocks.mapInArrow(_extend(frequent, frequent_keys), RELATION), "occurrences")
+        levels.append(materialise(_counted(relation, least).withColumn("words", F.lit(words)), "phrases"))
     phrases = levels[0]
     for more in levels[1:]:
         phrases = phrases.union(more)
