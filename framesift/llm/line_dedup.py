@@ -27,9 +27,11 @@ def _keys(line: Column, length: Column, threshold: int, asked: list[tuple[int, i
     A line of ``length - gap`` characters has ``threshold + 1`` segments, the later ones take what does
     not divide; the part lies ``shift`` characters after its segment's place. A part that reaches past
     an end gives a key of other text, and so at worst a candidate too many. Segment bounds are worked
-    out once a line, so little is left to do per key.
+    out once a line, and the line is laid out with four bytes to a character, so that a part is cut out
+    without a walk through the characters before it.
     """
     parts = threshold + 1
+    wide = F.encode(line, "UTF-32")
     bounds = []
     for gap in range(max(g for g, _, _ in asked) + 1):
         other = length - gap
@@ -37,11 +39,12 @@ def _keys(line: Column, length: Column, threshold: int, asked: list[tuple[int, i
         bounds += [1 + even * k + F.greatest(longer + (k - parts), F.lit(0)) for k in range(parts + 1)]
     constants = F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(k).alias("k"), F.lit(s).alias("shift"), F.lit(g * (parts + 1) + k).alias("at")) for g, k, s in asked])
 
-    def key(c: Column, b: Column) -> Column:
-        start = F.get(b, c["at"])
-        return F.xxhash64(length - c["gap"], c["k"], F.substring(line, start + c["shift"], F.get(b, c["at"] + 1) - start))
+    def key(c: Column, x: Column) -> Column:
+        start, end = F.get(x["bounds"], c["at"]), F.get(x["bounds"], c["at"] + 1)
+        return F.xxhash64(length - c["gap"], c["k"], F.substring(x["wide"], 4 * (start + c["shift"]) - 3, 4 * (end - start)))
 
-    return F.element_at(F.transform(F.array(F.array(*bounds)), lambda b: F.transform(constants, lambda c: key(c, b))), 1)
+    own = F.struct(F.array(*bounds).alias("bounds"), wide.alias("wide"))
+    return F.element_at(F.transform(F.array(own), lambda x: F.transform(constants, lambda c: key(c, x))), 1)
 
 
 def index_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Column:
@@ -159,12 +162,15 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def near_lines(lines: DataFrame, keyed: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of line classes (a1, a2, b1, b2) within the threshold.
+def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold: int) -> DataFrame:
+    """Line classes (_c1, _c2) that stand after a class within the threshold.
 
-    ``keyed`` holds ``_index`` and ``_probe`` of each line that takes part. A semi join first finds the
-    keys that two different lines share, which are few; only their lines are looked up again, and only
-    pairs whose letters allow the threshold come out of the join.
+    ``keyed`` holds ``_index`` and ``_probe`` of each line that takes part, ``first`` the first place and the
+    number of places of each class. A semi join finds the keys that two different lines share, which
+    are few; only their lines are looked up again. Each is then held against two lines of every key it
+    has, the first and the most common, which is linear however many lines share a key and settles
+    nearly all copies of a line. Only for lines not settled by that are all earlier lines of their keys
+    looked at, and only pairs whose letters allow the threshold come out of the join.
     """
     own = keyed.filter(F.col("_index").isNotNull())
     indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
@@ -175,14 +181,37 @@ def near_lines(lines: DataFrame, keyed: DataFrame, threshold: int) -> DataFrame:
     shared = materialise(sided("_index").withColumn("_own", F.lit(True)).union(sided("_probe").withColumn("_own", F.lit(False))), "line-shared")
     wanted = materialise(shared.select("_c1", "_c2").distinct(), "line-wanted")
     texts = lines.select("_c1", "_c2", "_line").join(_bounded(wanted), ["_c1", "_c2"], "left_semi").dropDuplicates(["_c1", "_c2"])
-    texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))), "line-texts")
-    lettered = shared.join(texts.select("_c1", "_c2", "_letters"), ["_c1", "_c2"])
-    end = lambda s, is_own: lettered.filter(F.col("_own") == is_own).select("_key", F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_letters").alias(f"{s}_letters"))
-    alike = (F.col("a1") != F.col("b1")) & (F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2 * threshold)
-    pairs = materialise(end("a", True).join(end("b", False), "_key").filter(alike).select("a1", "a2", "b1", "b2").distinct(), "line-pairs")
-    named = lambda s: texts.select(F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_line").alias(f"{s}_line"))
-    both = pairs.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"])
-    return both.filter(edit_distance(F.col("a_line"), F.col("b_line"), threshold) <= threshold).select("a1", "a2", "b1", "b2")
+    texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))).join(first.select("_c1", "_c2", "_first", "_times"), ["_c1", "_c2"]), "line-texts")
+    seen = ["_c1", "_c2", "_first", "_letters"]
+    lettered = shared.join(texts.select(*seen, "_times"), ["_c1", "_c2"])
+    alike = F.bit_count(F.col("a._letters").bitwiseXOR(F.col("b._letters"))) <= 2 * threshold
+    earlier = F.col("a._first") < F.col("b._first")
+    line = F.struct(*seen)
+
+    def later_near(pairs: DataFrame) -> DataFrame:
+        """The later lines of pairs (a, b) that are within the threshold."""
+        which = lambda x, y: F.when(earlier, F.col(x)).otherwise(F.col(y))
+        ends = pairs.select(*[F.col(f"{e}._c{k}").alias(f"{e}{k}") for e in "ab" for k in (1, 2)], *[which(f"b._c{k}", f"a._c{k}").alias(f"_c{k}") for k in (1, 2)])
+        ends = materialise(ends.distinct(), "line-pairs")
+        named = lambda s: texts.select(F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_line").alias(f"{s}_line"))
+        both = ends.join(named("a"), ["a1", "a2"]).join(named("b"), ["b1", "b2"])
+        return both.filter(edit_distance(F.col("a_line"), F.col("b_line"), threshold) <= threshold).select("_c1", "_c2").distinct()
+
+    heads = lettered.groupBy("_key").agg(F.min(F.struct(F.col("_first").alias("_lead"), *seen)).alias("_early"), F.max(F.struct("_times", *seen)).alias("_often"))
+    headed = lettered.join(heads, "_key")
+    with_head = lambda head: headed.select(F.struct(*[F.col(f"{head}.{c}").alias(c) for c in seen]).alias("a"), line.alias("b"))
+    tried = with_head("_early").union(with_head("_often")).filter((F.col("a._c1") != F.col("b._c1")) & alike)
+    settled = materialise(later_near(tried), "line-settled")
+    opened = lettered.join(settled.withColumn("_open", F.lit(False)), ["_c1", "_c2"], "left").withColumn("_open", F.coalesce("_open", F.lit(True)))
+    # Lines near each other have parities that differ in 2 * threshold bits at most, so one of so many groups of
+    # bits and one more is equal in both; that parts the lines of a common key.
+    groups, size = 2 * threshold + 1, -(-26 // (2 * threshold + 1))
+    values = [F.struct(F.lit(g).alias("_g"), F.shiftright("_letters", g * size).bitwiseAND(F.lit((1 << size) - 1)).alias("_bits")) for g in range(groups)]
+    parted = opened.select("*", F.inline(F.array(*values)))
+    end = lambda s, is_own: parted.filter(F.col("_own") == is_own).select("_key", "_g", "_bits", line.alias(s), F.col("_open").alias(f"{s}_open"))
+    undecided = F.when(earlier, F.col("b_open")).otherwise(F.col("a_open"))
+    pairs = end("a", True).join(end("b", False), ["_key", "_g", "_bits"]).filter((F.col("a._c1") != F.col("b._c1")) & undecided & alike)
+    return settled.union(later_near(pairs)).distinct()
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,12 +237,8 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     parts = F.when(size >= shortest, probe_keys(line, size, threshold)).alias("_probe")
     # One pass over the texts: who stands where, and the keys of the edit join.
     places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
-    first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final")), "line-classes")
-    near = near_lines(lines, places, threshold)
-    firsts = lambda s: first.select(F.col("_c1").alias(f"{s}1"), F.col("_c2").alias(f"{s}2"), F.col("_first").alias(f"{s}_first"))
-    judged = near.join(firsts("a"), ["a1", "a2"]).join(firsts("b"), ["b1", "b2"])
-    later = F.col("a_first") > F.col("b_first")
-    gone = judged.select(F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("_c1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("_c2")).distinct().withColumn("_near", F.lit(True))
+    first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final"), F.count(F.lit(1)).alias("_times")), "line-classes")
+    gone = near_lines(lines, places, first, threshold).withColumn("_near", F.lit(True))
     marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")
     marked = materialise(marked, "line-marks")
     removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(marked, ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
