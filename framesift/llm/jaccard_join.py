@@ -6,19 +6,20 @@ whole sets compared. All orders put common tokens last, so shared passages do no
 among tokens of one class of frequency each order is an own permutation.
 
 Texts with equal sets are one node from the start. Links are sought in rounds: first every node is
-compared with three nodes of the groups that share its leading tokens, which joins most large groups of
-copies in linear work; then all remaining pairs between different components are sought
-through every prefix token of every order. Nothing is lost: pairs inside a component cannot change the
+compared with a few nodes of the groups that share its leading tokens, by size and then those that the
+others of the group resemble most, which joins most large groups of copies in linear work; then all
+remaining pairs between different components are sought through every prefix token of every order. Nothing is lost: pairs inside a component cannot change the
 components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.common import WordHashes, grams, mix64, plain_words, texts
@@ -30,7 +31,8 @@ PERCENT = 90
 ORDERS = 2
 LEADS = 4
 BROADCAST_ROWS = 100_000
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
+CENTRAL_ROUNDS = 2
 COUNTERS = 1 << 20
 FAN_IN = 64
 
@@ -270,6 +272,46 @@ class JaccardJoin:
 
         return pair(shared, "low").union(pair(shared, "high")).union(pair(before, "before")).distinct()
 
+    def _words(self) -> DataFrame:
+        return self.nodes.select("node", "n", *[F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)])
+
+    @staticmethod
+    def _differing(x: str, y: str) -> Column:
+        """How many bits of two sketches differ."""
+        differing = F.lit(0)
+        for j in range(SKETCH_WORDS):
+            differing = differing + F.bit_count(F.col(f"{x}s{j}").bitwiseXOR(F.col(f"{y}s{j}")))
+        return differing
+
+    def _alike(self, x: str, y: str) -> Column:
+        return (100 + self.percent) * self._differing(x, y) <= (100 - self.percent) * (F.col(f"{x}n") + F.col(f"{y}n"))
+
+    def central_candidates(self, grouped: DataFrame, turn: int) -> DataFrame:
+        """Pairs of nodes with the most central node of each group that shares a leading token.
+
+        Each node is held against one node of each of its groups, drawn anew each turn; the node that differs
+        least from those it met is the head of its groups, such as the text that the others were copied
+        from. Each node is paired with the likest of the heads of its groups. Linear in the nodes.
+        """
+        keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)])
+        leads = self._parts(grouped).select("node", "part", F.explode(keys).alias("lead"))
+        mixed = leads.groupBy("lead").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("lead")
+        leads = materialise(leads.join(mixed, "lead", "left_semi"), "leads")
+        shown = leads.join(self._words(), "node")
+        columns = ["node", "n", "part", *[f"s{j}" for j in range(SKETCH_WORDS)]]
+
+        def met(rows: DataFrame, weight: Column) -> DataFrame:
+            head = rows.groupBy("lead").agg(F.max(F.struct(weight.alias("weight"), *columns)).alias("h"))
+            head = head.select("lead", *[F.col(f"h.{c}").alias(f"h_{c}") for c in columns])
+            return rows.join(head, "lead").filter("node <> h_node")
+
+        share = self._differing("", "h_") / (F.col("n") + F.col("h_n"))
+        central = met(shown, F.xxhash64("lead", "node", F.lit(turn))).groupBy("node").agg((-F.avg(share)).alias("weight"))
+        weighed = shown.join(materialise(central, "central"), "node", "left").withColumn("weight", F.coalesce("weight", F.lit(-1.0)))
+        near = met(weighed, F.col("weight")).filter((F.col("part") != F.col("h_part")) & self._sizes_fit("n", "h_n") & self._alike("", "h_"))
+        best = near.groupBy("node").agg(F.min(F.struct(share.alias("share"), "h_node")).alias("best"))
+        return best.select(F.least("node", "best.h_node").alias("a"), F.greatest("node", "best.h_node").alias("b")).distinct()
+
     def remaining_candidates(self, grouped: DataFrame) -> DataFrame:
         """All pairs of different components that share a prefix token under every order.
 
@@ -282,21 +324,18 @@ class JaccardJoin:
             tokens = self.named.select("digest", "_key", "n", f"p{k}").join(placed, ["digest", "_key"]).select("_key", "n", "part", F.explode(f"p{k}").alias("token"))
             mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
             shared = materialise(tokens.join(mixed, "token", "left_semi"), "shared")
-            words = self.nodes.select(F.col("node").alias("_key"), *[F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)])
-            end = lambda e: shared.join(words, "_key").select("token", *[F.col(c).alias(f"{c}_{e}") for c in ("_key", "n", "part", *words.columns[1:])])
-            differing = F.lit(0)
-            for j in range(SKETCH_WORDS):
-                differing = differing + F.bit_count(F.col(f"s{j}_a").bitwiseXOR(F.col(f"s{j}_b")))
-            alike = (100 + self.percent) * differing <= (100 - self.percent) * (F.col("n_a") + F.col("n_b"))
-            met = end("a").join(end("b"), "token").filter((F.col("part_a") < F.col("part_b")) & self._sizes_fit("n_a", "n_b") & alike)
-            pairs = met.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b")).distinct()
+            words = self._words().drop("n").withColumnRenamed("node", "_key")
+            end = lambda e: shared.join(words, "_key").select("token", *[F.col(c).alias(f"{e}_{c}") for c in ("_key", "n", "part", *words.columns[1:])])
+            met = end("a").join(end("b"), "token").filter((F.col("a_part") < F.col("b_part")) & self._sizes_fit("a_n", "b_n") & self._alike("a_", "b_"))
+            pairs = met.select(F.col("a__key").alias("a"), F.col("b__key").alias("b")).distinct()
             common = pairs if common is None else common.join(pairs, ["a", "b"], "left_semi")
         return common
 
     def groups(self) -> DataFrame:
         """(_key, n, component) per document."""
         grouped = components(self.links(self.leading_candidates()))
-        for candidates in (self.leading_candidates, self.remaining_candidates):
+        central = [partial(self.central_candidates, turn=turn) for turn in range(CENTRAL_ROUNDS)]
+        for candidates in (*central, self.leading_candidates, self.remaining_candidates):
             grouped = materialise(self._joined(grouped, self.links(candidates(grouped))), "components")
         named = self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         return self.signed.select("_key", "n", "digest").join(named, "digest", "left").select("_key", "n", F.when(F.col("_key").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("_key")).alias("component"))
