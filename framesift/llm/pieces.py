@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+LINKS = 1_200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -136,7 +137,7 @@ class PieceTransducer:
                 known = self._merge(self.names[right]) == [self.names[right]]
             else:
                 known = self._merge(self.names[left] + self.names[right]) == [self.names[left], self.names[right]]
-            if len(self._links) < 4 * REMEMBERED:
+            if len(self._links) < LINKS:
                 self._links[left, right] = known
         return known
 
