@@ -12,7 +12,8 @@ Equal sets are one document from the start. Before nodes are compared, each docu
 heads of its nodes and linked with the one most like it: first heads drawn at random, then the members
 that all others resemble most, such as the text that a group was copied from. That is linear in the
 documents and joins most large groups. Only nodes with several components are then compared or
-branched further, and never the documents of a node's largest component with each other.
+branched further, a share of the small ones first, and never the documents of a node's largest
+component with each other.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ PERCENT = 85
 TREES = 12
 DEPTH = 5
 SMALL = 32
+# A share of the nodes is compared first, so that the others find most links already made.
+FIRST_SHARE = 4
 COORDINATES = 112
 # Nodes branch for pairs whose tokens agree this many standard deviations less than wanted.
 SPARE_DEVIATIONS = 2
@@ -246,14 +249,20 @@ class ChosenPathJoin:
         return best.select(F.least("node", "best.head").alias("a"), F.greatest("node", "best.head").alias("b"))
 
     def _join_heads(self, rows: DataFrame) -> None:
-        """Two linear rounds: random heads, then the members that random heads resemble most."""
+        """Links each node with the likest of the random heads of its paths, and of the most central nodes, those
+        that differ least from the random heads they met."""
         known = lambda: rows.join(self._shown(), "node").join(self._parts(), "node")
         met = materialise(self._against_heads(known(), F.xxhash64("path", "node")), "met")
-        self._link(self._likest_heads(met))
         central = met.groupBy("node").agg((-F.sum("differing") / F.count(F.lit(1))).alias("weight"))
         weighed = known().join(central, "node", "left")
-        met = self._against_heads(weighed, F.coalesce("weight", F.lit(-float(COMPARED))))
-        self._link(self._likest_heads(met))
+        headed = self._against_heads(weighed, F.coalesce("weight", F.lit(-float(COMPARED))))
+        self._link(self._likest_heads(met).union(self._likest_heads(headed)))
+
+    def _mixed(self, rows: DataFrame) -> DataFrame:
+        """Rows (path, node) of paths with several components, with the component and the number of rows of the path."""
+        placed = rows.join(self._parts(), "node")
+        held = placed.groupBy("path").agg(F.count(F.lit(1)).alias("held"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("path", "held")
+        return placed.join(held, "path").select("path", "node", "part", "held")
 
     def _compared(self, rows: DataFrame) -> DataFrame:
         """All pairs of different components in each path's rows (path, node, part) whose tokens agree enough.
@@ -273,17 +282,16 @@ class ChosenPathJoin:
         """(_key, n, component) per document."""
         rows = self._branched(self.nodes.select(F.lit(None).cast("bigint").alias("path"), "node").distinct())
         self._join_heads(rows)
-        pairs = None
+        leaves = None
         for level in range(1, self.depth + 1):
-            placed = rows.join(self._parts(), "node")
-            held = placed.groupBy("path").agg(F.count(F.lit(1)).alias("held"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("path", "held")
-            mixed = materialise(placed.join(held, "path").select("path", "node", "part", "held"), "mixed")
+            mixed = materialise(self._mixed(rows), "mixed")
             few = F.col("held") <= self.small if level < self.depth else F.lit(True)
-            found = self._compared(mixed.filter(few))
-            pairs = found if pairs is None else pairs.union(found)
+            found = mixed.filter(few).select("path", "node")
+            leaves = found if leaves is None else leaves.union(found)
             if level < self.depth:
                 rows = self._branched(mixed.filter(~few).select("path", "node"))
-        self._link(pairs)
+        for chosen in (F.pmod("path", F.lit(FIRST_SHARE)) == 0, F.lit(True)):
+            self._link(self._compared(self._mixed(leaves.filter(chosen)).select("path", "node", "part")))
         component = self.nodes.select("digest", "node").join(self.grouped, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         linked = F.col("_key").isNotNull() & (F.col("n") > 0)
         return self.signed.select("_key", "n", "digest").join(component, "digest", "left").select("_key", "n", F.when(linked, F.col("component")).otherwise(F.col("_key")).alias("component"))
