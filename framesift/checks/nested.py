@@ -100,9 +100,24 @@ def r5i(t):
 
 @query(
     "R5_implode_frames_large",
-    "SELECT l_orderkey, count(*) AS n, sum(l_quantity)::DOUBLE AS total, list(l_quantity ORDER BY l_linenumber, l_quantity)[1]::DOUBLE AS first FROM lineitem GROUP BY 1",
+    "SELECT l_returnflag, count(*) AS n, sum(l_quantity)::DOUBLE AS total, arg_min(l_quantity, l_orderkey * 8 + l_linenumber)::DOUBLE AS first FROM lineitem GROUP BY 1",
 )
 def r5_large(t):
+    """A few keys that hold all frames, packed in order into rows of bounded arrays."""
+    rows = t.lineitem.select("l_returnflag", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("frame_idx"), F.col("l_quantity").cast("double").alias("x"))
+    packed = nested.implode_frames(rows, ["l_returnflag"], ["x"], per_row=10_000)
+    known = F.filter("x", lambda v: v.isNotNull())
+    sums = packed.select("l_returnflag", "part", F.size("x").alias("n"), F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, v: a + v)).alias("total"), F.get(known, 0).alias("first"))
+    return sums.groupBy("l_returnflag").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min_by("first", F.when(F.col("first").isNotNull(), F.col("part"))).alias("first")
+    )
+
+
+@query(
+    "R5_implode_frames_orders",
+    "SELECT l_orderkey, count(*) AS n, sum(l_quantity)::DOUBLE AS total, list(l_quantity ORDER BY l_linenumber, l_quantity)[1]::DOUBLE AS first FROM lineitem GROUP BY 1",
+)
+def r5_orders(t):
     """Very many keys, each with the few frames of an order."""
     rows = t.lineitem.select("l_orderkey", F.col("l_linenumber").alias("frame_idx"), F.col("l_quantity").cast("double").alias("x"))
     packed = nested.implode_frames(rows, ["l_orderkey"], ["x"])

@@ -120,8 +120,18 @@ def explode_frames(df: DataFrame, key: Sequence[str], arrays: Sequence[str]) ->
     return df.select(*key, zipped).select(*key, "frame_idx", *[F.col(f"_v.{a}").alias(a) for a in arrays])
 
 
-def implode_frames(df: DataFrame, key: Sequence[str], values: Sequence[str], index: str = "frame_idx") -> DataFrame:
-    """The inverse: one row per key with arrays ordered by frame index, however many frames there are."""
+def implode_frames(
+    df: DataFrame, key: Sequence[str], values: Sequence[str], index: str = "frame_idx", per_row: int | None = None
+) -> DataFrame:
+    """The inverse: one row per key with arrays ordered by frame index, however many frames there are.
+
+    With ``per_row`` a key has one row for every so many of its frames, numbered from 0 in ``part``: the
+    arrays of its parts, one after the other, are those of the key, and no task holds a whole hot key.
+    """
+    key = list(key)
+    if per_row is not None:
+        df = with_position(df, [index, *values], key, name="part").withColumn("part", F.expr(f"part div {per_row}"))
+        key = [*key, "part"]
     packed = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(index, *values))).alias("_rows"))
     # Extracting a field from an array of structs gives the array of that field.
     return packed.select(*key, *[F.col("_rows").getField(v).alias(v) for v in values])
