@@ -100,8 +100,20 @@ def _lines(t, path):
     return t.lineitem.select(path.alias("path"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("pos"), F.col("l_quantity").cast("int").alias("num_frames"))
 
 
-@query("A7_frames_grouped_large", f"SELECT path, count(*) * 2 AS n, sum(num_frames * 0.5::DOUBLE) + count(*) * 3.0::DOUBLE AS total FROM ({_LINES}) GROUP BY path")
+@query(
+    "A7_frames_grouped_large",
+    f"""SELECT kind AS path, count(*) * 2 AS n, list_sum(list(num_frames * 0.5::DOUBLE ORDER BY pos, num_frames)[1:2000]) + least(count(*), 2000) * 3.0::DOUBLE AS head,
+          sum(num_frames * 0.5::DOUBLE) + count(*) * 3.0::DOUBLE AS total FROM ({_LINES}) GROUP BY kind""",
+)
 def a7_large(t):
+    """A few paths that hold all rows, their points in order in rows of bounded arrays."""
+    out = profile.frames_grouped(_lines(t, F.concat("l_returnflag", "l_linestatus")), [0.5, 3], [], per_row=2000)
+    parts = out.select("path", "part", F.size("points").alias("n"), F.aggregate("points", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0))).alias("total"))
+    return parts.groupBy("path").agg(F.sum("n").alias("n"), F.max(F.when(F.col("part") == 0, F.col("total"))).alias("head"), F.sum("total").alias("total"))
+
+
+@query("A7_frames_grouped_orders", f"SELECT path, count(*) * 2 AS n, sum(num_frames * 0.5::DOUBLE) + count(*) * 3.0::DOUBLE AS total FROM ({_LINES}) GROUP BY path")
+def a7_orders(t):
     """Very many paths, each with the few rows of an order."""
     out = profile.frames_grouped(_lines(t, F.concat(F.lit("o"), "l_orderkey")), [0.5, 3], [])
     return out.select("path", F.size("points").cast("bigint").alias("n"), F.aggregate("points", F.lit(0.0), lambda a, x: a + x).alias("total"))

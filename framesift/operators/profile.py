@@ -163,17 +163,24 @@ def frame_points(points: Sequence[float | int]) -> Column:
     )
 
 
-def frames_grouped(df: DataFrame, points: Sequence[float | int], firsts: Sequence[str], order_by: str = "pos") -> DataFrame:
+def frames_grouped(
+    df: DataFrame, points: Sequence[float | int], firsts: Sequence[str], order_by: str = "pos", per_row: int | None = None
+) -> DataFrame:
     """One row per path with its frame points in row order and the first non-null value of other columns.
 
-    The array of a path holds all its rows; ``frames_long`` is the form without arrays.
+    The array of a path holds all its rows; ``frames_long`` is the form without arrays. With ``per_row`` a
+    path has one row for every so many of its rows, numbered from 0 in ``part``: the arrays of its parts,
+    one after the other, are those of the path, and the first part with a value has the path's.
     """
-    rows = df.filter(F.col("path").isNotNull())
-    packed = rows.groupBy("path").agg(
+    rows, key = df.filter(F.col("path").isNotNull()), ["path"]
+    if per_row is not None:
+        rows = with_position(rows, [order_by, "num_frames"], key, name="part").withColumn("part", F.expr(f"part div {per_row}"))
+        key = ["path", "part"]
+    packed = rows.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct(order_by, frame_points(points).alias("pts")))).alias("_rows"),
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(c) for c in firsts],
     )
-    return packed.select("path", F.flatten(F.transform("_rows", lambda r: r["pts"])).alias("points"), *firsts).orderBy("path")
+    return packed.select(*key, F.flatten(F.transform("_rows", lambda r: r["pts"])).alias("points"), *firsts).orderBy(*key)
 
 
 def frames_long(df: DataFrame, points: Sequence[float | int], order_by: str = "pos") -> DataFrame:

@@ -26,3 +26,17 @@ def test_imploded_frames_of_hot_keys(spark, tmp_path):
     got = QUERIES["R5_implode_frames_large"](spark, _lineitem(spark, tmp_path)).collect()
     assert sorted(map(tuple, got)) == [("N", 4500, 4500 * 24.5, 0.0), ("R", 500, 500 * 24.5, 0.0)]
     assert "R5_implode_frames_orders" in ORACLES
+
+
+def test_grouped_frames_of_hot_paths(spark, tmp_path):
+    from framesift.operators import profile
+
+    folder = _lineitem(spark, tmp_path)
+    got = QUERIES["A7_frames_grouped_large"](spark, folder).select("path", "n", "head", "total").collect()
+    head = 2000 * (24.5 * 0.5 + 3)
+    assert sorted(map(tuple, got)) == [("NO", 9000, head, 4500 * (24.5 * 0.5 + 3)), ("RO", 1000, head / 4, head / 4)]
+    rows = spark.range(7).selectExpr("'p' AS path", "7 - id AS pos", "CAST(id AS INT) AS num_frames", "IF(id < 5, 't' || id, NULL) AS text")
+    parts = profile.frames_grouped(rows, [0.5, 3], ["text"], per_row=3).collect()
+    assert [x for r in parts for x in r["points"]] == [x for i in range(6, -1, -1) for x in (i * 0.5, 3.0)]
+    assert [(r["part"], r["text"]) for r in parts] == [(0, "t4"), (1, "t3"), (2, "t0")]
+    assert "A7_frames_grouped_orders" in ORACLES
