@@ -127,7 +127,7 @@ def u2_files(t):
     folder = f"{shared_folder(t.spark)}/{uuid.uuid4().hex}"
     inputs = [f"{folder}/even.parquet", f"{folder}/odd.parquet"]
     for rest, path in enumerate(inputs):
-        meta.write_meta(t.media.filter(F.col("pos") % 2 == rest).orderBy("pos").coalesce(1).drop("pos"), path)
+        meta.write_meta(t.media.filter(F.col("pos") % 2 == rest).orderBy("pos").drop("pos"), path)
     output = f"{folder}/best.parquet"
     for _ in range(2):
         shards = files.curate_files(t.spark, inputs, output, shards=5, remove_empty_caption=True, fmin=17, aesmin=2.0, sort="aes")

@@ -26,3 +26,9 @@ def test_split_csv_is_written_by_many_tasks(spark, folder):
     got = QUERIES["S1_read_meta_csv_split"](spark, str(folder))
     assert got.filter("text LIKE 'a \"quoted\"\\ntext %'").count() == sum(i % 29 != 0 and i % 31 != 0 for i in range(400))
     assert len(glob.glob(f"{folder}/shared/meta-*.csv/part-*.csv")) > 1
+
+
+def test_files_to_shards_inputs_are_written_by_many_tasks(spark, folder):
+    got = QUERIES["U2_files_to_shards"](spark, str(folder))
+    assert got.groupBy("shard").count().count() == 5
+    assert len(glob.glob(f"{folder}/shared/*/even.parquet/part-*.parquet")) > 1
