@@ -8,15 +8,16 @@ from framesift.checks.catalogue import QUERIES
 
 
 @pytest.fixture
-def folder(spark, tmp_path):
+def folder(spark, tmp_path, monkeypatch):
     rows = spark.range(400).selectExpr(
         "id AS doc_id", "concat('a \"quoted\"\\ntext ', id) AS text", "'en' AS lang", "'src1' AS source", "CAST(id AS INT) + 20 AS n_chars"
     )
     rows.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
-    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled", "spark.checkpoint.dir")}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared")
+    for module in ("checks.sources", "checks.jobs", "plans.files"):
+        monkeypatch.setattr(f"framesift.{module}.shared_folder", lambda _: f"{tmp_path}/shared")
     yield tmp_path
     for key, value in old.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
