@@ -91,16 +91,24 @@ class ProfileTable:
         return F.get(F.transform(F.array(self.scores(text)), judged), 0)
 
 
-def score_text(words: str | None, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Sums of the weights of all trigrams of padded words."""
-    points = np.frombuffer((words or "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    if len(points) < 3 or not len(codes):
-        return np.zeros(weights.shape[1], np.int64)
-    apart = points == 32
-    whole = ~(apart[:-2] | apart[1:-1] | apart[2:])
-    found = ((points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:])[whole]
-    at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
-    return np.bincount(at[codes[at] == found], minlength=len(codes)) @ weights
+# Code points scored at a time: a text of any length takes a few megabytes of a worker.
+_PIECE = 1 << 16
+
+
+def score_text(words: str | None, codes: np.ndarray, weights: np.ndarray, piece: int = _PIECE) -> np.ndarray:
+    """Sums of the weights of all trigrams of padded words, read in overlapping pieces."""
+    words = words or ""
+    total = np.zeros(weights.shape[1], np.int64)
+    if not len(codes):
+        return total
+    for start in range(0, len(words) - 2, piece):
+        points = np.frombuffer(words[start : start + piece + 2].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        apart = points == 32
+        whole = ~(apart[:-2] | apart[1:-1] | apart[2:])
+        found = ((points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:])[whole]
+        at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
+        total += np.bincount(at[codes[at] == found], minlength=len(codes)) @ weights
+    return total
 
 
 def lang_filter(
