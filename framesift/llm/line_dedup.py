@@ -9,10 +9,12 @@ distance (Hyyrö 2003).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.session import materialise
+from framesift.session import materialise, scratch
 
 THRESHOLD = 2
 SHORTEST = 20
@@ -162,7 +164,7 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold: int) -> DataFrame:
+def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold: int, materialise: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """Line classes (_c1, _c2) that stand after a class within the threshold.
 
     ``keyed`` holds ``_index`` and ``_probe`` of each line that takes part, ``first`` the first place and the
@@ -235,18 +237,19 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     line, size = F.col("_line"), F.col("_n")
     whole = F.when(size >= shortest, index_keys(line, size, threshold)).alias("_index")
     parts = F.when(size >= shortest, probe_keys(line, size, threshold)).alias("_probe")
-    # One pass over the texts: who stands where, and the keys of the edit join.
-    places = materialise(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
-    first = materialise(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final"), F.count(F.lit(1)).alias("_times")), "line-classes")
-    gone = near_lines(lines, places, first, threshold).withColumn("_near", F.lit(True))
-    marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")
-    marked = materialise(marked, "line-marks")
-    removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(marked, ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
-    repeated = F.coalesce(order != F.col("_first"), F.lit(False))
-    per_doc = removed.groupBy("_id", "_h").agg(
-        F.collect_set("_pos").alias("_gone"), F.countDistinct(F.when(repeated, F.col("_pos"))).alias("_exact")
-    )
-    per_doc = materialise(per_doc, "removed-lines")
+    with scratch(docs.sparkSession, "line-dedup") as write:
+        # One pass over the texts: who stands where, and the keys of the edit join.
+        places = write(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
+        first = write(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final"), F.count(F.lit(1)).alias("_times")), "line-classes")
+        gone = near_lines(lines, places, first, threshold, write).withColumn("_near", F.lit(True))
+        marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")
+        marked = write(marked, "line-marks")
+        removed = places.select("_id", "_h", "_pos", "_c1", "_c2").join(marked, ["_c1", "_c2"]).filter(F.coalesce(F.col("_near"), F.lit(False)) | (order != F.col("_first")))
+        repeated = F.coalesce(order != F.col("_first"), F.lit(False))
+        per_doc = removed.groupBy("_id", "_h").agg(
+            F.collect_set("_pos").alias("_gone"), F.countDistinct(F.when(repeated, F.col("_pos"))).alias("_exact")
+        )
+        per_doc = materialise(per_doc, "removed-lines")
     own = F.xxhash64(base[text])
     joined = base.join(per_doc, base[key].eqNullSafe(per_doc["_id"]) & (own == per_doc["_h"]), "left")
     kept = F.array_join(F.filter(F.split(base[text], "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
