@@ -83,6 +83,21 @@ def letter_parities(line: Column) -> Column:
     return out
 
 
+def pair_parities(line: Column) -> Column:
+    """64 bits over the pairs of neighbouring characters, set where those of a slot are there an odd number of times.
+
+    An edit takes out and puts in four pairs at most, so lines within ``t`` edits differ in at most ``4 * t`` bits.
+    """
+    wide = F.encode(line, "UTF-32")
+
+    def flip(bits: Column, at: Column, own: Column) -> Column:
+        slot = F.hash(F.substring(own, 4 * at - 3, F.lit(8))).bitwiseAND(F.lit(63))
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot))
+
+    places = lambda own: F.sequence(F.lit(1), F.greatest(F.lit(1), (F.octet_length(own) / 4).cast("int") - 1))
+    return F.element_at(F.transform(F.array(wide), lambda own: F.aggregate(places(own), F.lit(0).cast("bigint"), lambda bits, at: flip(bits, at, own))), 1)
+
+
 def edit_distance(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     """Edit distance of two texts, or ``threshold + 1`` where it is larger.
 
@@ -172,7 +187,7 @@ def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold:
     are few; only their lines are looked up again. Each is then held against two lines of every key it
     has, the first and the most common, which is linear however many lines share a key and settles
     nearly all copies of a line. Only for lines not settled by that are all earlier lines of their keys
-    looked at, and only pairs whose letters allow the threshold come out of the join.
+    looked at, and only pairs whose letters and pairs of letters allow the threshold come out of the join.
     """
     own = keyed.filter(F.col("_index").isNotNull())
     indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
@@ -183,10 +198,11 @@ def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold:
     shared = materialise(sided("_index").withColumn("_own", F.lit(True)).union(sided("_probe").withColumn("_own", F.lit(False))), "line-shared")
     wanted = materialise(shared.select("_c1", "_c2").distinct(), "line-wanted")
     texts = lines.select("_c1", "_c2", "_line").join(_bounded(wanted), ["_c1", "_c2"], "left_semi").dropDuplicates(["_c1", "_c2"])
-    texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))).join(first.select("_c1", "_c2", "_first", "_times"), ["_c1", "_c2"]), "line-texts")
-    seen = ["_c1", "_c2", "_first", "_letters"]
+    texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))).withColumn("_pairs", pair_parities(F.col("_line"))).join(first.select("_c1", "_c2", "_first", "_times"), ["_c1", "_c2"]), "line-texts")
+    seen = ["_c1", "_c2", "_first", "_letters", "_pairs"]
     lettered = shared.join(texts.select(*seen, "_times"), ["_c1", "_c2"])
-    alike = F.bit_count(F.col("a._letters").bitwiseXOR(F.col("b._letters"))) <= 2 * threshold
+    differing = lambda bits: F.bit_count(F.col(f"a.{bits}").bitwiseXOR(F.col(f"b.{bits}")))
+    alike = (differing("_letters") <= 2 * threshold) & (differing("_pairs") <= 4 * threshold)
     earlier = F.col("a._first") < F.col("b._first")
     line = F.struct(*seen)
 
