@@ -8,13 +8,16 @@ among tokens of one class of frequency each order is an own permutation.
 Texts with equal sets are one node from the start. Links are sought in rounds: first every node is
 compared with a few nodes of the groups that share its leading tokens, by size and then those that the
 others of the group resemble most, which joins most large groups of copies in linear work; then all
-remaining pairs between different components are sought through every prefix token of every order. Nothing is lost: pairs inside a component cannot change the
-components.
+remaining pairs between different components are sought through every prefix token of the first order, and
+held against those of the others. Nothing is lost: pairs inside a component cannot change the components.
+
+Large sets are cut into classes by a hash of the token. Of two similar sets the tokens of at least one
+class are as similar, so the first order is sought class by class, with sketches that no size saturates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.common import WordHashes, grams, mix64, plain_words, texts
 from framesift.llm.components import components
-from framesift.session import materialise
+from framesift.session import materialise, scratch
 
 GRAM = 3
 PERCENT = 90
@@ -33,6 +36,7 @@ LEADS = 4
 BROADCAST_ROWS = 100_000
 SKETCH_WORDS = 16
 CENTRAL_ROUNDS = 2
+PIECE = 2048
 COUNTERS = 1 << 20
 FAN_IN = 64
 
@@ -118,6 +122,20 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(counts & 1).view(np.int64)
 
 
+def pieces(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Classes of a set by a hash of the token, as (level, tokens): 2^level classes, so many that ``PIECE``
+    tokens a class are enough. A set that can be similar to one of the next level has its classes too."""
+    level = lambda n: max(0, int(n - 1) // PIECE).bit_length()
+    out, n = [], len(tokens)
+    for k in sorted({level(n), level(100 * n // percent)}) if n else []:
+        if k == 0:
+            out.append((0, tokens))
+            continue
+        classes = mix64(tokens) >> np.uint64(64 - k)
+        out += [(k, tokens[classes == c]) for c in np.unique(classes)]
+    return out
+
+
 def bits_allow(x: bytes, y: bytes, size_x: int, size_y: int, percent: int) -> bool:
     """Whether sets of these bits and sizes can be similar enough."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -156,7 +174,8 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
         memo = WordHashes()
         for batch in batches:
-            sizes, digests, bits, sketches, leads, parts = [], [], [], [], [], [[] for _ in range(orders)]
+            sizes, digests, bits, sketches, leads, parts = [], [], [], [], [], [[] for _ in range(orders - 1)]
+            counts, piece_sizes, piece_sketches, piece_prefixes = [], [], [], []
             for value in texts(batch, text):
                 tokens = shingle_set(plain_words(value), memo, gram)
                 sizes.append(len(tokens))
@@ -166,14 +185,23 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
                 first = []
                 for k in range(max(orders, LEADS)):
                     places = _places(tokens, classes, k)
-                    if k < orders:
-                        parts[k].append(prefix(tokens, places, percent))
+                    if 0 < k < orders:
+                        parts[k - 1].append(prefix(tokens, places, percent))
                     if k < LEADS:
                         first.append(int(tokens[places.argmin()].view(np.int64)) if len(tokens) else 0)
                 leads.append(first)
+                cut = pieces(tokens, percent)
+                counts.append(len(cut))
+                for level, own in cut:
+                    begun = prefix(own, _places(own, classes, 0), percent)
+                    piece_sizes.append(len(own))
+                    piece_sketches.append(sketch(own) if level else None)
+                    piece_prefixes.append(mix64(begun + np.uint64(level)) if level else begun)
             ids = batch.column(batch.schema.get_field_index(key))
-            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(leads, pa.list_(pa.int64())), *[_lists(p) for p in parts]]
-            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "sketch", "leads", *[f"p{k}" for k in range(orders)]])
+            cuts = pa.StructArray.from_arrays([pa.array(piece_sizes, pa.int64()), pa.array(piece_sketches, pa.list_(pa.int64())), _lists(piece_prefixes)], ["n", "sketch", "prefix"])
+            cuts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), cuts)
+            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(leads, pa.list_(pa.int64())), cuts, *[_lists(p) for p in parts]]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "sketch", "leads", "pieces", *[f"p{k}" for k in range(1, orders)]])
 
     return sign
 
@@ -206,25 +234,35 @@ def _verify(percent: int):
 class JaccardJoin:
     """One join over a table of documents; see ``near_groups``."""
 
-    def __init__(self, docs: DataFrame, key: str, text: str, gram: int, percent: int, orders: int):
+    def __init__(self, docs: DataFrame, key: str, text: str, gram: int, percent: int, orders: int, write: Callable[[DataFrame, str], DataFrame] = materialise):
         import zlib
 
         if not 50 < percent <= 100 or orders < 1:
             raise ValueError("percent must lie in (50, 100], orders must be 1 or more")
-        self.percent, self.gram, self.orders = percent, gram, orders
+        self.percent, self.gram, self.orders, self.write = percent, gram, orders, write
         self.docs = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         packed = zlib.compress(frequency_classes(self.docs, "_text", gram).tobytes(), 1)
-        lists = ", ".join(f"p{k} array<bigint>" for k in range(orders))
-        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, sketch array<bigint>, leads array<bigint>, {lists}")
-        self.signed = materialise(signed, "signed")
+        lists = "".join(f", p{k} array<bigint>" for k in range(1, orders))
+        signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, sketch array<bigint>, leads array<bigint>, pieces array<struct<n: bigint, sketch: array<bigint>, prefix: array<bigint>>>{lists}")
+        self.signed = write(signed, "signed")
         self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
         first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", "sketch", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
-        self.nodes = materialise(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
+        self.nodes = write(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
 
     def _sizes_fit(self, x: str, y: str):
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
 
-    def links(self, candidates: DataFrame) -> DataFrame:
+    def _of(self, ids: DataFrame, table: DataFrame) -> DataFrame:
+        """Rows of a table with one of some ids (_key), which are broadcast while they are few."""
+        if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+            ids = F.broadcast(ids)
+        return table.join(ids, "_key", "left_semi")
+
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("_key")).union(pairs.select(F.col("b").alias("_key"))).distinct()
+
+    def links(self, candidates: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
         """Those of the candidate pairs (a, b) whose whole sets are similar enough.
 
         Parity bits rule out most pairs that are merely alike before whole sets move.
@@ -233,41 +271,32 @@ class JaccardJoin:
         """
         side = lambda end: self.nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
         known = candidates.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        near = materialise(known.mapInArrow(_bit_filter(self.percent), "a bigint, b bigint"), "candidates")
-        wanted = materialise(near.select(F.col("a").alias("_key")).union(near.select(F.col("b").alias("_key"))).distinct(), "wanted")
-        if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        sets = self.docs.join(wanted, "_key", "left_semi").mapInArrow(_sets("_key", "_text", self.gram), "node bigint, tokens array<bigint>")
-        sets = materialise(sets, "sets")
+        near = write(known.mapInArrow(_bit_filter(self.percent), "a bigint, b bigint"), "candidates")
+        wanted = self._of(write(self._ends(near), "wanted"), self.docs)
+        sets = write(wanted.mapInArrow(_sets("_key", "_text", self.gram), "node bigint, tokens array<bigint>"), "sets")
         whole = near.join(sets.withColumnsRenamed({"node": "a", "tokens": "left"}), "a").join(sets.withColumnsRenamed({"node": "b", "tokens": "right"}), "b")
         found = whole.select("a", "b", "left", "right").mapInArrow(_verify(self.percent), "a bigint, b bigint")
-        return materialise(found, "found")
+        return write(found, "found")
 
-    def _parts(self, grouped: DataFrame | None) -> DataFrame:
+    def _parts(self, grouped: DataFrame) -> DataFrame:
         """Nodes with the component each is known to be in."""
-        if grouped is None:
-            return self.nodes.withColumn("part", F.col("node"))
         return self.nodes.join(grouped, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
 
-    def leading_candidates(self, grouped: DataFrame | None = None) -> DataFrame:
+    def leading_candidates(self, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
         """Pairs of nodes with common leading tokens: each node with the smallest and the largest of its
         group, and with the one before it by size.
 
-        At first a group shares its leads under two orders; once components are known, under one, and
-        only pairs between components count. Linear in the nodes, whatever the size of a group.
+        A group shares its leads under two orders. Linear in the nodes, whatever the size of a group.
         """
-        if grouped is None:
-            keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}", f"l{k + 1}") for k in range(LEADS - 1)])
-        else:
-            keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)])
-        leads = self._parts(grouped).select("node", "n", "part", F.explode(keys).alias("lead"))
-        own = F.struct("n", "node", "part")
-        ends = leads.groupBy("lead").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").drop("p", "q")
-        shared = materialise(leads.join(ends, "lead"), "leads")
+        keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}", f"l{k + 1}") for k in range(LEADS - 1)])
+        leads = self.nodes.select("node", "n", F.explode(keys).alias("lead"))
+        own = F.struct("n", "node")
+        ends = leads.groupBy("lead").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low <> high")
+        shared = write(leads.join(ends, "lead"), "leads")
         before = shared.withColumn("before", F.lag(own).over(Window.partitionBy("lead").orderBy("n", "node")))
 
         def pair(table: DataFrame, end: str) -> DataFrame:
-            apart = (F.col("part") != F.col(f"{end}.part")) & self._sizes_fit("n", f"{end}.n")
+            apart = (F.col("node") != F.col(f"{end}.node")) & self._sizes_fit("n", f"{end}.n")
             return table.filter(apart).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
 
         return pair(shared, "low").union(pair(shared, "high")).union(pair(before, "before")).distinct()
@@ -286,7 +315,7 @@ class JaccardJoin:
     def _alike(self, x: str, y: str) -> Column:
         return (100 + self.percent) * self._differing(x, y) <= (100 - self.percent) * (F.col(f"{x}n") + F.col(f"{y}n"))
 
-    def central_candidates(self, grouped: DataFrame, turn: int) -> DataFrame:
+    def central_candidates(self, grouped: DataFrame, write: Callable[[DataFrame, str], DataFrame], turn: int) -> DataFrame:
         """Pairs of nodes with the most central node of each group that shares a leading token.
 
         Each node is held against one node of each of its groups, drawn anew each turn; the node that differs
@@ -296,7 +325,7 @@ class JaccardJoin:
         keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)])
         leads = self._parts(grouped).select("node", "part", F.explode(keys).alias("lead"))
         mixed = leads.groupBy("lead").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("lead")
-        leads = materialise(leads.join(mixed, "lead", "left_semi"), "leads")
+        leads = write(leads.join(mixed, "lead", "left_semi"), "leads")
         shown = leads.join(self._words(), "node")
         columns = ["node", "n", "part", *[f"s{j}" for j in range(SKETCH_WORDS)]]
 
@@ -307,36 +336,48 @@ class JaccardJoin:
 
         share = self._differing("", "h_") / (F.col("n") + F.col("h_n"))
         central = met(shown, F.xxhash64("lead", "node", F.lit(turn))).groupBy("node").agg((-F.avg(share)).alias("weight"))
-        weighed = shown.join(materialise(central, "central"), "node", "left").withColumn("weight", F.coalesce("weight", F.lit(-1.0)))
+        weighed = shown.join(write(central, "central"), "node", "left").withColumn("weight", F.coalesce("weight", F.lit(-1.0)))
         near = met(weighed, F.col("weight")).filter((F.col("part") != F.col("h_part")) & self._sizes_fit("n", "h_n") & self._alike("", "h_"))
         best = near.groupBy("node").agg(F.min(F.struct(share.alias("share"), "h_node")).alias("best"))
         return best.select(F.least("node", "best.h_node").alias("a"), F.greatest("node", "best.h_node").alias("b")).distinct()
 
-    def remaining_candidates(self, grouped: DataFrame) -> DataFrame:
+    def remaining_candidates(self, grouped: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
         """All pairs of different components that share a prefix token under every order.
 
-        Sketches of parity bits are compared inside the join, so that of large groups of texts that are
-        merely alike hardly a pair comes out of it.
+        Under the first order a class of both has to share one. Sketches of parity bits are compared
+        inside that join, so that of large groups of texts that are merely alike hardly a pair comes out
+        of it; the prefixes of the other orders are looked at for its pairs only.
         """
-        placed = materialise(self._parts(grouped).select("digest", F.col("node").alias("_key"), "part"), "placed")
-        common = None
-        for k in range(self.orders):
-            tokens = self.named.select("digest", "_key", "n", f"p{k}").join(placed, ["digest", "_key"]).select("_key", "n", "part", F.explode(f"p{k}").alias("token"))
-            mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
-            shared = materialise(tokens.join(mixed, "token", "left_semi"), "shared")
-            words = self._words().drop("n").withColumnRenamed("node", "_key")
-            end = lambda e: shared.join(words, "_key").select("token", *[F.col(c).alias(f"{e}_{c}") for c in ("_key", "n", "part", *words.columns[1:])])
-            met = end("a").join(end("b"), "token").filter((F.col("a_part") < F.col("b_part")) & self._sizes_fit("a_n", "b_n") & self._alike("a_", "b_"))
-            pairs = met.select(F.col("a__key").alias("a"), F.col("b__key").alias("b")).distinct()
-            common = pairs if common is None else common.join(pairs, ["a", "b"], "left_semi")
-        return common
+        placed = write(self._parts(grouped).select("digest", F.col("node").alias("_key"), "part"), "placed")
+        cut = self.named.join(placed, ["digest", "_key"]).select("digest", "_key", "part", "sketch", "pieces").dropDuplicates(["digest", "_key"])
+        cut = cut.select("_key", "part", "sketch", F.posexplode("pieces").alias("place", "piece"))
+        cut = write(cut.select("_key", "part", "place", "piece.n", F.coalesce("piece.sketch", "sketch").alias("sketch"), "piece.prefix"), "pieces")
+        tokens = cut.select("_key", "part", "place", "n", F.explode("prefix").alias("token"))
+        mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
+        shared = write(tokens.join(mixed, "token", "left_semi"), "shared")
+        words = cut.select("_key", "place", *[F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)])
+        end = lambda e: shared.join(words, ["_key", "place"]).select("token", *[F.col(c).alias(f"{e}_{c}") for c in ("_key", "n", "part", *words.columns[2:])])
+        met = end("a").join(end("b"), "token").filter((F.col("a_part") < F.col("b_part")) & self._sizes_fit("a_n", "b_n") & self._alike("a_", "b_"))
+        pairs = write(met.select(F.col("a__key").alias("a"), F.col("b__key").alias("b")).distinct(), "pairs")
+        others = [f"p{k}" for k in range(1, self.orders)]
+        if not others:
+            return pairs
+        lists = self._of(write(self._ends(pairs), "ends"), self.named.join(placed, ["digest", "_key"], "left_semi")).select("_key", *others).dropDuplicates(["_key"])
+        lists = write(lists, "prefixes")
+        side = lambda e: lists.select(F.col("_key").alias(e), *[F.col(c).alias(f"{e}_{c}") for c in others])
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        for c in others:
+            both = both.filter(F.arrays_overlap(f"a_{c}", f"b_{c}"))
+        return both.select("a", "b")
 
     def groups(self) -> DataFrame:
         """(_key, n, component) per document."""
-        grouped = components(self.links(self.leading_candidates()))
+        spark, grouped = self.docs.sparkSession, None
         central = [partial(self.central_candidates, turn=turn) for turn in range(CENTRAL_ROUNDS)]
-        for candidates in (*central, self.leading_candidates, self.remaining_candidates):
-            grouped = materialise(self._joined(grouped, self.links(candidates(grouped))), "components")
+        for candidates in (None, *central, self.remaining_candidates):
+            with scratch(spark, "links") as write:
+                found = self.links(candidates(grouped, write) if candidates else self.leading_candidates(write), write)
+                grouped = self.write(self._joined(grouped, found) if candidates else components(found), "components")
         named = self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         return self.signed.select("_key", "n", "digest").join(named, "digest", "left").select("_key", "n", F.when(F.col("_key").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("_key")).alias("component"))
 
@@ -365,5 +406,6 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", gram:
     Shingles are compared as 64-bit hashes: among ten thousand of two texts the chance that a chance
     collision changes a count is below one in a hundred billion.
     """
-    grouped = JaccardJoin(docs, key, text, gram, percent, orders).groups()
-    return grouped.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    with scratch(docs.sparkSession, "jaccard-join") as write:
+        grouped = JaccardJoin(docs, key, text, gram, percent, orders, write).groups()
+        return materialise(grouped.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")), "groups")

@@ -2,12 +2,14 @@
 
 import os
 import random
+from contextlib import contextmanager
 from datetime import date
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from framesift import session
 from framesift.llm import components, jaccard_join, line_dedup, mixing, topk, url_filters
 
 
@@ -82,6 +84,47 @@ def test_parity_bits_never_rule_out_similar_sets():
             assert jaccard_join.bits_allow(jaccard_join.parity_bits(a), jaccard_join.parity_bits(b), len(a), len(b), 90)
 
 
+def test_long_sets_are_compared_in_classes_that_no_size_saturates(documents, monkeypatch):
+    written = {}
+
+    @contextmanager
+    def spied(spark, job):
+        with session.scratch(spark, job) as write:
+
+            def noted(df, table):
+                out = write(df, table)
+                written[table] = out.count()
+                return out
+
+            yield noted
+
+    monkeypatch.setattr(jaccard_join, "scratch", spied)
+    rng = random.Random(4)
+    passage = [f"p{k}" for k in range(300)]
+    texts = [" ".join(passage + [f"{k}x{j}" for j in range(6000 + 10 * k)]) for k in range(12)]
+    chain = [f"c{k}" for k in range(2060)]
+    for size in (2060, 1950, 1855):
+        texts.append(" ".join(f"n{size}x{k}" if k % 90 == size % 90 else w for k, w in enumerate(chain[:size])))
+    rng.shuffle(texts)
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.near_groups(documents(texts)).collect()}
+    assert got == brute_groups(list(enumerate(texts)))
+    assert written["pairs"] == 0
+
+
+def test_similar_sets_have_a_similar_class_of_one_level():
+    rng = np.random.default_rng(2)
+    for n in (1, 40, 1840, 1860, 2048, 2049, 4000, 4100, 9000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: -(-len(a) * 96 // 100)], rng.integers(0, 2**63, n // 25).astype(np.uint64)]))
+        for x, y in ((a, b), (a, a[: -(-len(a) * 9 // 10)])):
+            shared = len(np.intersect1d(x, y))
+            assert 100 * shared >= 90 * (len(x) + len(y) - shared)
+            classes = [(u, v) for k, u in jaccard_join.pieces(x, 90) for m, v in jaccard_join.pieces(y, 90) if k == m]
+            common = [(len(np.intersect1d(u, v)), len(u), len(v)) for u, v in classes]
+            assert any(c and 100 * c >= 90 * (p + q - c) for c, p, q in common)
+        assert all(len(u) < 2 * jaccard_join.PIECE for _, u in jaccard_join.pieces(a, 90))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -156,6 +199,51 @@ def test_edit_distance_and_keys(spark, threshold):
     assert pairs.filter((F.levenshtein(a, b) <= threshold) & (parities > 2 * threshold)).count() == 0
 
 
+def test_lines_with_the_same_letters_in_another_order_are_not_compared(documents, monkeypatch):
+    compared = []
+
+    def noted(df, table, write=line_dedup.materialise):
+        out = write(df, table)
+        if table == "line-pairs":
+            compared.append(out.count())
+        return out
+
+    near = line_dedup.near_lines
+    monkeypatch.setattr(line_dedup, "near_lines", lambda lines, keyed, first, threshold, *_: near(lines, keyed, first, threshold, noted))
+    rng = random.Random(8)
+    rest = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(6))
+    texts = ["".join(rng.sample("abcdefghijklmnopqrst", 20)) + " " + rest for _ in range(30)]
+    texts += [texts[0][:30] + "0" + texts[0][31:], texts[5] + "zz"]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(texts)).collect()}
+    assert got == brute_lines(list(enumerate(texts)))
+    assert sum(compared) < 30
+
+
+def test_pair_parities_never_rule_out_near_lines(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(400):
+        a = "".join(rng.choice("abé😀 ") for _ in range(rng.randint(1, 40)))
+        b = list(a)
+        for _ in range(2):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "é", "z"])
+        rows.append((a, "".join(b) or "x"))
+    pairs = spark.createDataFrame(rows, "a string, b string").filter(F.levenshtein("a", "b") <= 2)
+    differing = F.bit_count(line_dedup.pair_parities(F.col("a")).bitwiseXOR(line_dedup.pair_parities(F.col("b"))))
+    assert pairs.count() > 300 and pairs.filter(differing > 8).count() == 0
+    assert pairs.select(line_dedup.pair_parities(F.col("a")).alias("p")).distinct().count() > 300
+
+
+def test_intermediate_tables_go_with_the_job(documents, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    docs = documents(["a line that is long enough to be compared " * 2 + c for c in "abcc"])
+    lines, groups = line_dedup.dedup_lines(docs), jaccard_join.near_groups(docs)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert [x for x in left if x != "links"] == ["groups", "removed-lines"]
+    assert lines.count() == groups.count() == 4
+
+
 def test_line_dedup_odd_rows(odd):
     rows = line_dedup.dedup_lines(odd)
     assert rows.columns == [*odd.columns, "n_lines", "n_repeated", "n_near"]
