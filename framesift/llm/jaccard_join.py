@@ -19,13 +19,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framesift.llm.common import WordHashes, grams, mix64, plain_words, texts
+from framesift.llm.common import grams, mix64, small_batches, texts, word_hashes
 from framesift.llm.components import components
 from framesift.session import materialise, scratch
 
@@ -37,23 +38,24 @@ BROADCAST_ROWS = 100_000
 SKETCH_WORDS = 16
 CENTRAL_ROUNDS = 2
 PIECE = 2048
+BEFORE = 3
 COUNTERS = 1 << 20
 FAN_IN = 64
 
 
-def shingle_set(words: list[bytes], memo: WordHashes, n: int = GRAM) -> np.ndarray:
+def shingle_set(text: str, n: int = GRAM) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-word shingles; of the whole text where it is shorter."""
-    return np.unique(grams(memo.array(words), n))
+    return np.unique(grams(word_hashes(text), n))
 
 
 def _count(text: str, gram: int):
     """Counts tokens into a fixed number of counters, one vector per task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, totals, waiting, held = WordHashes(), np.zeros(COUNTERS, np.int64), [], 0
+        totals, waiting, held = np.zeros(COUNTERS, np.int64), [], 0
         for batch in batches:
             for value in texts(batch, text):
-                slots = shingle_set(plain_words(value), memo, gram) & np.uint64(COUNTERS - 1)
+                slots = shingle_set(value, gram) & np.uint64(COUNTERS - 1)
                 waiting.append(slots)
                 held += len(slots)
                 if held > COUNTERS:
@@ -92,10 +94,11 @@ def frequency_classes(docs: DataFrame, text: str = "text", gram: int = GRAM) ->
     return np.clip(np.floor(np.log2(np.maximum(loads, 1.0) / mean)), 0, 63).astype(np.uint8)
 
 
-def _places(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
-    """Places of tokens in one global order: by class, then by a permutation of its own."""
+def _places(tokens: np.ndarray, classes: np.ndarray, orders: int) -> np.ndarray:
+    """Places of tokens in each global order, a row per order: by class, then by a permutation of its own."""
     level = classes[tokens & np.uint64(COUNTERS - 1)].astype(np.uint64) << np.uint64(56)
-    return level | (mix64(tokens ^ np.uint64(0xA24BAED4963EE407 * (order + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(8))
+    own = np.array([0xA24BAED4963EE407 * (order + 1) & 0xFFFFFFFFFFFFFFFF for order in range(orders)], np.uint64)
+    return level | (mix64(tokens ^ own[:, None]) >> np.uint64(8))
 
 
 def prefix(tokens: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
@@ -108,34 +111,41 @@ def prefix(tokens: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
     return tokens[places <= np.partition(places, size - 1)[size - 1]] if n else tokens
 
 
-def parity_bits(tokens: np.ndarray) -> bytes:
+def _odd(mixed: np.ndarray, slots: int) -> np.ndarray:
+    """A bit per slot, set where an odd number of mixed tokens fell into it."""
+    return np.packbits(np.bincount((mixed & np.uint64(slots - 1)).view(np.int64), minlength=slots) & 1)
+
+
+def parity_bits(tokens: np.ndarray, mixed: np.ndarray | None = None) -> bytes:
     """A bit per hash slot, set where it got an odd number of tokens; a power of two, twice the tokens
     or more. Two sets differ in at least as many tokens as their bits do."""
-    slots = 1 << max(6, int(2 * len(tokens) - 1).bit_length())
-    counts = np.bincount((mix64(tokens) & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
-    return np.packbits(counts & 1).tobytes()
+    return _odd(mix64(tokens) if mixed is None else mixed, 1 << max(6, int(2 * len(tokens) - 1).bit_length())).tobytes()
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
+def sketch(tokens: np.ndarray, mixed: np.ndarray | None = None) -> np.ndarray:
     """Parity bits of a fixed number of slots, as 64-bit words that a join can compare."""
-    counts = np.bincount((mix64(tokens) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS)
-    return np.packbits(counts & 1).view(np.int64)
+    return _odd(mix64(tokens) if mixed is None else mixed, 64 * SKETCH_WORDS).view(np.int64)
 
 
-def pieces(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
-    """Classes of a set by a hash of the token, as (level, tokens): 2^level classes, so many that ``PIECE``
-    tokens a class are enough. A set that can be similar to one of the next level has its classes too."""
+def _cut(mixed: np.ndarray, percent: int) -> list[tuple[int, np.ndarray | None]]:
+    """The classes of ``pieces`` as (level, which tokens); None stands for all."""
     level = lambda n: max(0, int(n - 1) // PIECE).bit_length()
-    out, n = [], len(tokens)
+    out, n = [], len(mixed)
     for k in sorted({level(n), level(100 * n // percent)}) if n else []:
         if k == 0:
-            out.append((0, tokens))
+            out.append((0, None))
             continue
-        classes = mix64(tokens) >> np.uint64(64 - k)
-        out += [(k, tokens[classes == c]) for c in np.unique(classes)]
+        classes = mixed >> np.uint64(64 - k)
+        out += [(k, classes == c) for c in np.unique(classes)]
     return out
 
 
+def pieces(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Classes of a set by a hash of the token, as (level, tokens): 2^level classes, so many that ``PIECE``
+    tokens a class are enough. A set that can be similar to one of the next level has its classes too."""
+    return [(level, tokens if own is None else tokens[own]) for level, own in _cut(mix64(tokens), percent)]
+
+
 def bits_allow(x: bytes, y: bytes, size_x: int, size_y: int, percent: int) -> bool:
     """Whether sets of these bits and sizes can be similar enough."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -172,30 +182,27 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         import xxhash
 
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
-        memo = WordHashes()
+        none = np.zeros(LEADS, np.int64)
         for batch in batches:
             sizes, digests, bits, sketches, leads, parts = [], [], [], [], [], [[] for _ in range(orders - 1)]
             counts, piece_sizes, piece_sketches, piece_prefixes = [], [], [], []
             for value in texts(batch, text):
-                tokens = shingle_set(plain_words(value), memo, gram)
+                tokens = shingle_set(value, gram)
+                mixed, places = mix64(tokens), _places(tokens, classes, max(orders, LEADS))
                 sizes.append(len(tokens))
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                bits.append(parity_bits(tokens))
-                sketches.append(sketch(tokens))
-                first = []
-                for k in range(max(orders, LEADS)):
-                    places = _places(tokens, classes, k)
-                    if 0 < k < orders:
-                        parts[k - 1].append(prefix(tokens, places, percent))
-                    if k < LEADS:
-                        first.append(int(tokens[places.argmin()].view(np.int64)) if len(tokens) else 0)
-                leads.append(first)
-                cut = pieces(tokens, percent)
+                bits.append(parity_bits(tokens, mixed))
+                sketches.append(sketch(tokens, mixed))
+                for k in range(1, orders):
+                    parts[k - 1].append(prefix(tokens, places[k], percent))
+                leads.append(tokens[places[:LEADS].argmin(axis=1)].view(np.int64) if len(tokens) else none)
+                cut = _cut(mixed, percent)
                 counts.append(len(cut))
-                for level, own in cut:
-                    begun = prefix(own, _places(own, classes, 0), percent)
+                for level, which in cut:
+                    own, at = (tokens, places[0]) if which is None else (tokens[which], places[0][which])
+                    begun = prefix(own, at, percent)
                     piece_sizes.append(len(own))
-                    piece_sketches.append(sketch(own) if level else None)
+                    piece_sketches.append(sketch(own, mixed[which]) if level else None)
                     piece_prefixes.append(mix64(begun + np.uint64(level)) if level else begun)
             ids = batch.column(batch.schema.get_field_index(key))
             cuts = pa.StructArray.from_arrays([pa.array(piece_sizes, pa.int64()), pa.array(piece_sketches, pa.list_(pa.int64())), _lists(piece_prefixes)], ["n", "sketch", "prefix"])
@@ -208,9 +215,8 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
 
 def _sets(key: str, text: str, gram: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
         for batch in batches:
-            tokens = [shingle_set(plain_words(v), memo, gram) for v in texts(batch, text)]
+            tokens = [shingle_set(v, gram) for v in texts(batch, text)]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)), _lists(tokens)], ["node", "tokens"])
 
     return sets
@@ -346,7 +352,9 @@ class JaccardJoin:
 
         Under the first order a class of both has to share one. Sketches of parity bits are compared
         inside that join, so that of large groups of texts that are merely alike hardly a pair comes out
-        of it; the prefixes of the other orders are looked at for its pairs only.
+        of it; the prefixes of the other orders are looked at for its pairs only. A pair that shares many
+        tokens of a prefix comes out at the first of each stretch of them: each token goes with those
+        before it, and where the pair has one of these in common, it has been found there.
         """
         placed = write(self._parts(grouped).select("digest", F.col("node").alias("_key"), "part"), "placed")
         cut = self.named.join(placed, ["digest", "_key"]).select("digest", "_key", "part", "sketch", "pieces").dropDuplicates(["digest", "_key"])
@@ -355,10 +363,7 @@ class JaccardJoin:
         tokens = cut.select("_key", "part", "place", "n", F.explode("prefix").alias("token"))
         mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
         shared = write(tokens.join(mixed, "token", "left_semi"), "shared")
-        words = cut.select("_key", "place", *[F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)])
-        end = lambda e: shared.join(words, ["_key", "place"]).select("token", *[F.col(c).alias(f"{e}_{c}") for c in ("_key", "n", "part", *words.columns[2:])])
-        met = end("a").join(end("b"), "token").filter((F.col("a_part") < F.col("b_part")) & self._sizes_fit("a_n", "b_n") & self._alike("a_", "b_"))
-        pairs = write(met.select(F.col("a__key").alias("a"), F.col("b__key").alias("b")).distinct(), "pairs")
+        pairs = write(self._met(shared, cut).distinct(), "pairs")
         others = [f"p{k}" for k in range(1, self.orders)]
         if not others:
             return pairs
@@ -370,6 +375,21 @@ class JaccardJoin:
             both = both.filter(F.arrays_overlap(f"a_{c}", f"b_{c}"))
         return both.select("a", "b")
 
+    def _met(self, shared: DataFrame, cut: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components with a common prefix token and sketches that allow them,
+        once for each stretch of common tokens."""
+        words = [F.get("sketch", j).alias(f"s{j}") for j in range(SKETCH_WORDS)]
+        at = F.array_position("prefix", F.col("token")).cast("int") - 1
+        before = [F.get("prefix", at - j).alias(f"e{j}") for j in range(1, BEFORE + 1)]
+        own = shared.join(cut.select("_key", "place", "sketch", "prefix"), ["_key", "place"]).select("token", "_key", "n", "part", *words, *before)
+        earlier = [f"e{j}" for j in range(1, BEFORE + 1)]
+        end = lambda e: own.select("token", *[F.col(c).alias(f"{e}_{c}") for c in own.columns[1:]])
+        met = end("a").join(end("b"), "token").filter((F.col("a_part") < F.col("b_part")) & self._sizes_fit("a_n", "b_n"))
+        for x, y in product(earlier, earlier):
+            met = met.filter(F.coalesce(F.col(f"a_{x}") != F.col(f"b_{y}"), F.lit(True)))
+        met = met.filter(self._alike("a_", "b_"))
+        return met.select(F.col("a__key").alias("a"), F.col("b__key").alias("b"))
+
     def groups(self) -> DataFrame:
         """(_key, n, component) per document."""
         spark, grouped = self.docs.sparkSession, None
@@ -406,6 +426,6 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", gram:
     Shingles are compared as 64-bit hashes: among ten thousand of two texts the chance that a chance
     collision changes a count is below one in a hundred billion.
     """
-    with scratch(docs.sparkSession, "jaccard-join") as write:
+    with scratch(docs.sparkSession, "jaccard-join") as write, small_batches(docs.sparkSession):
         grouped = JaccardJoin(docs, key, text, gram, percent, orders, write).groups()
         return materialise(grouped.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")), "groups")

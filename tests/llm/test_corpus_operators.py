@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framesift import session
-from framesift.llm import components, jaccard_join, line_dedup, mixing, topk, url_filters
+from framesift.llm import common, components, jaccard_join, line_dedup, mixing, topk, url_filters
 
 
 # --- Jaccard join
@@ -111,6 +111,29 @@ def test_long_sets_are_compared_in_classes_that_no_size_saturates(documents, mon
     assert written["pairs"] == 0
 
 
+def test_pairs_come_out_of_the_join_once_a_stretch_of_common_tokens(spark, documents, monkeypatch):
+    met, seen = jaccard_join.JaccardJoin._met, []
+    monkeypatch.setattr(jaccard_join.JaccardJoin, "_met", lambda self, *tables: seen.append(met(self, *tables)) or seen[-1])
+    base, texts = [f"w{k}" for k in range(200)], []
+    for k in range(25):
+        own = list(base)
+        own[5 + 7 * k] = "changed"
+        texts.append(" ".join(own))
+    join = jaccard_join.JaccardJoin(documents(texts), "doc_id", "text", 3, 90, 2)
+    pairs = join.remaining_candidates(spark.createDataFrame([], "node bigint, component bigint"), session.materialise)
+    assert {tuple(r) for r in pairs.collect()} == {(a, b) for b in range(25) for a in range(b)}
+    # Any pair shares a dozen tokens of its prefixes and more.
+    assert seen[0].count() < 2 * 300
+
+
+def test_word_hashes_tell_words_apart():
+    text = "A b a\x00 a \x00a ab\x85 AB\x85 \xe9 abcdefgh abcdefghi\tabcdefghj " + "x" * 64 + "\x0b" + "x" * 65 + "\n" + "X" * 65 + " " + "x" * 66
+    for said in (text, "", " \r\n", text * 3):
+        words = common.plain_words(said)
+        hashes = common.word_hashes(said).tolist()
+        assert len(hashes) == len(words) and len(set(hashes)) == len(set(words)) == len(set(zip(words, hashes)))
+
+
 def test_similar_sets_have_a_similar_class_of_one_level():
     rng = np.random.default_rng(2)
     for n in (1, 40, 1840, 1860, 2048, 2049, 4000, 4100, 9000):
