@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 LEAST_BITS = 1 << 16
 MOST_BITS = 1 << 27
 BITS_PER_KEY = 16
+# Where a key has the numbers of its bits; the word is named by its low bits from the seventh on.
+_SHIFTS = (0, 32, 38)
 
 
 def bit_vector(keys: DataFrame, column: str) -> np.ndarray:
-    """Words of a bit vector with two bits set per key; at most ``MOST_BITS`` bits reach the driver."""
+    """Words of a bit vector with three bits set per key, all in one word, so that a key is one row of the
+    sum over words; at most ``MOST_BITS`` bits reach the driver."""
     wanted = BITS_PER_KEY * keys.count()
     bits = LEAST_BITS
     while bits < min(wanted, MOST_BITS):
         bits *= 2
     key = F.col(column)
-    slots = F.array(key, F.shiftrightunsigned(key, 32))
-    slot = keys.select(F.explode(F.transform(slots, lambda s: s.bitwiseAND(F.lit(bits - 1)))).alias("slot"))
-    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("set"))
+    own = F.lit(0).cast("bigint")
+    for shift in _SHIFTS:
+        own = own.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(key, shift).bitwiseAND(F.lit(63)).cast("int")))
+    words = keys.groupBy(F.shiftright(key.bitwiseAND(F.lit(bits - 1)), 6).alias("word")).agg(F.bit_or(own).alias("set"))
     vector = np.zeros(bits // 64, np.uint64)
     found = words.toArrow()
     vector[found["word"].to_numpy()] = found["set"].to_numpy().view(np.uint64)
@@ -34,8 +38,8 @@ def bit_vector(keys: DataFrame, column: str) -> np.ndarray:
 
 def may_hold(vector: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the keys (unsigned) may be in the table; all that are in it."""
-    out = np.ones(len(keys), bool)
-    for slots in (keys, keys >> np.uint64(32)):
-        slots = slots & np.uint64(64 * len(vector) - 1)
-        out &= (vector[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
-    return out
+    words = vector[((keys & np.uint64(64 * len(vector) - 1)) >> np.uint64(6)).astype(np.int64)]
+    out = np.uint64(1)
+    for shift in _SHIFTS:
+        out = out & (words >> ((keys >> np.uint64(shift)) & np.uint64(63)))
+    return out == 1

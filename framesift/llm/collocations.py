@@ -15,6 +15,7 @@ the task that holds the block; only counts are shuffled, and they are summed per
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.bits import bit_vector, may_hold
-from framesift.llm.common import mix64, small_batches
+from framesift.llm.common import mix64, small_batches, word_hashes
 from framesift.session import materialise
 
 LEAST = 30
@@ -34,6 +35,7 @@ TOP = 2000
 NO_LANG = "und"
 BLOCK_WORDS = 1 << 18
 _SALTS = 64
+_AT_ONCE = 1 << 15
 
 # Bytes that end a piece, all read as a line feed; A-Z become a-z.
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
@@ -56,7 +58,7 @@ class _Block:
 
     def __init__(self):
         self.words = _Numbers()
-        self.ids: list[int] = []
+        self.ids = array("i")
         self.lengths: list[int] = []
 
     def add(self, text: str) -> None:
@@ -70,7 +72,7 @@ class _Block:
     def batch(self, lang: str) -> pa.RecordBatch:
         gaps = np.ones(len(self.ids), np.int32)
         gaps[np.cumsum([0, *self.lengths[:-1]])] = 2
-        return _batch(lang, [w.decode("utf-8", "replace") for w in self.words], gaps, np.array(self.ids, np.int32))
+        return _batch(lang, [w.decode("utf-8", "replace") for w in self.words], gaps, np.frombuffer(self.ids, np.int32))
 
 
 def _batch(lang: str, phrases: list[str], gaps: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -130,26 +132,15 @@ def _extended(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def _hashes(phrases: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of phrases of one length, and of their last words."""
-    words = [np.fromiter(map(_hash, column), np.uint64, len(phrases)) for column in zip(*[p.encode().split(b" ") for p in phrases])]
-    whole = words[0]
-    for last in words[1:]:
-        whole = _extended(whole, last)
-    return whole, words[-1]
-
-
-class _Hashes(dict):
-    """Hashes of phrases of one length and of their last words, remembered up to a bound."""
-
-    LIMIT = 150_000
-
-    def arrays(self, phrases: list[str]) -> np.ndarray:
-        """Hashes of phrases in the first row, of their last words in the second."""
-        new = [p for p in phrases if p not in self]
-        made = dict(zip(new, zip(*(h.tolist() for h in _hashes(new))))) if new else {}
-        both = np.array([self.get(p) or made[p] for p in phrases], np.uint64).reshape(-1, 2).T
-        if len(self) < self.LIMIT:
-            self.update(made)
-        return both
+    both = np.empty((2, len(phrases)), np.uint64)
+    for begin in range(0, len(phrases), _AT_ONCE):
+        some = phrases[begin : begin + _AT_ONCE]
+        words = word_hashes(" ".join(some)).reshape(len(some), -1).T
+        whole = words[0]
+        for last in words[1:]:
+            whole = _extended(whole, last)
+        both[:, begin : begin + len(some)] = whole, words[-1]
+    return both[0], both[1]
 
 
 def _keys(lang: str, hashes: np.ndarray) -> np.ndarray:
@@ -158,10 +149,9 @@ def _keys(lang: str, hashes: np.ndarray) -> np.ndarray:
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The keys of counted phrases, all of one length."""
-    memo = _Hashes()
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
-        hashes = memo.arrays(batch.column(1).to_pylist())[0]
+        hashes = _hashes(batch.column(1).to_pylist())[0]
         keys = np.empty(len(hashes), np.uint64)
         for lang in set(langs.tolist()):
             keys[langs == lang] = _keys(lang, hashes[langs == lang])
@@ -171,9 +161,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _adjacent(rows, frequent: np.ndarray):
     """The merge join of each block with itself at adjacent places, occurrences of frequent groups only:
     (lang, phrases, and per pair its key, its two phrases and its place)."""
-    memo = _Hashes()
     for lang, phrases, places, ids in rows:
-        hashes, last = memo.arrays(phrases)
+        hashes, last = _hashes(phrases)
         kept = may_hold(frequent, _keys(lang, hashes))[ids]
         places, ids = places[kept], ids[kept]
         at = np.flatnonzero(np.diff(places) == 1)
@@ -182,9 +171,11 @@ def _adjacent(rows, frequent: np.ndarray):
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
-    found, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(sums)], ["key", "f"])
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(np.add.reduceat(counts, first))], ["key", "f"])
 
 
 def _count_keys(frequent):
@@ -197,7 +188,7 @@ def _count_keys(frequent):
             held.append(found)
             sums.append(counts)
             size += len(found)
-            if size >= 4 * BLOCK_WORDS:
+            if size >= 2 * BLOCK_WORDS:
                 yield _summed(held, sums)
                 held, sums, size = [], [], 0
         if size:

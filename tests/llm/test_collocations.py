@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -100,3 +101,32 @@ def test_bit_vector_holds_every_key(spark):
     others = rng.integers(-(2**63), 2**63 - 1, 20_000).view(np.uint64)
     assert bits.may_hold(vector, others).mean() < 0.05
     assert not bits.may_hold(bits.bit_vector(spark.range(0), "id"), others).any()
+
+
+def test_bit_vector_sums_one_row_a_key(spark, monkeypatch):
+    def refused(*columns):
+        raise AssertionError("keys were multiplied")
+
+    monkeypatch.setattr(bits.F, "explode", refused)
+    ids = np.array([*range(0, 5000, 7), 2**40, 2**63 - 1], np.int64)
+    vector = bits.bit_vector(spark.createDataFrame([(int(k),) for k in ids], "k bigint"), "k")
+    assert bits.may_hold(vector, ids.view(np.uint64)).all()
+    assert bits.may_hold(vector, np.arange(1, 5000, 7, dtype=np.uint64)).mean() < 0.05
+
+
+def test_counting_keys_remembers_no_phrases():
+    class Every:
+        value = np.full(1 << 10, 2**64 - 1, np.uint64)
+
+    def blocks():
+        for k in range(40):
+            words = [f"word{k}x{j}" for j in range(20_000)]
+            yield collocations._batch("en", words, np.ones(20_000, np.int32), np.arange(20_000, dtype=np.int32)).select(["lang", "phrases", "gaps", "ids"])
+
+    tracemalloc.start()
+    try:
+        found = sum(batch.column(1).to_numpy().sum() for batch in collocations._count_keys(Every)(blocks()))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 40 * 19_999 and most < 72_000_000
