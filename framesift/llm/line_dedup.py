@@ -60,13 +60,16 @@ def probe_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Colu
     Segment ``k`` of a line shorter by ``gap`` can start only where at most ``k`` edits lie left of it
     and at most ``threshold - k`` right of it.
     """
-    asked = [
+    return _keys(line, length, threshold, _asked(threshold))
+
+
+def _asked(threshold: int) -> list[tuple[int, int, int]]:
+    return [
         (gap, k, shift)
         for gap in range(threshold + 1)
         for k in range(threshold + 1)
         for shift in range(max(-k, gap - (threshold - k)), min(k, gap + (threshold - k)) + 1)
     ]
-    return _keys(line, length, threshold, asked)
 
 
 def letter_parities(line: Column) -> Column:
@@ -182,20 +185,22 @@ def _bounded(df: DataFrame) -> DataFrame:
 def near_lines(lines: DataFrame, keyed: DataFrame, first: DataFrame, threshold: int, materialise: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """Line classes (_c1, _c2) that stand after a class within the threshold.
 
-    ``keyed`` holds ``_index`` and ``_probe`` of each line that takes part, ``first`` the first place and the
-    number of places of each class. A semi join finds the keys that two different lines share, which
-    are few; only their lines are looked up again. Each is then held against two lines of every key it
+    ``keyed`` holds ``_probe``, the probe keys, of each line that takes part, ``first`` the first place and the
+    number of places of each class. A line's own segments are among its probes, so one sum over the keys
+    finds those that an index and another line share, which are few; only their lines are looked up again. Each is then held against two lines of every key it
     has, the first and the most common, which is linear however many lines share a key and settles
     nearly all copies of a line. Only for lines not settled by that are all earlier lines of their keys
     looked at, and only pairs whose letters and pairs of letters allow the threshold come out of the join.
     """
-    own = keyed.filter(F.col("_index").isNotNull())
-    indexed = own.select(F.explode("_index").alias("_key"), F.col("_c1").alias("_a"))
-    probing = own.select(F.explode("_probe").alias("_key"), F.col("_c1").alias("_b"))
-    met = materialise(indexed.join(probing, (indexed["_key"] == probing["_key"]) & (F.col("_a") != F.col("_b")), "left_semi").select("_key").distinct(), "line-keys")
-    met = _bounded(met)
+    own = keyed.filter(F.col("_probe").isNotNull())
+    index = [at for at, (gap, _, shift) in enumerate(_asked(threshold)) if gap == shift == 0]
+    probing = own.select("_c1", F.posexplode("_probe").alias("_at", "_key")).select("_key", "_c1", F.col("_at").isin(index).alias("_own"))
+    # Most keys are one line's, so they go to their tasks as they are.
+    met = probing.repartition("_key").groupBy("_key").agg(F.min("_c1").alias("_a"), F.max("_c1").alias("_b"), F.max("_own").alias("_own"))
+    met = _bounded(materialise(met.filter((F.col("_a") != F.col("_b")) & F.col("_own")).select("_key"), "line-keys"))
     sided = lambda keys: own.select("_c1", "_c2", F.explode(keys).alias("_key")).join(met, "_key", "left_semi").distinct()
-    shared = materialise(sided("_index").withColumn("_own", F.lit(True)).union(sided("_probe").withColumn("_own", F.lit(False))), "line-shared")
+    indexed = F.array(*[F.get("_probe", at) for at in index])
+    shared = materialise(sided(indexed).withColumn("_own", F.lit(True)).union(sided("_probe").withColumn("_own", F.lit(False))), "line-shared")
     wanted = materialise(shared.select("_c1", "_c2").distinct(), "line-wanted")
     texts = lines.select("_c1", "_c2", "_line").join(_bounded(wanted), ["_c1", "_c2"], "left_semi").dropDuplicates(["_c1", "_c2"])
     texts = materialise(texts.withColumn("_letters", letter_parities(F.col("_line"))).withColumn("_pairs", pair_parities(F.col("_line"))).join(first.select("_c1", "_c2", "_first", "_times"), ["_c1", "_c2"]), "line-texts")
@@ -251,11 +256,10 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
     lines = _lines(keyed, shortest)
     order = F.struct(F.col("_id").isNull().alias("_last"), "_id", "_h", "_pos")
     line, size = F.col("_line"), F.col("_n")
-    whole = F.when(size >= shortest, index_keys(line, size, threshold)).alias("_index")
     parts = F.when(size >= shortest, probe_keys(line, size, threshold)).alias("_probe")
     with scratch(docs.sparkSession, "line-dedup") as write:
         # One pass over the texts: who stands where, and the keys of the edit join.
-        places = write(lines.select("_id", "_h", "_pos", "_c1", "_c2", whole, parts), "lines")
+        places = write(lines.select("_id", "_h", "_pos", "_c1", "_c2", parts), "lines")
         first = write(places.groupBy("_c1", "_c2").agg(F.min(order).alias("_first"), F.max(order).alias("_final"), F.count(F.lit(1)).alias("_times")), "line-classes")
         gone = near_lines(lines, places, first, threshold, write).withColumn("_near", F.lit(True))
         marked = first.filter("_first <> _final").select("_c1", "_c2", "_first").join(gone, ["_c1", "_c2"], "full")

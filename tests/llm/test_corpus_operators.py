@@ -242,6 +242,17 @@ def test_lines_with_the_same_letters_in_another_order_are_not_compared(documents
     assert sum(compared) < 30
 
 
+def test_keys_that_lines_share_are_found_without_an_index_of_their_own(documents, monkeypatch):
+    near, held = line_dedup.near_lines, {}
+    monkeypatch.setattr(line_dedup, "near_lines", lambda lines, keyed, *more: held.update(keyed=keyed.columns) or near(lines, keyed, *more))
+    base = "the same line of forty characters or so"
+    texts = [base, base + "!", "x" + base[1:], "a line of its own that nobody else has", "a line of its own that nobody else has", "short"]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(texts)).collect()}
+    assert got == brute_lines(list(enumerate(texts)))
+    # The keys of a line's own segments are among its probes and are neither worked out nor written twice.
+    assert "_probe" in held["keyed"] and "_index" not in held["keyed"]
+
+
 def test_pair_parities_never_rule_out_near_lines(spark):
     rng = random.Random(9)
     rows = []
