@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.common import grams, mix64, small_batches, texts, word_hashes
 from framesift.llm.components import components
-from framesift.session import materialise, scratch
+from framesift.session import materialise, release_shuffles, scratch
 
 GRAM = 3
 PERCENT = 90
@@ -169,9 +169,9 @@ def _bit_filter(percent: int):
     return allowed
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def _lists(arrays: list[np.ndarray], kind: type = np.int64) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    values = np.concatenate(arrays).astype(np.uint64).view(np.int64) if arrays else np.empty(0, np.int64)
+    values = np.concatenate(arrays).view(kind) if arrays else np.empty(0, kind)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
@@ -194,7 +194,7 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
                 bits.append(parity_bits(tokens, mixed))
                 sketches.append(sketch(tokens, mixed))
                 for k in range(1, orders):
-                    parts[k - 1].append(prefix(tokens, places[k], percent))
+                    parts[k - 1].append(prefix(tokens, places[k], percent).astype(np.uint32))
                 leads.append(tokens[places[:LEADS].argmin(axis=1)].view(np.int64) if len(tokens) else none)
                 cut = _cut(mixed, percent)
                 counts.append(len(cut))
@@ -207,7 +207,7 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
             ids = batch.column(batch.schema.get_field_index(key))
             cuts = pa.StructArray.from_arrays([pa.array(piece_sizes, pa.int64()), pa.array(piece_sketches, pa.list_(pa.int64())), _lists(piece_prefixes)], ["n", "sketch", "prefix"])
             cuts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), cuts)
-            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(leads, pa.list_(pa.int64())), cuts, *[_lists(p) for p in parts]]
+            arrays = [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()), pa.array(sketches, pa.list_(pa.int64())), pa.array(leads, pa.list_(pa.int64())), cuts, *[_lists(p, np.int32) for p in parts]]
             yield pa.RecordBatch.from_arrays(arrays, [key, "n", "digest", "bits", "sketch", "leads", "pieces", *[f"p{k}" for k in range(1, orders)]])
 
     return sign
@@ -248,12 +248,13 @@ class JaccardJoin:
         self.percent, self.gram, self.orders, self.write = percent, gram, orders, write
         self.docs = docs.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         packed = zlib.compress(frequency_classes(self.docs, "_text", gram).tobytes(), 1)
-        lists = "".join(f", p{k} array<bigint>" for k in range(1, orders))
+        lists = "".join(f", p{k} array<int>" for k in range(1, orders))
         signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, sketch array<bigint>, leads array<bigint>, pieces array<struct<n: bigint, sketch: array<bigint>, prefix: array<bigint>>>{lists}")
         self.signed = write(signed, "signed")
         self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
         first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", "sketch", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
         self.nodes = write(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
+        release_shuffles(docs.sparkSession)
 
     def _sizes_fit(self, x: str, y: str):
         return (100 * F.col(x) >= self.percent * F.col(y)) & (100 * F.col(y) >= self.percent * F.col(x))
@@ -354,21 +355,31 @@ class JaccardJoin:
         inside that join, so that of large groups of texts that are merely alike hardly a pair comes out
         of it; the prefixes of the other orders are looked at for its pairs only. A pair that shares many
         tokens of a prefix comes out at the first of each stretch of them: each token goes with those
-        before it, and where the pair has one of these in common, it has been found there.
+        before it, and where the pair has one of these in common, it has been found there. Prefixes of the
+        other orders are kept as 32 bits of each token, which can only let more pairs through.
+
+        The shuffles of each step are let go before the next, so that they do not add up on disk.
         """
+
+        def done(df: DataFrame, name: str) -> DataFrame:
+            df = write(df, name)
+            release_shuffles(df.sparkSession)
+            return df
+
         placed = write(self._parts(grouped).select("digest", F.col("node").alias("_key"), "part"), "placed")
         cut = self.named.join(placed, ["digest", "_key"]).select("digest", "_key", "part", "sketch", "pieces").dropDuplicates(["digest", "_key"])
         cut = cut.select("_key", "part", "sketch", F.posexplode("pieces").alias("place", "piece"))
-        cut = write(cut.select("_key", "part", "place", "piece.n", F.coalesce("piece.sketch", "sketch").alias("sketch"), "piece.prefix"), "pieces")
+        cut = done(cut.select("_key", "part", "place", "piece.n", F.coalesce("piece.sketch", "sketch").alias("sketch"), "piece.prefix"), "pieces")
         tokens = cut.select("_key", "part", "place", "n", F.explode("prefix").alias("token"))
         mixed = tokens.groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least <> most").select("token")
-        shared = write(tokens.join(mixed, "token", "left_semi"), "shared")
-        pairs = write(self._met(shared, cut).distinct(), "pairs")
+        mixed = done(mixed, "mixed")
+        shared = done(tokens.join(mixed, "token", "left_semi"), "shared")
+        pairs = done(self._met(shared, cut).distinct(), "pairs")
         others = [f"p{k}" for k in range(1, self.orders)]
         if not others:
             return pairs
         lists = self._of(write(self._ends(pairs), "ends"), self.named.join(placed, ["digest", "_key"], "left_semi")).select("_key", *others).dropDuplicates(["_key"])
-        lists = write(lists, "prefixes")
+        lists = done(lists, "prefixes")
         side = lambda e: lists.select(F.col("_key").alias(e), *[F.col(c).alias(f"{e}_{c}") for c in others])
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         for c in others:
@@ -398,6 +409,7 @@ class JaccardJoin:
             with scratch(spark, "links") as write:
                 found = self.links(candidates(grouped, write) if candidates else self.leading_candidates(write), write)
                 grouped = self.write(self._joined(grouped, found) if candidates else components(found), "components")
+            release_shuffles(spark)
         named = self.nodes.select("digest", "node").join(grouped, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
         return self.signed.select("_key", "n", "digest").join(named, "digest", "left").select("_key", "n", F.when(F.col("_key").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("_key")).alias("component"))
 

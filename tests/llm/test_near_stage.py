@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from framesift.llm import jaccard_join
 
 
 def brute_kept(rows, gram=5, percent=80):
@@ -50,3 +51,23 @@ def test_near_stage_loses_no_text_that_shares_an_id(spark, documents):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in rows) == sorted([(3, texts[0]), (3, texts[1]), (4, texts[2]), (0, ""), (0, "")])
     assert all(r["_again"] == "own" for r in rows)
     assert corpus_pipeline.ngram_jaccard_join(spark, docs.limit(0), "").count() == 0
+
+
+def test_near_stage_finds_the_same_with_prefixes_of_32_bits_and_lets_each_step_go(spark, documents, monkeypatch):
+    steps, write = [], jaccard_join.materialise
+
+    def noted(df, name):
+        steps.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard_join, "release_shuffles", lambda _: steps.append("release"))
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    texts = [edited(rng, base, 0.01) for _ in range(12)]
+    join = jaccard_join.JaccardJoin(documents(texts), "doc_id", "text", 5, 80, 2)
+    assert join.signed.schema["p1"].dataType.elementType.simpleString() == "int"
+    pairs = join.remaining_candidates(spark.createDataFrame([], "node bigint, component bigint"), noted)
+    near = {(a, b) for b in range(12) for a in range(b) if len(brute_kept([(0, texts[a]), (1, texts[b])])) == 1}
+    assert near and near <= {tuple(r) for r in pairs.collect()}
+    large = [k for k, step in enumerate(steps) if step in ("pieces", "mixed", "shared", "pairs", "prefixes")]
+    assert len(large) == 5 and all(steps[k + 1] == "release" for k in large)

@@ -1,9 +1,12 @@
+import time
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from framesift.plans import curation, hooks
+from framesift.session import release_shuffles
 
 
 @pytest.fixture(scope="module")
@@ -134,3 +137,21 @@ def test_files_to_files_skips_finished_shards(spark, tmp_path):
     assert run(head=10)[0][1] == 4
     with pytest.raises(ValueError):
         files.curate_files(spark, inputs, difference=spark.range(1))
+
+
+def test_release_shuffles_deletes_the_files_of_finished_jobs(spark, tmp_path):
+    disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / "out"))
+    made = shuffled() - before
+    assert made
+    release_shuffles(spark)
+    until = time.time() + 30
+    while made & shuffled() and time.time() < until:
+        time.sleep(0.2)
+    assert not made & shuffled()
