@@ -7,7 +7,9 @@ among tokens of one class of frequency each order is an own permutation.
 
 Texts with equal sets are one node from the start. Links are sought in rounds: first every node is
 compared with a few nodes of the groups that share its leading tokens, by size and then those that the
-others of the group resemble most, which joins most large groups of copies in linear work; then all
+others of the group resemble most, which joins most large groups of copies in linear work. Copies with
+changes of their own lead with these, as they are rare; so tokens that lead regardless of frequency make
+groups too, two at a time. Then all
 remaining pairs between different components are sought through every prefix token of the first order, and
 held against those of the others. Nothing is lost: pairs inside a component cannot change the components.
 
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import partial
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +113,14 @@ def prefix(tokens: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
     return tokens[places <= np.partition(places, size - 1)[size - 1]] if n else tokens
 
 
+def _leads(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The first tokens under each order, then those under the same permutations regardless of classes."""
+    if not len(tokens):
+        return np.zeros(2 * LEADS, np.int64)
+    plain = places[:LEADS] & np.uint64((1 << 56) - 1)
+    return tokens[np.concatenate([places[:LEADS].argmin(axis=1), plain.argmin(axis=1)])].view(np.int64)
+
+
 def _odd(mixed: np.ndarray, slots: int) -> np.ndarray:
     """A bit per slot, set where an odd number of mixed tokens fell into it."""
     return np.packbits(np.bincount((mixed & np.uint64(slots - 1)).view(np.int64), minlength=slots) & 1)
@@ -182,7 +192,6 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
         import xxhash
 
         classes = np.frombuffer(zlib.decompress(packed_classes), np.uint8)
-        none = np.zeros(LEADS, np.int64)
         for batch in batches:
             sizes, digests, bits, sketches, leads, parts = [], [], [], [], [], [[] for _ in range(orders - 1)]
             counts, piece_sizes, piece_sketches, piece_prefixes = [], [], [], []
@@ -195,7 +204,7 @@ def _sign(key: str, text: str, packed_classes: bytes, percent: int, orders: int,
                 sketches.append(sketch(tokens, mixed))
                 for k in range(1, orders):
                     parts[k - 1].append(prefix(tokens, places[k], percent).astype(np.uint32))
-                leads.append(tokens[places[:LEADS].argmin(axis=1)].view(np.int64) if len(tokens) else none)
+                leads.append(_leads(tokens, places))
                 cut = _cut(mixed, percent)
                 counts.append(len(cut))
                 for level, which in cut:
@@ -252,8 +261,8 @@ class JaccardJoin:
         signed = self.docs.mapInArrow(_sign("_key", "_text", packed, percent, orders, gram), f"_key bigint, n bigint, digest binary, bits binary, sketch array<bigint>, leads array<bigint>, pieces array<struct<n: bigint, sketch: array<bigint>, prefix: array<bigint>>>{lists}")
         self.signed = write(signed, "signed")
         self.named = self.signed.filter(F.col("_key").isNotNull() & (F.col("n") > 0))
-        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", "sketch", *[F.get("leads", k).alias(f"l{k}") for k in range(LEADS)])).alias("s"))
-        self.nodes = write(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(LEADS)]), "nodes")
+        first = self.named.groupBy("digest").agg(F.min(F.struct("_key", "n", "bits", "sketch", *[F.get("leads", k).alias(f"l{k}") for k in range(2 * LEADS)])).alias("s"))
+        self.nodes = write(first.select("digest", F.col("s._key").alias("node"), "s.n", "s.bits", "s.sketch", *[f"s.l{k}" for k in range(2 * LEADS)]), "nodes")
         release_shuffles(docs.sparkSession)
 
     def _sizes_fit(self, x: str, y: str):
@@ -289,14 +298,20 @@ class JaccardJoin:
         """Nodes with the component each is known to be in."""
         return self.nodes.join(grouped, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
 
+    @staticmethod
+    def _plain_keys() -> list[Column]:
+        """Keys of any two of the leads regardless of classes. Texts that are alike share many of these, others
+        of the same passages few."""
+        return [F.xxhash64(F.lit(j), F.lit(k), f"l{j}", f"l{k}") for j, k in combinations(range(LEADS, 2 * LEADS), 2)]
+
     def leading_candidates(self, write: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
         """Pairs of nodes with common leading tokens: each node with the smallest and the largest of its
         group, and with the one before it by size.
 
         A group shares its leads under two orders. Linear in the nodes, whatever the size of a group.
         """
-        keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}", f"l{k + 1}") for k in range(LEADS - 1)])
-        leads = self.nodes.select("node", "n", F.explode(keys).alias("lead"))
+        keys = [F.xxhash64(F.lit(k), f"l{k}", f"l{k + 1}") for k in range(LEADS - 1)]
+        leads = self.nodes.select("node", "n", F.explode(F.array(*keys, *self._plain_keys())).alias("lead"))
         own = F.struct("n", "node")
         ends = leads.groupBy("lead").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low <> high")
         shared = write(leads.join(ends, "lead"), "leads")
@@ -323,14 +338,15 @@ class JaccardJoin:
         return (100 + self.percent) * self._differing(x, y) <= (100 - self.percent) * (F.col(f"{x}n") + F.col(f"{y}n"))
 
     def central_candidates(self, grouped: DataFrame, write: Callable[[DataFrame, str], DataFrame], turn: int) -> DataFrame:
-        """Pairs of nodes with the most central node of each group that shares a leading token.
+        """Pairs of nodes with the most central node of each group that shares a leading token, or two of those
+        regardless of classes.
 
         Each node is held against one node of each of its groups, drawn anew each turn; the node that differs
         least from those it met is the head of its groups, such as the text that the others were copied
         from. Each node is paired with the likest of the heads of its groups. Linear in the nodes.
         """
-        keys = F.array(*[F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)])
-        leads = self._parts(grouped).select("node", "part", F.explode(keys).alias("lead"))
+        keys = [F.xxhash64(F.lit(k), f"l{k}") for k in range(LEADS)]
+        leads = self._parts(grouped).select("node", "part", F.explode(F.array(*keys, *self._plain_keys())).alias("lead"))
         mixed = leads.groupBy("lead").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("lead")
         leads = write(leads.join(mixed, "lead", "left_semi"), "leads")
         shown = leads.join(self._words(), "node")

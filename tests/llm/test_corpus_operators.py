@@ -111,6 +111,36 @@ def test_long_sets_are_compared_in_classes_that_no_size_saturates(documents, mon
     assert written["pairs"] == 0
 
 
+def test_a_group_of_copies_with_changes_of_their_own_takes_linear_work(documents, monkeypatch):
+    written = {}
+
+    @contextmanager
+    def spied(spark, job):
+        with session.scratch(spark, job) as write:
+
+            def noted(df, table):
+                out = write(df, table)
+                written[table] = written.get(table, 0) + out.count()
+                return out
+
+            yield noted
+
+    monkeypatch.setattr(jaccard_join, "scratch", spied)
+    rng = random.Random(9)
+    texts = []
+    for group in range(2):
+        base = [f"g{group}w{k}" for k in range(150)]
+        for k in range(120):
+            copy = list(base)
+            copy[rng.randrange(150)] = f"own{group}x{k}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    got = {r[0]: (r[1], r[2]) for r in jaccard_join.near_groups(documents(texts)).collect()}
+    assert got == brute_groups(list(enumerate(texts)))
+    # All pairs of the two groups are 14,280.
+    assert written["candidates"] < 14 * 240 and written["pairs"] < 240
+
+
 def test_pairs_come_out_of_the_join_once_a_stretch_of_common_tokens(spark, documents, monkeypatch):
     met, seen = jaccard_join.JaccardJoin._met, []
     monkeypatch.setattr(jaccard_join.JaccardJoin, "_met", lambda self, *tables: seen.append(met(self, *tables)) or seen[-1])
