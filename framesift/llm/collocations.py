@@ -7,7 +7,7 @@ this one with itself at adjacent places, for a phrase can only be frequent if wh
 last word and without its first word is. Each level is a join, a count of groups, a semi join that
 leaves the occurrences of frequent groups, and a written relation.
 
-Groups are counted in two steps. Adjacent pairs, most of them rare, are summed by a 64-bit key of the
+Groups are counted in two steps. Adjacent pairs, most of them rare, are summed by a 44-bit key of the
 phrase; those of frequent keys are written with their words and counted again by the words themselves,
 so equal keys of different phrases change nothing. The semi joins test a bit vector of bounded size in
 the task that holds the block; only counts are shuffled, and they are summed per task before.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.bits import bit_vector, may_hold
 from framesift.llm.common import mix64, small_batches, word_hashes
-from framesift.session import materialise
+from framesift.session import LARGE_ROWS, materialise, release_shuffles
 
 LEAST = 30
 LONGEST = 4
@@ -34,6 +34,8 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 BLOCK_WORDS = 1 << 18
+# Keys of pairs, most of what is shuffled, keep the bits that the bit vector reads; the rest compresses away.
+_PAIR_BITS = np.uint64((1 << 44) - 1)
 _SALTS = 64
 _AT_ONCE = 1 << 15
 
@@ -167,7 +169,7 @@ def _adjacent(rows, frequent: np.ndarray):
         places, ids = places[kept], ids[kept]
         at = np.flatnonzero(np.diff(places) == 1)
         first, second = ids[at], ids[at + 1]
-        yield lang, phrases, _keys(lang, _extended(hashes[first], last[second])), first, second, places[at]
+        yield lang, phrases, _keys(lang, _extended(hashes[first], last[second])) & _PAIR_BITS, first, second, places[at]
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
@@ -229,17 +231,19 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
 
 def _mined(named: DataFrame, least: int, longest: int, block_words: int) -> tuple[DataFrame, DataFrame]:
     spark = named.sparkSession
-    relation = materialise(named.mapInArrow(_occurrences(block_words), RELATION), "occurrences")
+    relation = materialise(named.mapInArrow(_occurrences(block_words), RELATION), "occurrences", LARGE_ROWS)
     sizes = relation.groupBy("lang").agg(F.sum(F.expr("octet_length(ids) div 4")).alias("n"))
     levels = [materialise(_counted(relation, least).withColumn("words", F.lit(1)), "phrases")]
     for words in range(2, longest + 1):
+        release_shuffles(spark)
         frequent = spark.sparkContext.broadcast(bit_vector(levels[-1].select("lang", "phrase").mapInArrow(_keyed, "key bigint"), "key"))
         blocks = relation.select("lang", "phrases", "gaps", "ids")
         # Keys are summed over some blocks already, so they go to their tasks as they are.
         pairs = blocks.mapInArrow(_count_keys(frequent), "key bigint, f bigint").repartition("key")
         keys = materialise(pairs.groupBy("key").agg(F.sum("f").alias("f")).filter(F.col("f") >= least).select("key"), "keys")
         frequent_keys = spark.sparkContext.broadcast(bit_vector(keys, "key"))
-        relation = materialise(blocks.mapInArrow(_extend(frequent, frequent_keys), RELATION), "occurrences")
+        release_shuffles(spark)
+        relation = materialise(blocks.mapInArrow(_extend(frequent, frequent_keys), RELATION), "occurrences", LARGE_ROWS)
         levels.append(materialise(_counted(relation, least).withColumn("words", F.lit(words)), "phrases"))
     phrases = levels[0]
     for more in levels[1:]:

@@ -4,8 +4,10 @@ import random
 import re
 import tracemalloc
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from framesift.llm import bits, collocations
@@ -130,3 +132,26 @@ def test_counting_keys_remembers_no_phrases():
     finally:
         tracemalloc.stop()
     assert found == 40 * 19_999 and most < 72_000_000
+
+
+def test_relations_have_small_row_groups(spark):
+    """A task holds a row group as a whole when it writes or reads one; rows are large."""
+    words = "transform(sequence(1, 20000), x -> concat('w', pmod(hash(x, id), 20000)))"
+    docs = spark.range(0, 120, 1, 1).selectExpr("'en' AS lang", f"array_join({words}, ' ') AS text")
+    _, sizes = collocations.frequent_phrases(docs, longest=1, block_words=20_000)
+    groups = []
+    for file in sizes.inputFiles():
+        meta = pq.ParquetFile(urlparse(file).path).metadata
+        groups += [meta.row_group(k) for k in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 120
+    assert max(g.total_byte_size for g in groups) < 12 << 20
+
+
+def test_keys_of_pairs_are_short():
+    class Every:
+        value = np.full(1 << 10, 2**64 - 1, np.uint64)
+
+    block = collocations._batch("en", [f"w{k}" for k in range(1000)], np.ones(1000, np.int32), np.arange(1000, dtype=np.int32)).select(["lang", "phrases", "gaps", "ids"])
+    (batch,) = collocations._count_keys(Every)([block])
+    keys = batch.column(0).to_numpy()
+    assert len(keys) == 999 and keys.min() >= 0 and keys.max() < 1 << 44
